@@ -18,7 +18,7 @@ from tierline.functions import logs as L
 from tierline.operators.crawl import Crawl, crawl, request_log
 from tierline.plans.lake import Lake, load_silver
 from tierline.plans.medallion import land_classifications, land_hierarchy
-from tierline.session import fresh_folder, run_folder
+from tierline.session import apply_runtime_conf, fresh_folder, run_folder
 from tierline.sources.fixture import EntitySource, derive_entities
 
 _ENVS: dict[tuple[str, str], "Env"] = {}
@@ -69,5 +69,6 @@ class Env:
 def env(spark: SparkSession, sf_dir: str) -> Env:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _ENVS:
+        apply_runtime_conf(spark)
         _ENVS[key] = Env(spark, sf_dir)
     return _ENVS[key]

@@ -48,10 +48,19 @@ def build_session(master: str | None = None, app_name: str = "tierline",
 
 
 def apply_runtime_conf(spark: SparkSession) -> None:
-    """Set the runtime SQL settings on a session built elsewhere."""
+    """Set the runtime SQL settings on a session built elsewhere.
+
+    Directory listing of a partitioned layout runs as a Spark job; its task
+    count is sized to the cluster (four per core, at most Spark's default of
+    10,000) rather than fixed, so a small cluster does not pay for
+    thousands of listing tasks.
+    """
     for key, value in SESSION_CONF.items():
         if key.startswith("spark.sql."):
             spark.conf.set(key, value)
+    cores = spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism",
+                   str(min(10_000, 4 * cores)))
 
 
 def shared_root(spark: SparkSession) -> str:

@@ -11,8 +11,9 @@ the written rows are replaced, other partitions stay.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 # CSV dialect of the bronze layer.  The token ``null`` marks a NULL field,
 # quotes and commas inside values are quoted, and the same options are used
@@ -21,22 +22,54 @@ NULL_TOKEN = "null"
 CSV_OPTIONS = {"nullValue": NULL_TOKEN, "quote": '"', "escape": '"'}
 
 
-def _spread(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    return df.hint("rebalance", *partition_by) if partition_by else df
+def _spread(df: DataFrame, partition_by: Sequence[str],
+            writers: int | None = None) -> DataFrame:
+    if not partition_by:
+        return df
+    if writers:
+        return df.hint("rebalance", writers, *partition_by)
+    return df.hint("rebalance", *partition_by)
+
+
+@contextmanager
+def session_conf(spark: SparkSession, conf: dict[str, str]):
+    """Runtime SQL settings for the actions run inside the block."""
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def land_csv(df: DataFrame, path: str, partition_by: Sequence[str] = (),
              header: bool = True, mode: str = "overwrite",
-             null_token: str = NULL_TOKEN) -> None:
+             null_token: str = NULL_TOKEN, writers: int | None = None) -> None:
     """CSV landing; with ``partition_by`` one directory per key value
-    (``key=value``), only rewritten partitions are replaced."""
-    w = (_spread(df, partition_by).write.mode(mode)
+    (``key=value``), only rewritten partitions are replaced.
+
+    ``writers`` is for layouts whose cost is the number of files rather than
+    bytes (one directory per leaf key): the rebalance keeps at least that
+    many writer tasks instead of letting AQE merge small partitions into
+    one task; hot keys are still split.
+    """
+    w = (_spread(df, partition_by, writers).write.mode(mode)
          .options(**{**CSV_OPTIONS, "nullValue": null_token})
          .option("header", header)
          .option("partitionOverwriteMode", "dynamic"))
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.csv(path)
+    if writers and partition_by:
+        with session_conf(df.sparkSession,
+                          {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+            w.csv(path)
+    else:
+        w.csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",

@@ -78,3 +78,22 @@ def requests_per_second(requests: Column, duration_ms: Column) -> Column:
     """Requests per whole second, floored; NULL for runs under one second."""
     secs = F.floor(duration_ms / 1000).cast("long")
     return F.when(secs > 0, F.floor(requests / secs).cast("long"))
+
+
+# Which entity a log message is about, by message prefix.
+ENTITY_PATTERNS = [
+    ("seasons", r"^(getting seasons|found no seasons)"),
+    ("events", r"^(getting events|found no events)"),
+    ("categories", r"^(getting category|found no categories)"),
+    ("sessions", r"^(getting session |found no sessions)"),
+    ("classifications", r"^(getting classification|found no classification)"),
+]
+
+
+def message_entity(msg: Column) -> Column:
+    """Entity level a process-log message refers to (NULL if unknown)."""
+    out = None
+    for name, pattern in ENTITY_PATTERNS:
+        out = (F.when(msg.rlike(pattern), F.lit(name)) if out is None
+               else out.when(msg.rlike(pattern), F.lit(name)))
+    return out

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tierline.operators.crawl import Crawl, expand_classifications
 from tierline.operators.gold import gold_results
-from tierline.plans.lake import Lake, land_entity, load_silver, read_silver
-from tierline.sinks.files import write_parquet
+from tierline.plans.lake import (Lake, land_entity, load_silver, partition_layout,
+                                 read_silver, to_bronze_columns)
+from tierline.sinks.files import land_csv, write_parquet
 
 
 def land_hierarchy(lake: Lake, c: Crawl, layout: str = "scale") -> None:
@@ -19,10 +21,22 @@ def land_hierarchy(lake: Lake, c: Crawl, layout: str = "scale") -> None:
 
 
 def land_classifications(lake: Lake, batch: DataFrame, classifications_src: DataFrame,
-                         layout: str = "scale", broadcast_batch: bool = True) -> None:
-    """Fetch and land the leaf rows of a batch of task keys."""
+                         layout: str = "scale", broadcast_batch: bool = True,
+                         run_id: str | None = None) -> None:
+    """Fetch and land the leaf rows of a batch of task keys.
+
+    With ``run_id`` the rows land under an extra ``run_id=`` level, so a
+    rerun of the same run replaces only its own files and batches of
+    different runs accumulate (the queue never hands out a landed task
+    twice).  Without it the landing replaces the partitions it writes.
+    """
     rows = expand_classifications(batch, classifications_src, broadcast_batch)
-    land_entity(lake, "classifications", rows, layout)
+    if run_id is None:
+        land_entity(lake, "classifications", rows, layout)
+        return
+    keys = tuple(partition_layout("classifications", layout)) + ("run_id",)
+    land_csv(to_bronze_columns("classifications", rows).withColumn("run_id", F.lit(run_id)),
+             lake.bronze("classifications"), keys)
 
 
 def silver_gold(spark: SparkSession, lake: Lake, style: str = "bash") -> DataFrame:

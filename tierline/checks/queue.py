@@ -33,8 +33,7 @@ landed AS (SELECT DISTINCT session_id FROM f_classifications)"""
 def _state(e):
     """Queue state before the run: status derived from the order status."""
     s = e.src.task_state
-    base = with_defaults(s.select("season_id", "event_id", "category_id", "session_id"))
-    return base.drop("status").join(s.select("id", "status"), "id").select(*TASKS.names)
+    return with_defaults(s, status=F.col("status")).select(*TASKS.names)
 
 
 def _failed(spark, e):

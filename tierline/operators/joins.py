@@ -20,16 +20,23 @@ class DuplicateKeyError(ValueError):
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    Reads at most ``max_rows + 1`` rows: the limit stops the scan early, so
-    the check costs little even when the answer is no.
+    A plain distributed count: each task counts its rows and only one row
+    per task crosses the shuffle.  (``limit(n).count()`` would funnel up
+    to n rows from every task into a single task when the input is
+    unexpectedly large.)  It is applied only to inputs that are bounded by
+    the hierarchy, where the scan is small.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    return df.count() <= max_rows
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast hint only behind a proven row bound; else leave the join to
     AQE, which still converts it to a broadcast when the runtime size is
-    small, or keeps the shuffle join when it is not."""
+    small, or keeps the shuffle join when it is not.
+
+    Use it for sets bounded by the domain (seasons, events, categories, a
+    batch of at most n tasks); sets keyed by session grow with the data and
+    are joined without a hint."""
     if has_at_most(df, max_rows):
         return F.broadcast(df)
     return df

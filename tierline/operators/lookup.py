@@ -54,7 +54,9 @@ def response_payloads(requests: DataFrame, children: DataFrame,
     rows = children.join(counts, match, "inner").select(
         *match, F.struct(*[F.col(f) for f in fields]).alias("_row"),
         F.pmod(F.xxhash64(*[F.col(f) for f in fields]), pages).cast("int").alias("page"))
-    bodies = (rows.groupBy(*match, "page")
+    # Without this exchange the aggregate would reuse the join's partitioning
+    # by parent, and every page of a hot parent would run in one task.
+    bodies = (rows.repartition(*match, "page").groupBy(*match, "page")
                   .agg(F.to_json(F.array_sort(F.collect_list("_row")), JSON_OPTS)
                        .alias("body")))
     req = requests.select(*match)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tierline.operators.joins import bounded_broadcast
+
 
 def sort_desc(df: DataFrame, column: str, tie: str | None = None) -> DataFrame:
     """Global descending sort (range-partitioned, distributed)."""
@@ -34,4 +36,4 @@ def rank_desc(df: DataFrame, column: str, name: str = "rank") -> DataFrame:
     w = Window.orderBy(F.col(column).desc()).rowsBetween(Window.unboundedPreceding, -1)
     ranks = per_value.select(
         column, (F.coalesce(F.sum("_n").over(w), F.lit(0)) + 1).cast("long").alias(name))
-    return df.join(F.broadcast(ranks), column, "inner")
+    return df.join(bounded_broadcast(ranks), column, "inner")

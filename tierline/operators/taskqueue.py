@@ -30,13 +30,15 @@ def empty_queue(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], TASKS)
 
 
-def with_defaults(keys: DataFrame, now: Column | None = None) -> DataFrame:
-    """Task rows from task keys: id = session id, status 0, attempt 0,
-    added now, never updated."""
+def with_defaults(keys: DataFrame, now: Column | None = None,
+                  status: Column | None = None) -> DataFrame:
+    """Task rows from task keys: id = session id, status 0 (or ``status``),
+    attempt 0, added now, never updated."""
     now = F.current_timestamp() if now is None else now
+    status = F.lit(PENDING) if status is None else status
     return keys.select(
         F.col("session_id").alias("id"), *TASK_KEYS,
-        F.lit(PENDING).alias("status"), F.lit(0).alias("attempt"),
+        status.cast("int").alias("status"), F.lit(0).alias("attempt"),
         now.alias("added_timestamp"),
         F.lit(None).cast("timestamp").alias("updated_timestamp"))
 
@@ -62,10 +64,11 @@ def next_batch(queue: DataFrame, n: int) -> DataFrame:
 
 
 def _flagged(queue: DataFrame, ids: DataFrame, on: Sequence[tuple[str, str]],
-             flag: str) -> DataFrame:
+             flag: str, broadcast_ids: bool = True) -> DataFrame:
     keys = [c for _, c in on]
     hit = ids.select(*keys).distinct().withColumn(flag, F.lit(True))
-    hit = bounded_broadcast(hit, ID_SET_BROADCAST_ROWS)
+    if broadcast_ids:
+        hit = bounded_broadcast(hit, ID_SET_BROADCAST_ROWS)
     cond = None
     for qcol, icol in on:
         c = queue[qcol] == hit[icol]
@@ -78,9 +81,15 @@ def mark(queue: DataFrame, ids: DataFrame, on: Sequence[tuple[str, str]],
          now: Column | None = None) -> DataFrame:
     """Set ``status`` (and stamp the update time) on tasks matching ``ids``
     on the (task column, id column) pairs; with ``guard_not``, tasks
-    already in that status are left alone."""
+    already in that status are left alone.
+
+    Id sets keyed by season, event or (event, category) are bounded by the
+    hierarchy and broadcast behind a size check; sets keyed by session grow
+    with the data and are joined by shuffle (AQE may still broadcast them).
+    """
     now = F.current_timestamp() if now is None else now
-    j = _flagged(queue, ids, on, "_hit")
+    per_session = any(q in ("id", "session_id") for q, _ in on)
+    j = _flagged(queue, ids, on, "_hit", broadcast_ids=not per_session)
     hit = F.coalesce(F.col("_hit"), F.lit(False))
     if guard_not is not None:
         hit = hit & (F.col("status") != guard_not)
@@ -158,13 +167,13 @@ class TaskQueue:
         self.spark = spark
 
     def state(self) -> DataFrame:
-        if "main" not in self.table.refs():
+        refs = self.table.refs()
+        if "main" not in refs:
             return empty_queue(self.spark)
-        return self.table.read()
+        return self.table.read(version=refs["main"])
 
     def save(self, df: DataFrame, op: str) -> DataFrame:
-        self.table.commit(df, op=op)
-        return self.table.read()
+        return self.table.read(version=self.table.commit(df, op=op))
 
     def upsert(self, batch: DataFrame) -> DataFrame:
         return self.save(upsert(self.state(), batch), "upsert")

@@ -196,10 +196,8 @@ def wap_run(spark: SparkSession, lake: Lake, bronze_root: str | None = None) ->
     silver = {}
     for e in names:
         t = VersionedTable(spark, lake.table(f"silver/{e}"))
-        t.commit(read_bronze(spark, bronze, e))
-        silver[e] = t.read()
+        silver[e] = t.read(version=t.commit(read_bronze(spark, bronze, e)))
     g = gold_results(silver["classifications"], silver["seasons"], silver["events"],
                      silver["categories"], silver["sessions"], style="table")
     gold = VersionedTable(spark, lake.table("gold/results"))
-    wap.write_audit_publish(gold, g, AUDIT_DIMS)
-    return gold.read("main")
+    return gold.read(version=wap.write_audit_publish(gold, g, AUDIT_DIMS))

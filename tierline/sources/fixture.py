@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierline.operators.joins import bounded_broadcast
 from tierline.schemas import COMPLETED, ERRORED, PENDING
 
 # The first group of a derived id names the entity kind.
@@ -80,9 +81,9 @@ def derive_entities(spark: SparkSession, sf_dir: str) -> EntitySource:
         uuid_id("events", F.col("n_nationkey")).alias("id"),
         uuid_id("seasons", F.col("n_regionkey")).alias("season_id"))
 
-    # nation is a fixed-size dimension (one row per nation), so it is
-    # broadcast; customer and orders are joined by shuffle.
-    cust = customer.join(F.broadcast(nation),
+    # nation is a fixed-size dimension (one row per nation): broadcast
+    # behind the size check; customer and orders are joined by shuffle.
+    cust = customer.join(bounded_broadcast(nation),
                          customer.c_nationkey == nation.n_nationkey)
     categories = cust.select(
         F.col("c_mktsegment").alias("name"),

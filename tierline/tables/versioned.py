@@ -65,37 +65,40 @@ class VersionedTable:
             raise
         return sorted((r.asDict() for r in rows), key=lambda r: r["seq"])
 
-    def _append(self, ref: str, version: int | None, base: int | None, op: str) -> None:
-        log = self.log()
+    def _append(self, log: list[dict], ref: str, version: int | None,
+                base: int | None, op: str) -> None:
         seq = (log[-1]["seq"] + 1) if log else 0
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         row = [(seq, ref, version, base, op, now)]
         (self.spark.createDataFrame(row, _LOG_SCHEMA).coalesce(1)
              .write.mode("append").json(self.log_path))
 
-    def refs(self) -> dict[str, int]:
+    def refs(self, log: list[dict] | None = None) -> dict[str, int]:
         """Current version of every live reference."""
         out: dict[str, int | None] = {}
-        for e in self.log():
+        for e in self.log() if log is None else log:
             out[e["ref"]] = e["version"]
         return {k: v for k, v in out.items() if v is not None}
 
-    def versions(self) -> list[int]:
-        return sorted({e["version"] for e in self.log() if e["version"] is not None})
+    def versions(self, log: list[dict] | None = None) -> list[int]:
+        log = self.log() if log is None else log
+        return sorted({e["version"] for e in log if e["version"] is not None})
 
     # -- writes -----------------------------------------------------------
     def commit(self, df: DataFrame, ref: str = MAIN, op: str = "replace") -> int:
         """Write ``df`` as a new snapshot and move ``ref`` to it (atomic
         create-or-replace of the reference's contents)."""
-        versions = self.versions()
+        log = self.log()
+        versions = self.versions(log)
         version = (versions[-1] + 1) if versions else 0
         df.write.mode("errorifexists").parquet(self.snapshot_path(version))
-        self._append(ref, version, self.refs().get(ref), op)
+        self._append(log, ref, version, self.refs(log).get(ref), op)
         return version
 
     def create_branch(self, name: str, from_ref: str = MAIN) -> None:
-        base = self.refs().get(from_ref)
-        self._append(name, base if base is not None else -1, base, f"branch:{from_ref}")
+        log = self.log()
+        base = self.refs(log).get(from_ref)
+        self._append(log, name, base if base is not None else -1, base, f"branch:{from_ref}")
 
     def fast_forward(self, target: str = MAIN, source: str = "audit_branch") -> int:
         """Move ``target`` to ``source``'s version (metadata only).
@@ -105,18 +108,19 @@ class VersionedTable:
         log = self.log()
         cut = next((e for e in reversed(log)
                     if e["ref"] == source and e["op"] == f"branch:{target}"), None)
-        refs = self.refs()
+        refs = self.refs(log)
         if source not in refs:
             raise KeyError(f"no reference {source}")
         if cut is not None and refs.get(target) != cut["base"]:
             raise PublishConflict(f"{target} moved from {cut['base']} to {refs.get(target)}")
-        self._append(target, refs[source], refs.get(target), f"fast_forward:{source}")
+        self._append(log, target, refs[source], refs.get(target), f"fast_forward:{source}")
         return refs[source]
 
     def drop_branch(self, name: str) -> None:
         if name == MAIN:
             raise ValueError("main cannot be dropped")
-        self._append(name, None, self.refs().get(name), "drop")
+        log = self.log()
+        self._append(log, name, None, self.refs(log).get(name), "drop")
 
     # -- reads ------------------------------------------------------------
     def read(self, ref: str = MAIN, version: int | None = None,

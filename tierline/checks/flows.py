@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from tierline.checks import query
 from tierline.checks.env import env
+from tierline.operators.crawl import crawl
 from tierline.operators.ordering import top1
 from tierline.plans import runs
 from tierline.plans.lake import Lake
-from tierline.schemas import SESSIONS
+from tierline.schemas import SESSIONS, S, TASK_KEYS, struct
 from tierline.sinks.files import land_csv
+from tierline.sources.files import read_csv_typed
 from tierline.streaming.new_files import batch_folder_sink, ingest_new_files
 
 _GOLD_DBT = """
@@ -95,3 +97,32 @@ def stream_new_files(spark, sf_dir):
              landing, mode="append")
     ingest_new_files(spark, landing, SESSIONS, ckpt, sink)
     return spark.read.parquet(out).select("id", "batch_no")
+
+
+@query("crawl_tasks", """
+SELECT season_id, event_id, category_id, id AS session_id FROM f_sessions""")
+def crawl_tasks(spark, sf_dir):
+    """Seasons -> events -> categories -> sessions by one join per level;
+    the task list is written as CSV with a header and read back."""
+    e = env(spark, sf_dir)
+    c = crawl(e.src.seasons, e.src.events, e.src.categories, e.src.sessions)
+    path = e.scratch("task_list")
+    land_csv(c.tasks, path)
+    return read_csv_typed(spark, path, struct(*[(k, S) for k in TASK_KEYS]))
+
+
+@query("crawl_full", """
+n AS (SELECT session_id, count(*) AS n_rows FROM f_classifications GROUP BY session_id)
+SELECT s.season_id, s.event_id, s.category_id, s.id AS session_id,
+       coalesce(n.n_rows, 0) AS n_rows
+FROM f_sessions s LEFT JOIN n ON n.session_id = s.id""")
+def crawl_full(spark, sf_dir):
+    """The crawl down to the leaf: every task with its number of
+    classification rows (0 for a session without data)."""
+    e = env(spark, sf_dir)
+    c = crawl(e.src.seasons, e.src.events, e.src.categories, e.src.sessions)
+    leaf = (e.src.classifications.groupBy("session_id")
+            .agg(F.count(F.lit(1)).alias("n_rows")))
+    return (c.tasks.join(leaf, "session_id", "left")
+            .select("season_id", "event_id", "category_id", "session_id",
+                    F.coalesce(F.col("n_rows"), F.lit(0)).cast("long").alias("n_rows")))

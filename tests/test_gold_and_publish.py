@@ -109,3 +109,26 @@ def test_time_travel_by_version_and_time(spark, folder):
     assert [r.v for r in t.read(version=v0).collect()] == [1]
     assert [r.v for r in t.read(as_of=mid).collect()] == [1]
     assert [r.v for r in t.read().collect()] == [2]
+
+
+def test_bucketed_silver_joins_without_exchange(spark, folder):
+    from tierline.plans.lake import Lake, land_entity, load_silver
+    from tierline.plans.medallion import silver_gold
+
+    seasons, events, categories, sessions = _dims(spark)
+    cls = spark.createDataFrame([("s1", "e1", "c1", "x1", "A", 1, 1, 25),
+                                 ("s1", "e2", "c1", "x2", "B", 2, None, 0)], CLASSIFICATIONS)
+    lake = Lake(folder())
+    for name, df in [("seasons", seasons), ("events", events), ("categories", categories),
+                     ("sessions", sessions), ("classifications", cls)]:
+        land_entity(lake, name, df)
+    load_silver(spark, lake, buckets=4)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        g = silver_gold(spark, lake)
+        plan = g._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
+        assert g.count() == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -65,12 +65,14 @@ class VersionedTable:
             raise
         return sorted((r.asDict() for r in rows), key=lambda r: r["seq"])
 
-    def _append(self, log: list[dict], ref: str, version: int | None,
-                base: int | None, op: str) -> None:
+    def _append(self, log: list[dict], *moves: tuple[str, int | None, int | None, str]) -> None:
+        """Append reference moves (ref, version, base, op) in one write, so
+        moves that belong together become visible together."""
         seq = (log[-1]["seq"] + 1) if log else 0
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        row = [(seq, ref, version, base, op, now)]
-        (self.spark.createDataFrame(row, _LOG_SCHEMA).coalesce(1)
+        rows = [(seq + i, ref, version, base, op, now)
+                for i, (ref, version, base, op) in enumerate(moves)]
+        (self.spark.createDataFrame(rows, _LOG_SCHEMA).coalesce(1)
              .write.mode("append").json(self.log_path))
 
     def refs(self, log: list[dict] | None = None) -> dict[str, int]:
@@ -85,23 +87,36 @@ class VersionedTable:
         return sorted({e["version"] for e in log if e["version"] is not None})
 
     # -- writes -----------------------------------------------------------
-    def commit(self, df: DataFrame, ref: str = MAIN, op: str = "replace") -> int:
+    def commit(self, df: DataFrame, ref: str = MAIN, op: str = "replace",
+               branch_from: str | None = None) -> int:
         """Write ``df`` as a new snapshot and move ``ref`` to it (atomic
-        create-or-replace of the reference's contents)."""
+        create-or-replace of the reference's contents).  With
+        ``branch_from``, ``ref`` is first cut as a branch of that reference;
+        the cut and the commit are recorded in one append."""
         log = self.log()
+        refs = self.refs(log)
         versions = self.versions(log)
         version = (versions[-1] + 1) if versions else 0
         df.write.mode("errorifexists").parquet(self.snapshot_path(version))
-        self._append(log, ref, version, self.refs(log).get(ref), op)
+        moves = []
+        if branch_from is not None:
+            base = refs.get(branch_from)
+            moves.append((ref, base if base is not None else -1, base,
+                          f"branch:{branch_from}"))
+        moves.append((ref, version, refs.get(ref), op))
+        self._append(log, *moves)
         return version
 
     def create_branch(self, name: str, from_ref: str = MAIN) -> None:
         log = self.log()
         base = self.refs(log).get(from_ref)
-        self._append(log, name, base if base is not None else -1, base, f"branch:{from_ref}")
+        self._append(log, (name, base if base is not None else -1, base,
+                           f"branch:{from_ref}"))
 
-    def fast_forward(self, target: str = MAIN, source: str = "audit_branch") -> int:
-        """Move ``target`` to ``source``'s version (metadata only).
+    def fast_forward(self, target: str = MAIN, source: str = "audit_branch",
+                     drop_source: bool = False) -> int:
+        """Move ``target`` to ``source``'s version (metadata only), and with
+        ``drop_source`` drop the branch in the same append.
 
         Fails if ``target`` moved since ``source`` was branched from it.
         """
@@ -113,14 +128,17 @@ class VersionedTable:
             raise KeyError(f"no reference {source}")
         if cut is not None and refs.get(target) != cut["base"]:
             raise PublishConflict(f"{target} moved from {cut['base']} to {refs.get(target)}")
-        self._append(log, target, refs[source], refs.get(target), f"fast_forward:{source}")
+        moves = [(target, refs[source], refs.get(target), f"fast_forward:{source}")]
+        if drop_source:
+            moves.append((source, None, refs[source], "drop"))
+        self._append(log, *moves)
         return refs[source]
 
     def drop_branch(self, name: str) -> None:
         if name == MAIN:
             raise ValueError("main cannot be dropped")
         log = self.log()
-        self._append(log, name, None, self.refs(log).get(name), "drop")
+        self._append(log, (name, None, self.refs(log).get(name), "drop"))
 
     # -- reads ------------------------------------------------------------
     def read(self, ref: str = MAIN, version: int | None = None,

@@ -22,16 +22,18 @@ AUDIT_BRANCH = "audit_branch"
 
 
 def stage(table: VersionedTable, df: DataFrame, branch: str = AUDIT_BRANCH) -> int:
-    table.create_branch(branch, MAIN)
-    return table.commit(df, ref=branch, op="stage")
+    return table.commit(df, ref=branch, op="stage", branch_from=MAIN)
 
 
-def audit(table: VersionedTable, dims: Sequence[str], branch: str = AUDIT_BRANCH) -> None:
-    audit_nulls(table.read(branch), dims)
+def audit(table: VersionedTable, dims: Sequence[str], branch: str = AUDIT_BRANCH,
+          version: int | None = None) -> None:
+    """Audit the branch (or the staged ``version`` directly)."""
+    audit_nulls(table.read(branch, version=version), dims)
 
 
-def publish(table: VersionedTable, branch: str = AUDIT_BRANCH) -> int:
-    return table.fast_forward(MAIN, branch)
+def publish(table: VersionedTable, branch: str = AUDIT_BRANCH,
+            drop_branch: bool = False) -> int:
+    return table.fast_forward(MAIN, branch, drop_source=drop_branch)
 
 
 def cleanup(table: VersionedTable, branch: str = AUDIT_BRANCH) -> None:
@@ -42,12 +44,10 @@ def write_audit_publish(table: VersionedTable, df: DataFrame, dims: Sequence[str
                         branch: str = AUDIT_BRANCH) -> int:
     """Stage, audit, publish, clean up.  On a failed audit the branch is
     dropped and the error re-raised; main is unchanged."""
-    stage(table, df, branch)
+    staged = stage(table, df, branch)
     try:
-        audit(table, dims, branch)
+        audit(table, dims, branch, version=staged)
     except Exception:
         cleanup(table, branch)
         raise
-    version = publish(table, branch)
-    cleanup(table, branch)
-    return version
+    return publish(table, branch, drop_branch=True)

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierline.operators.joins import assert_unique_keys, bounded_broadcast
+from tierline.operators.joins import bounded_broadcast, checked_dimension
 from tierline.schemas import GOLD_NAMES
 
 
@@ -40,18 +40,19 @@ def gold_results(classifications: DataFrame, seasons: DataFrame,
                             F.col("event_id").alias("_cat_event_id"),
                             F.col("name").alias("_category"))
     if check_keys:
-        # The bounded dimensions are checked for unique keys: a repeated key
-        # would multiply fact rows (the composite category key exists for
-        # exactly this reason).
-        assert_unique_keys(sea, ["_sea_id"], "seasons")
-        assert_unique_keys(evt, ["_evt_id"], "events")
-        assert_unique_keys(cat, ["_cat_id", "_cat_event_id"], "categories")
+        # The bounded dimensions are checked for unique keys (a repeated key
+        # would multiply fact rows; the composite category key exists for
+        # exactly this reason) and sized for the broadcast, in one job each.
+        sea_b = checked_dimension(sea, ["_sea_id"], "seasons")
+        evt_b = checked_dimension(evt, ["_evt_id"], "events")
+        cat_b = checked_dimension(cat, ["_cat_id", "_cat_event_id"], "categories")
+    else:
+        sea_b, evt_b, cat_b = (bounded_broadcast(d) for d in (sea, evt, cat))
 
     g = fact.join(ses, fact.session_id == ses._ses_id, "left")
-    g = g.join(bounded_broadcast(sea), g.season_id == sea._sea_id, "left")
-    g = g.join(bounded_broadcast(evt), g.event_id == evt._evt_id, "left")
-    g = g.join(bounded_broadcast(cat),
-               (g.category_id == cat._cat_id) & (g.event_id == cat._cat_event_id),
+    g = g.join(sea_b, g.season_id == sea._sea_id, "left")
+    g = g.join(evt_b, g.event_id == evt._evt_id, "left")
+    g = g.join(cat_b, (g.category_id == cat._cat_id) & (g.event_id == cat._cat_event_id),
                "left")
     src = ["_year", "_event_name", "_event_short", "_category", "_session",
            "_rider_name", "_rider_number", "_position", "_points"]

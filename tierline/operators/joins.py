@@ -59,6 +59,25 @@ def assert_unique_keys(df: DataFrame, keys: Sequence[str], name: str = "") -> No
             f"key {list(keys)} of {name or 'dimension'} is not unique: {dup[0].asDict()}")
 
 
+def checked_dimension(df: DataFrame, keys: Sequence[str], name: str = "",
+                      max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Prove a dimension's keys unique and size it in one job; returns it
+    with a broadcast hint when it is within ``max_rows``.
+
+    Rows are counted per key (partial aggregation), then the key counts are
+    summed and maxed: one row per task crosses each shuffle.
+    """
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    row = per_key.agg(F.sum("_n").alias("rows"), F.max("_n").alias("most")).first()
+    rows, most = row["rows"] or 0, row["most"] or 0
+    if most > 1:
+        dup = duplicate_keys(df, keys).limit(1).collect()
+        raise DuplicateKeyError(
+            f"key {list(keys)} of {name or 'dimension'} is not unique: "
+            f"{dup[0].asDict() if dup else most}")
+    return F.broadcast(df) if rows <= max_rows else df
+
+
 def left_join(fact: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]],
               broadcast_dim: bool = False) -> DataFrame:
     """``fact LEFT JOIN dim`` on pairs (fact column, dim column).

@@ -52,3 +52,21 @@ def test_second_stream_run_sees_only_new_files(spark, folder):
     got = {r.id: r.batch_no for r in spark.read.parquet(out).collect()}
     assert got == {"1": 0, "2": 1}
     assert spark.read.parquet(out).filter(F.col("batch_no") == 1).count() == 1
+
+
+def test_stream_batches_upsert_the_queue_and_replays_add_nothing(spark, folder):
+    from tierline.operators.taskqueue import TaskQueue
+    from tierline.streaming.new_files import queue_sink
+
+    landing, ckpt = folder(), folder()
+    q = TaskQueue(spark, folder("queue"))
+    sink = queue_sink(q)
+    land_csv(spark.createDataFrame([("n", "1", "s", "e", "c"), ("n", "2", "s", "e", "c")],
+                                   SESSIONS), landing, mode="append")
+    ingest_new_files(spark, landing, SESSIONS, ckpt, sink)
+    land_csv(spark.createDataFrame([("n", "2", "s", "e", "c"), ("n", "3", "s", "e", "c")],
+                                   SESSIONS), landing, mode="append")
+    ingest_new_files(spark, landing, SESSIONS, ckpt, sink)
+    # replaying the last batch (after a failure) must not add rows
+    sink(spark.createDataFrame([("n", "3", "s", "e", "c")], SESSIONS), 1)
+    assert sorted(r.id for r in q.state().collect()) == ["1", "2", "3"]

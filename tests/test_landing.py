@@ -80,3 +80,40 @@ def test_four_key_layout_round_trip(spark, folder):
     from tierline.sources.files import read_csv_typed
     back = read_csv_typed(spark, path, CLASSIFICATIONS).select(*CLASSIFICATIONS.names)
     assert sorted(map(tuple, back.collect())) == sorted(rows)
+
+
+def test_incremental_refresh_touches_only_the_run_seasons(spark, folder):
+    import os
+
+    from tierline.plans.lake import load_silver, read_silver
+    from tierline.plans.medallion import build_gold
+    from tierline.schemas import CATEGORIES
+    from tierline.session import local_path
+
+    lake = Lake(folder())
+    seasons = spark.createDataFrame([("s1", 2001), ("s2", 2002)], SEASONS)
+    land_entity(lake, "seasons", seasons)
+    land_entity(lake, "events", spark.createDataFrame(
+        [("A", "AAA", "e1", "s1"), ("B", "BBB", "e2", "s2")], EVENTS))
+    land_entity(lake, "categories", spark.createDataFrame(
+        [("C", "c1", "s1", "e1"), ("C", "c1", "s2", "e2")], CATEGORIES))
+    land_entity(lake, "sessions", spark.createDataFrame(
+        [("R", "x1", "s1", "e1", "c1"), ("R", "x2", "s2", "e2", "c1")], SESSIONS))
+    land_entity(lake, "classifications", _cls(spark, [
+        ("s1", "e1", "c1", "x1", "a", 1, 1, 25), ("s2", "e2", "c1", "x2", "b", 2, 1, 25)]))
+    load_silver(spark, lake)
+    build_gold(spark, lake)
+    y1 = local_path(lake.gold("results")) + "/year=2001"
+    before = sorted(os.listdir(y1))
+
+    # a later run lands more rows for season s2 only
+    land_entity(lake, "classifications", _cls(spark, [
+        ("s2", "e2", "c1", "x2", "b", 2, 1, 25), ("s2", "e2", "c1", "x2", "c", 3, 2, 20)]))
+    touched = spark.createDataFrame([("s2",)], "season_id string")
+    load_silver(spark, lake, seasons=touched)
+    gold = build_gold(spark, lake, seasons=touched)
+
+    assert sorted(os.listdir(y1)) == before
+    assert sorted((r.year, r.rider_name) for r in gold.collect()) == [
+        (2001, "a"), (2002, "b"), (2002, "c")]
+    assert read_silver(spark, lake, "classifications").count() == 3

@@ -97,7 +97,7 @@ def scan_catalog_table(spark, sf_dir):
     e = env(spark, sf_dir)
     name = f"silver_{e.tag}.sessions"
     register_external(spark, name, e.lake.silver("sessions"))
-    return scan_table(spark, name)
+    return scan_table(spark, name).select(*SESSIONS.names)
 
 
 @query("model_refs", """

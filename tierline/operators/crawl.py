@@ -137,11 +137,20 @@ def _lines(df: DataFrame, level: str, template: str, ts: Column | None) -> DataF
 
 def request_log(seasons_requested: DataFrame, crawl_: Crawl,
                 classifications_src: DataFrame, batch: DataFrame | None = None,
-                ts: Column | None = None) -> DataFrame:
+                ts: Column | None = None, fetched: DataFrame | None = None) -> DataFrame:
     """Process-log lines of a run: INFO per request, ERROR per request that
     found no children.  ``batch`` are the task keys fetched at the leaf
-    (all task keys when None)."""
+    (all task keys when None).
+
+    The leaf check compares the batch with the rows fetched for it:
+    ``fetched`` (the rows a run landed) or else the source filtered by the
+    batch with a semi join, so the fact is never shuffled whole to test a
+    small batch.
+    """
     batch = crawl_.tasks if batch is None else batch
+    if fetched is None:
+        keys = bounded_broadcast(batch.select("session_id"), REQUEST_BROADCAST_ROWS)
+        fetched = classifications_src.join(keys, "session_id", "left_semi")
     one = seasons_requested.sparkSession.range(1)
     first = one.select(L.log_line("INFO", F.lit(L.MSG_GET_SEASONS), ts).alias("value"))
     # "no seasons" at all: one row unless a season exists (limit 1 bounds it).
@@ -161,7 +170,7 @@ def request_log(seasons_requested: DataFrame, crawl_: Crawl,
         _lines(missing_children(crawl_.requests["sessions"], crawl_.sessions,
                                 ["event_id", "category_id"]),
                "ERROR", L.MSG_NO_SESSIONS, ts),
-        _lines(missing_children(batch, classifications_src, ["session_id"]),
+        _lines(missing_children(batch, fetched, ["session_id"]),
                "ERROR", L.MSG_NO_CLASSIFICATION, ts),
     ]
     out = parts[0]

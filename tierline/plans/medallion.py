@@ -39,19 +39,29 @@ def land_classifications(lake: Lake, batch: DataFrame, classifications_src: Data
              lake.bronze("classifications"), keys)
 
 
-def silver_gold(spark: SparkSession, lake: Lake, style: str = "bash") -> DataFrame:
-    """Gold over the silver datasets of a lake (lazy)."""
+def silver_gold(spark: SparkSession, lake: Lake, style: str = "bash",
+                seasons: DataFrame | None = None) -> DataFrame:
+    """Gold over the silver datasets of a lake (lazy); with ``seasons``
+    only the fact rows of those seasons (partition-pruned)."""
     s = {e: read_silver(spark, lake, e) for e in
          ["classifications", "seasons", "events", "categories", "sessions"]}
-    return gold_results(s["classifications"], s["seasons"], s["events"],
+    fact = s["classifications"]
+    if seasons is not None:
+        fact = fact.join(seasons.select("season_id"), "season_id", "left_semi")
+    return gold_results(fact, s["seasons"], s["events"],
                         s["categories"], s["sessions"], style=style)
 
 
 def build_gold(spark: SparkSession, lake: Lake, style: str = "bash",
-               name: str = "results") -> DataFrame:
-    """Silver -> gold parquet, read back."""
-    write_parquet(silver_gold(spark, lake, style), lake.gold(name))
-    return spark.read.parquet(lake.gold(name))
+               name: str = "results", seasons: DataFrame | None = None) -> DataFrame:
+    """Silver -> gold parquet partitioned by year, read back.
+
+    With ``seasons`` only the years of those seasons are rebuilt and
+    replaced; other years stay as they are.
+    """
+    g = silver_gold(spark, lake, style, seasons)
+    write_parquet(g, lake.gold(name), partition_by=["year"], dynamic=seasons is not None)
+    return spark.read.schema(g.schema).parquet(lake.gold(name)).select(*g.columns)
 
 
 def transform(spark: SparkSession, lake: Lake, c: Crawl,

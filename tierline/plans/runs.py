@@ -107,17 +107,19 @@ def run(spark: SparkSession, lake: Lake, src: EntitySource, mode: str = FULL,
     with clock("GET_CLASSIFICATION"):
         land_classifications(lake, batch, src.classifications, run_id=run_id)
 
-    log = request_log(seasons, c, src.classifications, batch=batch)
+    this_run = read_bronze_run(spark, lake, run_id)
+    log = request_log(seasons, c, src.classifications, batch=batch,
+                      fetched=this_run.select("session_id"))
     append_text(log.withColumn("run_id", F.lit(run_id)), lake.logs("process"),
                 partition_by=["run_id"])
     parsed = parse_log(spark.read.text(f"{lake.logs('process')}/run_id={run_id}"))
 
     with clock("UPDATE_TASKS"):
-        this_run = read_bronze_run(spark, lake, run_id)
         queue.apply_run(this_run.select("session_id"), failed_keys(parsed))
 
+    touched = seasons.select(F.col("id").alias("season_id"))
     with clock("LOAD_SILVER"):
-        load_silver(spark, lake)
+        load_silver(spark, lake, seasons=touched)
     with clock("CHECK_DQ"):
         findings = null_count_by_file(read_bronze_run(spark, lake, run_id, filename="filename"))
         findings = findings.withColumn("run_id", F.lit(run_id))
@@ -125,7 +127,7 @@ def run(spark: SparkSession, lake: Lake, src: EntitySource, mode: str = FULL,
         rep.dq_alert = not spark.read.json(lake.logs("data_quality")) \
             .filter(F.col("run_id") == run_id).isEmpty()
     with clock("LOAD_GOLD"):
-        rep.gold = build_gold(spark, lake)
+        rep.gold = build_gold(spark, lake, seasons=touched)
 
     duration = int((time.monotonic() - t_run) * 1000)
     recs = [metric_records(c.requests["events"], EVENT_GET_EVENTS,

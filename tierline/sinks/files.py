@@ -73,10 +73,13 @@ def land_csv(df: DataFrame, path: str, partition_by: Sequence[str] = (),
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
-                  partition_by: Sequence[str] = ()) -> None:
+                  partition_by: Sequence[str] = (), dynamic: bool = True) -> None:
+    """Parquet write; with ``partition_by`` an overwrite replaces only the
+    partitions present in ``df`` (``dynamic``) or the whole dataset."""
     w = _spread(df, partition_by).write.mode(mode)
     if partition_by:
-        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
+        w = w.partitionBy(*partition_by).option(
+            "partitionOverwriteMode", "dynamic" if dynamic else "static")
     w.parquet(path)
 
 

@@ -81,4 +81,7 @@ def register_external(spark: SparkSession, name: str, path: str,
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.')[0]}")
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{path}'")
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        # Partitions of a Hive-style layout are registered from the folders.
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     return spark.table(name)

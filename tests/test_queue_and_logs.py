@@ -95,3 +95,23 @@ def test_rps_is_floored_and_null_under_one_second(spark):
                                "r long, ms long")
     got = [r[0] for r in df.select(requests_per_second(F.col("r"), F.col("ms"))).collect()]
     assert got == [None, 10, 3, 3]
+
+
+def test_queue_commits_only_touched_seasons(spark, folder):
+    tq = TaskQueue(spark, folder("queue"))
+    tq.upsert(_keys(spark, [("s1", "e", "c", "a"), ("s2", "e", "c", "b")]))
+    v_first = tq.season_versions()
+    tq.upsert(_keys(spark, [("s2", "e", "c", "c")]))
+    v_second = tq.season_versions()
+    assert v_second["s1"] == v_first["s1"]          # season s1 was not rewritten
+    assert v_second["s2"] != v_first["s2"]
+    assert sorted(r.id for r in tq.state().collect()) == ["a", "b", "c"]
+    landed = spark.createDataFrame([("b",)], "session_id string")
+    empty = spark.createDataFrame([], "season_id string")
+    failed = {"seasons": empty, "events": empty.withColumnRenamed("season_id", "event_id"),
+              "pairs": spark.createDataFrame([], "event_id string, category_id string"),
+              "sessions": empty.withColumnRenamed("season_id", "session_id")}
+    tq.apply_run(landed, failed, seasons=["s2"])
+    assert tq.season_versions()["s1"] == v_first["s1"]
+    got = {r.id: r.status for r in tq.state().collect()}
+    assert got == {"a": PENDING, "b": COMPLETED, "c": PENDING}

@@ -181,7 +181,7 @@ def incremental_batch(spark, sf_dir):
     c = crawl(latest, s.events, s.categories, s.sessions)
     prior = _state(e).join(c.tasks.select("session_id"), "session_id", "left_semi")
     q = TaskQueue(spark, e.scratch("inc_queue"))
-    q.save(prior.select(*TASKS.names), "seed")
+    q.save(prior.select(*TASKS.names), "seed", TaskQueue.seasons_of(prior))
     q.upsert(c.tasks)
     batch = q.next_batch(100)
     return expand_classifications(batch, s.classifications)

@@ -65,15 +65,18 @@ def next_batch(queue: DataFrame, n: int) -> DataFrame:
 
 def _flagged(queue: DataFrame, ids: DataFrame, on: Sequence[tuple[str, str]],
              flag: str, broadcast_ids: bool = True) -> DataFrame:
-    keys = [c for _, c in on]
-    hit = ids.select(*keys).distinct().withColumn(flag, F.lit(True))
+    # Id columns get private names, so the join never sees two columns of
+    # the same name, whatever the lineage of ``ids``.
+    tmp = [f"{flag}_k{i}" for i in range(len(on))]
+    hit = (ids.select(*[F.col(c).alias(t) for (_, c), t in zip(on, tmp)])
+              .distinct().withColumn(flag, F.lit(True)))
     if broadcast_ids:
         hit = bounded_broadcast(hit, ID_SET_BROADCAST_ROWS)
     cond = None
-    for qcol, icol in on:
-        c = queue[qcol] == hit[icol]
+    for (qcol, _), t in zip(on, tmp):
+        c = F.col(qcol) == F.col(t)
         cond = c if cond is None else cond & c
-    return queue.join(hit, cond, "left").drop(*[hit[k] for k in keys])
+    return queue.join(hit, cond, "left").drop(*tmp)
 
 
 def mark(queue: DataFrame, ids: DataFrame, on: Sequence[tuple[str, str]],
@@ -160,27 +163,70 @@ def without_clocks(queue: DataFrame) -> DataFrame:
 
 
 class TaskQueue:
-    """A queue persisted as versions of a versioned table."""
+    """A queue persisted in a versioned table, one reference per season.
+
+    Every commit writes a snapshot partitioned by season and moves the
+    reference ``season/<id>`` of each season it holds.  The queue is the
+    union of the snapshots the season references point to (partition
+    pruning picks each season's folder), so a run rewrites only the seasons
+    it touched: an incremental run costs its season, not the whole queue.
+    The touched seasons are collected on the driver; they are bounded by the
+    season dimension.
+    """
+
+    PREFIX = "season/"
 
     def __init__(self, spark: SparkSession, location: str):
         self.table = VersionedTable(spark, location)
         self.spark = spark
 
-    def state(self) -> DataFrame:
+    def season_versions(self) -> dict[str, int]:
         refs = self.table.refs()
-        if "main" not in refs:
-            return empty_queue(self.spark)
-        return self.table.read(version=refs["main"])
-
-    def save(self, df: DataFrame, op: str) -> DataFrame:
-        return self.table.read(version=self.table.commit(df, op=op))
+        return {r[len(self.PREFIX):]: v for r, v in refs.items()
+                if r.startswith(self.PREFIX)}
+
+    def state(self, seasons: Sequence[str] | None = None) -> DataFrame:
+        """Tasks of the given seasons (all seasons when None)."""
+        current = self.season_versions()
+        if seasons is not None:
+            wanted = set(seasons)
+            current = {s: v for s, v in current.items() if s in wanted}
+        by_version: dict[int, list[str]] = {}
+        for season, version in current.items():
+            by_version.setdefault(version, []).append(season)
+        out = empty_queue(self.spark)
+        for version, ss in sorted(by_version.items()):
+            part = (self.spark.read.schema(TASKS).parquet(self.table.snapshot_path(version))
+                    .filter(F.col("season_id").isin(sorted(ss))))
+            out = out.unionByName(part.select(*TASKS.names))
+        return out
+
+    def save(self, df: DataFrame, op: str, seasons: Sequence[str]) -> DataFrame:
+        """Commit the new rows of ``seasons`` (and nothing else)."""
+        refs = [self.PREFIX + s for s in sorted(seasons)]
+        if not refs:
+            return self.state([])
+        version = self.table.commit(df, ref=refs[0], also=refs[1:], op=op,
+                                    partition_by=["season_id"])
+        return (self.spark.read.schema(TASKS).parquet(self.table.snapshot_path(version))
+                .select(*TASKS.names))
+
+    @staticmethod
+    def seasons_of(df: DataFrame) -> list[str]:
+        return sorted(r[0] for r in df.select("season_id").distinct().collect())
 
     def upsert(self, batch: DataFrame) -> DataFrame:
-        return self.save(upsert(self.state(), batch), "upsert")
+        seasons = self.seasons_of(batch)
+        self.save(upsert(self.state(seasons), batch), "upsert", seasons)
+        return self.state()
 
     def next_batch(self, n: int) -> DataFrame:
         return next_batch(self.state(), n)
 
-    def apply_run(self, landed_session_ids: DataFrame,
-                  failed: dict[str, DataFrame]) -> DataFrame:
-        return self.save(apply_run(self.state(), landed_session_ids, failed), "apply_run")
+    def apply_run(self, landed_session_ids: DataFrame, failed: dict[str, DataFrame],
+                  seasons: Sequence[str] | None = None) -> DataFrame:
+        """Transitions of a run over the seasons it touched (all when None)."""
+        seasons = sorted(self.season_versions()) if seasons is None else list(seasons)
+        new = apply_run(self.state(seasons), landed_session_ids, failed)
+        self.save(new, "apply_run", seasons)
+        return self.state()

@@ -115,7 +115,11 @@ def run(spark: SparkSession, lake: Lake, src: EntitySource, mode: str = FULL,
     parsed = parse_log(spark.read.text(f"{lake.logs('process')}/run_id={run_id}"))
 
     with clock("UPDATE_TASKS"):
-        queue.apply_run(this_run.select("session_id"), failed_keys(parsed))
+        # The run touched the seasons it crawled and those of its batch.
+        touched_ids = sorted(set(TaskQueue.seasons_of(seasons.select(
+            F.col("id").alias("season_id")))) | set(TaskQueue.seasons_of(batch)))
+        queue.apply_run(this_run.select("session_id"), failed_keys(parsed),
+                        seasons=touched_ids)
 
     touched = seasons.select(F.col("id").alias("season_id"))
     with clock("LOAD_SILVER"):

@@ -21,6 +21,7 @@ copied.  When an Iceberg catalog is available, the same calls map to
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -88,22 +89,28 @@ class VersionedTable:
 
     # -- writes -----------------------------------------------------------
     def commit(self, df: DataFrame, ref: str = MAIN, op: str = "replace",
-               branch_from: str | None = None) -> int:
+               branch_from: str | None = None, also: Sequence[str] = (),
+               partition_by: Sequence[str] = ()) -> int:
         """Write ``df`` as a new snapshot and move ``ref`` to it (atomic
         create-or-replace of the reference's contents).  With
         ``branch_from``, ``ref`` is first cut as a branch of that reference;
-        the cut and the commit are recorded in one append."""
+        ``also`` names more references moved to the same snapshot.  All
+        moves are recorded in one append."""
         log = self.log()
         refs = self.refs(log)
         versions = self.versions(log)
         version = (versions[-1] + 1) if versions else 0
-        df.write.mode("errorifexists").parquet(self.snapshot_path(version))
+        w = df.write.mode("errorifexists")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(self.snapshot_path(version))
         moves = []
         if branch_from is not None:
             base = refs.get(branch_from)
             moves.append((ref, base if base is not None else -1, base,
                           f"branch:{branch_from}"))
-        moves.append((ref, version, refs.get(ref), op))
+        for r in [ref, *also]:
+            moves.append((r, version, refs.get(r), op))
         self._append(log, *moves)
         return version
 

@@ -117,3 +117,26 @@ def test_incremental_refresh_touches_only_the_run_seasons(spark, folder):
     assert sorted((r.year, r.rider_name) for r in gold.collect()) == [
         (2001, "a"), (2002, "b"), (2002, "c")]
     assert read_silver(spark, lake, "classifications").count() == 3
+
+
+def test_hot_partition_key_is_written_by_several_tasks(spark, folder):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from tierline.session import local_path
+    from tierline.sinks.files import session_conf
+
+    n = 30000
+    df = spark.range(n).select(
+        F.concat(F.lit("n"), F.col("id").cast("string")).alias("name"),
+        F.lit("x").alias("sname"), F.col("id").cast("string").alias("id"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot"))
+         .otherwise(F.concat(F.lit("s"), (F.col("id") % 50).cast("string"))).alias("season_id"))
+    lake = Lake(folder())
+    with session_conf(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+                              "spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        land_entity(lake, "events", df)
+    hot = local_path(lake.bronze("events")) + "/season_id=hot"
+    assert len([f for f in os.listdir(hot) if f.endswith(".csv")]) > 1
+    assert read_bronze(spark, lake, "events").count() == n

@@ -140,3 +140,15 @@ def test_hot_partition_key_is_written_by_several_tasks(spark, folder):
     hot = local_path(lake.bronze("events")) + "/season_id=hot"
     assert len([f for f in os.listdir(hot) if f.endswith(".csv")]) > 1
     assert read_bronze(spark, lake, "events").count() == n
+
+
+def test_filter_on_a_landed_partition_key_prunes_partitions(spark, folder):
+    from pyspark.sql import functions as F
+
+    lake = Lake(folder())
+    land_entity(lake, "events", spark.createDataFrame(
+        [("a", "A", "1", "s1"), ("b", "B", "2", "s2")], EVENTS))
+    df = read_bronze(spark, lake, "events").filter(F.col("season_id") == "s2")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(season_id" in plan and "= s2)" in plan
+    assert [r.id for r in df.collect()] == ["2"]

@@ -10,12 +10,12 @@ from tierline.operators.joins import left_join
 from tierline.plans.lake import read_silver
 from tierline.plans.medallion import silver_gold
 
-_GOLD_DBT = """
+GOLD_DBT_SQL = """
 SELECT year, event_name, event_short_name, category, session AS session_name,
        rider_name, rider_number, position AS rider_position, points AS rider_points
 FROM f_gold"""
 
-_GOLD_TABLE = """
+GOLD_TABLE_SQL = """
 SELECT year, event_name AS event, event_short_name AS event_short, category, session,
        rider_name, rider_number, position, points
 FROM f_gold"""
@@ -26,12 +26,12 @@ def gold_results(spark, sf_dir):
     return silver_gold(spark, env(spark, sf_dir).lake, "bash")
 
 
-@query("gold_results_dbt_names", _GOLD_DBT)
+@query("gold_results_dbt_names", GOLD_DBT_SQL)
 def gold_results_dbt_names(spark, sf_dir):
     return silver_gold(spark, env(spark, sf_dir).lake, "dbt")
 
 
-@query("gold_results_table_names", _GOLD_TABLE)
+@query("gold_results_table_names", GOLD_TABLE_SQL)
 def gold_results_table_names(spark, sf_dir):
     return silver_gold(spark, env(spark, sf_dir).lake, "table")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tierline.checks import query
+from tierline.checks.core import GOLD_DBT_SQL, GOLD_TABLE_SQL
 from tierline.checks.env import env
 from tierline.operators.crawl import crawl
 from tierline.operators.ordering import top1
@@ -15,17 +16,6 @@ from tierline.sinks.files import land_csv
 from tierline.sources.files import read_csv_typed
 from tierline.streaming.new_files import batch_folder_sink, ingest_new_files
 
-_GOLD_DBT = """
-SELECT year, event_name, event_short_name, category, session AS session_name,
-       rider_name, rider_number, position AS rider_position, points AS rider_points
-FROM f_gold"""
-
-_GOLD_TABLE = """
-SELECT year, event_name AS event, event_short_name AS event_short, category, session,
-       rider_name, rider_number, position, points
-FROM f_gold"""
-
-
 @query("medallion_transform", "SELECT * FROM f_gold")
 def medallion_transform(spark, sf_dir):
     e = env(spark, sf_dir)
@@ -63,13 +53,13 @@ def medallion_incremental(spark, sf_dir):
     return rep.gold
 
 
-@query("medallion_models", _GOLD_DBT)
+@query("medallion_models", GOLD_DBT_SQL)
 def medallion_models(spark, sf_dir):
     e = env(spark, sf_dir)
     return runs.models(spark, e.lake, e.scratch("models"))
 
 
-@query("medallion_wap", _GOLD_TABLE)
+@query("medallion_wap", GOLD_TABLE_SQL)
 def medallion_wap(spark, sf_dir):
     e = env(spark, sf_dir)
     lake = Lake(e.scratch("wap"))

@@ -18,8 +18,8 @@ def _dims(spark):
     events = spark.createDataFrame([("Qatar", "QAT", "e1", "s1"),
                                     ("Spain", "SPA", "e2", "s1")], EVENTS)
     # the same category id under two events
-    categories = spark.createDataFrame([("MotoGP", "c1", "s1", "e1"),
-                                        ("MotoGP", "c1", "s1", "e2")], CATEGORIES)
+    categories = spark.createDataFrame([("Class A", "c1", "s1", "e1"),
+                                        ("Class A", "c1", "s1", "e2")], CATEGORIES)
     sessions = spark.createDataFrame([("RAC", "x1", "s1", "e1", "c1"),
                                       ("RAC", "x2", "s1", "e2", "c1")], SESSIONS)
     return seasons, events, categories, sessions
@@ -66,10 +66,10 @@ def test_audit_counts_all_dims_in_one_pass_and_raises_with_count(spark):
 
 def test_failed_audit_leaves_main_unchanged(spark, folder):
     t = VersionedTable(spark, folder("gold"))
-    good = spark.createDataFrame([(2023, "Qatar", "MotoGP", "RAC")],
+    good = spark.createDataFrame([(2023, "Qatar", "Class A", "RAC")],
                                  "year int, event string, category string, session string")
     wap.write_audit_publish(t, good, AUDIT_DIMS)
-    bad = spark.createDataFrame([(2023, "Qatar", "MotoGP", None)],
+    bad = spark.createDataFrame([(2023, "Qatar", "Class A", None)],
                                 "year int, event string, category string, session string")
     with pytest.raises(AuditError):
         wap.write_audit_publish(t, bad, AUDIT_DIMS)

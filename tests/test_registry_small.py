@@ -14,6 +14,8 @@ import pytest
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
+_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "boolean": "BOOLEAN",
+          "double": "DOUBLE", "timestamp": "TIMESTAMP"}
 TABLES = ["region", "nation", "customer", "orders", "lineitem"]
 
 
@@ -46,6 +48,10 @@ def test_query_matches_oracle(spark, con, key):
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    spark_types = {f.name: _TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    oracle_types = {d[0]: str(d[1]) for d in res.description}
+    assert spark_types == oracle_types
     assert len(rows) == len(orows)
     assert _digest(df.columns, rows) == _digest(ocols, orows)
 

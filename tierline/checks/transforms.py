@@ -95,7 +95,8 @@ _CLS_STRUCT = ", ".join(f"'{c}': c.{c}" for c in CLASSIFICATIONS.names)
 
 @query("response_json", f"""
 bodies AS (
-  SELECT c.session_id, to_json(list({{{_CLS_STRUCT}}} ORDER BY {_CLS_ORDER})) AS body
+  SELECT c.session_id,
+         CAST(to_json(list({{{_CLS_STRUCT}}} ORDER BY {_CLS_ORDER})) AS VARCHAR) AS body
   FROM f_classifications c GROUP BY c.session_id)
 SELECT s.id AS session_id, CAST(0 AS INTEGER) AS page, coalesce(b.body, '[]') AS body
 FROM f_sessions s LEFT JOIN bodies b ON b.session_id = s.id""")
@@ -107,8 +108,8 @@ def response_json(spark, sf_dir):
 
 
 @query("rows_to_ndjson", """
-SELECT to_json({'name': name, 'id': id, 'season_id': season_id, 'event_id': event_id,
-                'category_id': category_id}) AS line
+SELECT CAST(to_json({'name': name, 'id': id, 'season_id': season_id,
+                     'event_id': event_id, 'category_id': category_id}) AS VARCHAR) AS line
 FROM f_sessions""")
 def rows_to_ndjson(spark, sf_dir):
     return env(spark, sf_dir).src.sessions.select(row_json(SESSIONS.names).alias("line"))

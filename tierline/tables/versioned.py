@@ -34,7 +34,7 @@ _LOG_SCHEMA = T.StructType([
     T.StructField("version", T.LongType()),
     T.StructField("base", T.LongType()),
     T.StructField("op", T.StringType()),
-    T.StructField("at", T.TimestampType()),
+    T.StructField("at_ms", T.LongType()),   # epoch milliseconds, zone-free
 ])
 
 
@@ -70,7 +70,7 @@ class VersionedTable:
         """Append reference moves (ref, version, base, op) in one write, so
         moves that belong together become visible together."""
         seq = (log[-1]["seq"] + 1) if log else 0
-        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        now = int(_dt.datetime.now(_dt.timezone.utc).timestamp() * 1000)
         rows = [(seq + i, ref, version, base, op, now)
                 for i, (ref, version, base, op) in enumerate(moves)]
         (self.spark.createDataFrame(rows, _LOG_SCHEMA).coalesce(1)
@@ -152,7 +152,10 @@ class VersionedTable:
              as_of: _dt.datetime | None = None) -> DataFrame:
         """Contents of a reference, a version, or ``ref`` as of a time."""
         if version is None and as_of is not None:
-            hist = [e for e in self.log() if e["ref"] == ref and e["at"] <= as_of]
+            # A naive time is taken as UTC.
+            aware = as_of if as_of.tzinfo else as_of.replace(tzinfo=_dt.timezone.utc)
+            cutoff = int(aware.timestamp() * 1000)
+            hist = [e for e in self.log() if e["ref"] == ref and e["at_ms"] <= cutoff]
             if not hist or hist[-1]["version"] is None:
                 raise KeyError(f"{ref} did not exist at {as_of}")
             version = hist[-1]["version"]

@@ -42,3 +42,17 @@ def test_hot_parent_is_split_into_bounded_pages(spark):
     per_page = back.groupBy("k", "page").count().collect()
     assert len([r for r in per_page if r.k == "hot"]) > 1
     assert {r.page for r in per_page if r.k == "hot"} <= set(range(10))
+
+
+def test_raw_payload_files_round_trip(spark, folder):
+    from tierline.sinks.files import land_payloads
+    from tierline.sources.files import read_payloads
+
+    path = folder()
+    df = spark.createDataFrame([("2023", '[{"name": "a", "id": "1"}]'), ("2024", "[]")],
+                               "season_id string, body string")
+    land_payloads(df, path, ["season_id"])
+    back = read_payloads(spark, path, ["season_id"])
+    assert dict(back.dtypes)["season_id"] == "string"
+    rows = explode_payload(back, "body", ELEM, keep=["season_id"]).collect()
+    assert [(r.season_id, r.name, r.id) for r in rows] == [("2023", "a", "1")]

@@ -10,8 +10,8 @@ from tierline.operators.lookup import explode_payload, response_payloads
 from tierline.plans.lake import read_bronze, read_bronze_raw
 from tierline.plans.models import ModelGraph, passthrough
 from tierline.schemas import ENTITY_SCHEMAS, EVENTS, SESSIONS
-from tierline.sinks.files import export_csv_noheader
-from tierline.sources.files import (partition_value, read_csv_positional,
+from tierline.sinks.files import export_csv_noheader, land_payloads
+from tierline.sources.files import (partition_value, read_csv_positional, read_payloads,
                                     register_external, scan_table)
 from tierline.sources.registry import SourceRegistry
 
@@ -25,11 +25,14 @@ def scan_seasons(spark, sf_dir):
 
 @query("payload_explode", "SELECT id, name, sname, season_id FROM f_events")
 def payload_explode(spark, sf_dir):
+    """Event payloads (one JSON array per season request) land as raw files
+    partitioned by season; the landed files are read back and exploded."""
     e = env(spark, sf_dir)
-    fields = EVENTS.names
     payloads = response_payloads(e.src.seasons.select(F.col("id").alias("season_id")),
-                                 e.src.events, ["season_id"], fields)
-    rows = explode_payload(payloads, "body", EVENTS)
+                                 e.src.events, ["season_id"], EVENTS.names)
+    path = e.scratch("raw_events")
+    land_payloads(payloads, path, ["season_id"])
+    rows = explode_payload(read_payloads(spark, path, ["season_id"]), "body", EVENTS)
     return rows.select("id", "name", "sname", "season_id")
 
 

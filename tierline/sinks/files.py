@@ -102,3 +102,12 @@ def append_text(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.text(path)
+
+
+def land_payloads(df: DataFrame, path: str, partition_by: Sequence[str],
+                  body: str = "body", mode: str = "overwrite") -> None:
+    """Raw JSON payloads, one array per line, in one folder per request key
+    (``key=value``); rewritten request keys replace their folder only."""
+    (_spread(df.select(*partition_by, body), partition_by).write.mode(mode)
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_by).text(path))

@@ -85,3 +85,11 @@ def register_external(spark: SparkSession, name: str, path: str,
         # Partitions of a Hive-style layout are registered from the folders.
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     return spark.table(name)
+
+
+def read_payloads(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """Landed raw payloads: the request keys (typed as strings from the
+    folder names) and the payload text ``body``."""
+    schema = T.StructType([T.StructField("value", T.StringType())] +
+                          [T.StructField(k, T.StringType()) for k in keys])
+    return spark.read.schema(schema).text(path).select(*keys, F.col("value").alias("body"))

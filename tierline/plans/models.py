@@ -73,6 +73,25 @@ class ModelGraph:
             self._built[name] = df
         return self._built[name]
 
+    def register_upstream(self, names: list[str]) -> list[str]:
+        """Register a view for every named model whose output already exists
+        at its location (no rebuild); returns the names registered."""
+        done = []
+        for name in names:
+            loc = self.location(name)
+            if loc is None:
+                continue
+            try:
+                df = self.spark.read.parquet(loc)
+            except Exception as exc:  # noqa: BLE001  (not materialised yet)
+                if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
+                    continue
+                raise
+            df.createOrReplaceTempView(name)
+            self._built[name] = df
+            done.append(name)
+        return done
+
     def build(self) -> dict[str, DataFrame]:
         return {name: self.ref(name) for name in self._models}
 

@@ -70,3 +70,20 @@ def test_stream_batches_upsert_the_queue_and_replays_add_nothing(spark, folder):
     # replaying the last batch (after a failure) must not add rows
     sink(spark.createDataFrame([("n", "3", "s", "e", "c")], SESSIONS), 1)
     assert sorted(r.id for r in q.state().collect()) == ["1", "2", "3"]
+
+
+def test_run_records_metrics_logs_and_findings_per_run(spark, folder):
+    from tierline.plans import runs
+    from tierline.sources.fixture import derive_entities
+
+    src = derive_entities(spark, "/root/testdata/sf0.001")
+    lake = Lake(folder())
+    rep = runs.run(spark, lake, src, runs.INCREMENTAL, n=20, run_id="r-1")
+    assert rep.gold.count() > 0
+    metrics = spark.read.json(lake.logs("metrics")).filter(F.col("run_id") == "r-1")
+    events = {r.event for r in metrics.select("event").distinct().collect()}
+    assert {"GET_SEASONS", "GET_EVENTS", "GET_CATEGORIES", "GET_SESSIONS",
+            "GET_CLASSIFICATION", "UPSERT_QUEUE", "UPDATE_TASKS", "LOAD_SILVER",
+            "CHECK_DQ", "LOAD_GOLD", "SCRAPE"} <= events
+    assert metrics.filter(F.col("event") == "GET_CLASSIFICATION").count() == 20
+    assert spark.read.text(lake.logs("process") + "/run_id=r-1").count() > 0

@@ -16,6 +16,7 @@ from tierline.functions import logs as L
 from tierline.schemas import METRICS
 
 # Metric event names of a run.
+EVENT_GET_SEASONS = "GET_SEASONS"
 EVENT_GET_EVENTS = "GET_EVENTS"
 EVENT_GET_CATEGORIES = "GET_CATEGORIES"
 EVENT_GET_SESSIONS = "GET_SESSIONS"

@@ -18,10 +18,11 @@ from tierline.operators.crawl import crawl, request_log
 from tierline.operators.ordering import top1
 from tierline.operators.quality import null_count_by_file
 from tierline.operators.runlog import (EVENT_GET_CATEGORIES, EVENT_GET_CLASSIFICATION,
-                                       EVENT_GET_EVENTS, EVENT_GET_SESSIONS, failed_keys,
-                                       metric_records, parse_log, run_summary)
+                                       EVENT_GET_EVENTS, EVENT_GET_SEASONS,
+                                       EVENT_GET_SESSIONS, failed_keys, metric_records,
+                                       parse_log, run_summary)
 from tierline.operators.taskqueue import FULL_RUN_TASKS, TaskQueue
-from tierline.plans.lake import Lake, load_silver, read_bronze
+from tierline.plans.lake import Lake, land_entity, load_silver, read_bronze
 from tierline.plans.medallion import build_gold, land_classifications, land_hierarchy
 from tierline.plans.models import ModelGraph, passthrough, renamed
 from tierline.operators.gold import gold_results
@@ -89,8 +90,14 @@ def run(spark: SparkSession, lake: Lake, src: EntitySource, mode: str = FULL,
 
     seasons = src.seasons if mode == FULL else top1(src.seasons, "year", "id")
     c = crawl(seasons, src.events, src.categories, src.sessions)
+    level_events = [(EVENT_GET_SEASONS, "seasons", c.seasons),
+                    (EVENT_GET_EVENTS, "events", c.events),
+                    (EVENT_GET_CATEGORIES, "categories", c.categories),
+                    (EVENT_GET_SESSIONS, "sessions", c.sessions)]
     with clock("GET_TASKS_LIST"):
-        land_hierarchy(lake, c)
+        for event, entity, df in level_events:
+            with clock(event):
+                land_entity(lake, entity, df)
     # Later levels read the landed files, not the source again.
     landed_tasks = read_bronze(spark, lake, "sessions").select(
         "season_id", "event_id", "category_id", F.col("id").alias("session_id"))
@@ -134,16 +141,23 @@ def run(spark: SparkSession, lake: Lake, src: EntitySource, mode: str = FULL,
         rep.gold = build_gold(spark, lake, seasons=touched)
 
     duration = int((time.monotonic() - t_run) * 1000)
-    recs = [metric_records(c.requests["events"], EVENT_GET_EVENTS,
-                           rep.stage_ms["GET_TASKS_LIST"], ["season_id"]),
+    # One record per request of each level, with that level's duration;
+    # the other stages get one record each.
+    one = spark.range(1)
+    recs = [metric_records(one, EVENT_GET_SEASONS, rep.stage_ms[EVENT_GET_SEASONS], []),
+            metric_records(c.requests["events"], EVENT_GET_EVENTS,
+                           rep.stage_ms[EVENT_GET_EVENTS], ["season_id"]),
             metric_records(c.requests["categories"], EVENT_GET_CATEGORIES,
-                           rep.stage_ms["GET_TASKS_LIST"], ["event_id"]),
+                           rep.stage_ms[EVENT_GET_CATEGORIES], ["event_id"]),
             metric_records(c.requests["sessions"], EVENT_GET_SESSIONS,
-                           rep.stage_ms["GET_TASKS_LIST"], ["event_id", "category_id"]),
+                           rep.stage_ms[EVENT_GET_SESSIONS], ["event_id", "category_id"]),
             metric_records(batch, EVENT_GET_CLASSIFICATION,
                            rep.stage_ms["GET_CLASSIFICATION"], ["session_id"])]
+    per_request = {EVENT_GET_SEASONS, EVENT_GET_EVENTS, EVENT_GET_CATEGORIES,
+                   EVENT_GET_SESSIONS, EVENT_GET_CLASSIFICATION}
     stages = spark.createDataFrame(
-        [(k, v) for k, v in rep.stage_ms.items()], "event string, duration_ms long")
+        [(k, v) for k, v in rep.stage_ms.items() if k not in per_request],
+        "event string, duration_ms long")
     metrics = recs[0]
     for r in recs[1:]:
         metrics = metrics.unionByName(r)

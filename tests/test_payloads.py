@@ -56,3 +56,16 @@ def test_raw_payload_files_round_trip(spark, folder):
     assert dict(back.dtypes)["season_id"] == "string"
     rows = explode_payload(back, "body", ELEM, keep=["season_id"]).collect()
     assert [(r.season_id, r.name, r.id) for r in rows] == [("2023", "a", "1")]
+
+
+def test_hot_parents_over_the_broadcast_bound_still_page(spark, monkeypatch):
+    import tierline.operators.lookup as lookup
+
+    monkeypatch.setattr(lookup, "HOT_PARENTS_BROADCAST_ROWS", 0)
+    req = spark.createDataFrame([("hot",), ("cold",)], "k string")
+    kids = spark.range(100).select(F.when(F.col("id") < 95, "hot").otherwise("cold").alias("k"),
+                                   F.col("id").cast("string").alias("id"))
+    pages = lookup.response_payloads(req, kids, ["k"], ["id"], page_rows=10)
+    back = explode_payload(pages, "body", struct(("id", S)), keep=["k", "page"])
+    assert back.count() == 100
+    assert back.filter(F.col("k") == "hot").select("page").distinct().count() > 1

@@ -12,7 +12,7 @@ from tierline.operators.crawl import (category_requests, event_requests, shape,
                                       task_keys)
 from tierline.operators.lookup import explode_payload, lookup_many, response_payloads
 from tierline.operators.ordering import rank_desc, top1
-from tierline.plans.lake import read_bronze_raw
+from tierline.plans.lake import read_bronze_raw, read_silver
 from tierline.plans.models import ModelGraph, passthrough, renamed
 from tierline.schemas import (CLASSIFICATIONS, CLASSIFICATIONS_BRONZE, SESSIONS,
                               S, struct)
@@ -101,10 +101,12 @@ bodies AS (
 SELECT s.id AS session_id, CAST(0 AS INTEGER) AS page, coalesce(b.body, '[]') AS body
 FROM f_sessions s LEFT JOIN bodies b ON b.session_id = s.id""")
 def response_json(spark, sf_dir):
+    """Classification payloads per session, served from the stored (silver)
+    tables as a lookup service would; sessions without rows get ``[]``."""
     e = env(spark, sf_dir)
-    req = task_keys(e.src.sessions).select("session_id")
-    return response_payloads(req, e.src.classifications, ["session_id"],
-                             CLASSIFICATIONS.names)
+    req = read_silver(spark, e.lake, "sessions").select(F.col("id").alias("session_id"))
+    cls = read_silver(spark, e.lake, "classifications")
+    return response_payloads(req, cls, ["session_id"], CLASSIFICATIONS.names)
 
 
 @query("rows_to_ndjson", """

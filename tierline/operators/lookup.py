@@ -21,8 +21,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.functions.payloads import JSON_OPTS, parse_array
+from tierline.operators.joins import bounded_broadcast
 
 PAGE_ROWS = 10_000
+# Hot parents (more than PAGE_ROWS children) above this many are joined by
+# shuffle instead of broadcast.
+HOT_PARENTS_BROADCAST_ROWS = 1_000_000
 
 
 def lookup_by(children: DataFrame, **params) -> DataFrame:
@@ -47,16 +51,27 @@ def response_payloads(requests: DataFrame, children: DataFrame,
 
     Elements are the ``fields`` of each child, sorted, null fields kept.
     Keys without children get one row with body ``[]`` and page 0.
+
+    Only parents with more than ``page_rows`` children get more than one
+    page.  Those "hot" parents (at most n / page_rows of them) are found
+    from per-parent counts and joined back by broadcast behind a size check,
+    so the children are not shuffled for it, and the aggregate's exchange
+    on (parent, page) spreads a hot parent's pages over tasks.  If the hot
+    set is too large to broadcast, it is joined by shuffle and an explicit
+    exchange on (parent, page) keeps the pages spread.
     """
     match = list(match)
     counts = children.groupBy(*match).agg(F.count(F.lit(1)).alias("_n"))
-    pages = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(page_rows)))
-    rows = children.join(counts, match, "inner").select(
-        *match, F.struct(*[F.col(f) for f in fields]).alias("_row"),
-        F.pmod(F.xxhash64(*[F.col(f) for f in fields]), pages).cast("int").alias("page"))
-    # Without this exchange the aggregate would reuse the join's partitioning
-    # by parent, and every page of a hot parent would run in one task.
-    bodies = (rows.repartition(*match, "page").groupBy(*match, "page")
+    hot = counts.filter(F.col("_n") > page_rows).select(
+        *match, F.ceil(F.col("_n") / F.lit(page_rows)).alias("_pages"))
+    hot_b = bounded_broadcast(hot, HOT_PARENTS_BROADCAST_ROWS)
+    page = F.when(F.col("_pages").isNull(), F.lit(0)).otherwise(
+        F.pmod(F.xxhash64(*[F.col(f) for f in fields]), F.col("_pages"))).cast("int")
+    rows = children.join(hot_b, match, "left").select(
+        *match, F.struct(*[F.col(f) for f in fields]).alias("_row"), page.alias("page"))
+    if hot_b is hot:   # not broadcast: keep the pages of a hot parent apart
+        rows = rows.repartition(*match, "page")
+    bodies = (rows.groupBy(*match, "page")
                   .agg(F.to_json(F.array_sort(F.collect_list("_row")), JSON_OPTS)
                        .alias("body")))
     req = requests.select(*match)

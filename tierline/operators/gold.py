@@ -21,8 +21,12 @@ from tierline.schemas import GOLD_NAMES
 def gold_results(classifications: DataFrame, seasons: DataFrame,
                  events: DataFrame, categories: DataFrame,
                  sessions: DataFrame, style: str = "bash",
-                 check_keys: bool = True) -> DataFrame:
-    """Results table with the column names of ``style`` (bash, dbt, table)."""
+                 check_keys: bool = True, keep_season_id: bool = False) -> DataFrame:
+    """Results table with the column names of ``style`` (bash, dbt, table).
+
+    ``keep_season_id`` adds the fact's season id as a last column, for
+    storing gold partitioned by season (it is never NULL, unlike ``year``).
+    """
     names = GOLD_NAMES[style]
     fact = classifications.select(
         "season_id", "event_id", "category_id", "session_id",
@@ -56,4 +60,5 @@ def gold_results(classifications: DataFrame, seasons: DataFrame,
                "left")
     src = ["_year", "_event_name", "_event_short", "_category", "_session",
            "_rider_name", "_rider_number", "_position", "_points"]
-    return g.select(*[F.col(s).alias(n) for s, n in zip(src, names)])
+    cols = [F.col(s).alias(n) for s, n in zip(src, names)]
+    return g.select(*cols, *([F.col("season_id")] if keep_season_id else []))

@@ -21,7 +21,9 @@ ENTITIES = ["seasons", "events", "categories", "sessions", "classifications"]
 # default classifications are partitioned by season and event only; the
 # reference layout stays available with ``layout="reference"``.
 SCALE_LAYOUT = {
-    "seasons": (),
+    # one folder per season, so a run that crawls some seasons replaces only
+    # those (an unpartitioned file would lose the seasons it did not crawl)
+    "seasons": ("id",),
     "events": ("season_id",),
     "categories": ("season_id", "event_id"),
     "sessions": ("season_id", "event_id"),

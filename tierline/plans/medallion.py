@@ -40,7 +40,8 @@ def land_classifications(lake: Lake, batch: DataFrame, classifications_src: Data
 
 
 def silver_gold(spark: SparkSession, lake: Lake, style: str = "bash",
-                seasons: DataFrame | None = None) -> DataFrame:
+                seasons: DataFrame | None = None,
+                keep_season_id: bool = False) -> DataFrame:
     """Gold over the silver datasets of a lake (lazy); with ``seasons``
     only the fact rows of those seasons (partition-pruned)."""
     s = {e: read_silver(spark, lake, e) for e in
@@ -48,20 +49,24 @@ def silver_gold(spark: SparkSession, lake: Lake, style: str = "bash",
     fact = s["classifications"]
     if seasons is not None:
         fact = fact.join(seasons.select("season_id"), "season_id", "left_semi")
-    return gold_results(fact, s["seasons"], s["events"],
-                        s["categories"], s["sessions"], style=style)
+    return gold_results(fact, s["seasons"], s["events"], s["categories"], s["sessions"],
+                        style=style, keep_season_id=keep_season_id)
 
 
 def build_gold(spark: SparkSession, lake: Lake, style: str = "bash",
                name: str = "results", seasons: DataFrame | None = None) -> DataFrame:
-    """Silver -> gold parquet partitioned by year, read back.
+    """Silver -> gold parquet, read back (gold columns only).
 
-    With ``seasons`` only the years of those seasons are rebuilt and
-    replaced; other years stay as they are.
+    Gold is stored partitioned by the season id of its fact rows (a hidden
+    partition column; ``year`` can be NULL when a dimension row is missing,
+    the season id cannot).  With ``seasons`` only those seasons' folders are
+    rebuilt and replaced; other seasons stay as they are.
     """
-    g = silver_gold(spark, lake, style, seasons)
-    write_parquet(g, lake.gold(name), partition_by=["year"], dynamic=seasons is not None)
-    return spark.read.schema(g.schema).parquet(lake.gold(name)).select(*g.columns)
+    g = silver_gold(spark, lake, style, seasons, keep_season_id=True)
+    write_parquet(g, lake.gold(name), partition_by=["season_id"],
+                  dynamic=seasons is not None)
+    cols = [c for c in g.columns if c != "season_id"]
+    return spark.read.schema(g.schema).parquet(lake.gold(name)).select(*cols)
 
 
 def transform(spark: SparkSession, lake: Lake, c: Crawl,

@@ -128,7 +128,9 @@ def run(spark: SparkSession, lake: Lake, src: EntitySource, mode: str = FULL,
         queue.apply_run(this_run.select("session_id"), failed_keys(parsed),
                         seasons=touched_ids)
 
-    touched = seasons.select(F.col("id").alias("season_id"))
+    # Silver and gold are refreshed for the same seasons: a batch may hold
+    # open tasks of seasons this run did not crawl.
+    touched = spark.createDataFrame([(s,) for s in touched_ids], "season_id string")
     with clock("LOAD_SILVER"):
         load_silver(spark, lake, seasons=touched)
     with clock("CHECK_DQ"):

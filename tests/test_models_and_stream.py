@@ -109,3 +109,5 @@ def test_incremental_batch_from_an_older_season_reaches_gold(spark, folder):
     landed = runs.read_bronze_run(spark, lake, "inc").count() + \
         runs.read_bronze_run(spark, lake, "full").count()
     assert rep.gold.count() == landed
+    # the incremental run crawled one season; every other season keeps its year
+    assert rep.gold.filter(F.col("year").isNull()).count() == 0

@@ -32,6 +32,9 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--lake")
     ap.add_argument("--tasks", type=int, default=100,
                     help="tasks per incremental run")
+    ap.add_argument("--layout", choices=["scale", "reference"], default="scale",
+                    help="bronze layout: by (season, event), or one folder level "
+                         "per parent key down to the session")
     ap.add_argument("--master")
     args = ap.parse_args(argv)
 
@@ -41,17 +44,18 @@ def main(argv: list[str] | None = None) -> None:
     t0 = time.monotonic()
     out: dict = {"mode": args.mode, "lake": lake.root}
     if args.mode == "transform":
-        gold = runs.transform(spark, lake, src)
+        gold = runs.transform(spark, lake, src, layout=args.layout)
     elif args.mode in ("full", "incremental"):
         rep = runs.run(spark, lake, src, runs.FULL if args.mode == "full" else runs.INCREMENTAL,
-                       n=args.tasks)
+                       n=args.tasks, layout=args.layout)
         gold = rep.gold
         out.update(run_id=rep.run_id, stage_ms=rep.stage_ms, dq_alert=rep.dq_alert)
     else:
         # models and wap start from a landed bronze layer
         c = crawl(src.seasons, src.events, src.categories, src.sessions)
-        land_hierarchy(lake, c)
-        land_classifications(lake, c.tasks, src.classifications, broadcast_batch=False)
+        land_hierarchy(lake, c, args.layout)
+        land_classifications(lake, c.tasks, src.classifications, args.layout,
+                             broadcast_batch=False)
         gold = (runs.models(spark, lake, lake.root + "/models") if args.mode == "models"
                 else runs.wap_run(spark, lake))
     out["gold_rows"] = gold.count()

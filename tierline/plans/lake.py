@@ -32,7 +32,9 @@ SCALE_LAYOUT = {
 
 
 def partition_layout(entity: str, layout: str = "scale") -> tuple[str, ...]:
-    if layout == "reference":
+    # Seasons land per season id in every layout: a single seasons file
+    # rewritten by an incremental run would keep only the crawled season.
+    if layout == "reference" and entity != "seasons":
         return LEVELS[entity].partition_by
     return SCALE_LAYOUT[entity]
 

@@ -64,17 +64,20 @@ class _Clock:
 
 
 def transform(spark: SparkSession, lake: Lake, src: EntitySource,
-              style: str = "bash") -> DataFrame:
-    """Bronze -> silver -> gold for every entity (no queue)."""
+              style: str = "bash", layout: str = "scale") -> DataFrame:
+    """Bronze -> silver -> gold for every entity (no queue).  ``layout``
+    "reference" lands bronze with one folder level per parent key."""
     c = crawl(src.seasons, src.events, src.categories, src.sessions)
-    land_hierarchy(lake, c)
-    land_classifications(lake, c.tasks, src.classifications, broadcast_batch=False)
+    land_hierarchy(lake, c, layout)
+    land_classifications(lake, c.tasks, src.classifications, layout,
+                         broadcast_batch=False)
     load_silver(spark, lake)
     return build_gold(spark, lake, style)
 
 
 def run(spark: SparkSession, lake: Lake, src: EntitySource, mode: str = FULL,
-        n: int | None = None, run_id: str | None = None) -> RunReport:
+        n: int | None = None, run_id: str | None = None,
+        layout: str = "scale") -> RunReport:
     """One run with the task queue.
 
     FULL: every season, up to 65,536 tasks.  INCREMENTAL: the latest season,
@@ -97,7 +100,7 @@ def run(spark: SparkSession, lake: Lake, src: EntitySource, mode: str = FULL,
     with clock("GET_TASKS_LIST"):
         for event, entity, df in level_events:
             with clock(event):
-                land_entity(lake, entity, df)
+                land_entity(lake, entity, df, layout)
     # Later levels read the landed files, not the source again.
     landed_tasks = read_bronze(spark, lake, "sessions").select(
         "season_id", "event_id", "category_id", F.col("id").alias("session_id"))
@@ -112,7 +115,7 @@ def run(spark: SparkSession, lake: Lake, src: EntitySource, mode: str = FULL,
              .write.mode("overwrite").parquet(batch_path)
         batch = spark.read.parquet(batch_path)
     with clock("GET_CLASSIFICATION"):
-        land_classifications(lake, batch, src.classifications, run_id=run_id)
+        land_classifications(lake, batch, src.classifications, layout, run_id=run_id)
 
     this_run = read_bronze_run(spark, lake, run_id)
     log = request_log(seasons, c, src.classifications, batch=batch,

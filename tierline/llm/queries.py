@@ -10,6 +10,11 @@ def op5_toxicity(spark, sf_dir):
     return op5_toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_jaccard_join(spark, sf_dir):
+    from tierline.llm.jaccard import op4_jaccard_join
+    return op4_jaccard_join(spark, table(spark, sf_dir, "documents"))
+
+
 def queries():
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 

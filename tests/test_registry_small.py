@@ -12,6 +12,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tierline import checks
 
 SF = "/root/testdata/sf0.001"
 _TYPES = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "boolean": "BOOLEAN",
@@ -40,7 +41,7 @@ def con():
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
-@pytest.mark.parametrize("key", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(checks.oracle_sql()))
 def test_query_matches_oracle(spark, con, key):
     df = E.queries()[key](spark, SF)
     rows = [tuple(r) for r in df.collect()]
@@ -57,7 +58,7 @@ def test_query_matches_oracle(spark, con, key):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(checks.queries()) == set(checks.oracle_sql())
 
 
 def test_entry_smoke(spark):

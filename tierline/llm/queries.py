@@ -15,9 +15,15 @@ def op4_jaccard_join(spark, sf_dir):
     return op4_jaccard_join(spark, table(spark, sf_dir, "documents"))
 
 
+def op8_decontamination(spark, sf_dir):
+    from tierline.llm.decontam import op8_decontamination
+    return op8_decontamination(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries():
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
 
 def oracle_sql():
-    return {}
+    from tierline.llm.decontam import OP8_SQL
+    return {"op8_decontamination": OP8_SQL}

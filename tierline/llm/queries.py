@@ -20,10 +20,16 @@ def op8_decontamination(spark, sf_dir):
     return op8_decontamination(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_mixing(spark, sf_dir):
+    from tierline.llm.mixing import op10_mixing
+    return op10_mixing(spark, table(spark, sf_dir, "documents"))
+
+
 def queries():
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
 
 def oracle_sql():
     from tierline.llm.decontam import OP8_SQL
-    return {"op8_decontamination": OP8_SQL}
+    from tierline.llm.mixing import OP10_SQL
+    return {"op8_decontamination": OP8_SQL, "op10_mixing": OP10_SQL}

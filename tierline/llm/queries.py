@@ -25,6 +25,11 @@ def op10_mixing(spark, sf_dir):
     return op10_mixing(spark, table(spark, sf_dir, "documents"))
 
 
+def op3_token_output(spark, sf_dir):
+    from tierline.llm.tokens import op3_token_output
+    return op3_token_output(spark, table(spark, sf_dir, "documents"))
+
+
 def queries():
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 

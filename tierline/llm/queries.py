@@ -30,6 +30,11 @@ def op3_token_output(spark, sf_dir):
     return op3_token_output(spark, table(spark, sf_dir, "documents"))
 
 
+def op2_secret_scan(spark, sf_dir):
+    from tierline.llm.secrets import op2_secret_scan
+    return op2_secret_scan(spark, table(spark, sf_dir, "documents"))
+
+
 def queries():
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 

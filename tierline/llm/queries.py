@@ -35,6 +35,11 @@ def op2_secret_scan(spark, sf_dir):
     return op2_secret_scan(spark, table(spark, sf_dir, "documents"))
 
 
+def op9_warc(spark, sf_dir):
+    from tierline.llm.warc import op9_warc
+    return op9_warc(spark, table(spark, sf_dir, "pages"))
+
+
 def queries():
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
@@ -42,4 +47,5 @@ def queries():
 def oracle_sql():
     from tierline.llm.decontam import OP8_SQL
     from tierline.llm.mixing import OP10_SQL
-    return {"op8_decontamination": OP8_SQL, "op10_mixing": OP10_SQL}
+    from tierline.llm.warc import OP9_SQL
+    return {"op8_decontamination": OP8_SQL, "op9_warc": OP9_SQL, "op10_mixing": OP10_SQL}

@@ -40,6 +40,11 @@ def op9_warc(spark, sf_dir):
     return op9_warc(spark, table(spark, sf_dir, "pages"))
 
 
+def op7_html_main(spark, sf_dir):
+    from tierline.llm.html_main import op7_html_main
+    return op7_html_main(spark, table(spark, sf_dir, "pages"))
+
+
 def queries():
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 

@@ -45,6 +45,11 @@ def op7_html_main(spark, sf_dir):
     return op7_html_main(spark, table(spark, sf_dir, "pages"))
 
 
+def op1_suffix_dedup(spark, sf_dir):
+    from tierline.llm.suffix_dedup import op1_suffix_dedup
+    return op1_suffix_dedup(spark, table(spark, sf_dir, "documents"))
+
+
 def queries():
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 

@@ -50,6 +50,11 @@ def op1_suffix_dedup(spark, sf_dir):
     return op1_suffix_dedup(spark, table(spark, sf_dir, "documents"))
 
 
+def op6_embedding_dedup(spark, sf_dir):
+    from tierline.llm.embed_dedup import op6_embedding_dedup
+    return op6_embedding_dedup(spark, table(spark, sf_dir, "embeddings"))
+
+
 def queries():
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 

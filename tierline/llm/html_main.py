@@ -5,8 +5,8 @@ its chain of enclosing elements.  A linear classifier over element kinds,
 class and id words, link density and length gives every block a score; its
 positive part is the capacity from the content terminal, its negative part the
 capacity to the boilerplate terminal.  Neighbours in page order, and blocks
-that follow each other under one parent, are tied by smoothness edges that
-weaken with their distance in the document tree.  The minimum cut (Dinic's
+that follow each other under one parent, are tied by smoothness edges that weaken
+with their distance in the document tree and with a contrast of their elements.  The minimum cut (Dinic's
 maximum flow) separates content from boilerplate.
 """
 
@@ -266,12 +266,18 @@ def main_text(page: str | None) -> str:
     has_region = any(b.frame.region >= _W["region"] for b in blocks)
     scores = [score(b, has_region) for b in blocks]
     edges, last = [], {}
+
+    def tie(i: int, j: int, weight: float):
+        # Weaker across a contrast: an advert does not pull its neighbours down.
+        contrast = abs(blocks[i].frame.penalty - blocks[j].frame.penalty)
+        edges.append((i, j, weight / (1 + contrast)))
+
     for i, b in enumerate(blocks):
         if i:
-            edges.append((i - 1, i, _NEXT / (1 + _apart(blocks[i - 1].frame, b.frame) / 2)))
+            tie(i - 1, i, _NEXT / (1 + _apart(blocks[i - 1].frame, b.frame) / 2))
         parent = id(b.frame.up)
         if parent in last:
-            edges.append((last[parent], i, _SIBLING / (1 + (i - last[parent] - 1))))
+            tie(last[parent], i, _SIBLING / (i - last[parent]))
         last[parent] = i
     keep = min_cut(scores, edges)
     return "\n\n".join(b.text for b, k in zip(blocks, keep) if k)

@@ -88,7 +88,7 @@ def _count_ids(docs: DataFrame, ranks: bytes) -> DataFrame:
     def run(batches):
         enc, n = Encoder(ranks), 0
         for b in batches:
-            n += sum(len(enc.ids(t.as_py())) for t in b.column("text"))
+            n += sum(len(enc.encode(t)) + 1 for t in b.column("text").to_pylist() if t)
         yield pa.RecordBatch.from_arrays(
             [pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([n], pa.int64())],
             names=["part", "n"])
@@ -136,8 +136,8 @@ def _sequences(docs: DataFrame, ranks: bytes, first: list[int], total: int, leng
                 names=["slot", "n", "body", "doc_ids", "lengths"])
 
         for b in batches:
-            for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text")):
-                got = enc.ids(text.as_py())
+            for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
+                got = enc.ids(text)
                 if len(got):
                     held.append(got), owners.append(doc), sizes.append(len(got))
                     n += len(got)

@@ -7,8 +7,8 @@ Documents are sets of word shingles; two sets link when
    ``a * (100 - percent) / percent`` shingles, so when the shingle space is
    hashed into one part more than that, some part is equal in both sets.
    Every document gives one key per part (sizes fall into classes that fix the
-   number of parts); keys that only copies of one set share are dropped, and
-   the rest connect sets into candidate groups.  This loses no link.
+   number of parts), and sets that share a key are connected into candidate
+   groups.  This loses no link.
 2. *Trees.*  Each candidate group is joined by a signature tree: leaves hold a
    few sets, every node the OR of their token bitmaps and their size range.
    A dual traversal drops node pairs whose size ranges, or whose largest
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard as zs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,6 +39,8 @@ PERCENT = 90
 WORDS = 3
 #: Shingles (8 bytes each) that one block of a candidate group may hold.
 BLOCK_TOKENS = 1 << 18
+#: Text whose routing keys a task combines before it sends them.
+RUN_BYTES = 8 << 20
 _CLASS_RATIO = 1.5
 _LEAF = 16
 
@@ -100,16 +103,10 @@ def _set_hash(doc, tok, n_docs):
     return out.view(np.int64), count
 
 
-def _list_column(doc, values, n_docs, kind):
-    off = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=n_docs))]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(values, kind))
-
-
-def signatures(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, set_id, keys) per row; empty sets have set_id 0."""
-    schema = T.StructType([
-        docs.schema["doc_id"], T.StructField("n_shingles", T.LongType()),
-        T.StructField("set_id", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))])
+def set_ids(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """(doc_id, n_shingles, set_id) per row; empty sets have set_id 0."""
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("n_shingles", T.LongType()),
+                           T.StructField("set_id", T.LongType())])
 
     def run(batches):
         for b in batches:
@@ -119,14 +116,115 @@ def signatures(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
                 doc, w = word_hashes(data[off[i]:off[j]], off[i:j + 1] - off[i], "space")
                 d, t = shingles(doc, w, n, words)
                 sid, count = _set_hash(d, t, n)
-                kd, key = _parts(d, t, n, percent)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").slice(i, n), pa.array(count.astype(np.int64)), pa.array(sid),
-                     _list_column(kd, key.view(np.int64), n, pa.int64())],
-                    names=["doc_id", "n_shingles", "set_id", "keys"])
+                    [b.column("doc_id").slice(i, n), pa.array(count.astype(np.int64)), pa.array(sid)],
+                    names=["doc_id", "n_shingles", "set_id"])
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
+def _by_key(keys: np.ndarray, sets: np.ndarray):
+    """Distinct keys with their lowest set, and the (set, lowest) pairs of
+    sets that share a key."""
+    order = np.lexsort((sets, keys))
+    keys, sets = keys[order], sets[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    low = sets[np.flatnonzero(new)][np.cumsum(new) - 1] if len(keys) else sets
+    other = sets != low
+    pairs = np.unique(np.c_[sets[other], low[other]], axis=0)
+    return keys[new], sets[new], pairs
+
+
+def _pack(keys: np.ndarray, sets: np.ndarray) -> bytes:
+    """Sorted keys and their sets: differences by byte plane, set numbers
+    into a list of the sets met."""
+    ids, at = np.unique(sets, return_inverse=True)
+    planes = np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+    kind = np.uint16 if len(ids) <= 1 << 16 else np.uint32
+    head = np.array([len(keys), len(ids)], np.int64).tobytes()
+    return zs.ZstdCompressor(level=1).compress(head + planes + ids.tobytes() + at.astype(kind).tobytes())
+
+
+def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    raw = zs.ZstdDecompressor().decompress(blob)
+    n, m = np.frombuffer(raw, np.int64, 2)
+    planes = np.frombuffer(raw, np.uint8, 8 * n, 16).reshape(8, n)
+    keys = np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+    ids = np.frombuffer(raw, np.int64, m, 16 + 8 * n)
+    kind = np.uint16 if m <= 1 << 16 else np.uint32
+    return keys, ids[np.frombuffer(raw, kind, n, 16 + 8 * n + 8 * m)]
+
+
+def shared_keys(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """(a, b) pairs of set_ids that connect all sets sharing a routing key.
+
+    A task sends each key once, with the lowest set that has it, to the range
+    the key falls in, and the pairs it saw itself; so a key of very many
+    documents costs a range one entry per run of ``RUN_BYTES`` of text.
+    """
+    ranges = width(docs.sparkSession)
+    step = np.uint64((1 << 64) // ranges + 1)
+
+    def send(held):
+        keys, sets, pairs = _by_key(np.concatenate([k for k, _ in held]),
+                                    np.concatenate([s for _, s in held]))
+        cut = np.searchsorted(keys // step, np.arange(ranges + 1))
+        full = [r for r in range(ranges) if cut[r + 1] > cut[r]]
+        rows = [(r, _pack(keys[cut[r]:cut[r + 1]], sets[cut[r]:cut[r + 1]])) for r in full]
+        spread = np.arange(len(pairs)) % ranges
+        own = [(r, pairs[spread == r].tobytes()) for r in range(min(ranges, len(pairs)))]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r for r, _ in rows + own], pa.int32()),
+             pa.array([x for _, x in rows] + [None] * len(own), pa.binary()),
+             pa.array([None] * len(rows) + [x for _, x in own], pa.binary())],
+            names=["range", "keys", "pairs"])
+
+    def collect(batches):
+        held, size = [], 0
+        for b in batches:
+            data, off = column_bytes(b.column("text"))
+            for i, j in pieces(off):
+                n = j - i
+                doc, w = word_hashes(data[off[i]:off[j]], off[i:j + 1] - off[i], "space")
+                d, t = shingles(doc, w, n, words)
+                sid, _ = _set_hash(d, t, n)
+                kd, key = _parts(d, t, n, percent)
+                held.append((key, sid[kd]))
+                size += int(off[j] - off[i])
+                if size >= RUN_BYTES:
+                    yield send(held)
+                    held, size = [], 0
+        if held:
+            yield send(held)
+
+    def meet(batches):
+        held, at = [], None
+
+        def joined():
+            _, _, pairs = _by_key(np.concatenate([k for k, _ in held]), np.concatenate([s for _, s in held]))
+            return batch(pairs)
+
+        def batch(pairs):
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+        for b in batches:
+            for r, keys, pairs in zip(*(b.column(c).to_pylist() for c in ("range", "keys", "pairs"))):
+                if pairs is not None:
+                    yield batch(np.frombuffer(pairs, np.int64).reshape(-1, 2))
+                    continue
+                if r != at and held:
+                    yield joined()
+                    held = []
+                at = r
+                held.append(_unpack(keys))
+        if held:
+            yield joined()
+
+    sent = docs.where("doc_id IS NOT NULL").select("text") \
+        .mapInArrow(collect, "range int, keys binary, pairs binary")
+    return sent.repartition(ranges, "range").sortWithinPartitions("range") \
+        .mapInArrow(meet, "a long, b long").distinct()
+
+
 class _Forest:
     def __init__(self, n: int):
         self.up = list(range(n))
@@ -304,13 +402,7 @@ def _candidate_sets(docs: DataFrame, members: DataFrame, words: int) -> DataFram
 
 def link_sets(docs: DataFrame, sig: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(id, root): the connected linked sets, by set_id."""
-    keyed = sig.where("set_id <> 0 AND doc_id IS NOT NULL") \
-        .select("set_id", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high")) \
-        .where("low <> high").select("key", "low")
-    near = keyed.join(shared, "key").where("set_id <> low") \
-        .select(F.col("set_id").alias("a"), F.col("low").alias("b")).distinct()
-    group = components(near, "jaccard_groups").withColumnsRenamed({"id": "set_id", "root": "grp"})
+    group = components(shared_keys(docs, words, percent), "jaccard_groups").withColumnsRenamed({"id": "set_id", "root": "grp"})
     members = sig.where("doc_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("doc_id")) \
         .join(group, "set_id")
     sets = saved(_candidate_sets(docs, members, words).join(group, "set_id"), "jaccard_sets")
@@ -373,7 +465,7 @@ def op4_jaccard_join(spark: SparkSession, docs: DataFrame, words: int = WORDS,
     component of their own text.  A null doc_id takes no part in links and has
     a null component_id.  Other columns of ``docs`` are never read.
     """
-    sig = saved(signatures(docs, words, percent), "jaccard_signatures")
+    sig = saved(set_ids(docs, words), "jaccard_sets_of")
     roots = link_sets(docs, sig, words, percent)
     home = sig.where("set_id <> 0 AND doc_id IS NOT NULL").groupBy("set_id") \
         .agg(F.min("doc_id").alias("low")) \

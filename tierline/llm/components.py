@@ -25,8 +25,10 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     before = _mark(e)
     while before[0]:
         both = e.union(e.select("v", "u"))
-        low = both.groupBy("u").agg(F.min("v").alias("m")) \
-            .select("u", F.least("u", "m").alias("m"))
+        # Stored, so that both sides of the join are plain exchanges: a hub's
+        # rows can then be split.
+        low = saved(both.groupBy("u").agg(F.min("v").alias("m"))
+                    .select("u", F.least("u", "m").alias("m")), name)
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))

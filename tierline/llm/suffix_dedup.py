@@ -306,8 +306,10 @@ def repeated_runs(docs: DataFrame, extra: DataFrame, length: int = LENGTH, gram:
     """
     found = saved(_anchor_rows(docs, length, gram), "suffix_anchors")
     place = F.xxhash64("copy", "at")
-    twice = found.groupBy("gram").agg(F.min(place).alias("a"), F.max(place).alias("b")) \
-        .where("a <> b").select("gram")
+    # Stored, so that both sides of the join are plain exchanges and the
+    # anchors of a gram that very many documents share can be split.
+    twice = saved(found.groupBy("gram").agg(F.min(place).alias("a"), F.max(place).alias("b"))
+                  .where("a <> b").select("gram"), "suffix_grams")
     live = found.join(twice, "gram", "left_semi").join(extra, "row", "left_anti")
     places = live.groupBy("row").agg(F.collect_list(F.struct("at", "most", "least")).alias("places"))
     context = saved(_contexts(docs, places, length), "suffix_contexts")

@@ -1,5 +1,7 @@
 """Bronze landing and typed re-reads (Q5, Q6, Q7, Q13, Q16)."""
 
+import re
+
 from pyspark.sql import Row
 
 from tierline.plans.lake import Lake, land_entity, read_bronze, read_bronze_raw
@@ -109,7 +111,7 @@ def test_incremental_refresh_touches_only_the_run_seasons(spark, folder):
     # a later run lands more rows for season s2 only
     land_entity(lake, "classifications", _cls(spark, [
         ("s2", "e2", "c1", "x2", "b", 2, 1, 25), ("s2", "e2", "c1", "x2", "c", 3, 2, 20)]))
-    touched = spark.createDataFrame([("s2",)], "season_id string")
+    touched = ["s2"]
     load_silver(spark, lake, seasons=touched)
     gold = build_gold(spark, lake, seasons=touched)
 
@@ -152,3 +154,53 @@ def test_filter_on_a_landed_partition_key_prunes_partitions(spark, folder):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(season_id" in plan and "= s2)" in plan
     assert [r.id for r in df.collect()] == ["2"]
+
+
+def test_season_refresh_reads_only_its_folders(spark, folder):
+    from tierline.plans.lake import load_silver, read_silver
+    from tierline.plans.medallion import silver_gold
+
+    lake = Lake(folder())
+    land_entity(lake, "seasons", spark.createDataFrame([("s1", 2001), ("s2", 2002)], SEASONS))
+    land_entity(lake, "events", spark.createDataFrame(
+        [("A", "AAA", "e1", "s1"), ("B", "BBB", "e2", "s2")], EVENTS))
+    from tierline.schemas import CATEGORIES
+    land_entity(lake, "categories", spark.createDataFrame(
+        [("C", "c1", "s1", "e1"), ("C", "c1", "s2", "e2")], CATEGORIES))
+    land_entity(lake, "sessions", spark.createDataFrame(
+        [("R", "x1", "s1", "e1", "c1"), ("R", "x2", "s2", "e2", "c1")], SESSIONS))
+    land_entity(lake, "classifications", _cls(spark, [
+        ("s1", "e1", "c1", "x1", "a", 1, 1, 25), ("s2", "e2", "c1", "x2", "b", 2, 1, 25)]))
+    load_silver(spark, lake)
+    bronze = read_bronze(spark, lake, "classifications", seasons=["s2"])
+    silver = read_silver(spark, lake, "classifications", seasons=["s2"])
+    gold = silver_gold(spark, lake, seasons=["s2"])
+    for df in (bronze, silver, gold):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        facts = [line for line in plan.splitlines() if "FileScan" in line and "points" in line]
+        assert facts and all(re.search(r"PartitionFilters: \[[^\]]*season_id[^\]]*s2", line) for line in facts)
+        assert "Exchange hashpartitioning(season_id" not in plan and "LeftSemi" not in plan
+    assert [r.rider_name for r in gold.collect()] == ["b"]
+
+
+def test_silver_keeps_the_source_file_and_has_no_exchange(spark, folder):
+    from tierline.plans.lake import load_silver, read_silver
+
+    lake = Lake(folder())
+    land_entity(lake, "classifications", _cls(spark, [("s1", "e1", "c1", "x1", "a", 1, None, 25)]))
+    load_silver(spark, lake, entities=["classifications"])
+    row = read_silver(spark, lake, "classifications", filename=True).first()
+    assert "/bronze/classifications/season_id=s1/event_id=e1/run_id=" in row.filename
+
+
+def test_a_second_layout_is_refused(spark, folder):
+    import pytest
+
+    from tierline.plans.lake import LayoutError
+
+    lake = Lake(folder())
+    events = spark.createDataFrame([("a", "A", "1", "s1")], EVENTS)
+    land_entity(lake, "events", events)
+    land_entity(lake, "events", events)
+    with pytest.raises(LayoutError, match="scale"):
+        land_entity(lake, "events", events, layout="reference")

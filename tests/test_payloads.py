@@ -32,16 +32,24 @@ def test_payloads_keep_nulls_and_give_empty_array_for_childless_keys(spark):
     assert out == {"a": (0, '[{"name":"x","number":null}]'), "b": (0, "[]")}
 
 
-def test_hot_parent_is_split_into_bounded_pages(spark):
+def test_pages_are_cut_in_order_for_every_key(spark):
     req = spark.createDataFrame([("hot",), ("cold",)], "k string")
     kids = spark.range(100).select(F.when(F.col("id") < 95, "hot").otherwise("cold").alias("k"),
-                                   F.col("id").cast("string").alias("id"))
+                                   F.lpad(F.col("id").cast("string"), 3, "0").alias("id"))
     pages = response_payloads(req, kids, ["k"], ["id"], page_rows=10)
-    back = explode_payload(pages, "body", struct(("id", S)), keep=["k", "page"])
-    assert back.count() == 100
-    per_page = back.groupBy("k", "page").count().collect()
-    assert len([r for r in per_page if r.k == "hot"]) > 1
-    assert {r.page for r in per_page if r.k == "hot"} <= set(range(10))
+    back = explode_payload(pages, "body", struct(("id", S)), keep=["k", "page"]).collect()
+    assert sorted((r.k, r.page, r.id) for r in back) == sorted(
+        ("hot", i // 10, f"{i:03d}") if i < 95 else ("cold", 0, f"{i:03d}") for i in range(100))
+
+
+def test_very_many_equal_children_are_spread_over_pages(spark):
+    req = spark.createDataFrame([("a",)], "k string")
+    kids = spark.range(100_000).select(F.lit("a").alias("k"), F.lit("same").alias("id")) \
+        .unionByName(spark.createDataFrame([("a", "zz"), ("a", None)], "k string, id string"))
+    pages = response_payloads(req, kids, ["k"], ["id"], page_rows=1000)
+    sizes = {r.page: r.n for r in explode_payload(pages, "body", struct(("id", S)), keep=["page"])
+             .groupBy("page").agg(F.count("*").alias("n")).collect()}
+    assert sizes == {**{p: 1000 for p in range(100)}, 100: 2}
 
 
 def test_raw_payload_files_round_trip(spark, folder):
@@ -56,16 +64,3 @@ def test_raw_payload_files_round_trip(spark, folder):
     assert dict(back.dtypes)["season_id"] == "string"
     rows = explode_payload(back, "body", ELEM, keep=["season_id"]).collect()
     assert [(r.season_id, r.name, r.id) for r in rows] == [("2023", "a", "1")]
-
-
-def test_hot_parents_over_the_broadcast_bound_still_page(spark, monkeypatch):
-    import tierline.operators.lookup as lookup
-
-    monkeypatch.setattr(lookup, "HOT_PARENTS_BROADCAST_ROWS", 0)
-    req = spark.createDataFrame([("hot",), ("cold",)], "k string")
-    kids = spark.range(100).select(F.when(F.col("id") < 95, "hot").otherwise("cold").alias("k"),
-                                   F.col("id").cast("string").alias("id"))
-    pages = lookup.response_payloads(req, kids, ["k"], ["id"], page_rows=10)
-    back = explode_payload(pages, "body", struct(("id", S)), keep=["k", "page"])
-    assert back.count() == 100
-    assert back.filter(F.col("k") == "hot").select("page").distinct().count() > 1

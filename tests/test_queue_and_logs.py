@@ -5,7 +5,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tierline.functions.logs import requests_per_second
-from tierline.operators.runlog import failed_keys, parse_log
+from tierline.operators.runlog import failed_keys, failed_sets, parse_log
 from tierline.operators.taskqueue import (TaskQueue, apply_run, empty_queue, next_batch,
                                           upsert)
 from tierline.schemas import COMPLETED, ERRORED, PENDING
@@ -58,7 +58,7 @@ def test_failed_keys_from_each_error_kind(spark):
              ("ERROR", f"found no sessions for event: {e}, category: {c}"),
              ("ERROR", f"found no classification data for session: {x}"),
              ("ERROR", f"found no classification data for session: {x}")]
-    f = failed_keys(parse_log(_log(spark, lines)))
+    f = failed_sets(failed_keys(parse_log(_log(spark, lines))))
     assert [r.season_id for r in f["seasons"].collect()] == [s]
     assert [r.event_id for r in f["events"].collect()] == [e]
     assert [(r.event_id, r.category_id) for r in f["pairs"].collect()] == [(e, c)]
@@ -75,19 +75,32 @@ def test_errored_beats_completed_and_completed_is_not_restamped(spark):
     landed = spark.createDataFrame([(both,), (done,), (done_before,)], "session_id string")
     log = _log(spark, [("ERROR", f"found no classification data for session: {both}")])
     out = {r.id: (r.status, r.updated_timestamp is not None)
-           for r in apply_run(q, landed, failed_keys(parse_log(log))).collect()}
+           for r in apply_run(q, landed, failed_sets(failed_keys(parse_log(log)))).collect()}
     assert out[both] == (ERRORED, True)
     assert out[done] == (COMPLETED, True)
     assert out[done_before] == (COMPLETED, False)
     assert out[open_] == (PENDING, False)
 
 
-def test_queue_versions_are_committed(spark, folder):
+def test_the_same_id_under_other_keys_is_one_task(spark):
+    rows = [("s2", "e", "c", "x"), ("s1", "e", "d", "x"), ("s1", "e", "c", "x")]
+    got = upsert(empty_queue(spark), _keys(spark, rows)).collect()
+    assert [(r.season_id, r.event_id, r.category_id) for r in got] == [("s1", "e", "c")]
+
+
+def test_every_open_task_without_a_number(spark):
+    q = upsert(empty_queue(spark), spark.range(70_000).select(
+        F.lit("s").alias("season_id"), F.lit("e").alias("event_id"), F.lit("c").alias("category_id"),
+        F.col("id").cast("string").alias("session_id")))
+    assert next_batch(q).count() == 70_000
+
+
+def test_queue_states_are_published(spark, folder):
     tq = TaskQueue(spark, folder("queue"))
     tq.upsert(_keys(spark, [("s", "e", "c", "a")]))
     tq.upsert(_keys(spark, [("s", "e", "c", "a"), ("s", "e", "c", "b")]))
     assert tq.state().count() == 2
-    assert tq.table.versions() == [0, 1]
+    assert len(tq.table.remove_unused()) == 1 and tq.state().count() == 2
 
 
 def test_rps_is_floored_and_null_under_one_second(spark):
@@ -100,9 +113,9 @@ def test_rps_is_floored_and_null_under_one_second(spark):
 def test_queue_commits_only_touched_seasons(spark, folder):
     tq = TaskQueue(spark, folder("queue"))
     tq.upsert(_keys(spark, [("s1", "e", "c", "a"), ("s2", "e", "c", "b")]))
-    v_first = tq.season_versions()
+    v_first = tq.table.parts()
     tq.upsert(_keys(spark, [("s2", "e", "c", "c")]))
-    v_second = tq.season_versions()
+    v_second = tq.table.parts()
     assert v_second["s1"] == v_first["s1"]          # season s1 was not rewritten
     assert v_second["s2"] != v_first["s2"]
     assert sorted(r.id for r in tq.state().collect()) == ["a", "b", "c"]
@@ -112,6 +125,6 @@ def test_queue_commits_only_touched_seasons(spark, folder):
               "pairs": spark.createDataFrame([], "event_id string, category_id string"),
               "sessions": empty.withColumnRenamed("season_id", "session_id")}
     tq.apply_run(landed, failed, seasons=["s2"])
-    assert tq.season_versions()["s1"] == v_first["s1"]
+    assert tq.table.parts()["s1"] == v_first["s1"]
     got = {r.id: r.status for r in tq.state().collect()}
     assert got == {"a": PENDING, "b": COMPLETED, "c": PENDING}

@@ -37,31 +37,30 @@ def gold_results_table_names(spark, sf_dir):
 
 
 @query("join_left_single", """
-SELECT c.session_id, c.name AS rider_name, s.name AS session
-FROM f_classifications c
-LEFT JOIN (SELECT * FROM f_sessions WHERE name IN ('1-URGENT', '2-HIGH')) s
-  ON s.id = c.session_id""")
+SELECT s.id, s.name AS session, c.n_rows
+FROM f_sessions s
+LEFT JOIN (SELECT session_id, count(*) AS n_rows FROM f_classifications GROUP BY session_id) c
+  ON c.session_id = s.id""")
 def join_left_single(spark, sf_dir):
+    """Every session with its number of rows; sessions without any (they are
+    in the data) keep their row."""
     lake = env(spark, sf_dir).lake
-    fact = read_silver(spark, lake, "classifications").select(
-        "session_id", F.col("name").alias("rider_name"))
-    dim = (read_silver(spark, lake, "sessions")
-           .filter(F.col("name").isin("1-URGENT", "2-HIGH"))
-           .select("id", F.col("name").alias("session")))
-    return left_join(fact, dim, [("session_id", "id")])
+    fact = read_silver(spark, lake, "sessions").select("id", F.col("name").alias("session"))
+    dim = read_silver(spark, lake, "classifications").groupBy("session_id") \
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+    return left_join(fact, dim, [("id", "session_id")])
 
 
 @query("join_left_composite", """
 SELECT c.session_id, c.event_id, c.category_id, k.name AS category
 FROM f_classifications c
-LEFT JOIN (SELECT * FROM f_categories WHERE name <> 'BUILDING') k
-  ON k.id = c.category_id AND k.event_id = c.event_id""")
+LEFT JOIN p_categories k ON k.id = c.category_id AND k.event_id = c.event_id""")
 def join_left_composite(spark, sf_dir):
-    lake = env(spark, sf_dir).lake
-    fact = read_silver(spark, lake, "classifications").select(
+    """Every classification with its category, as far as the crawl with
+    childless parents knows it."""
+    e = env(spark, sf_dir)
+    fact = read_silver(spark, e.lake, "classifications").select(
         "session_id", "event_id", "category_id")
-    dim = (read_silver(spark, lake, "categories").filter(F.col("name") != "BUILDING")
-           .select("id", F.col("event_id").alias("k_event_id"),
-                   F.col("name").alias("category")))
-    return left_join(fact, dim, [("category_id", "id"), ("event_id", "k_event_id")],
-                     broadcast_dim=True)
+    dim = e.gaps.categories.select("id", F.col("event_id").alias("k_event_id"),
+                                   F.col("name").alias("category"))
+    return left_join(fact, dim, [("category_id", "id"), ("event_id", "k_event_id")])

@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 
 from tierline.functions import logs as L
 from tierline.operators.crawl import Crawl, crawl, request_log
+from tierline.operators.runlog import failed_keys, failed_sets, parse_log
 from tierline.plans.lake import Lake, load_silver
-from tierline.plans.medallion import land_classifications, land_hierarchy
+from tierline.plans.medallion import land_classifications, land_crawl
 from tierline.session import apply_runtime_conf, fresh_folder, run_folder
-from tierline.sources.fixture import EntitySource, derive_entities
+from tierline.sources.entities import EntitySource
+from tierline.sources.fixture import derive_entities, with_gaps
 
 _ENVS: dict[tuple[str, str], "Env"] = {}
 
@@ -42,23 +44,35 @@ class Env:
     def scratch(self, name: str) -> str:
         return fresh_folder(self.spark, "suite", self.tag, "scratch", name)
 
+    @cached_property
+    def gaps(self) -> Crawl:
+        """The crawl of the source with childless parents at every level."""
+        g = with_gaps(self.src)
+        return crawl(g.seasons, g.events, g.categories, g.sessions)
+
     @cached_property
     def lake(self) -> Lake:
         lake = Lake(run_folder(self.spark, "suite", self.tag, "lake"))
-        land_hierarchy(lake, self.crawl)
-        land_classifications(lake, self.crawl.tasks, self.src.classifications,
-                             broadcast_batch=False)
+        c = land_crawl(self.spark, lake, self.src.seasons, self.src)
+        land_classifications(lake, c.tasks, self.src.classifications, replace=True)
         load_silver(self.spark, lake)
         return lake
 
     @cached_property
     def log_path(self) -> str:
-        """The process log of a full run over the source, written once."""
+        """The process log of a full run over the source with gaps, written
+        once."""
         path = run_folder(self.spark, "suite", self.tag, "process_log")
-        lines = request_log(self.src.seasons, self.crawl, self.src.classifications)
-        lines.write.mode("overwrite").text(path)
+        request_log(self.gaps, self.src.classifications).write.mode("overwrite").text(path)
         return path
 
+    @cached_property
+    def failed(self) -> dict[str, DataFrame]:
+        """Key sets of the failed requests of that log, stored once."""
+        path = run_folder(self.spark, "suite", self.tag, "failed")
+        failed_keys(parse_log(self.spark.read.text(self.log_path))).write.mode("overwrite").parquet(path)
+        return failed_sets(self.spark.read.parquet(path))
+
     def log(self) -> DataFrame:
         """Parsed process log: level and message (time dropped)."""
         v = self.spark.read.text(self.log_path).select("value")

@@ -13,6 +13,7 @@ from tierline.plans import runs
 from tierline.plans.lake import Lake
 from tierline.schemas import SESSIONS, S, TASK_KEYS, struct
 from tierline.sinks.files import land_csv
+from tierline.sources.entities import land_payload_entities, payload_entities
 from tierline.sources.files import read_csv_typed
 from tierline.streaming.new_files import batch_folder_sink, ingest_new_files
 
@@ -24,7 +25,7 @@ def medallion_transform(spark, sf_dir):
 
 @query("medallion_full", "SELECT * FROM f_gold")
 def medallion_full(spark, sf_dir):
-    """Full run with the queue: every season, up to 65,536 tasks."""
+    """Full run with the queue: every season, every open task."""
     e = env(spark, sf_dir)
     rep = runs.run(spark, Lake(e.scratch("full")), e.src, runs.FULL, run_id="full-1")
     return rep.gold
@@ -53,6 +54,45 @@ def medallion_incremental(spark, sf_dir):
     return rep.gold
 
 
+@query("medallion_restart", "SELECT * FROM f_gold")
+def medallion_restart(spark, sf_dir):
+    """A full run dies after landing, before silver; the next run, under a
+    new id, takes up what is landed and ends as one clean run would."""
+    e = env(spark, sf_dir)
+    lake = Lake(e.scratch("restart"))
+
+    def died(*args, **kwargs):
+        raise InterruptedError("killed after landing")
+    whole, runs.load_silver = runs.load_silver, died
+    try:
+        runs.run(spark, lake, e.src, runs.FULL, run_id="dead")
+    except InterruptedError:
+        pass
+    finally:
+        runs.load_silver = whole
+    return runs.run(spark, lake, e.src, runs.FULL, run_id="again").gold
+
+
+@query("medallion_mixed_modes", "SELECT * FROM f_gold")
+def medallion_mixed_modes(spark, sf_dir):
+    """A transform, then a full run on the same lake: everything is landed
+    already, so nothing doubles."""
+    e = env(spark, sf_dir)
+    lake = Lake(e.scratch("mixed"))
+    runs.transform(spark, lake, e.src)
+    return runs.run(spark, lake, e.src, runs.FULL, run_id="full-1").gold
+
+
+@query("medallion_from_payloads", "SELECT * FROM f_gold")
+def medallion_from_payloads(spark, sf_dir):
+    """Every entity is landed as JSON payloads first; the whole flow then
+    reads those payloads."""
+    e = env(spark, sf_dir)
+    root = e.scratch("payload_source")
+    land_payload_entities(e.src, root)
+    return runs.transform(spark, Lake(e.scratch("from_payloads")), payload_entities(spark, root))
+
+
 @query("medallion_models", GOLD_DBT_SQL)
 def medallion_models(spark, sf_dir):
     e = env(spark, sf_dir)

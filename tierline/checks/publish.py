@@ -1,17 +1,19 @@
-"""Tables, write-audit-publish, branches and time travel."""
+"""Replaced tables and write-audit-publish."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tierline.checks import query
 from tierline.checks.env import env
-from tierline.operators.gold import gold_results
+from tierline.operators.gold import check_dimensions, gold_results
 from tierline.operators.ordering import top1
 from tierline.operators.quality import AuditError
 from tierline.schemas import AUDIT_DIMS
 from tierline.tables import wap
-from tierline.tables.versioned import VersionedTable
+from tierline.tables.published import PublishedTable
 
 _LATEST = "(SELECT id FROM f_seasons ORDER BY year DESC, id LIMIT 1)"
 _A = f"SELECT * FROM f_sessions WHERE season_id <> {_LATEST}"
@@ -25,7 +27,7 @@ def _a_b(e):
 
 
 def _table(spark, e, name):
-    return VersionedTable(spark, e.scratch(name))
+    return PublishedTable(spark, e.scratch(name), name=f"suite_{e.tag}.{name}_{uuid.uuid4().hex[:8]}")
 
 
 @query("table_create_or_replace", "SELECT * FROM f_sessions")
@@ -33,8 +35,8 @@ def table_create_or_replace(spark, sf_dir):
     e = env(spark, sf_dir)
     a, b = _a_b(e)
     t = _table(spark, e, "replace")
-    t.commit(a)
-    t.commit(b)
+    t.replace(a)
+    t.replace(b)
     return t.read()
 
 
@@ -43,9 +45,9 @@ def wap_stage_isolated(spark, sf_dir):
     e = env(spark, sf_dir)
     a, b = _a_b(e)
     t = _table(spark, e, "wap_stage")
-    t.commit(a)
-    wap.stage(t, b)
-    return t.read("main")
+    t.replace(a)
+    t.stage(b)
+    return t.read()
 
 
 @query("wap_read_branch", "SELECT * FROM f_sessions")
@@ -53,9 +55,8 @@ def wap_read_branch(spark, sf_dir):
     e = env(spark, sf_dir)
     a, b = _a_b(e)
     t = _table(spark, e, "wap_branch")
-    t.commit(a)
-    wap.stage(t, b)
-    return t.read(wap.AUDIT_BRANCH)
+    t.replace(a)
+    return t.read(t.stage(b).folder)
 
 
 @query("wap_publish", "SELECT * FROM f_sessions")
@@ -63,11 +64,11 @@ def wap_publish(spark, sf_dir):
     e = env(spark, sf_dir)
     a, b = _a_b(e)
     t = _table(spark, e, "wap_publish")
-    t.commit(a)
-    wap.stage(t, b)
-    wap.audit(t, ["id", "season_id", "event_id", "category_id"])
-    wap.publish(t)
-    return t.read("main")
+    t.replace(a)
+    staged = t.stage(b)
+    wap.audit(t, staged, ["id", "season_id", "event_id", "category_id"])
+    t.publish(staged)
+    return t.read()
 
 
 _GOLD_TABLE = """
@@ -78,9 +79,9 @@ FROM f_gold"""
 
 @query("wap_audit_blocks", _GOLD_TABLE)
 def wap_audit_blocks(spark, sf_dir):
-    """Main holds gold; a new gold built while the latest season is missing
-    from the seasons dimension is staged, fails the audit, and main keeps
-    the published rows."""
+    """The table holds gold; a new gold built while the latest season is
+    missing from the seasons dimension is staged, fails the audit, and the
+    table keeps the published rows."""
     e = env(spark, sf_dir)
     s = e.src
     t = _table(spark, e, "wap_gold")
@@ -95,20 +96,21 @@ def wap_audit_blocks(spark, sf_dir):
         wap.write_audit_publish(t, bad, AUDIT_DIMS)
     except AuditError:
         blocked = True
-    return t.read("main").withColumn("blocked", F.lit(blocked))
+    return t.read().withColumn("blocked", F.lit(blocked))
 
 
 @query("wap_cleanup", "SELECT 'main' AS ref, count(*) AS n FROM f_sessions")
 def wap_cleanup(spark, sf_dir):
-    """References left after a full write-audit-publish: only main."""
+    """Folders left after a write-audit-publish, a staging that was given up
+    and a clean-up: only the published one."""
     e = env(spark, sf_dir)
     a, b = _a_b(e)
     t = _table(spark, e, "wap_cleanup")
-    t.commit(a)
-    wap.write_audit_publish(t, b, ["id"])
-    refs = t.refs()
-    counts = [t.read(r).agg(F.count(F.lit(1)).alias("n")).select(F.lit(r).alias("ref"), "n")
-              for r in sorted(refs)]
+    t.replace(a)
+    published = wap.write_audit_publish(t, b, ["id"])
+    t.stage(a)
+    counts = [t.read(f).agg(F.count(F.lit(1)).alias("n"))
+              .select(F.lit("main" if f == published else f).alias("ref"), "n") for f in t.remove_unused()]
     out = counts[0]
     for c in counts[1:]:
         out = out.unionByName(c)
@@ -117,21 +119,22 @@ def wap_cleanup(spark, sf_dir):
 
 @query("time_travel_version", _A)
 def time_travel_version(spark, sf_dir):
+    """An earlier publish stays readable by its folder until clean-up."""
     e = env(spark, sf_dir)
     a, b = _a_b(e)
     t = _table(spark, e, "travel")
-    v0 = t.commit(a)
-    t.commit(b)
-    return t.read(version=v0)
+    first = t.replace(a)
+    t.replace(b)
+    return t.read(first)
 
 
 @query("wap_reader_pinned", _A)
 def wap_reader_pinned(spark, sf_dir):
-    """A reader opened before a publish keeps reading its snapshot."""
+    """A reader opened before a publish keeps reading its folder."""
     e = env(spark, sf_dir)
     a, b = _a_b(e)
     t = _table(spark, e, "pinned")
-    t.commit(a)
-    reader = t.read("main")
+    t.replace(a)
+    reader = t.read()
     wap.write_audit_publish(t, b, ["id"])
     return reader

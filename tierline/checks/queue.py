@@ -8,24 +8,22 @@ from tierline.checks import query
 from tierline.checks.env import env
 from tierline.operators.crawl import crawl, expand_classifications, task_keys
 from tierline.operators.ordering import top1
-from tierline.operators.runlog import failed_keys, parse_log
 from tierline.operators.taskqueue import (TaskQueue, apply_run, mark, mark_completed,
                                           new_tasks, next_batch, upsert, with_defaults,
                                           without_clocks)
+from tierline.oracle import UUID_SQL
 from tierline.plans.lake import read_silver
 from tierline.schemas import ERRORED, TASKS
 
-_UUID = ("'[[:alnum:]]{8}-[[:alnum:]]{4}-[[:alnum:]]{4}-[[:alnum:]]{4}-"
-         "[[:alnum:]]{12}'")
 _BAD = f"""
-bad_seasons AS (SELECT DISTINCT unnest(regexp_extract_all(message, {_UUID}, 0)) AS season_id
+bad_seasons AS (SELECT DISTINCT unnest(regexp_extract_all(message, {UUID_SQL}, 0)) AS season_id
   FROM f_log WHERE level = 'ERROR' AND message LIKE 'found no events%'),
-bad_events AS (SELECT DISTINCT unnest(regexp_extract_all(message, {_UUID}, 0)) AS event_id
+bad_events AS (SELECT DISTINCT unnest(regexp_extract_all(message, {UUID_SQL}, 0)) AS event_id
   FROM f_log WHERE level = 'ERROR' AND message LIKE 'found no categories%'),
-bad_pairs AS (SELECT DISTINCT regexp_extract_all(message, {_UUID}, 0)[1] AS event_id,
-    regexp_extract_all(message, {_UUID}, 0)[2] AS category_id
+bad_pairs AS (SELECT DISTINCT regexp_extract_all(message, {UUID_SQL}, 0)[1] AS event_id,
+    regexp_extract_all(message, {UUID_SQL}, 0)[2] AS category_id
   FROM f_log WHERE level = 'ERROR' AND message LIKE 'found no sessions%'),
-bad_sessions AS (SELECT DISTINCT unnest(regexp_extract_all(message, {_UUID}, 0)) AS session_id
+bad_sessions AS (SELECT DISTINCT unnest(regexp_extract_all(message, {UUID_SQL}, 0)) AS session_id
   FROM f_log WHERE level = 'ERROR' AND message LIKE 'found no classification%'),
 landed AS (SELECT DISTINCT session_id FROM f_classifications)"""
 
@@ -36,10 +34,6 @@ def _state(e):
     return with_defaults(s, status=F.col("status")).select(*TASKS.names)
 
 
-def _failed(spark, e):
-    return failed_keys(parse_log(spark.read.text(e.log_path)))
-
-
 def _landed(spark, e):
     return read_silver(spark, e.lake, "classifications").select("session_id")
 
@@ -117,7 +111,7 @@ FROM f_tasks t"""
        _errored_sql("bad_seasons", "b.season_id = t.season_id"))
 def queue_mark_errored_events(spark, sf_dir):
     e = env(spark, sf_dir)
-    out = mark(_state(e), _failed(spark, e)["seasons"], [("season_id", "season_id")], ERRORED)
+    out = mark(_state(e), e.failed["seasons"], [("season_id", "season_id")], ERRORED)
     return without_clocks(out).select("id", "status", "has_updated")
 
 
@@ -125,7 +119,7 @@ def queue_mark_errored_events(spark, sf_dir):
        _errored_sql("bad_events", "b.event_id = t.event_id"))
 def queue_mark_errored_categories(spark, sf_dir):
     e = env(spark, sf_dir)
-    out = mark(_state(e), _failed(spark, e)["events"], [("event_id", "event_id")], ERRORED)
+    out = mark(_state(e), e.failed["events"], [("event_id", "event_id")], ERRORED)
     return without_clocks(out).select("id", "status", "has_updated")
 
 
@@ -133,7 +127,7 @@ def queue_mark_errored_categories(spark, sf_dir):
        _errored_sql("bad_pairs", "b.event_id = t.event_id AND b.category_id = t.category_id"))
 def queue_mark_errored_sessions(spark, sf_dir):
     e = env(spark, sf_dir)
-    out = mark(_state(e), _failed(spark, e)["pairs"],
+    out = mark(_state(e), e.failed["pairs"],
                [("event_id", "event_id"), ("category_id", "category_id")], ERRORED)
     return without_clocks(out).select("id", "status", "has_updated")
 
@@ -142,7 +136,7 @@ def queue_mark_errored_sessions(spark, sf_dir):
        _errored_sql("bad_sessions", "b.session_id = t.session_id"))
 def queue_mark_errored_classification(spark, sf_dir):
     e = env(spark, sf_dir)
-    out = mark(_state(e), _failed(spark, e)["sessions"], [("session_id", "session_id")],
+    out = mark(_state(e), e.failed["sessions"], [("session_id", "session_id")],
                ERRORED)
     return without_clocks(out).select("id", "status", "has_updated")
 
@@ -163,7 +157,7 @@ SELECT id, CASE WHEN err THEN 4 WHEN done THEN 2 ELSE status END AS status,
 FROM flags""")
 def queue_apply_run(spark, sf_dir):
     e = env(spark, sf_dir)
-    out = apply_run(_state(e), _landed(spark, e), _failed(spark, e))
+    out = apply_run(_state(e), _landed(spark, e), e.failed)
     return without_clocks(out).select("id", "status", "has_updated")
 
 
@@ -181,7 +175,7 @@ def incremental_batch(spark, sf_dir):
     c = crawl(latest, s.events, s.categories, s.sessions)
     prior = _state(e).join(c.tasks.select("session_id"), "session_id", "left_semi")
     q = TaskQueue(spark, e.scratch("inc_queue"))
-    q.save(prior.select(*TASKS.names), "seed", TaskQueue.seasons_of(prior))
+    q.save(prior.select(*TASKS.names), TaskQueue.seasons_of(prior))
     q.upsert(c.tasks)
     batch = q.next_batch(100)
     return expand_classifications(batch, s.classifications)

@@ -5,29 +5,24 @@ from __future__ import annotations
 import time
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierline.checks import query
 from tierline.checks.env import env
-from tierline.functions.logs import requests_per_second
+from tierline.functions.logs import line_level, requests_per_second
 from tierline.operators.crawl import crawl, request_log
 from tierline.operators.ordering import top1
 from tierline.operators.runlog import (EVENT_GET_CATEGORIES, EVENT_GET_CLASSIFICATION,
                                        EVENT_GET_EVENTS, EVENT_GET_SESSIONS,
-                                       count_requests, metric_records, parse_log,
+                                       archive, count_requests, failed_keys,
+                                       metric_records, parse_log,
                                        read_metrics, run_summary, strip_time)
+from tierline.operators.quality import null_count_by_file
+from tierline.oracle import ENTITY_SQL, UUID_SQL
+from tierline.plans.lake import read_silver
+from tierline.schemas import DQ_FINDINGS
 from tierline.sinks.files import append_json, append_text
 
-_ENTITY_SQL = """CASE
-  WHEN message LIKE 'getting seasons%' OR message LIKE 'found no seasons%' THEN 'seasons'
-  WHEN message LIKE 'getting events%' OR message LIKE 'found no events%' THEN 'events'
-  WHEN message LIKE 'getting category%' OR message LIKE 'found no categories%' THEN 'categories'
-  WHEN message LIKE 'getting session %' OR message LIKE 'found no sessions%' THEN 'sessions'
-  WHEN message LIKE 'getting classification%' OR message LIKE 'found no classification%'
-    THEN 'classifications' END"""
-_UUID_SQL = ("'[[:alnum:]]{8}-[[:alnum:]]{4}-[[:alnum:]]{4}-[[:alnum:]]{4}-"
-             "[[:alnum:]]{12}'")
-
-
 def _parsed(spark, sf_dir):
     e = env(spark, sf_dir)
     return parse_log(spark.read.text(e.log_path))
@@ -38,7 +33,7 @@ def log_lines(spark, sf_dir):
     """INFO lines appended, then ERROR lines appended; read back as text and
     returned without the time field."""
     e = env(spark, sf_dir)
-    lines = request_log(e.src.seasons, e.crawl, e.src.classifications)
+    lines = request_log(e.gaps, e.src.classifications)
     path = e.scratch("process_log")
     append_text(lines.filter(F.col("value").contains("[INFO]")), path)
     append_text(lines.filter(F.col("value").contains("[ERROR]")), path)
@@ -46,7 +41,7 @@ def log_lines(spark, sf_dir):
 
 
 @query("log_scan_parse", f"""
-SELECT level, {_ENTITY_SQL} AS entity, count(*) AS n FROM f_log GROUP BY ALL""")
+SELECT level, {ENTITY_SQL} AS entity, count(*) AS n FROM f_log GROUP BY ALL""")
 def log_scan_parse(spark, sf_dir):
     p = _parsed(spark, sf_dir)
     return p.groupBy("level", "entity").agg(F.count(F.lit(1)).alias("n"))
@@ -54,7 +49,7 @@ def log_scan_parse(spark, sf_dir):
 
 @query("log_extract_ids", f"""
 SELECT level, entity, unnest(ids) AS id FROM (
-  SELECT level, {_ENTITY_SQL} AS entity, regexp_extract_all(message, {_UUID_SQL}, 0) AS ids
+  SELECT level, {ENTITY_SQL} AS entity, regexp_extract_all(message, {UUID_SQL}, 0) AS ids
   FROM f_log)""")
 def log_extract_ids(spark, sf_dir):
     p = _parsed(spark, sf_dir)
@@ -62,14 +57,22 @@ def log_extract_ids(spark, sf_dir):
 
 
 @query("log_extract_pairs", f"""
-SELECT level, ids[len(ids) - 1] AS event_id, ids[len(ids)] AS category_id FROM (
-  SELECT level, regexp_extract_all(message, {_UUID_SQL}, 0) AS ids
-  FROM f_log WHERE {_ENTITY_SQL} = 'sessions')""")
+SELECT DISTINCT ids[1] AS event_id, ids[2] AS category_id FROM (
+  SELECT regexp_extract_all(message, {UUID_SQL}, 0) AS ids
+  FROM f_log WHERE level = 'ERROR' AND {ENTITY_SQL} = 'sessions')""")
 def log_extract_pairs(spark, sf_dir):
-    """(event, category) pair of each session-level line: its last two ids."""
-    p = _parsed(spark, sf_dir).filter(F.col("entity") == "sessions")
-    return p.select("level", F.element_at("ids", -2).alias("event_id"),
-                    F.element_at("ids", -1).alias("category_id"))
+    """(event, category) pair of each failed session request: the first two
+    ids of its ERROR line."""
+    return env(spark, sf_dir).failed["pairs"]
+
+
+@query("log_failed_keys", f"""
+SELECT DISTINCT entity, ids[1] AS first, CASE WHEN entity = 'sessions' THEN ids[2] END AS second FROM (
+  SELECT {ENTITY_SQL} AS entity, regexp_extract_all(message, {UUID_SQL}, 0) AS ids
+  FROM f_log WHERE level = 'ERROR') WHERE len(ids) > 0""")
+def log_failed_keys(spark, sf_dir):
+    """The keys of every failed request, of all levels, in one pass."""
+    return failed_keys(_parsed(spark, sf_dir))
 
 
 @query("metrics_requests", """
@@ -82,7 +85,7 @@ _LEVEL_RUN_MS = 2500
 
 
 @query("metrics_rps", f"""
-SELECT {_ENTITY_SQL} AS entity, CAST(count(*) AS BIGINT) AS requests,
+SELECT {ENTITY_SQL} AS entity, CAST(count(*) AS BIGINT) AS requests,
        CAST(count(*) // nullif({_LEVEL_RUN_MS} // 1000, 0) AS BIGINT) AS rps
 FROM f_log WHERE level = 'INFO' GROUP BY ALL""")
 def metrics_rps(spark, sf_dir):
@@ -148,25 +151,47 @@ def metrics_ndjson(spark, sf_dir):
                        (F.col("duration_ms") >= 0).alias("has_duration"))
 
 
-@query("run_archive", """
-latest AS (SELECT id FROM f_seasons ORDER BY year DESC, id LIMIT 1)
-SELECT 'r2' AS run_id, 'GET_EVENTS' AS event, CAST(1 AS BIGINT) AS n
-UNION ALL SELECT 'r2', 'GET_CATEGORIES', count(*) FROM f_events WHERE season_id IN (SELECT id FROM latest)
-UNION ALL SELECT 'r2', 'GET_SESSIONS', count(*) FROM f_categories WHERE season_id IN (SELECT id FROM latest)
-UNION ALL SELECT 'r2', 'GET_CLASSIFICATION', count(*) FROM f_sessions WHERE season_id IN (SELECT id FROM latest)""")
+_LATEST = "(SELECT id FROM f_seasons ORDER BY year DESC, id LIMIT 1)"
+
+
+@query("run_archive", f"""
+runs AS (SELECT 'r1' AS run_id, id AS season_id FROM f_seasons
+         UNION ALL SELECT 'r2', id FROM f_seasons WHERE id IN {_LATEST}),
+lines AS (
+  SELECT run_id, 'GET_EVENTS' AS kind, count(*) AS n FROM runs GROUP BY run_id
+  UNION ALL SELECT run_id, 'GET_CATEGORIES', count(*) FROM runs JOIN f_events USING (season_id) GROUP BY run_id
+  UNION ALL SELECT run_id, 'GET_SESSIONS', count(*) FROM runs JOIN f_categories USING (season_id) GROUP BY run_id
+  UNION ALL SELECT run_id, 'GET_CLASSIFICATION', count(*) FROM runs JOIN f_sessions USING (season_id) GROUP BY run_id)
+SELECT run_id, 'metrics' AS log, kind, CAST(n AS BIGINT) AS n FROM lines
+UNION ALL SELECT run_id, 'process', 'INFO', CAST(sum(n) + 1 AS BIGINT) FROM lines GROUP BY run_id
+UNION ALL SELECT run_id, 'process', 'ERROR', count(*) FROM runs JOIN f_sessions s USING (season_id)
+  ANTI JOIN f_classifications c ON c.session_id = s.id GROUP BY run_id
+UNION ALL SELECT run_id, 'data_quality', 'NULL_POSITION_COUNT', count(*)
+  FROM runs JOIN f_classifications USING (season_id) WHERE position IS NULL GROUP BY run_id""")
 def run_archive(spark, sf_dir):
-    """Metric records of a full run (r1) and an incremental run over the
-    latest season (r2), archived by run id; run r2 is read back."""
+    """Metrics, process log and data-quality findings of a full run (r1) and
+    of an incremental run over the latest season (r2), archived by run id;
+    all three logs of both runs are read back."""
     e = env(spark, sf_dir)
     s = e.src
     latest = top1(s.seasons, "year", "id")
     inc = crawl(latest, s.events, s.categories, s.sessions)
-    path = e.scratch("archive")
-    for run_id, c in [("r1", e.crawl), ("r2", inc)]:
+    ids = [r["id"] for r in latest.select("id").collect()]
+    into = e.scratch("archive")
+    for run_id, c, only in [("r1", e.crawl, None), ("r2", inc, ids)]:
         recs = _level_records(c)
         allr = recs[0]
         for r in recs[1:]:
             allr = allr.unionByName(r)
-        append_json(allr.withColumn("run_id", F.lit(run_id)), path, partition_by=["run_id"])
-    back = spark.read.json(path).filter(F.col("run_id") == "r2")
-    return back.groupBy("run_id", "event").agg(F.count(F.lit(1)).alias("n"))
+        fact = read_silver(spark, e.lake, "classifications", filename=True, seasons=only)
+        archive(run_id, into, allr, request_log(c, fact), null_count_by_file(fact))
+    n = F.count(F.lit(1)).alias("n")
+    metrics = read_metrics(spark, f"{into}/metrics", "run_id").groupBy("run_id", F.col("event").alias("kind")).agg(n)
+    log = spark.read.schema("value string, run_id string").text(f"{into}/process")
+    log = log.select("run_id", line_level(F.col("value")).alias("kind")).groupBy("run_id", "kind").agg(n)
+    dq = spark.read.schema(T.StructType([*DQ_FINDINGS.fields, T.StructField("run_id", T.StringType())])).json(f"{into}/data_quality") \
+        .groupBy("run_id").agg(F.sum("NULL_POSITION_COUNT").cast("long").alias("n")) \
+        .withColumn("kind", F.lit("NULL_POSITION_COUNT"))
+    out = [df.select("run_id", F.lit(name).alias("log"), "kind", "n")
+           for name, df in [("metrics", metrics), ("process", log), ("data_quality", dq)]]
+    return out[0].unionByName(out[1]).unionByName(out[2])

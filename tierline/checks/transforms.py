@@ -10,8 +10,9 @@ from tierline.functions.logs import name_stem
 from tierline.functions.payloads import row_json
 from tierline.operators.crawl import (category_requests, event_requests, shape,
                                       task_keys)
-from tierline.operators.lookup import explode_payload, lookup_many, response_payloads
-from tierline.operators.ordering import rank_desc, top1
+from tierline.operators.lookup import (explode_payload, lookup_by, lookup_many,
+                                        response_payloads)
+from tierline.operators.ordering import rank_desc, sort_desc, top1
 from tierline.plans.lake import read_bronze_raw, read_silver
 from tierline.plans.models import ModelGraph, passthrough, renamed
 from tierline.schemas import (CLASSIFICATIONS, CLASSIFICATIONS_BRONZE, SESSIONS,
@@ -93,20 +94,27 @@ _CLS_ORDER = ", ".join(f"{c} NULLS FIRST" for c in CLASSIFICATIONS.names)
 _CLS_STRUCT = ", ".join(f"'{c}': c.{c}" for c in CLASSIFICATIONS.names)
 
 
+_PAGE = 3
+
+
 @query("response_json", f"""
+placed AS (
+  SELECT *, (row_number() OVER (PARTITION BY session_id ORDER BY {_CLS_ORDER}) - 1) // {_PAGE} AS page
+  FROM f_classifications),
 bodies AS (
-  SELECT c.session_id,
+  SELECT c.session_id, c.page,
          CAST(to_json(list({{{_CLS_STRUCT}}} ORDER BY {_CLS_ORDER})) AS VARCHAR) AS body
-  FROM f_classifications c GROUP BY c.session_id)
-SELECT s.id AS session_id, CAST(0 AS INTEGER) AS page, coalesce(b.body, '[]') AS body
+  FROM placed c GROUP BY c.session_id, c.page)
+SELECT s.id AS session_id, CAST(coalesce(b.page, 0) AS INTEGER) AS page, coalesce(b.body, '[]') AS body
 FROM f_sessions s LEFT JOIN bodies b ON b.session_id = s.id""")
 def response_json(spark, sf_dir):
-    """Classification payloads per session, served from the stored (silver)
-    tables as a lookup service would; sessions without rows get ``[]``."""
+    """Classification payloads per session, in pages of three rows, served
+    from the stored (silver) tables as a lookup service would; sessions
+    without rows get ``[]``."""
     e = env(spark, sf_dir)
     req = read_silver(spark, e.lake, "sessions").select(F.col("id").alias("session_id"))
     cls = read_silver(spark, e.lake, "classifications")
-    return response_payloads(req, cls, ["session_id"], CLASSIFICATIONS.names)
+    return response_payloads(req, cls, ["session_id"], CLASSIFICATIONS.names, _PAGE)
 
 
 @query("rows_to_ndjson", """
@@ -117,6 +125,14 @@ def rows_to_ndjson(spark, sf_dir):
     return env(spark, sf_dir).src.sessions.select(row_json(SESSIONS.names).alias("line"))
 
 
+@query("lookup_one", "SELECT * FROM f_sessions WHERE event_id = (SELECT min(id) FROM f_events)")
+def lookup_one(spark, sf_dir):
+    """One request: the children of one key (the filter reaches the scan)."""
+    e = env(spark, sf_dir)
+    key = e.src.events.agg(F.min("id")).first()[0]
+    return lookup_by(read_silver(spark, e.lake, "sessions"), event_id=key)
+
+
 @query("lookup_events", f"SELECT * FROM f_events WHERE season_id = {_LATEST}")
 def lookup_events(spark, sf_dir):
     e = env(spark, sf_dir)
@@ -165,6 +181,12 @@ def sort_seasons_desc(spark, sf_dir):
     return rank_desc(env(spark, sf_dir).src.seasons, "year").select("rank", "id", "year")
 
 
+@query("sort_sessions_desc", "SELECT id, name FROM f_sessions ORDER BY id DESC")
+def sort_sessions_desc(spark, sf_dir):
+    """Global descending sort (a test checks the order, the SQL the rows)."""
+    return sort_desc(env(spark, sf_dir).src.sessions, "id").select("id", "name")
+
+
 @query("top1_latest_season", "SELECT id, year FROM f_seasons ORDER BY year DESC, id LIMIT 1")
 def top1_latest_season(spark, sf_dir):
     """Latest season from the raw (all text) bronze seasons: the year is

@@ -17,11 +17,6 @@ def row_json(cols: Sequence[str]) -> Column:
     return F.to_json(F.struct(*[F.col(c) for c in cols]), JSON_OPTS)
 
 
-def array_json(items: Column) -> Column:
-    """JSON array text of an array of structs, ``[]`` when empty or NULL."""
-    return F.coalesce(F.to_json(items, JSON_OPTS), F.lit("[]"))
-
-
 def parse_array(payload: Column, element: T.StructType) -> Column:
     """``from_json`` of a JSON array of objects; ``null`` and ``[]`` both give
     an empty or NULL array, so ``explode`` yields no row for them."""

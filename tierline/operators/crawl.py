@@ -16,16 +16,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierline.functions import logs as L
-from tierline.operators.joins import bounded_broadcast
 from tierline.schemas import ENTITY_SCHEMAS, TASK_KEYS
 
-# Request sets above this many rows are joined by shuffle instead of broadcast.
-REQUEST_BROADCAST_ROWS = 1_000_000
-
 
 def expand(requests: DataFrame, children: DataFrame, match: Sequence[str],
-           stamp: Sequence[str], order: Sequence[str] | None = None,
-           broadcast_requests: bool = True) -> DataFrame:
+           stamp: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
     """Children of every request row, with the request keys stamped on.
 
     ``requests`` holds the request-key columns (``stamp``); ``match`` are
@@ -33,8 +28,6 @@ def expand(requests: DataFrame, children: DataFrame, match: Sequence[str],
     name).  The child's own copies of the stamped columns are replaced.
     """
     req = requests.select(*stamp)
-    if broadcast_requests:
-        req = bounded_broadcast(req, REQUEST_BROADCAST_ROWS)
     own = [c for c in children.columns if c not in stamp or c in match]
     out = children.select(*own).join(req, list(match), "inner")
     cols = list(order) if order else [c for c in children.columns]
@@ -98,15 +91,15 @@ def expand_sessions(categories: DataFrame, sessions_src: DataFrame) -> DataFrame
                   ENTITY_SCHEMAS["sessions"].names)
 
 
-def expand_classifications(tasks: DataFrame, classifications_src: DataFrame,
-                           broadcast_requests: bool = True) -> DataFrame:
+def expand_classifications(tasks: DataFrame, classifications_src: DataFrame) -> DataFrame:
     return expand(tasks, classifications_src, ["session_id"], TASK_KEYS,
-                  ENTITY_SCHEMAS["classifications"].names, broadcast_requests)
+                  ENTITY_SCHEMAS["classifications"].names)
 
 
 @dataclass
 class Crawl:
-    """The lazily expanded hierarchy of one run."""
+    """The hierarchy of one run: lazily expanded, or read back level by level
+    (see ``plans.medallion.land_crawl``)."""
 
     seasons: DataFrame
     events: DataFrame
@@ -122,6 +115,11 @@ def crawl(seasons: DataFrame, events_src: DataFrame, categories_src: DataFrame,
     events = expand_events(seasons, events_src)
     categories = expand_categories(events, categories_src)
     sessions = expand_sessions(categories, sessions_src)
+    return crawl_of(seasons, events, categories, sessions)
+
+
+def crawl_of(seasons: DataFrame, events: DataFrame, categories: DataFrame,
+             sessions: DataFrame) -> Crawl:
     tasks = task_keys(sessions)
     return Crawl(seasons, events, categories, sessions, tasks, {
         "events": season_requests(seasons),
@@ -135,26 +133,15 @@ def _lines(df: DataFrame, level: str, template: str, ts: Column | None) -> DataF
     return df.select(L.log_line(level, L.message(template), ts).alias("value"))
 
 
-def request_log(seasons_requested: DataFrame, crawl_: Crawl,
-                classifications_src: DataFrame, batch: DataFrame | None = None,
-                ts: Column | None = None, fetched: DataFrame | None = None) -> DataFrame:
+def request_log(crawl_: Crawl, fetched: DataFrame, batch: DataFrame | None = None,
+                ts: Column | None = None) -> DataFrame:
     """Process-log lines of a run: INFO per request, ERROR per request that
-    found no children.  ``batch`` are the task keys fetched at the leaf
-    (all task keys when None).
-
-    The leaf check compares the batch with the rows fetched for it:
-    ``fetched`` (the rows a run landed) or else the source filtered by the
-    batch with a semi join, so the fact is never shuffled whole to test a
-    small batch.
-    """
+    found no children.  ``batch`` are the task keys fetched at the leaf (all
+    task keys when None), ``fetched`` the rows that came back for them."""
     batch = crawl_.tasks if batch is None else batch
-    if fetched is None:
-        keys = bounded_broadcast(batch.select("session_id"), REQUEST_BROADCAST_ROWS)
-        fetched = classifications_src.join(keys, "session_id", "left_semi")
-    one = seasons_requested.sparkSession.range(1)
-    first = one.select(L.log_line("INFO", F.lit(L.MSG_GET_SEASONS), ts).alias("value"))
-    # "no seasons" at all: one row unless a season exists (limit 1 bounds it).
-    none = one.join(seasons_requested.limit(1), how="left_anti").select(
+    spark = crawl_.seasons.sparkSession
+    first = spark.range(1).select(L.log_line("INFO", F.lit(L.MSG_GET_SEASONS), ts).alias("value"))
+    none = crawl_.seasons.agg(F.count(F.lit(1)).alias("n")).filter("n = 0").select(
         L.log_line("ERROR", F.lit(L.MSG_NO_SEASONS), ts).alias("value"))
     parts = [
         first,

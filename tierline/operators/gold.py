@@ -3,10 +3,9 @@
 Plan shape (checked with ``explain``): the fact (classifications) is joined
 first to sessions, the one dimension that grows with the data, by a shuffle
 join on ``session_id`` that AQE may split when one session is hot, while the
-fact rows are still narrow; then to the three bounded dimensions (seasons,
-events, categories) by broadcast hash joins behind a row-count check, which
-adds no shuffle.  The category join uses the composite key (id, event_id)
-because category ids repeat across events.
+fact rows are still narrow; then to seasons, events and categories, which
+Spark broadcasts by their size in bytes.  The category join uses the composite
+key (id, event_id) because category ids repeat across events.
 """
 
 from __future__ import annotations
@@ -14,15 +13,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierline.operators.joins import bounded_broadcast, checked_dimension
+from tierline.operators.joins import check_unique
 from tierline.schemas import GOLD_NAMES
 
 
+def check_dimensions(seasons: DataFrame, events: DataFrame, categories: DataFrame,
+                     sessions: DataFrame) -> None:
+    """Prove the four dimension keys unique, in one job (a repeated key would
+    multiply fact rows)."""
+    check_unique([("seasons", seasons, ["id"]), ("events", events, ["id"]),
+                  ("categories", categories, ["id", "event_id"]), ("sessions", sessions, ["id"])])
+
+
 def gold_results(classifications: DataFrame, seasons: DataFrame,
                  events: DataFrame, categories: DataFrame,
-                 sessions: DataFrame, style: str = "bash",
-                 check_keys: bool = True, keep_season_id: bool = False) -> DataFrame:
-    """Results table with the column names of ``style`` (bash, dbt, table).
+                 sessions: DataFrame, style: str = "bash", keep_season_id: bool = False) -> DataFrame:
+    """Results table with the column names of ``style`` (bash, dbt, table);
+    lazy, and without a check of its dimensions.
 
     ``keep_season_id`` adds the fact's season id as a last column, for
     storing gold partitioned by season (it is never NULL, unlike ``year``).
@@ -43,21 +50,10 @@ def gold_results(classifications: DataFrame, seasons: DataFrame,
     cat = categories.select(F.col("id").alias("_cat_id"),
                             F.col("event_id").alias("_cat_event_id"),
                             F.col("name").alias("_category"))
-    if check_keys:
-        # The bounded dimensions are checked for unique keys (a repeated key
-        # would multiply fact rows; the composite category key exists for
-        # exactly this reason) and sized for the broadcast, in one job each.
-        sea_b = checked_dimension(sea, ["_sea_id"], "seasons")
-        evt_b = checked_dimension(evt, ["_evt_id"], "events")
-        cat_b = checked_dimension(cat, ["_cat_id", "_cat_event_id"], "categories")
-    else:
-        sea_b, evt_b, cat_b = (bounded_broadcast(d) for d in (sea, evt, cat))
-
     g = fact.join(ses, fact.session_id == ses._ses_id, "left")
-    g = g.join(sea_b, g.season_id == sea._sea_id, "left")
-    g = g.join(evt_b, g.event_id == evt._evt_id, "left")
-    g = g.join(cat_b, (g.category_id == cat._cat_id) & (g.event_id == cat._cat_event_id),
-               "left")
+    g = g.join(sea, g.season_id == sea._sea_id, "left")
+    g = g.join(evt, g.event_id == evt._evt_id, "left")
+    g = g.join(cat, (g.category_id == cat._cat_id) & (g.event_id == cat._cat_event_id), "left")
     src = ["_year", "_event_name", "_event_short", "_category", "_session",
            "_rider_name", "_rider_number", "_position", "_points"]
     cols = [F.col(s).alias(n) for s, n in zip(src, names)]

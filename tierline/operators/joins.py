@@ -1,4 +1,8 @@
-"""Join helpers: size-checked broadcast and key-uniqueness checks."""
+"""Join helpers: left joins on key pairs and key-uniqueness checks.
+
+No join carries a hint: Spark picks a broadcast from the sizes in bytes it
+knows, before the query and, with AQE, while it runs.
+"""
 
 from __future__ import annotations
 
@@ -7,41 +11,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Row bound under which a dimension is broadcast.  A dimension of the
-# hierarchy (seasons, events, categories) is bounded by the domain; the
-# check below proves the bound on the actual data before hinting.
-BROADCAST_MAX_ROWS = 2_000_000
-
 
 class DuplicateKeyError(ValueError):
     """A dimension key is not unique, so a join on it would fan out."""
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    A plain distributed count: each task counts its rows and only one row
-    per task crosses the shuffle.  (``limit(n).count()`` would funnel up
-    to n rows from every task into a single task when the input is
-    unexpectedly large.)  It is applied only to inputs that are bounded by
-    the hierarchy, where the scan is small.
-    """
-    return df.count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only behind a proven row bound; else leave the join to
-    AQE, which still converts it to a broadcast when the runtime size is
-    small, or keeps the shuffle join when it is not.
-
-    Use it for sets bounded by the domain (seasons, events, categories, a
-    batch of at most n tasks); sets keyed by session grow with the data and
-    are joined without a hint."""
-    if has_at_most(df, max_rows):
-        return F.broadcast(df)
-    return df
-
-
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key values that occur more than once, with their counts (``n``).
 
@@ -52,34 +26,21 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
               .filter(F.col("n") > 1))
 
 
-def assert_unique_keys(df: DataFrame, keys: Sequence[str], name: str = "") -> None:
-    dup = duplicate_keys(df, keys).limit(1).collect()
-    if dup:
-        raise DuplicateKeyError(
-            f"key {list(keys)} of {name or 'dimension'} is not unique: {dup[0].asDict()}")
-
-
-def checked_dimension(df: DataFrame, keys: Sequence[str], name: str = "",
-                      max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Prove a dimension's keys unique and size it in one job; returns it
-    with a broadcast hint when it is within ``max_rows``.
-
-    Rows are counted per key (partial aggregation), then the key counts are
-    summed and maxed: one row per task crosses each shuffle.
-    """
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    row = per_key.agg(F.sum("_n").alias("rows"), F.max("_n").alias("most")).first()
-    rows, most = row["rows"] or 0, row["most"] or 0
-    if most > 1:
-        dup = duplicate_keys(df, keys).limit(1).collect()
-        raise DuplicateKeyError(
-            f"key {list(keys)} of {name or 'dimension'} is not unique: "
-            f"{dup[0].asDict() if dup else most}")
-    return F.broadcast(df) if rows <= max_rows else df
+def check_unique(dims: Sequence[tuple[str, DataFrame, Sequence[str]]]) -> None:
+    """Raise :class:`DuplicateKeyError` if a key of a (name, dimension, keys)
+    is not unique.  One job over all of them; one row comes back."""
+    parts = [df.select(F.lit(name).alias("dim"),
+                       F.to_json(F.struct(*[F.col(k) for k in keys])).alias("key"))
+             for name, df, keys in dims]
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p)
+    bad = duplicate_keys(every, ["dim", "key"]).agg(F.min(F.struct("dim", "key")).alias("b")).first()["b"]
+    if bad is not None:
+        raise DuplicateKeyError(f"key {bad['key']} of {bad['dim']} is not unique")
 
 
-def left_join(fact: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]],
-              broadcast_dim: bool = False) -> DataFrame:
+def left_join(fact: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]]) -> DataFrame:
     """``fact LEFT JOIN dim`` on pairs (fact column, dim column).
 
     Dimension join columns are dropped from the output, so the fact keeps its
@@ -89,6 +50,4 @@ def left_join(fact: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]],
     for fcol, dcol in on:
         c = fact[fcol] == dim[dcol]
         cond = c if cond is None else cond & c
-    right = bounded_broadcast(dim) if broadcast_dim else dim
-    out = fact.join(right, cond, "left")
-    return out.drop(*[dim[d] for _, d in on])
+    return fact.join(dim, cond, "left").drop(*[dim[d] for _, d in on])

@@ -5,11 +5,10 @@ lookup for many requested keys is a semi join, so each child is returned
 once however often its key was requested.
 
 Payloads are JSON arrays of child rows per requested key, ``[]`` when the
-key has no child.  A parent may own a large share of all children, so the
-array is cut into pages: the children of a parent are counted first
-(partial aggregation), and a parent with more than ``page_rows`` children
-has them spread over ``ceil(n / page_rows)`` pages by a hash of the row.
-No array is ever built over an unbounded group.
+key has no child.  Every key's children are cut into pages of ``page_rows``
+in the order of their fields.  Equal rows are counted first and positions come
+from running totals, so neither a key with very many children nor very many
+equal children meet in one task or one array.
 """
 
 from __future__ import annotations
@@ -21,12 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.functions.payloads import JSON_OPTS, parse_array
-from tierline.operators.joins import bounded_broadcast
+from tierline.operators.numbering import running_total
 
-PAGE_ROWS = 10_000
-# Hot parents (more than PAGE_ROWS children) above this many are joined by
-# shuffle instead of broadcast.
-HOT_PARENTS_BROADCAST_ROWS = 1_000_000
+PAGE_ROWS = 1_000
 
 
 def lookup_by(children: DataFrame, **params) -> DataFrame:
@@ -49,33 +45,30 @@ def response_payloads(requests: DataFrame, children: DataFrame,
                       page_rows: int = PAGE_ROWS) -> DataFrame:
     """One JSON array per requested key and page: (match..., page, body).
 
-    Elements are the ``fields`` of each child, sorted, null fields kept.
-    Keys without children get one row with body ``[]`` and page 0.
-
-    Only parents with more than ``page_rows`` children get more than one
-    page.  Those "hot" parents (at most n / page_rows of them) are found
-    from per-parent counts and joined back by broadcast behind a size check,
-    so the children are not shuffled for it, and the aggregate's exchange
-    on (parent, page) spreads a hot parent's pages over tasks.  If the hot
-    set is too large to broadcast, it is joined by shuffle and an explicit
-    exchange on (parent, page) keeps the pages spread.
+    Elements are the ``fields`` of each child, sorted (nulls first), null
+    fields kept; page p holds elements p * page_rows up to (p + 1) *
+    page_rows of its key.  Keys without children get page 0 with ``[]``.
     """
     match = list(match)
-    counts = children.groupBy(*match).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.filter(F.col("_n") > page_rows).select(
-        *match, F.ceil(F.col("_n") / F.lit(page_rows)).alias("_pages"))
-    hot_b = bounded_broadcast(hot, HOT_PARENTS_BROADCAST_ROWS)
-    page = F.when(F.col("_pages").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(*[F.col(f) for f in fields]), F.col("_pages"))).cast("int")
-    rows = children.join(hot_b, match, "left").select(
-        *match, F.struct(*[F.col(f) for f in fields]).alias("_row"), page.alias("page"))
-    if hot_b is hot:   # not broadcast: keep the pages of a hot parent apart
-        rows = rows.repartition(*match, "page")
-    bodies = (rows.groupBy(*match, "page")
-                  .agg(F.to_json(F.array_sort(F.collect_list("_row")), JSON_OPTS)
-                       .alias("body")))
-    req = requests.select(*match)
-    out = req.join(bodies, match, "left")
+    keys = [F.col(m).alias(f"_key_{m}") for m in match]
+    row = F.struct(*[F.col(f) for f in fields])
+    rows = children.select(*keys, row.alias("_row")).groupBy(*[f"_key_{m}" for m in match], "_row") \
+        .agg(F.count(F.lit(1)).alias("_n"))
+    names = [f"_key_{m}" for m in match]
+    placed = running_total(rows, names, [F.col("_row").asc()], "_n", "_upto") \
+        .withColumn("_from", F.col("_upto") - F.col("_n"))
+    size = F.lit(page_rows)
+    placed = placed.withColumn("page", F.explode(F.sequence(
+        F.floor(F.col("_from") / size), F.floor((F.col("_upto") - 1) / size))))
+    low = F.greatest(F.col("_from"), F.col("page") * size)
+    high = F.least(F.col("_upto"), (F.col("page") + 1) * size)
+    part = F.struct(low.alias("at"), (high - low).cast("int").alias("n"), F.col("_row").alias("row"))
+    items = F.flatten(F.transform(F.array_sort(F.collect_list(part)),
+                                  lambda x: F.array_repeat(x["row"], x["n"])))
+    bodies = placed.groupBy(*names, "page").agg(F.to_json(items, JSON_OPTS).alias("body"))
+    bodies = bodies.select(*[F.col(n).alias(m) for n, m in zip(names, match)],
+                           F.col("page").cast("int").alias("page"), "body")
+    out = requests.select(*match).join(bodies, match, "left")
     return out.select(*match, F.coalesce(F.col("page"), F.lit(0)).alias("page"),
                       F.coalesce(F.col("body"), F.lit("[]")).alias("body"))
 

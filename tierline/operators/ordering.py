@@ -1,11 +1,11 @@
-"""Ordering: descending sort, top-1, ordered limit, rank by a value."""
+"""Ordering: descending sort, top-1, rank by a value."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierline.operators.joins import bounded_broadcast
+from tierline.operators.numbering import running_total
 
 
 def sort_desc(df: DataFrame, column: str, tie: str | None = None) -> DataFrame:
@@ -20,20 +20,14 @@ def top1(df: DataFrame, column: str, tie: str | None = None) -> DataFrame:
     return sort_desc(df, column, tie).limit(1)
 
 
-def first_n(df: DataFrame, n: int, order: str) -> DataFrame:
-    """The first ``n`` rows by ``order`` (a top-k: bounded by ``n``)."""
-    return df.orderBy(F.col(order).asc()).limit(n)
-
-
 def rank_desc(df: DataFrame, column: str, name: str = "rank") -> DataFrame:
     """Competition rank by descending ``column`` (1 = largest).
 
-    Rows are counted per distinct value first; only the distinct values
-    (for a year: bounded by the calendar) go through the ordered window,
-    and the rank is joined back, so no task ever holds the whole input.
+    Rows are counted per distinct value, the counts are summed in descending
+    order over range partitions, and the rank is joined back: no task holds
+    the whole input, whatever the column.
     """
     per_value = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy(F.col(column).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = per_value.select(
-        column, (F.coalesce(F.sum("_n").over(w), F.lit(0)) + 1).cast("long").alias(name))
-    return df.join(bounded_broadcast(ranks), column, "inner")
+    ranks = running_total(per_value, [], [F.col(column).desc()], "_n", "_upto").select(
+        F.col(column).alias("_value"), (F.col("_upto") - F.col("_n") + 1).cast("long").alias(name))
+    return df.join(ranks, df[column].eqNullSafe(ranks["_value"])).drop("_value")

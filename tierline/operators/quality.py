@@ -81,7 +81,3 @@ def missing_children(parents: DataFrame, children: DataFrame,
                    .select(F.lit(level).alias("level"),
                            F.col(parent_id).alias("parent_id")))
 
-
-def is_empty(df: DataFrame) -> bool:
-    """Early-stop emptiness test (reads at most one row)."""
-    return df.isEmpty()

@@ -11,16 +11,26 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierline.functions import logs as L
 from tierline.schemas import METRICS
+from tierline.sinks.files import append_json, append_text
 
-# Metric event names of a run.
+# Metric event names of a run, per request of a level.
 EVENT_GET_SEASONS = "GET_SEASONS"
 EVENT_GET_EVENTS = "GET_EVENTS"
 EVENT_GET_CATEGORIES = "GET_CATEGORIES"
 EVENT_GET_SESSIONS = "GET_SESSIONS"
 EVENT_GET_CLASSIFICATION = "GET_CLASSIFICATION"
+# Metric event names of the stages of a run.
+STAGE_TASKS_LIST = "GET_TASKS_LIST"
+STAGE_UPSERT = "UPSERT_QUEUE"
+STAGE_TASKS = "GET_TASKS"
+STAGE_UPDATE = "UPDATE_TASKS"
+STAGE_SILVER = "LOAD_SILVER"
+STAGE_DQ = "CHECK_DQ"
+STAGE_GOLD = "LOAD_GOLD"
 EVENT_RUN = "SCRAPE"
 
 
@@ -39,29 +49,36 @@ def strip_time(lines: DataFrame) -> DataFrame:
     return lines.select(F.regexp_replace("value", r"^\S+ ", "").alias("value"))
 
 
-def failed_keys(parsed: DataFrame) -> dict[str, DataFrame]:
-    """Keys of requests that found no children, per level.
+def failed_keys(parsed: DataFrame) -> DataFrame:
+    """Keys of requests that found no children: one row (entity, first,
+    second) per distinct key, from one pass over the log.
 
-    ``seasons`` -> season_id (no events), ``events`` -> event_id (no
-    categories), ``pairs`` -> (event_id, category_id) (no sessions),
-    ``sessions`` -> session_id (no classification data).  Each set is
-    de-duplicated (partial aggregation before the shuffle).
+    ``entity`` is what was not found; first is the season of missing events,
+    the event of missing categories, the event (second: the category) of
+    missing sessions, the session of missing classifications.
     """
-    err = parsed.filter(F.col("level") == "ERROR")
+    err = parsed.filter((F.col("level") == "ERROR") & (F.size("ids") > 0) & (F.col("entity") != "seasons"))
+    pair = F.col("entity") == "sessions"
+    return err.select("entity", F.col("ids")[0].alias("first"),
+                      F.when(pair, F.get("ids", F.lit(1))).alias("second")) \
+        .filter(F.col("second").isNotNull() | (F.col("entity") != "sessions")).distinct()
 
-    def one(entity: str, name: str) -> DataFrame:
-        return (err.filter(F.col("entity") == entity)
-                   .select(F.explode("ids").alias(name)).distinct())
 
-    pairs = (err.filter(F.col("entity") == "sessions")
-                .select(F.col("ids")[0].alias("event_id"),
-                        F.col("ids")[1].alias("category_id"))
-                .filter(F.col("category_id").isNotNull()).distinct())
+def failed_sets(failed: DataFrame) -> dict[str, DataFrame]:
+    """The four key sets of stored :func:`failed_keys` rows.
+
+    ``seasons`` -> season_id (no events), ``events`` -> event_id (no
+    categories), ``pairs`` -> (event_id, category_id) (no sessions),
+    ``sessions`` -> session_id (no classification data).
+    """
+    def of(entity: str, *names: str) -> DataFrame:
+        cols = [F.col(c).alias(n) for c, n in zip(("first", "second"), names)]
+        return failed.filter(F.col("entity") == entity).select(*cols)
     return {
-        "seasons": one("events", "season_id"),
-        "events": one("categories", "event_id"),
-        "pairs": pairs,
-        "sessions": one("classifications", "session_id"),
+        "seasons": of("events", "season_id"),
+        "events": of("categories", "event_id"),
+        "pairs": of("sessions", "event_id", "category_id"),
+        "sessions": of("classifications", "session_id"),
     }
 
 
@@ -96,6 +113,14 @@ def metric_records(requests: DataFrame, event: str, duration_ms: int,
     return requests.select(*cols)
 
 
-def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """NDJSON metric records with the fixed schema (plus partitions)."""
-    return spark.read.schema(METRICS).json(path)
+def read_metrics(spark: SparkSession, path: str, *partitions: str) -> DataFrame:
+    """NDJSON metric records with the fixed schema (plus partition columns)."""
+    schema = T.StructType([*METRICS.fields, *[T.StructField(p, T.StringType()) for p in partitions]])
+    return spark.read.schema(schema).json(path)
+
+
+def archive(run_id: str, into: str, metrics: DataFrame, log: DataFrame, findings: DataFrame) -> None:
+    """Add the three logs of a run to the archive, under its run id."""
+    append_json(metrics.withColumn("run_id", F.lit(run_id)), f"{into}/metrics", ["run_id"])
+    append_text(log.select("value", F.lit(run_id).alias("run_id")), f"{into}/process", ["run_id"])
+    append_json(findings.withColumn("run_id", F.lit(run_id)), f"{into}/data_quality", ["run_id"])

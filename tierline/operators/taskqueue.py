@@ -2,9 +2,9 @@
 
 The queue is a DataFrame with a fixed schema.  Each transition is a
 set-based step (anti join to insert unseen ids, left joins against
-de-duplicated id sets to update), and each new state is committed as a new
-version of a :class:`~tierline.tables.versioned.VersionedTable`, which also
-cuts the lineage between runs.
+de-duplicated id sets to update), and a run publishes the new state of the
+seasons it touched once, as a new folder, which also cuts the lineage
+between runs.
 
 Status precedence within one run: errored > completed > unchanged.
 """
@@ -16,14 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.operators.joins import bounded_broadcast
 from tierline.schemas import COMPLETED, ERRORED, PENDING, TASK_KEYS, TASKS
-from tierline.tables.versioned import VersionedTable
-
-# Id sets above this many rows are joined by shuffle rather than broadcast.
-ID_SET_BROADCAST_ROWS = 1_000_000
-# Batch size of a full run (the reference's ceiling of 2**16 tasks).
-FULL_RUN_TASKS = 2 ** 16
+from tierline.tables.published import PublishedTable
 
 
 def empty_queue(spark: SparkSession) -> DataFrame:
@@ -45,8 +39,10 @@ def with_defaults(keys: DataFrame, now: Column | None = None,
 
 def new_tasks(queue: DataFrame, batch: DataFrame) -> DataFrame:
     """Rows of ``batch`` (task keys) whose id is not yet queued; duplicates
-    inside the batch collapse to one row per id."""
-    unique = batch.select(*TASK_KEYS).dropDuplicates(["session_id"])
+    inside the batch collapse to one row per id (the smallest keys)."""
+    rest = [k for k in TASK_KEYS if k != "session_id"]
+    unique = (batch.groupBy("session_id").agg(F.min(F.struct(*rest)).alias("_k"))
+              .select("session_id", "_k.*"))
     unseen = unique.join(queue.select(F.col("id").alias("session_id")),
                          "session_id", "left_anti")
     return with_defaults(unseen)
@@ -57,21 +53,24 @@ def upsert(queue: DataFrame, batch: DataFrame) -> DataFrame:
     return queue.select(*TASKS.names).unionByName(new_tasks(queue, batch))
 
 
-def next_batch(queue: DataFrame, n: int) -> DataFrame:
-    """Task keys of the first ``n`` open tasks (status < completed) by id."""
-    return (queue.filter(F.col("status") < COMPLETED)
-                 .orderBy("id").limit(n).select(*TASK_KEYS))
+def open_tasks(queue: DataFrame) -> DataFrame:
+    return queue.filter(F.col("status") < COMPLETED)
+
+
+def next_batch(queue: DataFrame, n: int | None = None) -> DataFrame:
+    """Task keys of the first ``n`` open tasks by id; of all of them without
+    ``n``."""
+    todo = open_tasks(queue)
+    return (todo if n is None else todo.orderBy("id").limit(n)).select(*TASK_KEYS)
 
 
 def _flagged(queue: DataFrame, ids: DataFrame, on: Sequence[tuple[str, str]],
-             flag: str, broadcast_ids: bool = True) -> DataFrame:
+             flag: str) -> DataFrame:
     # Id columns get private names, so the join never sees two columns of
     # the same name, whatever the lineage of ``ids``.
     tmp = [f"{flag}_k{i}" for i in range(len(on))]
     hit = (ids.select(*[F.col(c).alias(t) for (_, c), t in zip(on, tmp)])
               .distinct().withColumn(flag, F.lit(True)))
-    if broadcast_ids:
-        hit = bounded_broadcast(hit, ID_SET_BROADCAST_ROWS)
     cond = None
     for (qcol, _), t in zip(on, tmp):
         c = F.col(qcol) == F.col(t)
@@ -85,14 +84,9 @@ def mark(queue: DataFrame, ids: DataFrame, on: Sequence[tuple[str, str]],
     """Set ``status`` (and stamp the update time) on tasks matching ``ids``
     on the (task column, id column) pairs; with ``guard_not``, tasks
     already in that status are left alone.
-
-    Id sets keyed by season, event or (event, category) are bounded by the
-    hierarchy and broadcast behind a size check; sets keyed by session grow
-    with the data and are joined by shuffle (AQE may still broadcast them).
     """
     now = F.current_timestamp() if now is None else now
-    per_session = any(q in ("id", "session_id") for q, _ in on)
-    j = _flagged(queue, ids, on, "_hit", broadcast_ids=not per_session)
+    j = _flagged(queue, ids, on, "_hit")
     hit = F.coalesce(F.col("_hit"), F.lit(False))
     if guard_not is not None:
         hit = hit & (F.col("status") != guard_not)
@@ -108,29 +102,14 @@ def mark_completed(queue: DataFrame, landed_session_ids: DataFrame) -> DataFrame
                 guard_not=COMPLETED)
 
 
-def mark_errored(queue: DataFrame, failed: dict[str, DataFrame]) -> DataFrame:
-    """Apply the four error sets in the order of the reference updates."""
-    q = queue
-    if "seasons" in failed:
-        q = mark(q, failed["seasons"], [("season_id", "season_id")], ERRORED)
-    if "events" in failed:
-        q = mark(q, failed["events"], [("event_id", "event_id")], ERRORED)
-    if "pairs" in failed:
-        q = mark(q, failed["pairs"], [("event_id", "event_id"),
-                                      ("category_id", "category_id")], ERRORED)
-    if "sessions" in failed:
-        q = mark(q, failed["sessions"], [("session_id", "session_id")], ERRORED)
-    return q
-
-
 def apply_run(queue: DataFrame, landed_session_ids: DataFrame,
               failed: dict[str, DataFrame], now: Column | None = None) -> DataFrame:
     """All transitions of a run in one pass over the queue.
 
     The two id sets keyed by session (landed, failed sessions) are merged
     into one flag table (partial aggregation, one shuffle join); the
-    season, event and (event, category) sets are bounded by the hierarchy
-    and broadcast behind a size check.
+    season, event and (event, category) sets are bounded by the hierarchy,
+    so Spark broadcasts them by their size.
     """
     now = F.current_timestamp() if now is None else now
     by_session = (landed_session_ids.select("session_id", F.lit(1).alias("_done"),
@@ -163,53 +142,38 @@ def without_clocks(queue: DataFrame) -> DataFrame:
 
 
 class TaskQueue:
-    """A queue persisted in a versioned table, one reference per season.
-
-    Every commit writes a snapshot partitioned by season and moves the
-    reference ``season/<id>`` of each season it holds.  The queue is the
-    union of the snapshots the season references point to (partition
-    pruning picks each season's folder), so a run rewrites only the seasons
-    it touched: an incremental run costs its season, not the whole queue.
-    The touched seasons are collected on the driver; they are bounded by the
-    season dimension.
-    """
+    """A queue stored in a published table, one part per season.
 
-    PREFIX = "season/"
+    A run stages the new rows of the seasons it touched in one write,
+    partitioned by season, and publishes those parts; other seasons keep
+    their folders, so a run costs its seasons, not the whole queue.  Season
+    ids come to the driver; they are bounded by the season dimension.
+    """
 
     def __init__(self, spark: SparkSession, location: str):
-        self.table = VersionedTable(spark, location)
+        self.table = PublishedTable(spark, location, schema=TASKS)
         self.spark = spark
 
-    def season_versions(self) -> dict[str, int]:
-        refs = self.table.refs()
-        return {r[len(self.PREFIX):]: v for r, v in refs.items()
-                if r.startswith(self.PREFIX)}
+    def seasons(self) -> list[str]:
+        return sorted(self.table.parts())
 
     def state(self, seasons: Sequence[str] | None = None) -> DataFrame:
         """Tasks of the given seasons (all seasons when None)."""
-        current = self.season_versions()
-        if seasons is not None:
-            wanted = set(seasons)
-            current = {s: v for s, v in current.items() if s in wanted}
-        by_version: dict[int, list[str]] = {}
-        for season, version in current.items():
-            by_version.setdefault(version, []).append(season)
+        wanted = None if seasons is None else set(seasons)
+        by_folder: dict[str, list[str]] = {}
+        for season, folder in self.table.parts().items():
+            if wanted is None or season in wanted:
+                by_folder.setdefault(folder, []).append(season)
         out = empty_queue(self.spark)
-        for version, ss in sorted(by_version.items()):
-            part = (self.spark.read.schema(TASKS).parquet(self.table.snapshot_path(version))
-                    .filter(F.col("season_id").isin(sorted(ss))))
+        for folder, ss in sorted(by_folder.items()):
+            part = self.table.read(folder).filter(F.col("season_id").isin(sorted(ss)))
             out = out.unionByName(part.select(*TASKS.names))
         return out
 
-    def save(self, df: DataFrame, op: str, seasons: Sequence[str]) -> DataFrame:
-        """Commit the new rows of ``seasons`` (and nothing else)."""
-        refs = [self.PREFIX + s for s in sorted(seasons)]
-        if not refs:
-            return self.state([])
-        version = self.table.commit(df, ref=refs[0], also=refs[1:], op=op,
-                                    partition_by=["season_id"])
-        return (self.spark.read.schema(TASKS).parquet(self.table.snapshot_path(version))
-                .select(*TASKS.names))
+    def save(self, df: DataFrame, seasons: Sequence[str]) -> None:
+        """Publish ``df`` as the rows of ``seasons`` (and of nothing else)."""
+        if seasons:
+            self.table.publish(self.table.stage(df, partition_by=["season_id"]), sorted(seasons))
 
     @staticmethod
     def seasons_of(df: DataFrame) -> list[str]:
@@ -217,16 +181,15 @@ class TaskQueue:
 
     def upsert(self, batch: DataFrame) -> DataFrame:
         seasons = self.seasons_of(batch)
-        self.save(upsert(self.state(seasons), batch), "upsert", seasons)
+        self.save(upsert(self.state(seasons), batch), seasons)
         return self.state()
 
-    def next_batch(self, n: int) -> DataFrame:
+    def next_batch(self, n: int | None = None) -> DataFrame:
         return next_batch(self.state(), n)
 
     def apply_run(self, landed_session_ids: DataFrame, failed: dict[str, DataFrame],
                   seasons: Sequence[str] | None = None) -> DataFrame:
         """Transitions of a run over the seasons it touched (all when None)."""
-        seasons = sorted(self.season_versions()) if seasons is None else list(seasons)
-        new = apply_run(self.state(seasons), landed_session_ids, failed)
-        self.save(new, "apply_run", seasons)
+        seasons = self.seasons() if seasons is None else list(seasons)
+        self.save(apply_run(self.state(seasons), landed_session_ids, failed), seasons)
         return self.state()

@@ -1,8 +1,10 @@
 """DuckDB SQL for the correctness check.
 
 Each statement starts with the entity views (``f_*``) derived from the
-driver tables exactly as ``tierline.sources.fixture`` derives them, then
-states the expected result of one query of ``tierline.queries``.
+driver tables exactly as ``tierline.sources.fixture`` derives them, and the
+views with childless parents (``p_*``, as ``with_gaps`` has them) that the
+process log ``f_log`` is about; then it states the expected result of one
+query of ``tierline.checks``.
 """
 
 from __future__ import annotations
@@ -56,27 +58,49 @@ f_gold AS (
   LEFT JOIN f_events e ON e.id = c.event_id
   LEFT JOIN f_categories ca ON ca.id = c.category_id AND ca.event_id = c.event_id
   LEFT JOIN f_sessions s ON s.id = c.session_id),
+p_events AS (
+  SELECT * FROM f_events WHERE season_id <> (SELECT max(id) FROM f_seasons)),
+p_categories AS (
+  SELECT * FROM f_categories WHERE event_id IN (SELECT id FROM p_events)
+  AND event_id <> (SELECT min(id) FROM p_events)),
+p_sessions AS (
+  SELECT s.* FROM f_sessions s SEMI JOIN p_categories c
+  ON s.event_id = c.event_id AND s.category_id = c.id
+  WHERE (s.event_id, s.category_id) <> (SELECT (event_id, id) FROM p_categories ORDER BY event_id, id LIMIT 1)),
 f_log AS (
   SELECT 'INFO' AS level, 'getting seasons' AS message
   UNION ALL SELECT 'INFO', 'getting events for season: ' || id FROM f_seasons
   UNION ALL SELECT 'INFO', 'getting category for season: ' || season_id || ', event: ' || id
-    FROM f_events
+    FROM p_events
   UNION ALL SELECT 'INFO', 'getting session for season: ' || season_id || ', event: ' || event_id
-    || ', category: ' || id FROM f_categories
+    || ', category: ' || id FROM p_categories
   UNION ALL SELECT 'INFO', 'getting classification for season: ' || season_id || ', event: '
-    || event_id || ', category: ' || category_id || ', session: ' || id FROM f_sessions
+    || event_id || ', category: ' || category_id || ', session: ' || id FROM p_sessions
   UNION ALL SELECT 'ERROR', 'found no events for season: ' || p.id
-    FROM f_seasons p ANTI JOIN f_events c ON c.season_id = p.id
+    FROM f_seasons p ANTI JOIN p_events c ON c.season_id = p.id
   UNION ALL SELECT 'ERROR', 'found no categories for event: ' || p.id
-    FROM f_events p ANTI JOIN f_categories c ON c.event_id = p.id
+    FROM p_events p ANTI JOIN p_categories c ON c.event_id = p.id
   UNION ALL SELECT 'ERROR', 'found no sessions for event: ' || p.event_id || ', category: ' || p.id
-    FROM f_categories p ANTI JOIN f_sessions c
+    FROM p_categories p ANTI JOIN p_sessions c
     ON c.event_id = p.event_id AND c.category_id = p.id
   UNION ALL SELECT 'ERROR', 'found no classification data for session: ' || p.id
-    FROM f_sessions p ANTI JOIN f_classifications c ON c.session_id = p.id)
+    FROM p_sessions p ANTI JOIN f_classifications c ON c.session_id = p.id)
 """
 
 
+# Fixed values in DuckDB form, as in ``tierline.functions.logs``: an id token,
+# and the entity a log message is about.
+UUID_SQL = ("'[[:alnum:]]{8}-[[:alnum:]]{4}-[[:alnum:]]{4}-[[:alnum:]]{4}-"
+            "[[:alnum:]]{12}'")
+ENTITY_SQL = """CASE
+  WHEN message LIKE 'getting seasons%' OR message LIKE 'found no seasons%' THEN 'seasons'
+  WHEN message LIKE 'getting events%' OR message LIKE 'found no events%' THEN 'events'
+  WHEN message LIKE 'getting category%' OR message LIKE 'found no categories%' THEN 'categories'
+  WHEN message LIKE 'getting session %' OR message LIKE 'found no sessions%' THEN 'sessions'
+  WHEN message LIKE 'getting classification%' OR message LIKE 'found no classification%'
+    THEN 'classifications' END"""
+
+
 def with_entities(body: str) -> str:
     body = body.strip()
     sep = "\n" if body[:6].upper() == "SELECT" else ",\n"

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.schemas import (CLASSIFICATIONS, CLASSIFICATIONS_BRONZE,
-                              ENTITY_SCHEMAS, LEVELS)
+                              ENTITY_SCHEMAS, LEVELS, S, struct)
 from tierline.sinks.files import land_csv, write_parquet
-from tierline.sources.files import read_csv_raw, read_csv_typed
+from tierline.sources.files import create_namespace, read_csv_raw, read_csv_typed
+from tierline.tables import files
 
 ENTITIES = ["seasons", "events", "categories", "sessions", "classifications"]
 
@@ -39,10 +41,29 @@ def partition_layout(entity: str, layout: str = "scale") -> tuple[str, ...]:
     return SCALE_LAYOUT[entity]
 
 
+# Classification files lie below a ``run_id=`` level in every layout, so a
+# run that is repeated replaces its own files and runs add up.  Landings that
+# are no run use this id.
+LANDING = "landing"
+
+
+class LayoutError(ValueError):
+    """The lake's bronze files were landed in another layout."""
+
+
 @dataclass(frozen=True)
 class Lake:
     root: str
 
+    def use_layout(self, spark: SparkSession, layout: str) -> None:
+        """Note the bronze layout at the first landing, refuse another later."""
+        path = f"{self.root}/_bronze_layout"
+        known = files.read_line(spark, path)
+        if known is None:
+            files.write_line(spark, path, layout)
+        elif known != layout:
+            raise LayoutError(f"{self.root} is landed in layout {known!r}, not {layout!r}")
+
     def bronze(self, entity: str) -> str:
         return f"{self.root}/bronze/{entity}"
 
@@ -63,6 +84,11 @@ class Lake:
         """Catalog namespace of this lake's bucketed silver tables."""
         return "silver_" + hashlib.sha1(self.root.encode()).hexdigest()[:12]
 
+    @property
+    def gold_db(self) -> str:
+        """Catalog namespace of this lake's gold tables."""
+        return "gold_" + hashlib.sha1(self.root.encode()).hexdigest()[:12]
+
 
 def to_bronze_columns(entity: str, df: DataFrame) -> DataFrame:
     """Rows in the landed column order; classifications use the short
@@ -74,19 +100,35 @@ def to_bronze_columns(entity: str, df: DataFrame) -> DataFrame:
 
 
 def land_entity(lake: Lake, entity: str, df: DataFrame, layout: str = "scale",
-                mode: str = "overwrite") -> None:
-    land_csv(to_bronze_columns(entity, df), lake.bronze(entity),
-             partition_layout(entity, layout), mode=mode)
+                run_id: str = LANDING, replace: bool = False) -> None:
+    """Land rows of an entity; the partitions present in ``df`` are replaced,
+    with ``replace`` the whole entity."""
+    lake.use_layout(df.sparkSession, layout)
+    rows, keys = to_bronze_columns(entity, df), tuple(partition_layout(entity, layout))
+    if entity == "classifications":
+        rows, keys = rows.withColumn("run_id", F.lit(run_id)), (*keys, "run_id")
+    land_csv(rows, lake.bronze(entity), keys, dynamic=not replace)
 
 
-def read_bronze(spark: SparkSession, lake: Lake, entity: str,
-                filename: str | None = None) -> DataFrame:
-    """Typed bronze read; returns the entity columns in schema order (plus
-    ``filename`` when asked)."""
+def read_bronze(spark: SparkSession, lake: Lake, entity: str, filename: str | None = None,
+                seasons: Sequence[str] | None = None, run_id: str | None = None) -> DataFrame:
+    """Typed bronze read; the entity columns in schema order (plus
+    ``filename`` when asked).  ``seasons`` and ``run_id`` are literal filters
+    on partition columns, so only their folders are listed and read."""
     schema = ENTITY_SCHEMAS[entity]
+    if entity == "classifications":
+        schema = struct(*[(f.name, f.dataType) for f in schema.fields], ("run_id", S))
     df = read_csv_typed(spark, lake.bronze(entity), schema, filename=filename)
-    cols = list(schema.names) + ([filename] if filename else [])
-    return df.select(*cols)
+    if run_id is not None:
+        df = df.filter(F.col("run_id") == run_id)
+    return of_seasons(df, entity, seasons).select(*ENTITY_SCHEMAS[entity].names,
+                                                  *([filename] if filename else []))
+
+
+def of_seasons(df: DataFrame, entity: str, seasons: Sequence[str] | None) -> DataFrame:
+    if seasons is None:
+        return df
+    return df.filter(F.col("id" if entity == "seasons" else "season_id").isin(sorted(seasons)))
 
 
 def read_bronze_raw(spark: SparkSession, lake: Lake, entity: str) -> DataFrame:
@@ -98,20 +140,24 @@ BUCKET_KEYS = {"classifications": "session_id", "sessions": "id"}
 
 
 # Silver layout of the entities that grow with the data: a run refreshes
-# only the partitions of the seasons it crawled.
+# only the partitions of the seasons it touched.
 SILVER_LAYOUT = {"classifications": ("season_id", "event_id"),
                  "sessions": ("season_id", "event_id")}
+# Silver classifications keep the file each row was landed in.
+FILENAME = "filename"
 
 
 def load_silver(spark: SparkSession, lake: Lake, entities=ENTITIES,
-                buckets: int | None = None, seasons: DataFrame | None = None) -> None:
+                buckets: int | None = None, seasons: Sequence[str] | None = None) -> None:
     """Bronze CSV -> one parquet dataset per entity.
 
     Classifications and sessions are partitioned by (season, event).  With
-    ``seasons`` (a ``season_id`` column), only those seasons are re-read
-    from bronze (partition pruning) and only their partitions replaced, so
-    an incremental run costs its season, not the whole lake; the bounded
-    dimensions are rewritten whole.  Without it every dataset is replaced.
+    ``seasons`` only those seasons are re-read from bronze (literal partition
+    filters) and only their partitions replaced, so an incremental run costs
+    its seasons, not the whole lake; the bounded dimensions are rewritten
+    whole.  Without it every dataset is replaced.  Bronze is laid out by
+    season and event already, so silver is written straight from its scan,
+    without an exchange.
 
     With ``buckets`` (full loads), classifications and sessions are written
     instead as catalog tables bucketed on the session id (one file per
@@ -124,32 +170,36 @@ def load_silver(spark: SparkSession, lake: Lake, entities=ENTITIES,
     if buckets and seasons is not None:
         raise ValueError("bucketed silver is loaded whole; pass no seasons")
     for e in entities:
-        df = read_bronze(spark, lake, e)
+        fact = e == "classifications"
+        df = read_bronze(spark, lake, e, filename=FILENAME if fact else None,
+                         seasons=seasons if e in SILVER_LAYOUT else None)
         if buckets and e in BUCKET_KEYS:
             key = BUCKET_KEYS[e]
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS {lake.silver_db}")
+            create_namespace(spark, f"{lake.silver_db}.{e}", lake.silver(e))
             (df.repartition(buckets, key).write.mode("overwrite")
                .bucketBy(buckets, key).option("path", lake.silver(e))
                .saveAsTable(f"{lake.silver_db}.{e}"))
             continue
-        if e in BUCKET_KEYS:
+        if e in BUCKET_KEYS and spark.catalog.tableExists(f"{lake.silver_db}.{e}"):
             # A plain reload replaces an earlier bucketed table.
-            spark.sql(f"DROP TABLE IF EXISTS {lake.silver_db}.{e}")
+            spark.sql(f"DROP TABLE {lake.silver_db}.{e}")
         if e in SILVER_LAYOUT:
-            if seasons is not None:
-                df = df.join(seasons.select("season_id"), "season_id", "left_semi")
             write_parquet(df, lake.silver(e), partition_by=SILVER_LAYOUT[e],
-                          dynamic=seasons is not None)
+                          dynamic=seasons is not None, spread=False)
         else:
             write_parquet(df, lake.silver(e))
 
 
-def read_silver(spark: SparkSession, lake: Lake, entity: str) -> DataFrame:
+def read_silver(spark: SparkSession, lake: Lake, entity: str, filename: bool = False,
+                seasons: Sequence[str] | None = None) -> DataFrame:
     """Silver dataset; through the catalog when it is a bucketed table of
-    this lake (bucket-aware scan), else by path."""
-    name = f"{lake.silver_db}.{entity}"
-    schema = ENTITY_SCHEMAS[entity]
+    this lake (bucket-aware scan), else by path.  ``seasons`` is a literal
+    filter on the partition column."""
+    name, schema = f"{lake.silver_db}.{entity}", ENTITY_SCHEMAS[entity]
     if entity in BUCKET_KEYS and spark.catalog.tableExists(name):
-        return spark.table(name).select(*schema.names)
-    # The schema types partition columns too (ids stay strings).
-    return spark.read.schema(schema).parquet(lake.silver(entity)).select(*schema.names)
+        df = spark.table(name)
+    else:
+        # The schema types partition columns too (ids stay strings).
+        typed = struct(*[(f.name, f.dataType) for f in schema.fields], *([(FILENAME, S)] if filename else []))
+        df = spark.read.schema(typed).parquet(lake.silver(entity))
+    return of_seasons(df, entity, seasons).select(*schema.names, *([FILENAME] if filename else []))

@@ -2,66 +2,78 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from contextlib import nullcontext
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tierline.operators.crawl import Crawl, expand_classifications
-from tierline.operators.gold import gold_results
-from tierline.plans.lake import (Lake, land_entity, load_silver, partition_layout,
-                                 read_silver, to_bronze_columns)
-from tierline.sinks.files import land_csv, write_parquet
+from tierline.operators.crawl import (Crawl, crawl_of, expand_categories, expand_classifications,
+                                      expand_events, expand_sessions)
+from tierline.operators.gold import check_dimensions, gold_results
+from tierline.plans.lake import LANDING, Lake, land_entity, read_bronze, read_silver
+from tierline.sinks.files import write_parquet
+from tierline.sources.entities import EntitySource
+from tierline.sources.files import register_external
+
 
+def land_crawl(spark: SparkSession, lake: Lake, seasons: DataFrame, src: EntitySource,
+               layout: str = "scale", only: Sequence[str] | None = None,
+               clock: Callable = lambda entity: nullcontext()) -> Crawl:
+    """Crawl level by level: each level is landed, and its landed rows are
+    the requests of the next one, so every source is read once.
 
-def land_hierarchy(lake: Lake, c: Crawl, layout: str = "scale") -> None:
-    """Land seasons, events, categories and sessions of a crawl."""
-    land_entity(lake, "seasons", c.seasons, layout)
-    land_entity(lake, "events", c.events, layout)
-    land_entity(lake, "categories", c.categories, layout)
-    land_entity(lake, "sessions", c.sessions, layout)
+    ``only``: the ids of ``seasons`` where these are not all; the landed
+    levels are then read for those seasons alone.  ``clock(entity)`` is a
+    context manager around the landing of a level.
+    """
+    levels: dict[str, DataFrame] = {}
+    steps = [("seasons", lambda: seasons),
+             ("events", lambda: expand_events(levels["seasons"], src.events)),
+             ("categories", lambda: expand_categories(levels["events"], src.categories)),
+             ("sessions", lambda: expand_sessions(levels["categories"], src.sessions))]
+    for entity, rows in steps:
+        with clock(entity):
+            land_entity(lake, entity, rows(), layout)
+            levels[entity] = read_bronze(spark, lake, entity, seasons=only)
+    return crawl_of(**levels)
 
 
 def land_classifications(lake: Lake, batch: DataFrame, classifications_src: DataFrame,
-                         layout: str = "scale", broadcast_batch: bool = True,
-                         run_id: str | None = None) -> None:
-    """Fetch and land the leaf rows of a batch of task keys.
-
-    With ``run_id`` the rows land under an extra ``run_id=`` level, so a
-    rerun of the same run replaces only its own files and batches of
-    different runs accumulate (the queue never hands out a landed task
-    twice).  Without it the landing replaces the partitions it writes.
-    """
-    rows = expand_classifications(batch, classifications_src, broadcast_batch)
-    if run_id is None:
-        land_entity(lake, "classifications", rows, layout)
-        return
-    keys = tuple(partition_layout("classifications", layout)) + ("run_id",)
-    land_csv(to_bronze_columns("classifications", rows).withColumn("run_id", F.lit(run_id)),
-             lake.bronze("classifications"), keys)
+                         layout: str = "scale", run_id: str = LANDING, replace: bool = False) -> None:
+    """Fetch and land the leaf rows of a batch of task keys, below the run's
+    own folder level; with ``replace`` they become all there is."""
+    land_entity(lake, "classifications", expand_classifications(batch, classifications_src),
+                layout, run_id, replace)
+
+
+def silver_dimensions(spark: SparkSession, lake: Lake,
+                      seasons: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """Seasons, events, categories, sessions of silver; sessions only of the
+    given seasons."""
+    return {e: read_silver(spark, lake, e, seasons=seasons if e == "sessions" else None)
+            for e in ["seasons", "events", "categories", "sessions"]}
 
 
 def silver_gold(spark: SparkSession, lake: Lake, style: str = "bash",
-                seasons: DataFrame | None = None,
-                keep_season_id: bool = False) -> DataFrame:
-    """Gold over the silver datasets of a lake (lazy); with ``seasons``
-    only the fact rows of those seasons (partition-pruned)."""
-    s = {e: read_silver(spark, lake, e) for e in
-         ["classifications", "seasons", "events", "categories", "sessions"]}
-    fact = s["classifications"]
-    if seasons is not None:
-        fact = fact.join(seasons.select("season_id"), "season_id", "left_semi")
-    return gold_results(fact, s["seasons"], s["events"], s["categories"], s["sessions"],
+                seasons: Sequence[str] | None = None, keep_season_id: bool = False) -> DataFrame:
+    """Gold over the silver datasets of a lake (lazy, no job); with
+    ``seasons`` only the rows of those seasons, by literal partition filters."""
+    return gold_results(read_silver(spark, lake, "classifications", seasons=seasons),
+                        **silver_dimensions(spark, lake, seasons),
                         style=style, keep_season_id=keep_season_id)
 
 
 def build_gold(spark: SparkSession, lake: Lake, style: str = "bash",
-               name: str = "results", seasons: DataFrame | None = None) -> DataFrame:
+               name: str = "results", seasons: Sequence[str] | None = None) -> DataFrame:
     """Silver -> gold parquet, read back (gold columns only).
 
     Gold is stored partitioned by the season id of its fact rows (a hidden
     partition column; ``year`` can be NULL when a dimension row is missing,
     the season id cannot).  With ``seasons`` only those seasons' folders are
-    rebuilt and replaced; other seasons stay as they are.
+    rebuilt and replaced; other seasons stay as they are.  The dimension keys
+    are checked first: a repeated one stops the build.
     """
+    check_dimensions(**silver_dimensions(spark, lake, seasons))
     g = silver_gold(spark, lake, style, seasons, keep_season_id=True)
     write_parquet(g, lake.gold(name), partition_by=["season_id"],
                   dynamic=seasons is not None)
@@ -69,12 +81,6 @@ def build_gold(spark: SparkSession, lake: Lake, style: str = "bash",
     return spark.read.schema(g.schema).parquet(lake.gold(name)).select(*cols)
 
 
-def transform(spark: SparkSession, lake: Lake, c: Crawl,
-              classifications_src: DataFrame, style: str = "bash",
-              layout: str = "scale") -> DataFrame:
-    """Transform run: land every level, load silver, build gold."""
-    land_hierarchy(lake, c, layout)
-    land_classifications(lake, c.tasks, classifications_src, layout,
-                         broadcast_batch=False)
-    load_silver(spark, lake)
-    return build_gold(spark, lake, style)
+def register_gold(spark: SparkSession, lake: Lake, name: str = "results") -> DataFrame:
+    """The gold dataset as a table of the lake's gold namespace."""
+    return register_external(spark, f"{lake.gold_db}.{name}", lake.gold(name))

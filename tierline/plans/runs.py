@@ -14,26 +14,27 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.operators.crawl import crawl, request_log
+from tierline.operators.crawl import request_log
+from tierline.operators.gold import check_dimensions, gold_results
 from tierline.operators.ordering import top1
 from tierline.operators.quality import null_count_by_file
 from tierline.operators.runlog import (EVENT_GET_CATEGORIES, EVENT_GET_CLASSIFICATION,
                                        EVENT_GET_EVENTS, EVENT_GET_SEASONS,
-                                       EVENT_GET_SESSIONS, failed_keys, metric_records,
-                                       parse_log, run_summary)
-from tierline.operators.taskqueue import FULL_RUN_TASKS, TaskQueue
-from tierline.plans.lake import Lake, land_entity, load_silver, read_bronze
-from tierline.plans.medallion import build_gold, land_classifications, land_hierarchy
+                                       EVENT_GET_SESSIONS, STAGE_DQ, STAGE_GOLD,
+                                       STAGE_SILVER, STAGE_TASKS, STAGE_TASKS_LIST,
+                                       STAGE_UPDATE, STAGE_UPSERT, failed_keys, failed_sets,
+                                       metric_records, parse_log, run_summary)
+from tierline.operators.taskqueue import (TaskQueue, apply_run, mark_completed, next_batch,
+                                          open_tasks, upsert)
+from tierline.plans.lake import Lake, load_silver, read_bronze, read_silver
+from tierline.plans.medallion import (build_gold, land_classifications, land_crawl,
+                                      register_gold)
 from tierline.plans.models import ModelGraph, passthrough, renamed
-from tierline.operators.gold import gold_results
-from tierline.schemas import (AUDIT_DIMS, CLASSIFICATIONS, CLASSIFICATIONS_BRONZE,
-                              ENTITY_SCHEMAS, S, struct)
-from tierline.sinks.files import append_json, append_text
-from tierline.sources.fixture import EntitySource
-from tierline.sources.files import read_csv_typed
+from tierline.schemas import AUDIT_DIMS, CLASSIFICATIONS_BRONZE, DQ_FINDINGS, ENTITY_SCHEMAS
+from tierline.sources.entities import EntitySource
 from tierline.sources.registry import SourceRegistry
-from tierline.tables import wap
-from tierline.tables.versioned import VersionedTable
+from tierline.tables import files, wap
+from tierline.tables.published import PublishedTable
 
 FULL, INCREMENTAL = "FULL", "INCREMENTAL"
 
@@ -65,26 +66,39 @@ class _Clock:
 
 def transform(spark: SparkSession, lake: Lake, src: EntitySource,
               style: str = "bash", layout: str = "scale") -> DataFrame:
-    """Bronze -> silver -> gold for every entity (no queue).  ``layout``
-    "reference" lands bronze with one folder level per parent key."""
-    c = crawl(src.seasons, src.events, src.categories, src.sessions)
-    land_hierarchy(lake, c, layout)
-    land_classifications(lake, c.tasks, src.classifications, layout,
-                         broadcast_batch=False)
+    """Bronze -> silver -> gold for every entity (no queue); replaces the
+    classifications that earlier runs landed.  ``layout`` "reference" lands
+    bronze with one folder level per parent key."""
+    c = land_crawl(spark, lake, src.seasons, src, layout)
+    land_classifications(lake, c.tasks, src.classifications, layout, replace=True)
     load_silver(spark, lake)
     return build_gold(spark, lake, style)
 
 
+def landed_sessions(spark: SparkSession, lake: Lake, seasons: list[str]) -> DataFrame:
+    """Session ids with landed classifications, of the given seasons."""
+    if not seasons or not files.exists(spark, lake.bronze("classifications")):
+        return spark.createDataFrame([], "session_id string")
+    return read_bronze(spark, lake, "classifications", seasons=seasons).select("session_id").distinct()
+
+
 def run(spark: SparkSession, lake: Lake, src: EntitySource, mode: str = FULL,
         n: int | None = None, run_id: str | None = None,
         layout: str = "scale") -> RunReport:
     """One run with the task queue.
 
-    FULL: every season, up to 65,536 tasks.  INCREMENTAL: the latest season,
-    ``n`` tasks.  Landed tasks are marked completed, tasks whose request
-    found no data errored (errored wins), and logs, metrics and data-quality
-    findings are appended under ``run_id``.
+    FULL: every season, every open task (``n`` of them if given).
+    INCREMENTAL: the latest season, ``n`` tasks.  Landed tasks are marked
+    completed, tasks whose request found no data errored (errored wins), and
+    logs, metrics and data-quality findings are stored under ``run_id``.
+
+    A run may die at any point and be repeated under a new id: a task whose
+    session is landed is complete, whichever run landed it, so nothing is
+    fetched twice; and the queue is published last, in one write, so the
+    seasons a dead run landed are still open and are refreshed again.
     """
+    if n is not None and n < 1 or mode != FULL and n is None:
+        raise ValueError(f"a run of mode {mode} cannot take {n} tasks")
     run_id = run_id or str(time.time_ns())
     rep = RunReport(run_id, mode)
     clock = _Clock(rep)
@@ -92,94 +106,71 @@ def run(spark: SparkSession, lake: Lake, src: EntitySource, mode: str = FULL,
     queue = TaskQueue(spark, lake.table("tasks"))
 
     seasons = src.seasons if mode == FULL else top1(src.seasons, "year", "id")
-    c = crawl(seasons, src.events, src.categories, src.sessions)
-    level_events = [(EVENT_GET_SEASONS, "seasons", c.seasons),
-                    (EVENT_GET_EVENTS, "events", c.events),
-                    (EVENT_GET_CATEGORIES, "categories", c.categories),
-                    (EVENT_GET_SESSIONS, "sessions", c.sessions)]
-    with clock("GET_TASKS_LIST"):
-        for event, entity, df in level_events:
-            with clock(event):
-                land_entity(lake, entity, df, layout)
-    # Later levels read the landed files, not the source again.
-    landed_tasks = read_bronze(spark, lake, "sessions").select(
-        "season_id", "event_id", "category_id", F.col("id").alias("session_id"))
-    if mode != FULL:
-        landed_tasks = landed_tasks.join(
-            seasons.select(F.col("id").alias("season_id")), "season_id", "left_semi")
-    with clock("UPSERT_QUEUE"):
-        queue.upsert(landed_tasks)
-    with clock("GET_TASKS"):
+    only = None if mode == FULL else [r["id"] for r in seasons.select("id").collect()]
+    event_of = {"seasons": EVENT_GET_SEASONS, "events": EVENT_GET_EVENTS,
+                "categories": EVENT_GET_CATEGORIES, "sessions": EVENT_GET_SESSIONS}
+    with clock(STAGE_TASKS_LIST):
+        c = land_crawl(spark, lake, seasons, src, layout, only, lambda e: clock(event_of[e]))
+    with clock(STAGE_UPSERT):
+        queued = upsert(queue.state(), c.tasks)
+        # Seasons with open tasks: bounded by the season dimension.
+        open_seasons = TaskQueue.seasons_of(open_tasks(queued))
+        ready = mark_completed(queued, landed_sessions(spark, lake, open_seasons))
+    with clock(STAGE_TASKS):
         batch_path = lake.logs(f"batches/run_id={run_id}")
-        queue.next_batch(n if mode != FULL and n else FULL_RUN_TASKS) \
-             .write.mode("overwrite").parquet(batch_path)
+        next_batch(ready, n).write.mode("overwrite").parquet(batch_path)
         batch = spark.read.parquet(batch_path)
-    with clock("GET_CLASSIFICATION"):
-        land_classifications(lake, batch, src.classifications, layout, run_id=run_id)
-
-    this_run = read_bronze_run(spark, lake, run_id)
-    log = request_log(seasons, c, src.classifications, batch=batch,
-                      fetched=this_run.select("session_id"))
-    append_text(log.withColumn("run_id", F.lit(run_id)), lake.logs("process"),
-                partition_by=["run_id"])
-    parsed = parse_log(spark.read.text(f"{lake.logs('process')}/run_id={run_id}"))
-
-    with clock("UPDATE_TASKS"):
-        # The run touched the seasons it crawled and those of its batch.
-        touched_ids = sorted(set(TaskQueue.seasons_of(seasons.select(
-            F.col("id").alias("season_id")))) | set(TaskQueue.seasons_of(batch)))
-        queue.apply_run(this_run.select("session_id"), failed_keys(parsed),
-                        seasons=touched_ids)
-
-    # Silver and gold are refreshed for the same seasons: a batch may hold
-    # open tasks of seasons this run did not crawl.
-    touched = spark.createDataFrame([(s,) for s in touched_ids], "season_id string")
-    with clock("LOAD_SILVER"):
+    with clock(EVENT_GET_CLASSIFICATION):
+        land_classifications(lake, batch, src.classifications, layout, run_id)
+
+    this_run = read_bronze(spark, lake, "classifications", seasons=open_seasons, run_id=run_id)
+    log_path = lake.logs(f"process/run_id={run_id}")
+    request_log(c, this_run.select("session_id"), batch).write.mode("overwrite").text(log_path)
+    parsed = parse_log(spark.read.text(log_path))
+    failed_path = lake.logs(f"failed/run_id={run_id}")
+    failed_keys(parsed).write.mode("overwrite").parquet(failed_path)
+
+    # The run touched the seasons it crawled and those with open tasks.
+    crawled = TaskQueue.seasons_of(c.tasks) if only is None else only
+    touched = sorted(set(crawled) | set(open_seasons))
+    with clock(STAGE_SILVER):
         load_silver(spark, lake, seasons=touched)
-    with clock("CHECK_DQ"):
-        findings = null_count_by_file(read_bronze_run(spark, lake, run_id, filename="filename"))
-        findings = findings.withColumn("run_id", F.lit(run_id))
-        append_json(findings, lake.logs("data_quality"), partition_by=["run_id"])
-        rep.dq_alert = not spark.read.json(lake.logs("data_quality")) \
-            .filter(F.col("run_id") == run_id).isEmpty()
-    with clock("LOAD_GOLD"):
+    with clock(STAGE_DQ):
+        dq_path = lake.logs(f"data_quality/run_id={run_id}")
+        null_count_by_file(read_silver(spark, lake, "classifications", filename=True)) \
+            .write.mode("overwrite").json(dq_path)
+        rep.dq_alert = not spark.read.schema(DQ_FINDINGS).json(dq_path).isEmpty()
+    with clock(STAGE_GOLD):
         rep.gold = build_gold(spark, lake, seasons=touched)
+        register_gold(spark, lake)
+    with clock(STAGE_UPDATE):
+        done = landed_sessions(spark, lake, touched)
+        failed = failed_sets(spark.read.parquet(failed_path))
+        queue.save(apply_run(upsert(queue.state(touched), c.tasks), done, failed), touched)
 
-    duration = int((time.monotonic() - t_run) * 1000)
-    # One record per request of each level, with that level's duration;
-    # the other stages get one record each.
-    one = spark.range(1)
-    recs = [metric_records(one, EVENT_GET_SEASONS, rep.stage_ms[EVENT_GET_SEASONS], []),
-            metric_records(c.requests["events"], EVENT_GET_EVENTS,
-                           rep.stage_ms[EVENT_GET_EVENTS], ["season_id"]),
-            metric_records(c.requests["categories"], EVENT_GET_CATEGORIES,
-                           rep.stage_ms[EVENT_GET_CATEGORIES], ["event_id"]),
-            metric_records(c.requests["sessions"], EVENT_GET_SESSIONS,
-                           rep.stage_ms[EVENT_GET_SESSIONS], ["event_id", "category_id"]),
-            metric_records(batch, EVENT_GET_CLASSIFICATION,
-                           rep.stage_ms["GET_CLASSIFICATION"], ["session_id"])]
-    per_request = {EVENT_GET_SEASONS, EVENT_GET_EVENTS, EVENT_GET_CATEGORIES,
-                   EVENT_GET_SESSIONS, EVENT_GET_CLASSIFICATION}
-    stages = spark.createDataFrame(
-        [(k, v) for k, v in rep.stage_ms.items() if k not in per_request],
-        "event string, duration_ms long")
-    metrics = recs[0]
-    for r in recs[1:]:
-        metrics = metrics.unionByName(r)
-    metrics = metrics.unionByName(stages, allowMissingColumns=True) \
-                     .unionByName(run_summary(parsed, duration), allowMissingColumns=True)
-    append_json(metrics.withColumn("run_id", F.lit(run_id)), lake.logs("metrics"),
-                partition_by=["run_id"])
+    _store_metrics(spark, lake, rep, c, batch, parsed, int((time.monotonic() - t_run) * 1000))
     return rep
 
 
-def read_bronze_run(spark: SparkSession, lake: Lake, run_id: str,
-                    filename: str | None = None) -> DataFrame:
-    """Classification rows landed by one run (partition filter on run_id)."""
-    schema = struct(*[(f.name, f.dataType) for f in CLASSIFICATIONS.fields], ("run_id", S))
-    df = read_csv_typed(spark, lake.bronze("classifications"), schema, filename=filename)
-    df = df.filter(F.col("run_id") == run_id)
-    return df.select(*CLASSIFICATIONS.names, *([filename] if filename else []))
+def _store_metrics(spark, lake, rep: RunReport, c, batch: DataFrame, parsed: DataFrame,
+                   duration: int) -> None:
+    """One record per request of each level, with that level's duration; the
+    other stages and the run get one record each."""
+    levels = [(EVENT_GET_SEASONS, spark.range(1), []),
+              (EVENT_GET_EVENTS, c.requests["events"], ["season_id"]),
+              (EVENT_GET_CATEGORIES, c.requests["categories"], ["event_id"]),
+              (EVENT_GET_SESSIONS, c.requests["sessions"], ["event_id", "category_id"]),
+              (EVENT_GET_CLASSIFICATION, batch, ["session_id"])]
+    per_request = {event for event, _, _ in levels}
+    metrics = spark.createDataFrame(
+        [(k, v) for k, v in rep.stage_ms.items() if k not in per_request],
+        "event string, duration_ms long")
+    for event, requests, dims in levels:
+        metrics = metrics.unionByName(metric_records(requests, event, rep.stage_ms[event], dims),
+                                      allowMissingColumns=True)
+    metrics = metrics.unionByName(run_summary(parsed, duration), allowMissingColumns=True)
+    metrics.write.mode("overwrite").option("ignoreNullFields", "false") \
+        .json(lake.logs(f"metrics/run_id={rep.run_id}"))
 
 
 def models(spark: SparkSession, lake: Lake, out_root: str) -> DataFrame:
@@ -204,25 +195,28 @@ def models(spark: SparkSession, lake: Lake, out_root: str) -> DataFrame:
             "season_id", "event_id", "category_id", "session_id",
             F.col("rider_name").alias("name"), F.col("rider_number").alias("number"),
             F.col("rider_position").alias("position"), F.col("rider_points").alias("points"))
-        return gold_results(c, g.ref("stg_seasons"), g.ref("stg_events"),
-                            g.ref("stg_categories"), g.ref("stg_sessions"), style="dbt")
+        dims = {e: g.ref(f"stg_{e}") for e in ["seasons", "events", "categories", "sessions"]}
+        check_dimensions(**dims)
+        return gold_results(c, **dims, style="dbt")
 
     return g.ref("fct_placements")
 
 
 def wap_run(spark: SparkSession, lake: Lake, bronze_root: str | None = None) -> DataFrame:
-    """Bronze -> silver tables (replaced directly) -> gold staged on the
-    audit branch -> audit -> publish -> clean up; returns published main.
+    """Bronze -> silver tables (replaced directly) -> gold staged, audited and
+    published in the lake's gold namespace; returns the published table.
 
     ``bronze_root`` reads bronze from another lake (default: this one).
     """
     bronze = Lake(bronze_root) if bronze_root else lake
-    names = ["seasons", "events", "categories", "sessions", "classifications"]
     silver = {}
-    for e in names:
-        t = VersionedTable(spark, lake.table(f"silver/{e}"))
-        silver[e] = t.read(version=t.commit(read_bronze(spark, bronze, e)))
-    g = gold_results(silver["classifications"], silver["seasons"], silver["events"],
-                     silver["categories"], silver["sessions"], style="table")
-    gold = VersionedTable(spark, lake.table("gold/results"))
-    return gold.read(version=wap.write_audit_publish(gold, g, AUDIT_DIMS))
+    for e in ENTITY_SCHEMAS:
+        t = PublishedTable(spark, lake.table(f"silver/{e}"))
+        t.replace(read_bronze(spark, bronze, e))
+        silver[e] = t.read()
+    dims = {e: silver[e] for e in ["seasons", "events", "categories", "sessions"]}
+    check_dimensions(**dims)
+    gold = PublishedTable(spark, lake.table("gold/results"), name=f"{lake.gold_db}.audited_results")
+    wap.write_audit_publish(gold, gold_results(silver["classifications"], **dims, style="table"),
+                            AUDIT_DIMS)
+    return gold.read()

@@ -54,6 +54,8 @@ METRICS = struct(("event", S), ("duration_ms", T.LongType()), ("season_id", S),
                  ("event_id", S), ("category_id", S), ("session_id", S),
                  ("requests", T.LongType()), ("rps", T.LongType()))
 
+DQ_FINDINGS = struct(("filename", S), ("NULL_POSITION_COUNT", T.LongType()))
+
 ENTITY_SCHEMAS = {
     "seasons": SEASONS,
     "events": EVENTS,

@@ -49,9 +49,11 @@ def session_conf(spark: SparkSession, conf: dict[str, str]):
 
 def land_csv(df: DataFrame, path: str, partition_by: Sequence[str] = (),
              header: bool = True, mode: str = "overwrite",
-             null_token: str = NULL_TOKEN, writers: int | None = None) -> None:
+             null_token: str = NULL_TOKEN, writers: int | None = None,
+             dynamic: bool = True) -> None:
     """CSV landing; with ``partition_by`` one directory per key value
-    (``key=value``), only rewritten partitions are replaced.
+    (``key=value``), only rewritten partitions are replaced (all of them
+    unless ``dynamic``).
 
     ``writers`` is for layouts whose cost is the number of files rather than
     bytes (one directory per leaf key): the rebalance keeps at least that
@@ -61,7 +63,7 @@ def land_csv(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     w = (_spread(df, partition_by, writers).write.mode(mode)
          .options(**{**CSV_OPTIONS, "nullValue": null_token})
          .option("header", header)
-         .option("partitionOverwriteMode", "dynamic"))
+         .option("partitionOverwriteMode", "dynamic" if dynamic else "static"))
     if partition_by:
         w = w.partitionBy(*partition_by)
     if writers and partition_by:
@@ -73,10 +75,13 @@ def land_csv(df: DataFrame, path: str, partition_by: Sequence[str] = (),
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
-                  partition_by: Sequence[str] = (), dynamic: bool = True) -> None:
+                  partition_by: Sequence[str] = (), dynamic: bool = True,
+                  spread: bool = True) -> None:
     """Parquet write; with ``partition_by`` an overwrite replaces only the
-    partitions present in ``df`` (``dynamic``) or the whole dataset."""
-    w = _spread(df, partition_by).write.mode(mode)
+    partitions present in ``df`` (``dynamic``) or the whole dataset.
+    ``spread=False`` writes rows as they come, for inputs that already lie by
+    the partition columns."""
+    w = (_spread(df, partition_by) if spread else df).write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by).option(
             "partitionOverwriteMode", "dynamic" if dynamic else "static")

@@ -66,19 +66,23 @@ def scan_parquet(spark: SparkSession, path: str,
     return df.select(*columns) if columns else df
 
 
-def scan_text(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path)
-
-
 def scan_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def create_namespace(spark: SparkSession, name: str, near: str) -> None:
+    """The database of a table name, if it has one; its own folder lies beside
+    ``near``, in the shared folder, not in the default warehouse."""
+    if "." in name:
+        db = name.split(".")[0]
+        where = f"{near.rstrip('/').rsplit('/', 1)[0]}/_namespaces/{db}"
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{where}'")
+
+
 def register_external(spark: SparkSession, name: str, path: str,
                       fmt: str = "parquet") -> DataFrame:
     """Catalog table over files at ``path`` (namespace created if absent)."""
-    if "." in name:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.')[0]}")
+    create_namespace(spark, name, path)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{path}'")
     if any(c.isPartition for c in spark.catalog.listColumns(name)):

@@ -1,8 +1,4 @@
-"""The entity source: the five entity tables a crawl reads.
-
-In production the source is whatever serves seasons, events, categories,
-sessions and classifications (an API database, landed payloads).  For the
-driver's tables the entities are derived from the TPC-H-like star:
+"""Entities derived from the driver's TPC-H-like star tables:
 
     region -> seasons, nation -> events, (customer segment, nation) ->
     categories, orders -> sessions, lineitem -> classifications
@@ -14,13 +10,11 @@ SQL in ``tierline.oracle`` for the DuckDB check.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.operators.joins import bounded_broadcast
 from tierline.schemas import COMPLETED, ERRORED, PENDING
+from tierline.sources.entities import EntitySource
 
 # The first group of a derived id names the entity kind.
 ID_TAGS = {
@@ -39,21 +33,6 @@ def uuid_id(kind: str, key: Column) -> Column:
                     F.lpad(key.cast("string"), 12, "0"))
 
 
-@dataclass
-class EntitySource:
-    """Five entity DataFrames plus the prior task state of a run."""
-
-    seasons: DataFrame
-    events: DataFrame
-    categories: DataFrame
-    sessions: DataFrame
-    classifications: DataFrame
-    task_state: DataFrame | None = None
-
-    def entity(self, name: str) -> DataFrame:
-        return getattr(self, name)
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -81,10 +60,7 @@ def derive_entities(spark: SparkSession, sf_dir: str) -> EntitySource:
         uuid_id("events", F.col("n_nationkey")).alias("id"),
         uuid_id("seasons", F.col("n_regionkey")).alias("season_id"))
 
-    # nation is a fixed-size dimension (one row per nation): broadcast
-    # behind the size check; customer and orders are joined by shuffle.
-    cust = customer.join(bounded_broadcast(nation),
-                         customer.c_nationkey == nation.n_nationkey)
+    cust = customer.join(nation, customer.c_nationkey == nation.n_nationkey)
     categories = cust.select(
         F.col("c_mktsegment").alias("name"),
         uuid_id("categories", F.col("c_mktsegment")).alias("id"),
@@ -123,3 +99,22 @@ def derive_entities(spark: SparkSession, sf_dir: str) -> EntitySource:
 
     return EntitySource(seasons, events, categories, sessions,
                         classifications, task_state)
+
+
+def with_gaps(src: EntitySource) -> EntitySource:
+    """The source with childless parents at every level, so that each kind of
+    failed request occurs: the last season has no events, the first event left
+    no categories, the first category left no sessions.  (Sessions without
+    classifications are in the data.)  ``tierline.oracle`` states the same."""
+    s = src.seasons.agg(F.max("id").alias("_s"))
+    events = src.events.join(s, F.col("season_id") == F.col("_s"), "left_anti")
+    e = events.agg(F.min("id").alias("_e"))
+    categories = src.categories.join(events.select(F.col("id").alias("event_id")), "event_id", "left_semi") \
+        .join(e, F.col("event_id") == F.col("_e"), "left_anti").select(*src.categories.columns)
+    c = categories.agg(F.min(F.struct("event_id", "id")).alias("_c")) \
+        .select(F.col("_c.event_id").alias("_ce"), F.col("_c.id").alias("_cc"))
+    kept = categories.select("event_id", F.col("id").alias("category_id"))
+    sessions = src.sessions.join(kept, ["event_id", "category_id"], "left_semi") \
+        .join(c, (F.col("event_id") == F.col("_ce")) & (F.col("category_id") == F.col("_cc")), "left_anti") \
+        .select(*src.sessions.columns)
+    return EntitySource(src.seasons, events, categories, sessions, src.classifications, src.task_state)

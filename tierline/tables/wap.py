@@ -1,12 +1,11 @@
-"""Write-audit-publish on a versioned table.
+"""Write-audit-publish on a published table.
 
-stage    -- cut ``audit_branch`` from main and commit the new rows to it;
-            readers of main see nothing new
+stage    -- write the new rows to a new folder; readers see nothing new
 audit    -- one pass over the staged rows: NULL counts of every audited
             dimension; any NULL raises and nothing is published
-publish  -- fast-forward main to the branch (metadata only); fails if main
-            moved since the branch was cut
-cleanup  -- drop the branch
+publish  -- point the table at the folder (no data is copied); refused if the
+            table was published by somebody else since
+cleanup  -- remove folders that nothing points to
 """
 
 from __future__ import annotations
@@ -16,38 +15,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from tierline.operators.quality import audit_nulls
-from tierline.tables.versioned import MAIN, VersionedTable
+from tierline.tables.published import PublishedTable, Staged
 
-AUDIT_BRANCH = "audit_branch"
 
+def audit(table: PublishedTable, staged: Staged, dims: Sequence[str]) -> None:
+    audit_nulls(table.read(staged.folder), dims)
 
-def stage(table: VersionedTable, df: DataFrame, branch: str = AUDIT_BRANCH) -> int:
-    return table.commit(df, ref=branch, op="stage", branch_from=MAIN)
 
-
-def audit(table: VersionedTable, dims: Sequence[str], branch: str = AUDIT_BRANCH,
-          version: int | None = None) -> None:
-    """Audit the branch (or the staged ``version`` directly)."""
-    audit_nulls(table.read(branch, version=version), dims)
-
-
-def publish(table: VersionedTable, branch: str = AUDIT_BRANCH,
-            drop_branch: bool = False) -> int:
-    return table.fast_forward(MAIN, branch, drop_source=drop_branch)
-
-
-def cleanup(table: VersionedTable, branch: str = AUDIT_BRANCH) -> None:
-    table.drop_branch(branch)
-
-
-def write_audit_publish(table: VersionedTable, df: DataFrame, dims: Sequence[str],
-                        branch: str = AUDIT_BRANCH) -> int:
-    """Stage, audit, publish, clean up.  On a failed audit the branch is
-    dropped and the error re-raised; main is unchanged."""
-    staged = stage(table, df, branch)
-    try:
-        audit(table, dims, branch, version=staged)
-    except Exception:
-        cleanup(table, branch)
-        raise
-    return publish(table, branch, drop_branch=True)
+def write_audit_publish(table: PublishedTable, df: DataFrame, dims: Sequence[str]) -> str:
+    """Stage, audit and publish; the published folder.  On a failed audit the
+    table is unchanged; the staged folder stays for inspection until
+    ``remove_unused`` takes it."""
+    staged = table.stage(df)
+    audit(table, staged, dims)
+    return table.publish(staged)

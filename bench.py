@@ -18,8 +18,8 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = ["gold_results", "dq_null_by_file", "queue_apply_run",
-            "land_partitioned_1key", "medallion_wap", "medallion_transform",
-            "response_json", "log_scan_parse", "queue_next_batch"]
+            "land_partitioned_3key", "medallion_wap", "medallion_transform",
+            "medallion_full", "response_json", "log_scan_parse", "queue_next_batch"]
 
 
 def main() -> None:

@@ -28,8 +28,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     found = jaccard.op4_jaccard_join(spark, docs, words=5, percent=80) \
         .where("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct()
     kept = docs.join(found, docs["doc_id"] == found["_id"], "left_anti")
-    once = kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"])
-    return once.unionAll(kept.where("doc_id IS NULL"))
+    # Rows that repeat a doc_id and its text are copies too; ids are counted
+    # apart from the texts, so the usual table without any moves no text.
+    again = saved(docs.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).count()
+                  .where("count > 1").select("_id"), "pipeline_repeated")
+    if again.isEmpty():
+        return kept
+    same = kept["doc_id"] == again["_id"]
+    return kept.join(again, same, "left_anti").unionAll(
+        kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,8 +12,8 @@ shifted position is in its own postings.  The survivors are exact phrase
 matches.  ``proximity_matches`` keeps instead the places where every term
 occurs within a number of words of the rarest.
 
-Benchmark items are the stated query set: they are read in blocks of at most
-``ITEM_BYTES`` of text, which bounds what is sent to tasks.
+Benchmark items are the stated query set: they are read in blocks of about
+``ITEM_BYTES`` of text, whose windows (some 15 times that) go to the tasks.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from tierline.llm.textbytes import column_bytes, pieces, word_hashes
 
 WINDOW = 10
 SEGMENT = 8 << 20
-ITEM_BYTES = 16 << 20
+ITEM_BYTES = 2 << 20
 _BITS = np.uint64(40)
 
 
@@ -260,6 +260,8 @@ def find_phrases(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> D
 
     Null and empty texts have no words; items without words or id match
     nothing; repeated rows each get their result.  Other columns are ignored.
+    With several blocks of items ``docs`` must be a stored table: rows are told
+    apart by their place in it.
     """
     numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
     parts = []

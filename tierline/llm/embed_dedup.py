@@ -1,7 +1,7 @@
 """Embedding near-duplicates with a robust-pruned flat graph.
 
-1. Equal vectors are one node.  Centers are fitted on a bounded sample
-   (``SAMPLE`` rows); every node joins the shards of its ``probes`` nearest
+1. Equal vectors are one node.  Centers are fitted on a bounded sample (at
+   most ``SAMPLE`` rows and ``SAMPLE_VALUES`` numbers); every node joins the shards of its ``probes`` nearest
    centers, so shards overlap.  Shards beyond ``BLOCK`` nodes are cut in blocks.
 2. Per block a neighbour graph is built: nearest nodes and a few random far
    ones are robust-pruned (a candidate goes when a kept one is closer to it,
@@ -33,6 +33,7 @@ from tierline.llm.store import saved, width
 
 COSINE = 0.9
 SAMPLE = 32_768
+SAMPLE_VALUES = 1 << 23
 MAX_CENTERS = 4_096
 SHARD = 1_000
 BLOCK = 3_000
@@ -41,7 +42,7 @@ BEAM, REACH, STEP = 32, 0.06, 4
 AUDIT, RECALL, ROUNDS = 64, 0.95, 3
 
 
-def _matrix(col: pa.Array, dim: int | None = None) -> np.ndarray:
+def _matrix(col: pa.Array) -> np.ndarray:
     flat = pc.list_flatten(col).to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(len(col), -1)
 
@@ -74,8 +75,9 @@ def _keyed(vectors: DataFrame) -> DataFrame:
 
 def _centers(nodes: DataFrame) -> dict[int, np.ndarray]:
     """Unit centers per dimension, by a few spherical k-means steps."""
-    total = nodes.count()
-    sample = nodes.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("dim", "vector").toArrow()
+    total, widest = nodes.agg(F.count("*"), F.max("dim")).first()
+    rows = min(SAMPLE, SAMPLE_VALUES // max(widest or 1, 1) + 1)
+    sample = nodes.orderBy(F.xxhash64("node"), "node").limit(rows).select("dim", "vector").toArrow()
     out = {}
     for dim in set(sample.column("dim").to_pylist()):
         x = _unit(_matrix(sample.filter(pc.equal(sample.column("dim"), dim)).column("vector").combine_chunks()))

@@ -370,7 +370,8 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     Every byte covered by a ``length``-byte string that also starts elsewhere,
     in the same or another row, is removed; strings are judged on the input.
     A null text is empty and keeps the digest of nothing; rows that repeat
-    whole are copies of each other; other columns are never read.
+    whole are copies of each other; other columns are never read.  ``docs``
+    must be a stored table: rows are told apart by their place in it.
     """
     base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"),
                        F.monotonically_increasing_id().alias("row"))

@@ -16,11 +16,11 @@ def encoder():
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 100, 4097, 65536, 70001])
-def test_slots_are_a_permutation(n):
-    s = K.slots(np.arange(n), n)
+def test_places_are_a_permutation(n):
+    s = K.places(np.arange(n), n)
     assert np.array_equal(np.sort(s), np.arange(n))
     assert n < 100 or not np.array_equal(s, np.arange(n))
-    assert n < 100 or not np.array_equal(s, K.slots(np.arange(n), n, key=5))
+    assert n < 100 or not np.array_equal(s, K.places(np.arange(n), n, key=5))
 
 
 def case():
@@ -31,17 +31,19 @@ def case():
 
 def test_round_trip(spark, docs_of, encoder):
     rows = case()
-    plan = K.materialise(docs_of(rows, clash=["slot", "n", "tokens"]), length=64, per_shard=16)
+    plan = K.materialise(docs_of(rows, clash=["slot", "n", "tokens"]), length=64, shard_places=40)
     out = K.read_shards(spark, plan).collect()
     want = defaultdict(list)
     for i, t in rows:
         if t:
             want[i].append(encoder.ids(t).tolist())
-    assert plan["ids"] == sum(len(x) for v in want.values() for x in v)
+    assert sum(r.n_tokens for r in out) == sum(len(x) for v in want.values() for x in v)
+    order = sorted(out, key=lambda r: r.slot)
+    assert [r.shard for r in order] == sorted(r.shard for r in out) and plan["shards"] > 3
     assert sorted(r.slot for r in out) == list(range(plan["sequences"]))
     got, short = defaultdict(list), 0
     for r in sorted(out, key=lambda r: r.slot):
-        assert r.shard == r.slot // 16 and sum(r.lengths) == r.n_tokens == len(r.tokens) // 2
+        assert sum(r.lengths) == r.n_tokens == len(r.tokens) // 2
         ids, at = np.frombuffer(r.tokens, "<u2"), 0
         short += r.n_tokens < 64
         for d, n in zip(r.doc_ids, r.lengths):
@@ -60,7 +62,7 @@ def test_round_trip(spark, docs_of, encoder):
 def test_fixed_stride_and_resume(spark, docs_of, tmp_path):
     docs = docs_of(case())
     folder = f"file://{tmp_path}/shards"
-    plan = K.materialise(docs, folder=folder, length=64, per_shard=16)
+    plan = K.materialise(docs, folder=folder, length=64, shard_places=40)
     first = {p.name: p.read_bytes() for p in (tmp_path / "shards").glob("*.bin")}
     assert len(first) == plan["shards"]
     for name, raw in first.items():
@@ -71,12 +73,12 @@ def test_fixed_stride_and_resume(spark, docs_of, tmp_path):
     for n in names[:2]:
         (tmp_path / "shards" / n).rename(tmp_path / "shards" / (n + ".7"))
     kept = (tmp_path / "shards" / names[-1]).stat().st_mtime_ns
-    K.materialise(docs, folder=folder, length=64, per_shard=16)
+    K.materialise(docs, folder=folder, length=64, shard_places=40)
     again = {p.name: p.read_bytes() for p in (tmp_path / "shards").glob("*.bin")}
     assert again == first
     assert (tmp_path / "shards" / names[-1]).stat().st_mtime_ns == kept
     with pytest.raises(ValueError, match="another plan"):
-        K.materialise(docs, folder=folder, length=32, per_shard=16)
+        K.materialise(docs, folder=folder, length=32, shard_places=40)
 
 
 def test_no_text(spark, docs_of):

@@ -2,19 +2,22 @@
 
 Texts are tokenised with a public byte-level BPE, each document is closed by
 an end-of-text id, and the stream of every input partition is cut into
-sequences of ``SEQUENCE`` ids (the last one padded with end-of-text).  A first
-pass counts ids per partition, which numbers all sequences without a gap; a
-keyed Feistel permutation with cycle walking maps the number to a global slot.
-The second pass tokenises again (cheaper than keeping the ids on disk
-meanwhile) and sends each sequence to the range of slots it belongs to, where
-a task writes whole shards front to back.
+sequences of ``SEQUENCE`` ids (the last one padded with end-of-text).  Every
+partition owns a run of numbers that is surely long enough (an id takes at
+least one byte, so its bytes bound its sequences), and a keyed Feistel
+permutation with cycle walking maps the numbers of its sequences to places of
+one global order.  Places are cut into ranges; a range partition writes its
+sequences in order of place, as one shard.  The slots of the training order
+are the places in use, counted through: a sequence's slot is the number of
+records in earlier shards plus its place in its own.  So texts are tokenised
+once, moved once, and no count has to be known before.
 
 A shard is a file of equal records: a little-endian uint32 count of real ids,
-then ``SEQUENCE`` ids of two bytes (four if the vocabulary needs it).  Slot s
-is record ``s % SHARD`` of shard ``s // SHARD``, so a reader seeks straight to
-any step of training.  Beside it an Arrow file names the documents of every
-record.  Files appear under their final name only when complete; a rerun into
-the same folder with the same plan skips the shards that are there.
+then ``SEQUENCE`` ids of two bytes (four if the vocabulary needs it).  With
+the manifest's record counts a reader seeks straight to any step of training.
+Beside each shard an Arrow file names the documents of every record.  Files
+appear under their final name only when complete; a rerun into the same folder
+with the same plan skips the shards that are there.
 """
 
 from __future__ import annotations
@@ -38,7 +41,9 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The vocabulary's published pre-tokenisation pattern (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SEQUENCE = 2048
-SHARD = 4096
+#: Places of one shard; about two fifths of them are in use, as an id of the
+#: default vocabulary takes some two and a half bytes.
+SHARD_PLACES = 8192
 KEY = 0x7F4A7C15
 _ROUNDS = 6
 
@@ -62,7 +67,7 @@ class Encoder:
         return np.array(found, self.dtype)
 
 
-def slots(index: np.ndarray, n: int, key: int = KEY) -> np.ndarray:
+def places(index: np.ndarray, n: int, key: int = KEY) -> np.ndarray:
     """Keyed permutation of 0..n-1: a balanced Feistel network on the next
     even power of two, walked on until the value is below n."""
     half = max(1, (max(n - 1, 1).bit_length() + 1) // 2)
@@ -84,23 +89,21 @@ def slots(index: np.ndarray, n: int, key: int = KEY) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _count_ids(docs: DataFrame, ranks: bytes) -> DataFrame:
-    def run(batches):
-        enc, n = Encoder(ranks), 0
-        for b in batches:
-            n += sum(len(enc.encode(t)) + 1 for t in b.column("text").to_pylist() if t)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([n], pa.int64())],
-            names=["part", "n"])
-    return docs.select("text").mapInArrow(run, "part int, n long")
+def _capacity(docs: DataFrame, length: int) -> dict[int, int]:
+    """Sequences that each input partition can have at most."""
+    rows = docs.select("doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).alias("n"),
+                       F.spark_partition_id().alias("part"))
+    # One row per input partition.
+    return {r["part"]: -(-r["n"] // length)
+            for r in rows.groupBy("part").agg(F.sum("n").alias("n")).collect()}
 
 
 def _sequences(docs: DataFrame, ranks: bytes, first: list[int], total: int, length: int, key: int) -> DataFrame:
-    """(slot, n, body, doc_ids, lengths): body is the zstd-packed ids."""
+    """(place, n, body, doc_ids, lengths): body is the zstd-packed ids."""
     def run(batches):
         enc = Encoder(ranks)
         part = TaskContext.get().partitionId()
-        done, want = 0, first[part + 1] - first[part]
+        done, room = 0, first[part + 1] - first[part] if part + 1 < len(first) else 0
         held, owners, sizes, n = [], [], [], 0
         pack = zs.ZstdCompressor(level=3)
 
@@ -109,8 +112,12 @@ def _sequences(docs: DataFrame, ranks: bytes, first: list[int], total: int, leng
             nonlocal held, owners, sizes, n, done
             stream = np.concatenate(held) if held else np.zeros(0, enc.dtype)
             k = -(-n // length) if all_of else n // length
+            if done + k > room:
+                raise ValueError(f"partition {part} has more than {room} sequences: the input "
+                                 "must be a stored table that is read the same way twice")
             start = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-            slot = slots(np.arange(first[part] + done, first[part] + done + k), total, key)
+            place = places(np.arange(first[part] + done, first[part] + done + k), total, key) \
+                if k else np.zeros(0, np.int64)
             bodies, real, ids, lens = [], [], [], []
             for i in range(k):
                 lo, hi = i * length, min((i + 1) * length, n)
@@ -131,9 +138,9 @@ def _sequences(docs: DataFrame, ranks: bytes, first: list[int], total: int, leng
             if n:
                 sizes[0] -= used - int(start[a])
             return pa.RecordBatch.from_arrays(
-                [pa.array(slot), pa.array(real, pa.int32()), pa.array(bodies, pa.binary()),
+                [pa.array(place), pa.array(real, pa.int32()), pa.array(bodies, pa.binary()),
                  pa.array(ids, pa.list_(pa.int64())), pa.array(lens, pa.list_(pa.int32()))],
-                names=["slot", "n", "body", "doc_ids", "lengths"])
+                names=["place", "n", "body", "doc_ids", "lengths"])
 
         for b in batches:
             for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
@@ -144,11 +151,8 @@ def _sequences(docs: DataFrame, ranks: bytes, first: list[int], total: int, leng
                 if n >= 256 * length:
                     yield cut(False)
         yield cut(True)
-        if done != want:
-            raise ValueError(f"partition {part} gave {done} sequences, {want} were counted: "
-                             "the input must be a stored table that is read the same way twice")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "slot long, n int, body binary, doc_ids array<long>, lengths array<int>")
+        run, "place long, n int, body binary, doc_ids array<long>, lengths array<int>")
 
 
 def _open(uri: str):
@@ -160,31 +164,26 @@ def _shard_path(path: str, shard: int) -> str:
     return f"{path}/shard-{shard:08d}"
 
 
-def _finished(folder: str, shards: int, total: int, per_shard: int, stride: int) -> set[int]:
-    """Shards that are complete in ``folder`` (files appear when complete)."""
+def _finished(folder: str, shards: int, stride: int) -> dict[int, int]:
+    """Records of the shards that are complete in ``folder``."""
     fs, path = _open(folder)
-    found = {f.base_name: f.size for f in fs.get_file_info(pafs.FileSelector(path, allow_not_found=True))}
-    return {s for s in range(shards)
-            if found.get(f"shard-{s:08d}.bin") == min(per_shard, total - s * per_shard) * stride
-            and f"shard-{s:08d}.arrow" in found} if found else set()
+    size = {f.base_name: f.size for f in fs.get_file_info(pafs.FileSelector(path, allow_not_found=True))}
+    return {s: size[f"shard-{s:08d}.bin"] // stride for s in range(shards)
+            if f"shard-{s:08d}.bin" in size and f"shard-{s:08d}.arrow" in size}
 
 
-def _write_shards(rows: DataFrame, folder: str, total: int, per_shard: int, parts: int) -> DataFrame:
-    shards = -(-total // per_shard)
-    dealt = rows.withColumn("shard", F.floor(F.col("slot") / per_shard)) \
-        .repartitionById(parts, F.floor(F.col("shard") * parts / shards).cast("int")) \
-        .sortWithinPartitions("slot")
+def _write_shards(rows: DataFrame, folder: str, shards: int, parts: int) -> DataFrame:
+    """(shard, records, ids) of the shards written."""
+    dealt = rows.repartitionById(parts, F.floor(F.col("shard") * parts / shards).cast("int")) \
+        .sortWithinPartitions("place")
 
     def run(batches):
         fs, path = _open(folder)
         unpack, attempt = zs.ZstdDecompressor(), TaskContext.get().taskAttemptId()
-        out, at, names = None, None, []
+        out, at, last, names, ids_in = None, None, -1, [], 0
 
         def close():
             base = _shard_path(path, at)
-            want = min(per_shard, total - at * per_shard)
-            if len(names) != want:
-                raise ValueError(f"shard {at} has {len(names)} of {want} records")
             out.close()
             side = pa.table({"doc_ids": pa.array([x[0] for x in names], pa.list_(pa.int64())),
                              "lengths": pa.array([x[1] for x in names], pa.list_(pa.int32()))})
@@ -193,27 +192,29 @@ def _write_shards(rows: DataFrame, folder: str, total: int, per_shard: int, part
                 w.write_table(side)
             fs.move(f"{base}.arrow.{attempt}", f"{base}.arrow")
             fs.move(f"{base}.bin.{attempt}", f"{base}.bin")
-            return pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([want], pa.int64())],
-                                              names=["shard", "records"])
+            return pa.RecordBatch.from_arrays(
+                [pa.array([v], pa.int64()) for v in (at, len(names), ids_in)], names=["shard", "records", "ids"])
         for b in batches:
-            cols = [b.column(c) for c in ("slot", "n", "body", "doc_ids", "lengths")]
-            for slot, n, body, ids, lens in zip(*(c.to_pylist() for c in cols)):
-                if slot // per_shard != at:
+            cols = [b.column(c) for c in ("shard", "place", "n", "body", "doc_ids", "lengths")]
+            for shard, place, n, body, ids, lens in zip(*(c.to_pylist() for c in cols)):
+                if shard != at:
                     if out:
                         yield close()
-                    at, names = slot // per_shard, []
+                    at, names, ids_in = shard, [], 0
                     out = fs.open_output_stream(f"{_shard_path(path, at)}.bin.{attempt}")
-                if slot != at * per_shard + len(names):
-                    raise ValueError(f"slot {slot} is out of line in shard {at}")
+                if place <= last:
+                    raise ValueError(f"place {place} is given twice or out of order")
+                last = place
                 out.write(int(n).to_bytes(4, "little") + unpack.decompress(body))
                 names.append((ids, lens))
+                ids_in += n
         if out:
             yield close()
-    return dealt.mapInArrow(run, "shard long, records long")
+    return dealt.mapInArrow(run, "shard long, records long, ids long")
 
 
 def materialise(docs: DataFrame, folder: str | None = None, vocabulary: str = VOCABULARY,
-                length: int = SEQUENCE, per_shard: int = SHARD, key: int = KEY) -> dict:
+                length: int = SEQUENCE, shard_places: int = SHARD_PLACES, key: int = KEY) -> dict:
     """Write the shards of ``docs`` (a stored table with doc_id, text).
 
     Returns the manifest, which is also written as ``manifest.json``.  Null and
@@ -226,48 +227,56 @@ def materialise(docs: DataFrame, folder: str | None = None, vocabulary: str = VO
     with open(vocabulary, "rb") as f:  # on the driver; tasks get the bytes
         ranks = f.read()
     enc = Encoder(ranks)
-    counts = {r["part"]: r["n"] for r in _count_ids(docs, ranks).collect()}  # one row per partition
+    room = _capacity(docs, length)
     first = [0]
-    for p in range(max(counts, default=-1) + 1):
-        first.append(first[-1] - (-counts.get(p, 0) // length))
+    for p in range(max(room, default=-1) + 1):
+        first.append(first[-1] + room.get(p, 0))
     total = first[-1]
     folder = folder or fresh_folder(spark, "llm", "token_shards")
     stride = 4 + length * enc.dtype.itemsize
-    plan = {"sequences": total, "sequence_ids": length, "per_shard": per_shard, "stride": stride,
-            "id_bytes": enc.dtype.itemsize, "end_id": enc.end, "key": key,
-            "ids": sum(counts.values()), "shards": -(-total // per_shard)}
+    plan = {"places": total, "sequence_ids": length, "shard_places": shard_places, "stride": stride,
+            "id_bytes": enc.dtype.itemsize, "end_id": enc.end, "key": key, "shards": -(-total // shard_places)}
     fs, path = _open(folder)
     fs.create_dir(path, recursive=True)
     if fs.get_file_info(f"{path}/manifest.json").type != pafs.FileType.NotFound:
         with fs.open_input_stream(f"{path}/manifest.json") as f:
-            if json.loads(f.read()) != plan:
-                raise ValueError(f"{folder} holds shards of another plan")
-    with fs.open_output_stream(f"{path}/manifest.json") as f:
-        f.write(json.dumps(plan).encode())
-    done = _finished(folder, plan["shards"], total, per_shard, stride)
-    if len(done) < plan["shards"]:
-        rows = _sequences(docs, ranks, first, total, length, key)
-        if done:
-            rows = rows.where(~F.floor(F.col("slot") / per_shard).isin(sorted(done)))
-        missing = total - sum(min(per_shard, total - s * per_shard) for s in done)
+            known = json.loads(f.read())
+        if {k: known.get(k) for k in plan} != plan:
+            raise ValueError(f"{folder} holds shards of another plan")
+    _note(fs, path, plan)
+    records = _finished(folder, plan["shards"], stride)
+    if len(records) < plan["shards"]:
+        rows = _sequences(docs, ranks, first, total, length, key) \
+            .withColumn("shard", F.floor(F.col("place") / shard_places))
+        if records:
+            rows = rows.where(~F.col("shard").isin(sorted(records)))
         parts = max(1, min(width(spark), plan["shards"]))
-        written = saved(_write_shards(rows, folder, total, per_shard, parts), "token_written")
-        got = written.agg(F.coalesce(F.sum("records"), F.lit(0))).first()[0]
-        if got != missing:
-            raise ValueError(f"{got} of {missing} records were written")
+        written = saved(_write_shards(rows, folder, plan["shards"], parts), "token_written")
+        # One row per shard.
+        records |= {r["shard"]: r["records"] for r in written.select("shard", "records").collect()}
+    counts = [records.get(s, 0) for s in range(plan["shards"])]
+    plan |= {"records": counts, "sequences": sum(counts)}
+    _note(fs, path, plan)
     return plan | {"folder": folder}
 
 
+def _note(fs, path: str, plan: dict) -> None:
+    with fs.open_output_stream(f"{path}/manifest.json") as f:
+        f.write(json.dumps(plan).encode())
+
+
 def read_shards(spark: SparkSession, plan: dict) -> DataFrame:
     """slot, shard, n_tokens, doc_ids, lengths, tokens of all shards, read in
     slot order inside a shard; ``tokens`` are the real ids as raw bytes."""
-    folder, per, stride = plan["folder"], plan["per_shard"], plan["stride"]
-    width_of = plan["id_bytes"]
+    folder, stride, width_of = plan["folder"], plan["stride"], plan["id_bytes"]
+    before = np.concatenate([[0], np.cumsum(plan["records"])]).astype(np.int64)
 
     def run(batches):
         fs, path = _open(folder)
         for b in batches:
             for shard in b.column("id").to_pylist():
+                if before[shard + 1] == before[shard]:
+                    continue
                 with fs.open_input_file(f"{_shard_path(path, shard)}.arrow") as f:
                     side = pa.ipc.open_file(f).read_all().combine_chunks()
                 with fs.open_input_stream(f"{_shard_path(path, shard)}.bin") as f:
@@ -277,7 +286,7 @@ def read_shards(spark: SparkSession, plan: dict) -> DataFrame:
                         n = [int.from_bytes(raw[i * stride:i * stride + 4], "little")
                              for i in range(part.num_rows)]
                         body = [raw[i * stride + 4:i * stride + 4 + k * width_of] for i, k in enumerate(n)]
-                        slot = np.arange(shard * per + lo, shard * per + lo + part.num_rows)
+                        slot = before[shard] + np.arange(lo, lo + part.num_rows)
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(slot), pa.array(np.full(len(n), shard)), pa.array(n, pa.int32()),
                              part.column("doc_ids").combine_chunks(), part.column("lengths").combine_chunks(),

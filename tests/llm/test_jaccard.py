@@ -96,3 +96,37 @@ def test_tree_prunes_pairs():
     links = {tuple(sorted(x)) for x in tree.join()}
     assert links == {(i, 400 + i) for i in range(50)}
     assert tree.verified < 1000  # of 101,025 pairs
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_linked_sets_always_share_a_routing_key(percent):
+    import numpy as np
+    rng = np.random.default_rng(percent)
+    linked = 0
+    for _ in range(1500):
+        n = int(rng.integers(1, 80))
+        a = np.unique(rng.integers(0, 1 << 60, n, dtype=np.uint64))
+        d = int(rng.integers(0, 1 + len(a) * (100 - percent) // percent))
+        drop = int(rng.integers(0, d + 1))
+        b = np.unique(np.append(rng.permutation(a)[drop:], rng.integers(0, 1 << 60, d - drop, dtype=np.uint64)))
+        if not len(b) or 100 * len(np.intersect1d(a, b)) < percent * len(np.union1d(a, b)):
+            continue
+        linked += 1
+        both = np.union1d(a, b)
+        hot = np.sort(rng.permutation(both)[:int(rng.integers(0, len(both) + 1))])
+        doc = np.repeat([0, 1], [len(a), len(b)])
+        d, k = J._routing_keys(doc, np.concatenate([a, b]), 2, percent, hot)
+        assert np.intersect1d(k[d == 0], k[d == 1]).size
+    assert linked > 500
+
+
+def test_a_common_passage_connects_nobody(spark, docs_of):
+    rng = random.Random(8)
+    passage = words(rng, 60)
+    rows = [(i, words(rng, 200, 90_000) + " " + passage + " " + words(rng, 200, 90_000)) for i in range(60)]
+    docs = docs_of(rows)
+    sig = J.set_ids(docs, 5)
+    n, total = 60, sum(r.n_shingles for r in sig.collect())
+    hot = J.common_shingles(docs, n, total, 5)
+    assert 50 <= len(hot) <= 60
+    assert J.shared_keys(docs, hot, 5, 80).count() == 0

@@ -4,11 +4,15 @@ Documents are sets of word shingles; two sets link when
 ``100 * |A & B| >= percent * |A | B|``.
 
 1. *Routing.*  Linked sets of sizes a <= b differ in at most
-   ``a * (100 - percent) / percent`` shingles, so when the shingle space is
-   hashed into one part more than that, some part is equal in both sets.
-   Every document gives one key per part (sizes fall into classes that fix the
-   number of parts), and sets that share a key are connected into candidate
-   groups.  This loses no link.
+   ``d = a * (100 - percent) / percent`` shingles.  The shingle space is hashed
+   into a little more than d parts, and every set gives a key per part it has
+   shingles in.  Shingles that very many documents share are left out here
+   (that makes no set differ more), so a common passage connects nobody.  If
+   one of two linked sets has shingles in more than d parts, some part of it is
+   equal in both, and they share a key.  A set with no more than d such parts
+   also gives the front of its shingles in a fixed order, common ones last, as
+   keys; two of these share a shingle of their fronts (prefix filtering).  Sets
+   that share a key are connected into candidate groups: no link is lost.
 2. *Trees.*  Each candidate group is joined by a signature tree: leaves hold a
    few sets, every node the OR of their token bitmaps and their size range.
    A dual traversal drops node pairs whose size ranges, or whose largest
@@ -41,6 +45,8 @@ WORDS = 3
 BLOCK_TOKENS = 1 << 18
 #: Text whose routing keys a task combines before it sends them.
 RUN_BYTES = 8 << 20
+#: A shingle is common from this share of the documents on; at most so many.
+COMMON, COMMON_MOST = 1 / 1000, 1 << 20
 _CLASS_RATIO = 1.5
 _LEAF = 16
 
@@ -53,39 +59,45 @@ def size_classes(top: int = 1 << 40) -> np.ndarray:
     return np.array(lows)
 
 
-def _parts(doc, tok, n_docs, percent):
-    """(document, key) rows: one hash per part of a document's set, in its
-    size class and, near the lower bound, in the class below."""
+def _routing_keys(doc, tok, n_docs, percent, hot):
+    """(document, key) rows of step 1, for a document's size class and the
+    classes below that a partner can be of."""
     lows = size_classes()
     count = np.bincount(doc, minlength=n_docs)
     own = np.searchsorted(lows, count, "right") - 1
-    out_doc, out_key = [], []
-    for below in (0, 1):
+    at = np.searchsorted(hot, tok)
+    at[at == len(hot)] = 0
+    common = hot[at] == tok if len(hot) else np.zeros(len(tok), bool)
+    out_doc, out_key = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for below in range(len(lows)):
         c = own - below
-        # In the class below only while a partner of that class can exist.
+        # In a class below only while a partner of that class can exist.
         live = (count > 0) & (c >= 0)
         if below:
-            live &= percent * count <= 100 * (lows[np.maximum(own, 0)] - 1)
-        at = np.flatnonzero(live[doc]) if len(doc) else np.zeros(0, np.int64)
-        if not len(at):
-            continue
+            live &= percent * count <= 100 * (lows[c + 1] - 1)
+        if not live.any():
+            break
+        differ = ((lows[c + 1] - 1) * (100 - percent)) // percent
+        salt = mix(c.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(1))
+        at = np.flatnonzero(live[doc] & ~common)
         d, t = doc[at], tok[at]
-        # Sets of the class have fewer than the next bound: parts > differences.
-        most = lows[c[d] + 1] - 1
-        m = (most * (100 - percent)) // percent + 1
+        m = differ[d] + 3 + differ[d] // 8
         part = mix(t ^ np.uint64(0x5BD1E995)) % m.astype(np.uint64)
         order = np.lexsort((part, d))
         d, part, t = d[order], part[order], mix(t[order])
-        new = np.ones(len(d), bool)
-        new[1:] = (d[1:] != d[:-1]) | (part[1:] != part[:-1])
-        first = np.flatnonzero(new)
-        key = np.add.reduceat(t, first)
+        first = np.flatnonzero(np.r_[True, (d[1:] != d[:-1]) | (part[1:] != part[:-1])]) if len(d) else d
+        key = np.add.reduceat(t, first) if len(d) else t
         d, part = d[first], part[first]
         out_doc.append(d)
-        out_key.append(mix(mix(key) + part * np.uint64(0x9E3779B97F4A7C15)
-                           + c[d].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)))
-    if not out_doc:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        out_key.append(mix(mix(key) + part * np.uint64(0x9E3779B97F4A7C15) + salt[d]))
+        short = live & (np.bincount(d, minlength=n_docs) <= differ)
+        at = np.flatnonzero(short[doc])
+        order = at[np.lexsort((mix(tok[at]), common[at], doc[at]))]
+        d = doc[order]
+        place = np.arange(len(d)) - np.searchsorted(d, d)
+        front = place <= count[d] + (-percent * count[d]) // 100
+        out_doc.append(d[front])
+        out_key.append(mix(mix(tok[order[front]] + np.uint64(0x2545F4914F6CDD1D)) + salt[d[front]]))
     d, k = np.concatenate(out_doc), np.concatenate(out_key)
     order = np.argsort(d, kind="stable")
     return d[order], k[order]
@@ -122,6 +134,40 @@ def set_ids(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
+def common_shingles(docs: DataFrame, n_docs: int, n_total: int, words: int) -> np.ndarray:
+    """Shingles of more than a ``COMMON`` share of all documents, sorted.
+
+    Runs of text report shingles that at least three of their documents hold;
+    the reports are summed.  At most ``COMMON_MOST`` come to the driver, as a
+    shingle must hold that share of all shingles.  They only steer the
+    routing: any choice of them gives the same links.
+    """
+    least = max(n_docs * COMMON, n_total / COMMON_MOST, 3)
+
+    def run(batches):
+        held, size = [], 0
+
+        def report():
+            t, n = np.unique(np.concatenate(held), return_counts=True)
+            often = n >= 3
+            return pa.RecordBatch.from_arrays([pa.array(t[often].view(np.int64)), pa.array(n[often])],
+                                              names=["t", "n"])
+        for b in batches:
+            data, off = column_bytes(b.column("text"))
+            for i, j in pieces(off):
+                doc, w = word_hashes(data[off[i]:off[j]], off[i:j + 1] - off[i], "space")
+                held.append(shingles(doc, w, j - i, words)[1])
+                size += int(off[j] - off[i])
+                if size >= RUN_BYTES:
+                    yield report()
+                    held, size = [], 0
+        if held:
+            yield report()
+    found = docs.select("text").mapInArrow(run, "t long, n long").groupBy("t") \
+        .agg(F.sum("n").alias("n")).where(F.col("n") > least).select("t").toArrow()
+    return np.sort(found.column("t").to_numpy().view(np.uint64)) if found.num_rows else np.zeros(0, np.uint64)
+
+
 def _by_key(keys: np.ndarray, sets: np.ndarray):
     """Distinct keys with their lowest set, and the (set, lowest) pairs of
     sets that share a key."""
@@ -155,7 +201,7 @@ def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     return keys, ids[np.frombuffer(raw, kind, n, 16 + 8 * n + 8 * m)]
 
 
-def shared_keys(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def shared_keys(docs: DataFrame, hot: np.ndarray, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(a, b) pairs of set_ids that connect all sets sharing a routing key.
 
     A task sends each key once, with the lowest set that has it, to the range
@@ -188,7 +234,7 @@ def shared_keys(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
                 doc, w = word_hashes(data[off[i]:off[j]], off[i:j + 1] - off[i], "space")
                 d, t = shingles(doc, w, n, words)
                 sid, _ = _set_hash(d, t, n)
-                kd, key = _parts(d, t, n, percent)
+                kd, key = _routing_keys(d, t, n, percent, hot)
                 held.append((key, sid[kd]))
                 size += int(off[j] - off[i])
                 if size >= RUN_BYTES:
@@ -377,9 +423,10 @@ def _join_groups(rows: DataFrame, percent: int) -> DataFrame:
         .mapInArrow(run, "a long, b long")
 
 
-def _candidate_sets(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
-    """(set_id, toks) of the candidate sets, from their representatives' texts."""
-    picked = docs.select("doc_id", "text").join(members.select("doc_id", "set_id"), "doc_id")
+def _with_tokens(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
+    """(task, set_id, label, toks) of members (doc_id, set_id, label, tasks):
+    the shingles of the texts that stand for the sets, to each of its tasks."""
+    picked = docs.select("doc_id", "text").join(members, "doc_id")
 
     def run(batches):
         for b in batches:
@@ -393,38 +440,47 @@ def _candidate_sets(docs: DataFrame, members: DataFrame, words: int) -> DataFram
                 off8 = np.concatenate([[0], np.cumsum(count)]) * 8
                 raw = t.tobytes()
                 keep = np.flatnonzero(sid == want[i:j])  # repeated doc_ids may hold other texts
+                part = b.slice(i, n).take(pa.array(keep))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(sid[keep]), pa.array(count[keep].astype(np.int64)),
+                    [part.column("tasks"), part.column("set_id"), part.column("label"),
                      pa.array([raw[off8[k]:off8[k + 1]] for k in keep], pa.binary())],
-                    names=["set_id", "n", "toks"])
-    return picked.mapInArrow(run, "set_id long, n long, toks binary").dropDuplicates(["set_id"])
+                    names=["tasks", "set_id", "label", "toks"])
+    rows = picked.select("set_id", "label", "tasks", "text") \
+        .mapInArrow(run, "tasks array<long>, set_id long, label long, toks binary")
+    return rows.select(F.explode("tasks").alias("task"), "set_id", "label", "toks")
 
 
 def link_sets(docs: DataFrame, sig: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(id, root): the connected linked sets, by set_id."""
-    group = components(shared_keys(docs, words, percent), "jaccard_groups").withColumnsRenamed({"id": "set_id", "root": "grp"})
-    members = sig.where("doc_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("doc_id")) \
-        .join(group, "set_id")
-    sets = saved(_candidate_sets(docs, members, words).join(group, "set_id"), "jaccard_sets")
-
-    size = sets.groupBy("grp").agg(F.sum("n").alias("tokens"))
-    size = size.withColumn("blocks", F.ceil(F.col("tokens") / BLOCK_TOKENS).cast("int"))
-    sized = sets.join(size.select("grp", "blocks"), "grp")
-    none = F.lit(None).cast("long").alias("label")
-    cut = F.explode(F.when(F.col("blocks") > 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
-    first = sized.select("*", cut.alias("cut")).withColumn(
-        "block", F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("set_id", "cut"), "blocks")).otherwise(0))
-    links = saved(_join_groups(first.select(
-        F.xxhash64("grp", "cut", "block").alias("task"), "set_id", none, "toks"), percent), "jaccard_links")
-
-    large = saved(sized.where("blocks > 1").select("grp", "set_id", "n"), "jaccard_large")
+    n_docs, n_total = sig.agg(F.count("*"), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
+    hot = common_shingles(docs, n_docs, n_total, words)
+    group = components(shared_keys(docs, hot, words, percent), "jaccard_groups") \
+        .withColumnsRenamed({"id": "set_id", "root": "grp"})
+    # Sizes and places of groups are known from the sets' sizes alone.
+    sets = sig.where("doc_id IS NOT NULL").groupBy("set_id").agg(
+        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n")).join(group, "set_id")
+    sets = saved(sets, "jaccard_members")
+    size = sets.groupBy("grp").agg(F.ceil(F.sum("n") / BLOCK_TOKENS).cast("int").alias("blocks"))
+    sized = sets.join(size, "grp")
+
+    def block(cut: int):
+        return F.xxhash64("grp", F.lit(cut), F.pmod(F.xxhash64("set_id", F.lit(cut)), F.col("blocks")))
+    alone = sized.select("doc_id", "set_id", F.lit(None).cast("long").alias("label"),
+                         F.when(F.col("blocks") > 1, F.array(block(0), block(1)))
+                         .otherwise(F.array(F.xxhash64("grp"))).alias("tasks"))
+    links = saved(_join_groups(_with_tokens(docs, alone, words), percent), "jaccard_links")
+    large = saved(sized.where("blocks > 1").select("grp", "set_id", "doc_id", "n"), "jaccard_large")
     if not large.isEmpty():
-        links = links.unionAll(_across_blocks(sets, large, links, percent))
+        across = saved(_across_blocks(large, links), "jaccard_across")
+        if not across.isEmpty():
+            links = links.unionAll(saved(
+                _join_groups(_with_tokens(docs, across, words), percent), "jaccard_cross"))
     return components(links, "jaccard_components")
 
 
-def _across_blocks(sets: DataFrame, large: DataFrame, links: DataFrame, percent: int) -> DataFrame:
-    """Links between blocks of large groups that blocks alone did not show.
+def _across_blocks(large: DataFrame, links: DataFrame) -> DataFrame:
+    """(doc_id, set_id, label, tasks): how large groups are compared across
+    blocks after these were joined alone.
 
     A group whose sets are already one component needs nothing.  Elsewhere the
     sets outside the largest component meet every block of the group.
@@ -440,19 +496,16 @@ def _across_blocks(sets: DataFrame, large: DataFrame, links: DataFrame, percent:
     mine = F.pmod(F.xxhash64("set_id"), F.when(F.col("main"), F.col("nm")).otherwise(F.col("no")))
     rows = main.withColumn("mine", mine.cast("int"))
     others = F.sequence(F.lit(0), F.col("no") - 1)
-    # A task is (block of others, block of the same kind or of the main part).
-    tasks = F.when(F.col("main"), F.transform(others, lambda o: F.struct(
-        o.alias("x"), F.lit(True).alias("m"), F.col("mine").alias("y")))) \
+
+    def task(x, of_main: bool, y):
+        return F.xxhash64("grp", x, F.lit(of_main), y)
+    # A task is (block of others, block of the main part or of others).
+    tasks = F.when(F.col("main"), F.transform(others, lambda o: task(o, True, F.col("mine")))) \
         .otherwise(F.concat(
-            F.transform(F.sequence(F.lit(0), F.col("nm") - 1), lambda y: F.struct(
-                F.col("mine").alias("x"), F.lit(True).alias("m"), y.alias("y"))),
-            F.transform(others, lambda o: F.struct(
-                F.least(F.col("mine"), o).alias("x"), F.lit(False).alias("m"),
-                F.greatest(F.col("mine"), o).alias("y")))))
-    rows = rows.select("grp", "set_id", "label", F.explode(tasks).alias("t")) \
-        .select(F.xxhash64("grp", "t.x", "t.m", "t.y").alias("task"), "set_id", "label")
-    return saved(_join_groups(rows.join(sets.select("set_id", "toks"), "set_id"), percent),
-                 "jaccard_cross")
+            F.transform(F.sequence(F.lit(0), F.col("nm") - 1), lambda y: task(F.col("mine"), True, y)),
+            F.transform(others, lambda o: task(F.least(F.col("mine"), o), False,
+                                               F.greatest(F.col("mine"), o)))))
+    return rows.select("doc_id", "set_id", "label", tasks.alias("tasks"))
 
 
 def op4_jaccard_join(spark: SparkSession, docs: DataFrame, words: int = WORDS,

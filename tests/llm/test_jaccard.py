@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from conftest_llm import words
 
@@ -74,6 +75,12 @@ def test_large_groups_are_joined_across_blocks(spark, docs_of, monkeypatch):
     # A chain whose ends do not link, to be found across blocks.
     for i in range(12):
         rows.append((100 + i, " ".join(base[4 * i:] + [f"c{j}" for j in range(4 * i)])))
+    # Another family of the same group, twice as long, in several blocks.
+    for i in range(40):
+        rows.append((200 + i, " ".join(base + [f"d{j}" for j in range(30 + i)] + [f"e{i}{j}" for j in range(i % 7)])))
+    monkeypatch.setattr(J, "_routing_keys", lambda doc, tok, n, p, hot: (
+        np.arange(n)[np.bincount(doc, minlength=n) > 0],
+        np.zeros((np.bincount(doc, minlength=n) > 0).sum(), np.uint64)))  # one group of everything
     out = J.op4_jaccard_join(spark, docs_of(rows), 3, 85)
     assert sorted(map(tuple, out.collect())) == brute(rows, 3, 85)
 

@@ -21,13 +21,16 @@ Documents are sets of word shingles; two sets link when
    is verified on the full shingle sets.
 3. *Large groups* are cut into blocks of bounded size.  Blocks are joined
    alone first, under two independent cuts; afterwards only sets outside the
-   group's largest component meet all other blocks.  Nothing is capped.
+   group's largest component meet the other blocks of like sizes.  Nothing is
+   capped.
 
 Equal sets are represented once.  Only spanning links leave a task.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import zstandard as zs
@@ -42,7 +45,7 @@ from tierline.llm.textbytes import column_bytes, mix, pieces, shingles, word_has
 PERCENT = 90
 WORDS = 3
 #: Shingles (8 bytes each) that one block of a candidate group may hold.
-BLOCK_TOKENS = 1 << 18
+BLOCK_TOKENS = 1 << 20
 #: Text whose routing keys a task combines before it sends them.
 RUN_BYTES = 8 << 20
 #: A shingle is common from this share of the documents on; at most so many.
@@ -471,41 +474,60 @@ def link_sets(docs: DataFrame, sig: DataFrame, words: int = WORDS, percent: int
     links = saved(_join_groups(_with_tokens(docs, alone, words), percent), "jaccard_links")
     large = saved(sized.where("blocks > 1").select("grp", "set_id", "doc_id", "n"), "jaccard_large")
     if not large.isEmpty():
-        across = saved(_across_blocks(large, links), "jaccard_across")
+        across = saved(_across_blocks(large, links, percent), "jaccard_across")
         if not across.isEmpty():
             links = links.unionAll(saved(
                 _join_groups(_with_tokens(docs, across, words), percent), "jaccard_cross"))
     return components(links, "jaccard_components")
 
 
-def _across_blocks(large: DataFrame, links: DataFrame) -> DataFrame:
+def _across_blocks(large: DataFrame, links: DataFrame, percent: int) -> DataFrame:
     """(doc_id, set_id, label, tasks): how large groups are compared across
     blocks after these were joined alone.
 
     A group whose sets are already one component needs nothing.  Elsewhere the
-    sets outside the largest component meet every block of the group.
+    sets outside the largest component meet the blocks of the group that hold
+    sets of their own or a neighbouring size band; linked sets lie at most one
+    band apart.
     """
     part = components(links, "jaccard_parts").withColumnsRenamed({"id": "set_id", "root": "label"})
     lab = large.join(part, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
     by = lab.groupBy("grp", "label").agg(F.sum("n").alias("t"))
-    top = by.groupBy("grp").agg(F.max(F.struct("t", "label")).alias("top"), F.sum("t").alias("all"),
-                                F.count("*").alias("labels")).where("labels > 1")
-    main = lab.join(top, "grp").withColumn("main", F.col("label") == F.col("top.label")) \
-        .withColumn("nm", F.ceil(F.col("top.t") / BLOCK_TOKENS).cast("int")) \
-        .withColumn("no", F.ceil((F.col("all") - F.col("top.t")) / BLOCK_TOKENS).cast("int"))
-    mine = F.pmod(F.xxhash64("set_id"), F.when(F.col("main"), F.col("nm")).otherwise(F.col("no")))
-    rows = main.withColumn("mine", mine.cast("int"))
-    others = F.sequence(F.lit(0), F.col("no") - 1)
-
-    def task(x, of_main: bool, y):
-        return F.xxhash64("grp", x, F.lit(of_main), y)
-    # A task is (block of others, block of the main part or of others).
-    tasks = F.when(F.col("main"), F.transform(others, lambda o: task(o, True, F.col("mine")))) \
-        .otherwise(F.concat(
-            F.transform(F.sequence(F.lit(0), F.col("nm") - 1), lambda y: task(F.col("mine"), True, y)),
-            F.transform(others, lambda o: task(F.least(F.col("mine"), o), False,
-                                               F.greatest(F.col("mine"), o)))))
-    return rows.select("doc_id", "set_id", "label", tasks.alias("tasks"))
+    top = by.groupBy("grp").agg(F.max(F.struct("t", "label")).alias("top"), F.count("*").alias("labels")) \
+        .where("labels > 1")
+    # A little wider than the threshold, so that rounding separates no pair.
+    band = F.floor(F.log(F.col("n").cast("double")) / (1.001 * math.log(100 / percent))).cast("int")
+    rows = saved(lab.join(top, "grp").select(
+        "grp", "set_id", "doc_id", "label", "n", (F.col("label") == F.col("top.label")).alias("main"),
+        band.alias("band")), "jaccard_bands")
+    size = rows.groupBy("grp", "main", "band").agg(
+        F.struct("band", F.ceil(F.sum("n") / BLOCK_TOKENS).cast("int").alias("blocks")).alias("b"))
+    # One entry per size band: some dozens.
+    size = size.groupBy("grp").agg(
+        F.map_from_entries(F.collect_list(F.when(F.col("main"), F.col("b")))).alias("of_main"),
+        F.map_from_entries(F.collect_list(F.when(~F.col("main"), F.col("b")))).alias("of_others"))
+    rows = rows.join(size, "grp")
+    own = F.when(F.col("main"), F.col("of_main")[F.col("band")]) \
+        .otherwise(F.col("of_others")[F.col("band")])
+    rows = rows.withColumn("mine", F.pmod(F.xxhash64("set_id"), own).cast("int"))
+
+    def near(blocks: str, make):
+        """``make(band, block)`` for the blocks of the own and next bands."""
+        def of(at):
+            n = F.coalesce(F.col(blocks)[at], F.lit(0))
+            return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda y: make(at, y))) \
+                .otherwise(F.array().cast("array<long>"))
+        return F.concat(*[of(F.col("band") + d) for d in (-1, 0, 1)])
+    me = F.struct(F.col("band").alias("b"), F.col("mine").alias("i"))
+
+    def pair(b, i):
+        other = F.struct(b.alias("b"), i.alias("i"))
+        return F.xxhash64("grp", F.lit(False), F.least(me, other), F.greatest(me, other))
+    tasks = F.when(F.col("main"), near("of_others", lambda b, i: F.xxhash64(
+        "grp", F.lit(True), b, i, "band", "mine"))) \
+        .otherwise(F.concat(near("of_main", lambda b, i: F.xxhash64(
+            "grp", F.lit(True), "band", "mine", b, i)), near("of_others", pair)))
+    return rows.select("doc_id", "set_id", "label", tasks.alias("tasks")).where("size(tasks) > 0")
 
 
 def op4_jaccard_join(spark: SparkSession, docs: DataFrame, words: int = WORDS,

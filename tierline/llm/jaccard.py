@@ -45,7 +45,7 @@ from tierline.llm.textbytes import column_bytes, mix, pieces, shingles, word_has
 PERCENT = 90
 WORDS = 3
 #: Shingles (8 bytes each) that one block of a candidate group may hold.
-BLOCK_TOKENS = 1 << 20
+BLOCK_TOKENS = 1 << 23
 #: Text whose routing keys a task combines before it sends them.
 RUN_BYTES = 8 << 20
 #: A shingle is common from this share of the documents on; at most so many.

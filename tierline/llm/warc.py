@@ -82,6 +82,12 @@ def _open(uri: str):
         (pafs.LocalFileSystem(), uri)
 
 
+def _make(uri: str):
+    fs, path = _open(uri)
+    fs.create_dir(path, recursive=True)
+    return fs, path
+
+
 def write_archives(pages: DataFrame, folder: str | None = None, least: int = REVISIT_BYTES) -> str:
     """Write one record per row of ``pages`` (page_id, url, html); the folder.
 
@@ -94,6 +100,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, least: int = REV
     """
     spark = pages.sparkSession
     folder = folder or fresh_folder(spark, "llm", "warc")
+    _make(folder)  # also without a row to write
     html = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     named = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", html.alias("html"))
     # The 160-bit digest and the length stand for the payload.
@@ -117,8 +124,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, least: int = REV
         rows = _repeated_rows(rows, twice)
 
     def run(batches):
-        fs, path = _open(folder)
-        fs.create_dir(path, recursive=True)
+        fs, path = _make(folder)
         task, attempt, part, out, n = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId(), 0, None, 0
 
         def close():

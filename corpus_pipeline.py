@@ -27,7 +27,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """
     found = jaccard.op4_jaccard_join(spark, docs, words=5, percent=80) \
         .where("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(found, docs["doc_id"] == found["_id"], "left_anti")
+    kept = docs.join(found.hint("merge"), docs["doc_id"] == found["_id"], "left_anti")
     # Rows that repeat a doc_id and its text are copies too; ids are counted
     # apart from the texts, so the usual table without any moves no text.
     again = saved(docs.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).count()

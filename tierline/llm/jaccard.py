@@ -429,7 +429,9 @@ def _join_groups(rows: DataFrame, percent: int) -> DataFrame:
 def _with_tokens(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
     """(task, set_id, label, toks) of members (doc_id, set_id, label, tasks):
     the shingles of the texts that stand for the sets, to each of its tasks."""
-    picked = docs.select("doc_id", "text").join(members, "doc_id")
+    # Shuffled at every size: a broadcast that ends as the members grow would
+    # make the cost jump.
+    picked = docs.select("doc_id", "text").join(members.hint("merge"), "doc_id")
 
     def run(batches):
         for b in batches:

@@ -34,6 +34,15 @@ def test_small_pages(page, text):
     assert H.main_text(page) == text
 
 
+@pytest.mark.parametrize("script", [
+    "<script>for(i=0;i<n;i++){s++}</script>", "<script>if (a<b && c>d) x='<!--'</script >", "<script><!-- no end</script>",
+    "<script>t = a<b ? \"it's : 0</script>", "<style>p:before{content:'<b'}</STYLE>", "<textarea>a<b \" </textarea x='>'>",
+    "<script>'</scripted>' <a</script/>"])
+def test_text_after_raw_elements(script):
+    page = f"<p>words before the raw text</p>{script}<p>words after the raw text, \"quoted\" and it's whole</p>"
+    assert H.main_text(page) == "words before the raw text\n\nwords after the raw text, \"quoted\" and it's whole"
+
+
 def cost(scores, edges, labels):
     return sum(s if s > 0 and not k else -s if s < 0 and k else 0 for s, k in zip(scores, labels)) \
         + sum(w for a, b, w in edges if labels[a] != labels[b])

@@ -140,15 +140,8 @@ def blocks_of(page: str) -> list[_Block]:
         if f.up:
             here = f.up
 
-    at, until = 0, None
-    for m in _TAG.finditer(page):
-        if until is not None:  # inside raw text: only its own end tag counts
-            if m.start() < at or (m[2] or m[5] or "").lower() != until or not (m[1] or m[4]):
-                continue
-            at, until = m.end(), None
-            continue
-        if m.start() < at:
-            continue
+    at = 0
+    while (m := _TAG.search(page, at)) is not None:
         add(page[at:m.start()])
         at = m.end()
         name = m[2] or m[5]
@@ -162,11 +155,12 @@ def blocks_of(page: str) -> list[_Block]:
         if closing:
             close({tag})
         elif tag in _RAW:
-            end = re.compile(rf"</{tag}\s*[/>]", re.I).search(page, at)
+            # Raw text: nothing but its own end tag is a tag.
+            end = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(page, at)
             if end is None:
                 at = len(page)
                 break
-            until, at = tag, end.start()
+            at = _TAG.match(page, end.start()).end()
         elif tag not in _VOID:
             if tag in _BLOCK:
                 close({"p"}, _SCOPE)
@@ -174,8 +168,7 @@ def blocks_of(page: str) -> list[_Block]:
                 close(_CLOSES[tag], _SCOPE - {"td", "th"} if tag == "tr" else _SCOPE - _CLOSES[tag])
             if tag not in ("html", "body") or attrs:
                 here = _Frame(tag, "" if attrs.endswith("/") and not attrs[:-1].strip() else attrs, here)
-    if until is None:
-        add(page[at:])
+    add(page[at:])
     flush()
     return out
 

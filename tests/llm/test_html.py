@@ -43,6 +43,37 @@ def test_text_after_raw_elements(script):
     assert H.main_text(page) == "words before the raw text\n\nwords after the raw text, \"quoted\" and it's whole"
 
 
+BODY = [f"Sentence {i} of the body has quite a few words to read in it." for i in range(6)]
+PARTS = "".join(f"<p>{x}</p>" for x in BODY)
+SIDE = "<nav><a href=1>Home</a></nav>{}<div id=comments class=comment-list><p>I disagree with all of this.</p></div>" \
+       "<div class=ad>Buy this now, it is so good</div><footer>we are us</footer>"
+
+
+@pytest.mark.parametrize("wrapper", [
+    '<div class="layout has-sidebar">{}</div>', '<article class="post comments-open">{}</article>',
+    '<div id="page-with-menu">{}</div>', '<div class="has-sidebar"><div id="with-menu"><main>{}</main></div></div>',
+    '<div class="sidebar">{}</div>', '<div role="banner" class="notice"><article>{}</article></div>',
+    '<div class="page-header-fixed">{}</div>'])
+def test_wrappers_with_penalty_words(wrapper):
+    body = "\n\n".join(BODY)
+    for page in (wrapper.format(PARTS), wrapper.format(SIDE.format(PARTS)), SIDE.format(wrapper.format(PARTS))):
+        assert H.main_text(f"<html><body>{page}</body></html>") == body
+
+
+def test_penalty_words_beside_the_article():
+    for side in ("<div class=related><article>A teaser of another story of today</article></div>",
+                 f"<section id=comments>{PARTS.replace('Sentence', 'Comment') * 4}</section>",
+                 "<div class='site-notice'>Our offices are closed for all of today</div>"):
+        for page in (f"<article>{PARTS}</article>{side}", f"<main>{PARTS}{side}</main>", f"{side}<div>{PARTS}</div>",
+                     f"<div class='wrap has-sidebar'>{PARTS}{side}</div>"):
+            assert H.main_text(page) == "\n\n".join(BODY)
+
+
+def test_listed_articles_with_states():
+    page = "".join(f'<article class="post {c}">{PARTS}</article>' for c in ("", "comments-open", "has-share"))
+    assert H.main_text(page) == "\n\n".join(BODY * 3)
+
+
 def cost(scores, edges, labels):
     return sum(s if s > 0 and not k else -s if s < 0 and k else 0 for s, k in zip(scores, labels)) \
         + sum(w for a, b, w in edges if labels[a] != labels[b])

@@ -4,7 +4,9 @@ A page is read into blocks: runs of text between block-level tags, each with
 its chain of enclosing elements.  A linear classifier over element kinds,
 class and id words, link density and length gives every block a score; its
 positive part is the capacity from the content terminal, its negative part the
-capacity to the boilerplate terminal.  Neighbours in page order, and blocks
+capacity to the boilerplate terminal.  A word that names boilerplate counts
+against the text below it only if the page's own text is elsewhere: an element
+that outweighs all text outside it is a wrapper (see release).  Neighbours in page order, and blocks
 that follow each other under one parent, are tied by smoothness edges that weaken
 with their distance in the document tree and with a contrast of their elements.  The minimum cut (Dinic's
 maximum flow) separates content from boilerplate.
@@ -56,10 +58,15 @@ _CONTENT_WORDS = {"article", "content", "post", "entry", "story", "main", "maint
 _W = {"words": 8.0, "hidden": 9.0, "region": 2.5, "named": 1.5, "outside": 2.0,
       "links": 4.0, "heading": 0.5, "length": 0.5, "length_bias": 0.3, "length_top": 2.0}
 _NEXT, _SIBLING = 0.6, 1.0
+#: How many times the text outside an element with a penalty word must be
+#: outweighed to make it a wrapper: if a class is just that word ("sidebar"),
+#: if a class mentions it ("has-sidebar"); by what these change if only one
+#: side has an article, main or h1.
+_PURE, _MENTION, _MARKED_IN, _MARKED_OUT = 10.0, 2.0, 1 / 8, 4.0
 
 
 class _Frame:
-    __slots__ = ("tag", "up", "depth", "penalty", "region", "skip", "link")
+    __slots__ = ("tag", "up", "depth", "penalty", "region", "skip", "link", "word", "pure")
 
     def __init__(self, tag: str, attrs: str, up: "_Frame | None"):
         self.tag, self.up = tag, up
@@ -68,6 +75,9 @@ class _Frame:
         self.region = up.region if up else 0.0
         self.skip = (up.skip if up else False) or tag in _SKIP
         self.link = (up.link if up else False) or tag == "a"
+        # The innermost element with a penalty word, itself included.
+        self.word = up.word if up else None
+        self.pure = False
         self.penalty = max(self.penalty, _PENALTY_TAG.get(tag, 0.0))
         if tag == "header":
             # An article's own header holds its title; a page header does not.
@@ -78,20 +88,24 @@ class _Frame:
             self._attributes(attrs)
 
     def _attributes(self, attrs: str) -> None:
-        named = set()
+        named, tokens = set(), []
         for name, value in _ATTR.findall(attrs):
             name, value = name.lower(), value.strip("\"'")
             if name in ("class", "id", "role", "itemprop"):
-                named.update(w.lower() for w in _PART.findall(value))
+                tokens += [{w.lower() for w in _PART.findall(t)} for t in value.split()]
             elif name == "hidden" or name == "aria-hidden" and value.lower() == "true" or \
                     name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
                 self.penalty = max(self.penalty, _W["hidden"])
         if self.tag in ("body", "html"):
             return
-        if named & _PENALTY_WORDS:
-            self.penalty = max(self.penalty, _W["words"])
-        if "header" in named and not self.region:
-            self.penalty = max(self.penalty, _W["words"])
+        named.update(*tokens)
+        bad = _PENALTY_WORDS if self.region else _PENALTY_WORDS | {"header"}
+        if named & bad:
+            self.pure = any(t and t <= bad for t in tokens)
+            # <article class="post comments-open"> is a post with a state.
+            if self.pure or self.tag not in ("article", "main") or \
+                    not any(t and t <= _CONTENT_WORDS for t in tokens):
+                self.word = self
         if named & _CONTENT_WORDS:
             self.region = max(self.region, _W["named"])
 
@@ -173,6 +187,52 @@ def blocks_of(page: str) -> list[_Block]:
     return out
 
 
+def release(blocks: list[_Block]) -> None:
+    """Apply the penalty words, except those of wrappers.
+
+    The element with such a word that outweighs the free text most is a
+    wrapper if it outweighs it at all; its own text is free from then on, and
+    the elements with such words inside it are judged in turn.
+    """
+    size: dict[_Frame | None, list[float]] = {None: [0.0, False]}  # own text, marked
+    for b in blocks:
+        f = b.frame.word
+        while f is not None and f not in size:
+            size[f] = [0.0, False]
+            f = f.up.word
+        if b.frame.penalty < _W["words"]:
+            own = size[b.frame.word]
+            own[0] += len(b.text) * (1 - b.link)
+            own[1] = own[1] or b.frame.region >= _W["region"] or b.heading and b.frame.tag == "h1"
+    inside: dict[_Frame, list[_Frame]] = {}
+    whole = {f: list(v) for f, v in size.items()}
+    for f in sorted((f for f in size if f is not None), key=lambda f: -f.depth):
+        up = f.up.word
+        inside.setdefault(up, []).append(f)
+        if up is not None:
+            whole[up][0] += whole[f][0]
+            whole[up][1] = whole[up][1] or whole[f][1]
+    free, marked = size[None]
+    wrappers, waiting = {None}, inside.get(None, [])
+
+    def weight(f: _Frame) -> float:
+        k = _PURE if f.pure else _MENTION
+        if whole[f][1] != marked:
+            k *= _MARKED_IN if whole[f][1] else _MARKED_OUT
+        return whole[f][0] / k
+
+    while waiting:
+        best = max(waiting, key=weight)
+        if weight(best) <= free:
+            break
+        wrappers.add(best)
+        free, marked = free + size[best][0], marked or size[best][1]
+        waiting = [f for f in waiting if f is not best] + inside.get(best, [])
+    for b in blocks:
+        if b.frame.word not in wrappers:
+            b.frame.penalty = max(b.frame.penalty, _W["words"])
+
+
 def score(b: _Block, has_region: bool) -> float:
     f = b.frame
     s = f.region - f.penalty - _W["links"] * b.link
@@ -256,7 +316,9 @@ def min_cut(scores: list[float], edges: list[tuple[int, int, float]]) -> list[bo
 def main_text(page: str | None) -> str:
     """The main text of one page (null: empty); blocks joined by blank lines."""
     blocks = blocks_of(page or "")
-    has_region = any(b.frame.region >= _W["region"] for b in blocks)
+    release(blocks)
+    # A teaser's article tag does not make text elsewhere an outsider.
+    has_region = any(b.frame.region >= _W["region"] and b.frame.penalty < _W["words"] for b in blocks)
     scores = [score(b, has_region) for b in blocks]
     edges, last = [], {}
 

@@ -79,6 +79,36 @@ def test_cycles_and_large_layers_end(monkeypatch):
     assert S.scan_text(B64(zlib.compress(b"a" * 100_000)))["n_unopened"] >= 1
 
 
+def secrets_of(text):
+    return [x for x in S.scan_text(text)["spans"].split(",") if x.startswith("assign")]
+
+
+LONG = "first line of the text, then password=abcd1234efgh and more to fill up the run!!"
+HARD = bytes(random.Random(9).randbytes(90)) + U + b" "
+
+
+def wrapped(code, width, sep="\n"):
+    return sep.join(code[i:i + width] for i in range(0, len(code), width))
+
+
+@pytest.mark.parametrize("text", [
+    B64((LONG + "!").encode()[:81]) + "\nNext words", B64(gzip.compress(HARD)).rstrip("=") + "\nNexts words",
+    "https://host.tld/cb/" + B64(U), "token-" + B64(U), "x_" + B64(U), "abc/" + B64(gzip.compress(U)), "ab-" + B64(zlib.compress(U)),
+    wrapped(B64(U), 20), wrapped(B64(U), 8), wrapped(B64(gzip.compress(U)), 32), wrapped(B64(lzma.compress(U)), 50, "\r\n"),
+    "key: |\n    " + wrapped(B64(bz2.compress(U)), 40, "\n    "), "id\n" + wrapped(B64(U), 24) + "\nend"])
+def test_runs_and_their_neighbours(text):
+    assert secrets_of(text)
+
+
+def test_place_of_a_run_beside_others():
+    t = "https://host.tld/cb/" + B64(U) + "\nNext"
+    k, a, b = secrets_of(t)[0].split(":")  # the next word may go on with the value
+    assert int(a) == 20 and 0 <= int(b) - 20 - len(B64(U)) <= 3
+    code = B64(gzip.compress(U + b"!")).rstrip("=")
+    k, a, b = secrets_of("ab-" + code + "\nNext")[0].split(":")
+    assert int(a) == 3 and 0 <= 3 + len(code) - int(b) <= 1
+
+
 def test_rows(spark, docs_of):
     rows = [(1, None), (2, ""), (3, SECRET), (3, SECRET), (None, "AKIA" + "A" * 16), (5, "w " * 200_000 + LAYERS["gzip"])]
     out = S.op2_secret_scan(spark, docs_of(rows, clash=["spans", "n_hex"])).collect()

@@ -4,7 +4,10 @@ A text is the first layer of a worklist.  Every layer is scanned with the base
 patterns, then unwrapped: percent escapes and Unicode escapes (``\\u``, ``\\x``,
 ``\\U``, numeric character references) are decoded in place, base64 runs and
 compressed payloads (gzip, zlib, bzip2, xz, zstandard) become layers of their
-own.  Each new layer joins the worklist until none is new; a layer that has
+own.  A base64 run goes on over line breaks and is decoded at all four places
+that its first group of letters may have, so neighbours do not hide it; payloads
+are looked for at every byte, in all their members.  Bytes that are no text are
+scanned too, undecodable ones replaced.  Each new layer joins the worklist until none is new; a layer that has
 been seen at the same place is not opened again, so cycles end.  Every
 character of a layer knows the stretch of the original text it came from, and
 matches are reported there.
@@ -16,6 +19,7 @@ import base64
 import binascii
 import bz2
 import hashlib
+import itertools
 import lzma
 import re
 import zlib
@@ -27,9 +31,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 KINDS = ("assign", "access", "hex")
-#: A compressed layer is opened up to this size; a larger one is counted in
-#: n_unopened, so nothing is passed over in silence.
+#: A compressed layer is held in one piece up to this size; a larger one is
+#: counted in n_unopened and scanned in windows, all of it.
 LAYER_BYTES = 32 << 20
+#: Windows of large layers: their size, and what two neighbours share at least.
+#: A base64 run is never cut; a window grows with it.
+WINDOW, OVERLAP = 4 << 20, 64 << 10
 
 
 def _either_case(word: str) -> str:
@@ -45,9 +52,16 @@ _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(
     r"\\u[dD][89abAB][0-9A-Fa-f]{2}\\u[dD][c-fC-F][0-9A-Fa-f]{2}|\\u\{[0-9A-Fa-f]{1,6}\}"
     r"|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#[xX][0-9A-Fa-f]{1,6};|&#[0-9]{1,7};")
-_BASE64 = re.compile(r"(?:[A-Za-z0-9+/]{60,}\r?\n)+[A-Za-z0-9+/]{2,}={0,2}|[A-Za-z0-9+/_-]{16,}={0,2}")
-_URL_SAFE = str.maketrans("-_", "+/", "\r\n")
-_CONTROL = re.compile(r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]")
+_LETTER, _WRAP = "[A-Za-z0-9+/_-]", r"[ \t]*+\r?\n[ \t]*+"
+_BASE64 = re.compile(rf"(?<!{_LETTER})(?:{_LETTER}{{16,}}+(?:{_WRAP}{_LETTER}++)*+|{_LETTER}++(?:{_WRAP}{_LETTER}++)++)={{0,2}}")
+_URL_SAFE = bytes.maketrans(b"-_", b"+/")
+#: A base64 run at the end of a window, read backwards.
+_TAIL = re.compile(rb"(?:[A-Za-z0-9+/_-]++|[ \t]*+\n\r?[ \t]*+)*+")
+_SPACES = re.compile(rb" {65,}")
+_MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\xfd7zXZ\x00"
+                    rb"|\x28\xb5\x2f\xfd|[\x50-\x5f]\x2a\x4d\x18")
+#: Without any of these, bytes have neither matches nor further layers.
+_ANY = re.compile(rf"{_NAME}|AKIA|[0-9a-f]{{32}}|%[0-9A-Fa-f]{{2}}|\\[uUx]|&#|{_LETTER}{{16}}|{_LETTER}{_WRAP}{_LETTER}".encode())
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -92,36 +106,96 @@ def _replaced(layer: _Layer, parts: list[tuple[int, int, str, list[int]]]) -> _L
     return _Layer("".join(text), np.concatenate(start), np.concatenate(end))
 
 
-def _unpacked(raw: bytes) -> tuple[bytes | None, bool]:
-    """(payload of a compressed blob, or None; True if it is too large)."""
-    try:
-        if raw[:2] == b"\x1f\x8b" or raw[:1] == b"\x78" and len(raw) > 2 and (raw[0] << 8 | raw[1]) % 31 == 0:
+_LONE = re.compile("[\udc80-\udcff]")
+
+
+def _pieces(raw: bytes, at: int = 0):
+    """The bytes from ``at`` on; little first, in case they are no payload."""
+    yield bytes(raw[at:at + 1024])
+    for a in range(at + 1024, len(raw), 1 << 16):
+        yield bytes(raw[a:a + (1 << 16)])
+
+
+class _Inflate:
+    """Content of the compressed members at the start of a byte stream;
+    ``used``: length of the complete ones."""
+
+    def __init__(self, source):
+        self.source, self.data, self.used = iter(source), b"", 0
+
+    def more(self) -> bool:
+        part = next(self.source, None)
+        self.data += part or b""
+        return part is not None
+
+    def chunks(self):
+        """The inflated bytes in pieces; whatever precedes an error counts."""
+        while True:
+            while len(self.data) < 10 and self.more():
+                pass
+            m = _MAGIC.match(self.data)
+            if m is None:
+                return
+            try:
+                yield from self._member(m.group())
+            except (zlib.error, OSError, EOFError, ValueError, MemoryError, lzma.LZMAError, zs.ZstdError):
+                return
+
+    def _member(self, magic: bytes):
+        if magic[1:] == b"\x2a\x4d\x18":  # a skippable zstandard frame
+            left = taken = 8 + int.from_bytes(self.data[4:8], "little")
+            while left > 0 and (self.data or self.more()):
+                n = min(left, len(self.data))
+                self.data, left = self.data[n:], left - n
+            self.used += taken - left
+            return
+        flat = magic[0] in (0x1f, 0x78)
+        if flat:
             d = zlib.decompressobj(zlib.MAX_WBITS | 32)
-            out = d.decompress(raw, LAYER_BYTES)
-            return (None, True) if d.unconsumed_tail else (out, False)
-        if raw[:3] == b"BZh":
+        elif magic[:3] == b"BZh":
             d = bz2.BZ2Decompressor()
-            out = d.decompress(raw, LAYER_BYTES)
-            return (out, False) if d.eof or d.needs_input else (None, True)
-        if raw[:6] == b"\xfd7zXZ\x00":
+        elif magic[0] == 0xfd:
             d = lzma.LZMADecompressor(memlimit=256 << 20)
-            out = d.decompress(raw, LAYER_BYTES)
-            return (out, False) if d.eof or d.needs_input else (None, True)
-        if raw[:4] == b"\x28\xb5\x2f\xfd":
-            with zs.ZstdDecompressor().stream_reader(raw) as r:
-                out = r.read(LAYER_BYTES)
-                return (None, True) if r.read(1) else (out, False)
-    except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, zs.ZstdError):
-        pass
-    return None, False
-
-
-def _as_text(raw: bytes) -> str | None:
-    try:
-        text = raw.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return text if text and not _CONTROL.search(text) else None
+        else:
+            d = zs.ZstdDecompressor().decompressobj()
+        taken = 0
+        while not d.eof:
+            if not self.data and not self.more():
+                return
+            # zstandard has no bound of its output: little input at a time.
+            given = self.data[:1 << 10] if magic[0] == 0x28 else self.data[:1 << 16]
+            self.data = self.data[len(given):]
+            taken += len(given)
+            if flat:
+                out = d.decompress(given, 1 << 20)
+                while d.unconsumed_tail:
+                    yield out
+                    out = d.decompress(d.unconsumed_tail, 1 << 20)
+            elif magic[0] == 0x28:
+                out = d.decompress(given)
+            else:
+                out = d.decompress(given, 1 << 20)
+                while not d.eof and not d.needs_input:
+                    yield out
+                    out = d.decompress(b"", 1 << 20)
+            if d.eof:
+                self.data = d.unused_data + self.data
+                self.used += taken - len(d.unused_data)
+            if out:
+                yield out
+        # xz streams may be padded.
+        while magic[0] == 0xfd and (self.data or self.more()) and self.data[:4] == b"\0\0\0\0":
+            self.data, self.used = self.data[4:], self.used + 4
+
+
+def _as_text(raw: bytes) -> tuple[str, list[int]]:
+    """Text and the bytes per character; an undecodable byte is one."""
+    text = raw.decode("utf-8", "surrogateescape")
+    if len(text) == len(raw):
+        size = [1] * len(raw)
+    else:
+        size = [1 if c < "\x80" or "\udc80" <= c <= "\udcff" else len(c.encode()) for c in text]
+    return _LONE.sub("\ufffd", text), size
 
 
 def _escape_char(s: str) -> str | None:
@@ -143,6 +217,9 @@ class _Scan:
         self.work: list[_Layer] = []
         where = np.arange(len(text) + 1)
         self.open(_Layer(text, where[:-1], where[1:]), root=True)
+        self.drain()
+
+    def drain(self) -> None:
         while self.work:
             self.open(self.work.pop())
 
@@ -155,22 +232,72 @@ class _Scan:
             self.seen.add(key.digest())
             self.work.append(layer)
 
-    def bytes_at(self, layer: _Layer, a: int, b: int, raw: bytes) -> bool:
-        """Open binary content found at [a, b); True if it was a payload."""
-        seen: set[bytes] = set()
-        while raw not in seen:  # compressed in compressed, until neither
-            seen.add(raw)
-            inner, large = _unpacked(raw)
-            self.unopened += large
-            if inner is None:
-                break
-            raw = inner
-        text = _as_text(raw)
-        if text is None:
-            return False
-        start, end = layer.place(a, b)
-        self.push(_Layer(text, np.full(len(text), start), np.full(len(text), end)))
-        return True
+    def content(self, start: int, end: int, chunks) -> None:
+        """Scan the bytes of a payload found at original [start, end)."""
+        chunks, held, size = iter(chunks), [], 0
+        while size <= LAYER_BYTES and (c := next(chunks, None)) is not None:
+            held.append(c)
+            size += len(c)
+        raw = b"".join(held)
+        if size <= LAYER_BYTES:
+            key = hashlib.sha256(raw + b"|%d|%d|bytes" % (start, end)).digest()
+            if not raw or key in self.seen:
+                return
+            self.seen.add(key)
+            if _MAGIC.match(raw):  # compressed in compressed
+                inner = _Inflate(_pieces(raw))
+                self.content(start, end, inner.chunks())
+                raw = raw[inner.used:]
+            self.fixed(start, end, raw)
+            return
+        self.unopened += 1
+
+        def pieces(first, chunks):
+            yield from _pieces(first)
+            yield from chunks
+
+        stream = pieces(raw, chunks)
+        if _MAGIC.match(raw):
+            inner = _Inflate(stream)
+            self.content(start, end, inner.chunks())
+            stream = pieces(inner.data, inner.source)
+        held, need = bytearray(), WINDOW
+        for c in stream:
+            held += c
+            if len(held) < need:
+                continue
+            held = bytearray(_SPACES.sub(b" " * 64, held))
+            self.fixed(start, end, bytes(held))
+            self.drain()
+            keep = max(OVERLAP, _TAIL.match(held[::-1]).end())
+            del held[:max(0, len(held) - keep)]
+            need = max(WINDOW, 2 * len(held))
+        self.fixed(start, end, bytes(held))
+
+    def fixed(self, start: int, end: int, raw: bytes) -> None:
+        """A layer whose characters all come from original [start, end)."""
+        if _ANY.search(raw):
+            text = _as_text(raw)[0]
+            self.push(_Layer(text, np.broadcast_to(start, len(text)), np.broadcast_to(end, len(text))))
+
+    def payloads(self, raw: bytes, place) -> bytes:
+        """Open the compressed payloads in ``raw``; ``place`` gives the original
+        place of some of its bytes.  Complete ones come back as zeros."""
+        at, left = 0, bytearray(raw)
+        while (m := _MAGIC.search(raw, at)) is not None:
+            at = m.start()
+            inner = _Inflate(_pieces(raw, at))
+            chunks, held, size = inner.chunks(), [], 0
+            # Its length is known at its end; a larger one goes on to the end.
+            while size <= LAYER_BYTES and (c := next(chunks, None)) is not None:
+                held.append(c)
+                size += len(c)
+            whole = inner.used and size <= LAYER_BYTES
+            if held:
+                self.content(*place(at, at + inner.used if whole else len(raw)), itertools.chain(held, chunks))
+            left[at:at + inner.used] = bytes(inner.used)
+            at += inner.used or 1
+        return bytes(left)
 
     def open(self, layer: _Layer, root: bool = False) -> None:
         text = layer.text
@@ -184,9 +311,12 @@ class _Scan:
                 raw = binascii.unhexlify(m.group().replace("%", ""))
                 try:
                     chars = raw.decode("utf-8")
-                    parts.append((*m.span(), chars, [3 * len(c.encode()) for c in chars]))
+                    size = [len(c.encode()) for c in chars]
                 except UnicodeDecodeError:
-                    self.bytes_at(layer, *m.span(), raw)
+                    at = m.start()
+                    raw = self.payloads(raw, lambda a, b, at=at: layer.place(at + 3 * a, at + 3 * b))
+                    chars, size = _as_text(raw)
+                parts.append((*m.span(), chars, [3 * n for n in size]))
             if parts:
                 self.push(_replaced(layer, parts))
         if "\\" in text or "&#" in text:
@@ -195,20 +325,32 @@ class _Scan:
             if parts:
                 self.push(_replaced(layer, parts))
         for m in _BASE64.finditer(text):
-            code = m.group().translate(_URL_SAFE).rstrip("=")
-            if len(code) % 4 == 1:
-                continue
-            raw = base64.b64decode(code + "=" * (-len(code) % 4))
-            if _unpacked(raw)[0] is not None or _as_text(raw) is None:
-                self.bytes_at(layer, *m.span(), raw)
+            run = np.frombuffer(m.group().encode(), np.uint8)
+            letters = np.flatnonzero((run > 32) & (run != 61))
+            if len(letters) >= 16:
+                self.base64(layer, m, run[letters].tobytes().translate(_URL_SAFE), letters + m.start())
+
+    def base64(self, layer: _Layer, m: re.Match, code: bytes, letters: np.ndarray) -> None:
+        for skip in range(4):
+            n = len(code) - skip
+            n -= n % 4 == 1
+            raw = base64.b64decode(code[skip:skip + n] + b"=" * (-n % 4))
+            where = letters[skip:skip + n]
+
+            def place(a, b, raw=raw, where=where):
+                last = m.end() if b == len(raw) else int(where[-(-b * 4 // 3) - 1]) + 1
+                return layer.place(int(where[a * 4 // 3]), last)
+
+            if _MAGIC.search(raw):
+                raw = self.payloads(raw, place)
+            if not _ANY.search(raw):
                 continue
-            # Plain text: every decoded character maps to its own code letters.
-            chars = _as_text(raw)
-            size = np.array([len(c.encode()) for c in chars])
+            # Text: every decoded character maps to its own code letters.
+            chars, size = _as_text(raw)
+            size = np.array(size)
             stop = np.cumsum(size)
-            letters = np.array([i for i, c in enumerate(m.group()) if c not in "\r\n="]) + m.start()
-            a = letters[(stop - size) * 4 // 3]
-            b = letters[np.minimum(-(-stop * 4 // 3), len(letters)) - 1]
+            a = where[(stop - size) * 4 // 3]
+            b = where[np.minimum(-(-stop * 4 // 3), len(where)) - 1]
             self.push(_Layer(chars, layer.start[a], layer.end[b]))
 
 

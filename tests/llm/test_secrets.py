@@ -109,6 +109,35 @@ def test_place_of_a_run_beside_others():
     assert int(a) == 3 and 0 <= 3 + len(code) - int(b) <= 1
 
 
+OTHER = b"nothing of interest in this one. "
+MEMBERS = {"gzip": gzip.compress, "zlib": zlib.compress, "bz2": bz2.compress, "xz": lzma.compress, "zstd": zstandard.compress}
+
+
+@pytest.mark.parametrize("name", MEMBERS)
+def test_all_members_and_large_layers(name, monkeypatch):
+    pack = MEMBERS[name]
+    assert secrets_of(B64(pack(OTHER) + pack(U)))
+    assert secrets_of(B64(pack(pack(OTHER) + pack(U))))
+    monkeypatch.setattr(S, "LAYER_BYTES", 1000)
+    monkeypatch.setattr(S, "WINDOW", 5000)
+    monkeypatch.setattr(S, "OVERLAP", 100)
+    rng = random.Random(2)
+    for at in range(4900, 5100, 7):
+        big = (OTHER * 1000)[:at] + U + b" " + OTHER * 1000
+        r = S.scan_text(B64(pack(big)))
+        assert r["spans"].startswith("assign") and r["n_unopened"] == 1
+    deep = b" ".join([OTHER * 200, base64.b64encode(gzip.compress(rng.randbytes(20_000) + U)), OTHER * 200])
+    assert secrets_of(B64(pack(deep))) and secrets_of(B64(pack(pack(deep) + pack(OTHER))))
+
+
+def test_bytes_that_are_no_text():
+    for raw in (b"\0A=1\0" + U + b"\0", "Schlüssel: ".encode("latin-1") + U, b"x^2 \xff\xfe" + U):
+        code = "".join(f"%{b:02X}" for b in raw)
+        assert secrets_of(B64(raw)) and secrets_of(code) and secrets_of(B64(gzip.compress(raw)))
+        a = raw.index(U)
+        assert f"assign:{3 * a}:{3 * a + 3 * len(U)}" in secrets_of(code)
+
+
 def test_rows(spark, docs_of):
     rows = [(1, None), (2, ""), (3, SECRET), (3, SECRET), (None, "AKIA" + "A" * 16), (5, "w " * 200_000 + LAYERS["gzip"])]
     out = S.op2_secret_scan(spark, docs_of(rows, clash=["spans", "n_hex"])).collect()

@@ -55,6 +55,23 @@ def test_ranges_and_stretches_do_not_matter(spark, docs_of, monkeypatch):
     assert got(docs_of(rows), length=60, gram=15) == brute(rows, 60)
 
 
+def test_splits_may_change_between_jobs(spark, docs_of, monkeypatch):
+    rows, stored, sizes = case(), X.saved, ["128m", "1k", "4k", "2k"]
+    df, key = docs_of(rows), "spark.sql.files.maxPartitionBytes"
+
+    def saved(df, name):
+        out = stored(df, name)
+        sizes.append(sizes.pop(0))
+        spark.conf.set(key, sizes[0])
+        return out
+    monkeypatch.setattr(X, "saved", saved)
+    before = spark.conf.get(key)
+    try:
+        assert got(df, length=60, gram=15) == brute(rows, 60)
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_production_length(spark, docs_of):
     rng = random.Random(9)
     p = words(rng, 90, 5000)

@@ -370,11 +370,12 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     Every byte covered by a ``length``-byte string that also starts elsewhere,
     in the same or another row, is removed; strings are judged on the input.
     A null text is empty and keeps the digest of nothing; rows that repeat
-    whole are copies of each other; other columns are never read.  ``docs``
-    must be a stored table: rows are told apart by their place in it.
+    whole are copies of each other; other columns are never read.  Rows are
+    numbered once and stored with their numbers: a later job may split the
+    input in another way.
     """
-    base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"),
-                       F.monotonically_increasing_id().alias("row"))
+    base = saved(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"),
+                             F.monotonically_increasing_id().alias("row")), "suffix_rows")
     light = saved(base.select("row", F.sha2(F.col("text").cast("binary"), 256).alias("sha"),
                               F.octet_length("text").alias("n")), "suffix_digests")
     same = light.groupBy("sha", "n").agg(F.min("row").alias("one"), F.count("*").alias("c")) \

@@ -52,6 +52,21 @@ def test_payloads_and_headers_come_back(spark, pages):
             assert r.payload == b"" and r.payload_length == len(html[0].encode())
 
 
+def test_very_long_urls(spark):
+    import random
+    rng = random.Random(1)
+    mixed = "".join(rng.choice("abcdefghijklmnop0123456789") for _ in range(100_000))
+    rows = [(1, "http://a/" + "x" * 100_000, "<p>one</p>"), (2, "http://b/" + "y" * 100_000, "<p>one</p>"),
+            (3, "http://c/" + mixed, "<p>two</p>"), (4, "http://d/" + mixed, "<p>two</p>"), (5, "u" * 8_100, "three")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    path = fresh_folder(spark, "tests", "long")
+    df.write.parquet(path)
+    df = spark.read.parquet(path)
+    assert sorted(map(tuple, X.op9_warc(spark, df).collect()), key=str) == expected(rows)
+    for r in X.read_archives(spark, X.write_archives(df), True).collect():
+        assert (int(r.page_id), r.target_uri) in [(i, u) for i, u, _ in rows]
+
+
 def test_least_bytes(spark, pages):
     folder = X.write_archives(pages, least=5)
     got = X.read_archives(spark, folder, False, {"record_type": "revisit"}).collect()

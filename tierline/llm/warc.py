@@ -231,11 +231,14 @@ class WarcReader(DataSourceReader):
                 raise ValueError(f"no record at byte {at}")
             total = struct.unpack("<I", front[16:20])[0]
             inflate = zlib.decompressobj(-zlib.MAX_WBITS)
-            data = inflate.decompress(front[20:], 8192)
-            used = 4096
-            while b"\r\n\r\n" not in data and used < total:
+            data = bytearray(inflate.decompress(front[20:], 8192))
+            used, seen = 4096, 0
+            while data.find(b"\r\n\r\n", seen) < 0:
+                seen = max(0, len(data) - 3)
                 tail = inflate.unconsumed_tail
-                more = b"" if tail else f.read(4096)
+                more = b"" if tail or used >= total else f.read(4096)
+                if inflate.eof or not (tail or more):
+                    raise ValueError(f"no end of the header of the record at byte {at}")
                 used += len(more)
                 data += inflate.decompress(tail or more, 8192)
             head, _, rest = data.partition(b"\r\n\r\n")
@@ -252,7 +255,7 @@ class WarcReader(DataSourceReader):
                     tail = inflate.unconsumed_tail + f.read(max(0, total - used))
                     if len(rest) < length:
                         rest += inflate.decompress(tail)
-                    row["payload"] = rest[:length]
+                    row["payload"] = bytes(rest[:length])
                 yield [row[c] for c, _ in self.columns]
             at += total
 

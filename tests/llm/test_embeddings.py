@@ -72,6 +72,21 @@ def test_audit_measures_recall(spark):
     assert X.audit(nodes, found.withColumn("links", found.links * 0)) < 0.5
 
 
+def test_low_recall_ends_in_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(X, "BLOCK", 50)
+    monkeypatch.setattr(X, "ROUNDS", 1)
+    monkeypatch.setattr(X, "range_search", lambda x, adj, q, cosine, beam: np.zeros((len(q), len(x)), bool))
+    rows = case(seed=4, groups=20)
+    assert sorted(map(tuple, X.op6_embedding_dedup(spark, frame(spark, rows)).collect())) == brute(rows)
+
+
+def test_audit_is_not_ruled_by_a_large_group(spark):
+    nodes = spark.createDataFrame([(1, 2, 1000, [1.0, 0.0]), (2, 2, 1000, [1.0, 0.01]), (3, 2, 1, [0.0, 1.0]),
+                                   (4, 2, 1, [0.01, 1.0])], "node long, dim int, n long, vector array<double>")
+    found = spark.createDataFrame([(1, 1000), (2, 1000)], "node long, links long")
+    assert X.audit(nodes, found) == 0.5
+
+
 def test_empty_and_null_ids(spark):
     df = frame(spark, [(None, [1.0, 0.0]), (5, [1.0, 0.01]), (None, None)])
     out = sorted(map(tuple, X.op6_embedding_dedup(spark, df).collect()), key=str)

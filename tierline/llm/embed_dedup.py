@@ -11,7 +11,8 @@
    medoids, which then expands whatever lies within reach of the range until
    nothing new is.  Hits are verified in double precision.
 4. Recall is audited against brute force on ``AUDIT`` nodes; below ``RECALL``
-   the search is repeated with one more probe and a wider beam.
+   the search is repeated with one more probe and a wider beam, and after
+   ``ROUNDS`` rounds all pairs are compared.
 
 Pairs do not leave a task: it returns each node's number of links and its
 root in the task's own forest.  A pair met in several shards counts in the
@@ -246,8 +247,8 @@ def _build(tasks: DataFrame) -> DataFrame:
     return _grouped(tasks.select("task", "node", "vector"), work, "node long, near array<long>")
 
 
-def _search(tasks: DataFrame, cosine: float, beam: int) -> DataFrame:
-    """(node, links, root) per query row of a task."""
+def _search(tasks: DataFrame, cosine: float, beam: int | None) -> DataFrame:
+    """(node, links, root) per query row of a task; no beam: all pairs."""
     def work(t: pa.Table):
         order = np.argsort(t.column("node").to_numpy(), kind="stable")
         t = t.take(pa.array(order))
@@ -264,7 +265,7 @@ def _search(tasks: DataFrame, cosine: float, beam: int) -> DataFrame:
             at = np.searchsorted(ids[v], a)
             at[at == len(v)] = 0
             adj.append(at[ids[v][at] == a])
-        met = range_search(x[v], adj, x[q], cosine, beam)
+        met = x[q] @ x[v].T >= cosine - 1e-9 if beam is None else range_search(x[v], adj, x[q], cosine, beam)
         if len(v) == len(q) and (v == q).all():
             met |= met.T
         a, b = np.nonzero(met)
@@ -297,30 +298,35 @@ def _search(tasks: DataFrame, cosine: float, beam: int) -> DataFrame:
     return _grouped(tasks, work, "node long, links long, root long")
 
 
-def _round(nodes: DataFrame, centers: dict, probes: int, cosine: float) -> DataFrame:
+def _round(nodes: DataFrame, centers: dict, probes: int, cosine: float, exact: bool = False) -> DataFrame:
     placed = saved(_assigned(nodes, centers, probes), "embed_assigned")
     member = placed.select("node", F.explode("shards").alias("shard"))
     blocks = member.groupBy("shard").count() \
         .select("shard", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
     inside = placed.select("*", F.explode("shards").alias("shard")).join(blocks, "shard") \
         .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-    graph = _build(inside.withColumn("task", F.xxhash64("shard", "block"))) \
-        .groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
-    graph = saved(graph, "embed_graph")
+    if exact:
+        inside = inside.withColumn("near", F.lit(None).cast("array<long>"))
+    else:
+        graph = _build(inside.withColumn("task", F.xxhash64("shard", "block"))) \
+            .groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
+        inside = inside.join(saved(graph, "embed_graph"), "node")
     # One task per (block of nodes, block of queries) of a shard.
-    pairs = inside.join(graph, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    pairs = inside.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     both = F.col("other") == F.col("block")
     as_node = pairs.select(F.xxhash64("shard", "block", "other").alias("task"), "shard", "node", "n", "vector",
                            "shards", "near", F.lit(True).alias("is_node"), both.alias("is_query"))
     as_query = pairs.where(~both).select(
         F.xxhash64("shard", "other", "block").alias("task"), "shard", "node", "n", "vector", "shards",
         F.lit(None).cast("array<long>").alias("near"), F.lit(False).alias("is_node"), F.lit(True).alias("is_query"))
-    return saved(_search(as_node.unionAll(as_query), cosine, BEAM * (probes - 1)), "embed_found")
+    return saved(_search(as_node.unionAll(as_query), cosine, None if exact else BEAM * (probes - 1)), "embed_found")
 
 
 def audit(nodes: DataFrame, found: DataFrame, cosine: float = COSINE, sample: int = AUDIT) -> float:
     """Share of the links of ``sample`` nodes, by brute force over all nodes,
-    that ``found`` (node, links) has.  The sample is a fixed number of rows."""
+    that ``found`` (node, links) has: of all their links, or the mean of the
+    nodes' own shares if that is less, so that a large group does not hide the
+    others.  The sample is a fixed number of rows."""
     q = nodes.orderBy(F.xxhash64("node", F.lit(7)), "node").limit(sample).toArrow()
     ids, dims = q.column("node").to_numpy(), q.column("dim").to_numpy()
     by_dim = {int(d): (ids[dims == d], _unit(_matrix(q.filter(pa.array(dims == d)).column("vector").combine_chunks())))
@@ -340,8 +346,9 @@ def audit(nodes: DataFrame, found: DataFrame, cosine: float = COSINE, sample: in
                     [pa.array(qi), pa.array((near * part.column("n").to_numpy()).sum(1))], names=["node", "want"])
     want = nodes.mapInArrow(run, "node long, want long").groupBy("node").agg(F.sum("want").alias("want"))
     got = found.groupBy("node").agg(F.sum("links").alias("got"))
-    r = want.join(got, "node", "left").agg(F.sum("want"), F.sum("got")).first()
-    return 1.0 if not r[0] else (r[1] or 0) / r[0]
+    r = want.join(got, "node", "left").where("want > 0").agg(
+        F.sum("want"), F.sum("got"), F.avg(F.coalesce("got", F.lit(0)) / F.col("want"))).first()
+    return 1.0 if not r[0] else min((r[1] or 0) / r[0], r[2])
 
 
 def op6_embedding_dedup(spark: SparkSession, vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
@@ -359,6 +366,8 @@ def op6_embedding_dedup(spark: SparkSession, vectors: DataFrame, cosine: float =
         found = _round(nodes, centers, probes, cosine)
         if audit(nodes, found, cosine) >= RECALL:
             break
+    else:  # one shard per length, its blocks met pair by pair
+        found = _round(nodes, {}, 1, cosine, exact=True)
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     roots = components(found.where("root <> node").select(F.col("node").alias("a"), F.col("root").alias("b")),
                        "embed_components")

@@ -61,6 +61,26 @@ def test_phrases_against_brute_force(spark, docs_of, monkeypatch):
     assert sorted(map(tuple, got), key=str) == brute(docs, items)
 
 
+def test_splits_may_change_between_blocks(spark, docs_of, monkeypatch):
+    docs, items = case()
+    df, stored, sizes = docs_of(docs), D.saved, ["1k", "2k", "128m", "3k"]
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+
+    def saved(frame, name):
+        out = stored(frame, name)
+        sizes.append(sizes.pop(0))
+        spark.conf.set(key, sizes[0])
+        return out
+    monkeypatch.setattr(D, "saved", saved)
+    monkeypatch.setattr(D, "ITEM_BYTES", 1500)
+    try:
+        got = D.op8_decontamination(spark, df, spark.createDataFrame(items, "item_id long, text string")).collect()
+        assert sorted(map(tuple, got), key=str) == brute(docs, items)
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_many_segments(spark, docs_of, monkeypatch):
     docs, items = case()
     monkeypatch.setattr(D, "SEGMENT", 300)

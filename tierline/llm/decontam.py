@@ -245,11 +245,14 @@ def _search(index: DataFrame, win: Windows, order: np.ndarray, gap: int) -> Data
         run, "row long, doc_id long, n_words long, hits array<long>, items array<long>")
 
 
-def _item_blocks(benchmark: DataFrame):
-    """Blocks of benchmark items of about ITEM_BYTES of text each."""
+def _n_blocks(benchmark: DataFrame) -> int:
+    size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(1, math.ceil(size / ITEM_BYTES))
+
+
+def _item_blocks(benchmark: DataFrame, n: int):
+    """n blocks of benchmark items, of about ITEM_BYTES of text each."""
     items = benchmark.select(F.col("item_id").cast("long"), "text")
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, math.ceil(size / ITEM_BYTES))
     for k in range(n):
         yield items.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k).toArrow()
 
@@ -260,12 +263,15 @@ def find_phrases(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> D
 
     Null and empty texts have no words; items without words or id match
     nothing; repeated rows each get their result.  Other columns are ignored.
-    With several blocks of items ``docs`` must be a stored table: rows are told
-    apart by their place in it.
+    With several blocks of items, rows are numbered once and stored with their
+    numbers: a later job may split the input in another way.
     """
     numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
+    n = _n_blocks(benchmark)
+    if n > 1:
+        numbered = saved(numbered, "decontam_rows")
     parts = []
-    for block in _item_blocks(benchmark):
+    for block in _item_blocks(benchmark, n):
         win = Windows(block, size)
         index = saved(build_index(numbered, win.vocab, size), "decontam_index")
         order = win.by_rarity(_frequencies(index, len(win.vocab)))
@@ -288,7 +294,7 @@ def proximity_matches(docs: DataFrame, benchmark: DataFrame, reach: int,
     ``reach`` words of an occurrence of its rarest term, in any order."""
     numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
     out = None
-    for block in _item_blocks(benchmark):
+    for block in _item_blocks(benchmark, _n_blocks(benchmark)):
         win = Windows(block, size)
         index = saved(build_index(numbered, win.vocab, size), "decontam_index")
         order = win.by_rarity(_frequencies(index, len(win.vocab)))

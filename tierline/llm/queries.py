@@ -55,6 +55,11 @@ def op6_embedding_dedup(spark, sf_dir):
     return op6_embedding_dedup(spark, table(spark, sf_dir, "embeddings"))
 
 
+def op11_packing(spark, sf_dir):
+    from tierline.llm.packing import op11_packing
+    return op11_packing(spark, table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark, sf_dir):
     from tierline.llm.periodic import op13_periodic_runs
     return op13_periodic_runs(spark, table(spark, sf_dir, "documents"))

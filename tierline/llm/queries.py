@@ -60,6 +60,11 @@ def op11_packing(spark, sf_dir):
     return op11_packing(spark, table(spark, sf_dir, "documents"))
 
 
+def op12_vector_codes(spark, sf_dir):
+    from tierline.llm.vector_codes import op12_vector_codes
+    return op12_vector_codes(spark, table(spark, sf_dir, "embeddings"))
+
+
 def op13_periodic_runs(spark, sf_dir):
     from tierline.llm.periodic import op13_periodic_runs
     return op13_periodic_runs(spark, table(spark, sf_dir, "documents"))
@@ -72,5 +77,7 @@ def queries():
 def oracle_sql():
     from tierline.llm.decontam import OP8_SQL
     from tierline.llm.mixing import OP10_SQL
+    from tierline.llm.vector_codes import OP12_SQL
     from tierline.llm.warc import OP9_SQL
-    return {"op8_decontamination": OP8_SQL, "op9_warc": OP9_SQL, "op10_mixing": OP10_SQL}
+    return {"op8_decontamination": OP8_SQL, "op9_warc": OP9_SQL, "op10_mixing": OP10_SQL,
+            "op12_vector_codes": OP12_SQL}

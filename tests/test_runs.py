@@ -36,7 +36,7 @@ def rows_of(df):
 
 
 DEATHS = [(step, False) for step in ("land_classifications", "request_log", "load_silver",
-                                     "null_count_by_file", "build_gold", "apply_run", "_store_metrics")] \
+                                     "partials_of_new", "build_gold", "apply_run", "_store_metrics")] \
     + [("land_classifications", True), ("build_gold", True)]
 
 

@@ -9,6 +9,7 @@ from tierline.checks.core import GOLD_DBT_SQL, GOLD_TABLE_SQL
 from tierline.checks.env import env
 from tierline.operators.crawl import crawl
 from tierline.operators.ordering import top1
+from tierline.operators.runlog import STAGE_SILVER
 from tierline.plans import runs
 from tierline.plans.lake import Lake
 from tierline.schemas import SESSIONS, S, TASK_KEYS, struct
@@ -61,15 +62,13 @@ def medallion_restart(spark, sf_dir):
     e = env(spark, sf_dir)
     lake = Lake(e.scratch("restart"))
 
-    def died(*args, **kwargs):
-        raise InterruptedError("killed after landing")
-    whole, runs.load_silver = runs.load_silver, died
+    def dies(stage):
+        if stage == STAGE_SILVER:
+            raise InterruptedError("killed after landing")
     try:
-        runs.run(spark, lake, e.src, runs.FULL, run_id="dead")
+        runs.run(spark, lake, e.src, runs.FULL, run_id="dead", on_stage=dies)
     except InterruptedError:
         pass
-    finally:
-        runs.load_silver = whole
     return runs.run(spark, lake, e.src, runs.FULL, run_id="again").gold
 
 

@@ -27,12 +27,12 @@ def check_dimensions(seasons: DataFrame, events: DataFrame, categories: DataFram
 
 def gold_results(classifications: DataFrame, seasons: DataFrame,
                  events: DataFrame, categories: DataFrame,
-                 sessions: DataFrame, style: str = "bash", keep_season_id: bool = False) -> DataFrame:
+                 sessions: DataFrame, style: str = "bash", keep: tuple[str, ...] = ()) -> DataFrame:
     """Results table with the column names of ``style`` (bash, dbt, table);
     lazy, and without a check of its dimensions.
 
-    ``keep_season_id`` adds the fact's season id as a last column, for
-    storing gold partitioned by season (it is never NULL, unlike ``year``).
+    ``keep``: key columns of the fact to add last, for storing gold
+    partitioned by them (they are never NULL, unlike ``year``).
     """
     names = GOLD_NAMES[style]
     fact = classifications.select(
@@ -57,4 +57,4 @@ def gold_results(classifications: DataFrame, seasons: DataFrame,
     src = ["_year", "_event_name", "_event_short", "_category", "_session",
            "_rider_name", "_rider_number", "_position", "_points"]
     cols = [F.col(s).alias(n) for s, n in zip(src, names)]
-    return g.select(*cols, *([F.col("season_id")] if keep_season_id else []))
+    return g.select(*cols, *keep)

@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tierline.operators.joins import duplicate_keys
@@ -35,6 +35,14 @@ def null_count_by_file(df: DataFrame, measure: str = "position",
               .groupBy(file_col).agg(F.count(F.lit(1)).alias(count_name)))
 
 
+def file_partials(df: DataFrame, measures: Sequence[str], file_col: str = "filename") -> DataFrame:
+    """Rows and NULLs of each measure per source file: counts that add up, so
+    files can be counted at different times and combined."""
+    return df.groupBy(file_col).agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count_if(F.col(m).isNull()).alias(f"null_{m}") for m in measures])
+
+
 def failing_not_null(df: DataFrame, column: str) -> DataFrame:
     """Rows that fail a not-null test."""
     return df.filter(F.col(column).isNull())
@@ -59,13 +67,44 @@ def null_counts(df: DataFrame, dims: Sequence[str]) -> DataFrame:
     return agg.selectExpr(f"stack({len(dims)}, {stack}) AS (dim, nulls)")
 
 
+def _raise_on_nulls(counts, dims: Sequence[str]) -> None:
+    for d in dims:
+        if counts[d]:
+            raise AuditError(d, int(counts[d]))
+
+
 def audit_nulls(df: DataFrame, dims: Sequence[str]) -> None:
     """Blocking audit: raise :class:`AuditError` for the first dimension
     with NULLs.  One scan for all dimensions; the result is one row."""
-    row = df.agg(*[F.count_if(F.col(d).isNull()).alias(d) for d in dims]).first()
-    for d in dims:
-        if row[d]:
-            raise AuditError(d, int(row[d]))
+    _raise_on_nulls(df.agg(*[F.count_if(F.col(d).isNull()).alias(d) for d in dims]).first(), dims)
+
+
+class WriteAudit:
+    """The same audit inside the job that writes the rows.
+
+    ``watch(df)`` adds the NULL counts of the dimensions, and the row count,
+    as observed metrics; after one action over it ``check()`` raises as
+    :func:`audit_nulls` does, without reading anything again.  A task that is
+    run twice may be counted twice: counts that block are never lost, and no
+    NULL is reported where there is none.
+    """
+
+    def __init__(self, dims: Sequence[str]):
+        self.dims, self._seen = list(dims), Observation()
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        return df.observe(self._seen, F.count(F.lit(1)).alias("_rows"),
+                          *[F.count_if(F.col(d).isNull()).alias(d) for d in self.dims])
+
+    @property
+    def counts(self) -> dict[str, int]:
+        return self._seen.get
+
+    def check(self) -> int:
+        """Raise for the first dimension with NULLs; the number of rows."""
+        counts = self.counts
+        _raise_on_nulls(counts, self.dims)
+        return int(counts["_rows"])
 
 
 def missing_children(parents: DataFrame, children: DataFrame,

@@ -2,9 +2,8 @@
 
 The queue is a DataFrame with a fixed schema.  Each transition is a
 set-based step (anti join to insert unseen ids, left joins against
-de-duplicated id sets to update), and a run publishes the new state of the
-seasons it touched once, as a new folder, which also cuts the lineage
-between runs.
+de-duplicated id sets to update), and a run stores the new state of the
+seasons it touched once, which also cuts the lineage between runs.
 
 Status precedence within one run: errored > completed > unchanged.
 """
@@ -17,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.schemas import COMPLETED, ERRORED, PENDING, TASK_KEYS, TASKS
-from tierline.tables.published import PublishedTable
+from tierline.tables import files
 
 
 def empty_queue(spark: SparkSession) -> DataFrame:
@@ -142,38 +141,37 @@ def without_clocks(queue: DataFrame) -> DataFrame:
 
 
 class TaskQueue:
-    """A queue stored in a published table, one part per season.
+    """A queue stored as Parquet, partitioned by season.
 
-    A run stages the new rows of the seasons it touched in one write,
-    partitioned by season, and publishes those parts; other seasons keep
-    their folders, so a run costs its seasons, not the whole queue.  Season
+    A save replaces the seasons it names, in one write, so a run costs its
+    seasons, not the whole queue.  Rows of a season lie by status, so the row
+    groups of a long queue that hold nothing open are not read for the next
+    batch.  A writer that dies while its folders are put in place can leave a
+    season without tasks; such tasks are queued again, as unseen ones.  Season
     ids come to the driver; they are bounded by the season dimension.
     """
 
     def __init__(self, spark: SparkSession, location: str):
-        self.table = PublishedTable(spark, location, schema=TASKS)
-        self.spark = spark
+        self.spark, self.location = spark, location.rstrip("/")
 
     def seasons(self) -> list[str]:
-        return sorted(self.table.parts())
+        return self.seasons_of(self.state())
 
     def state(self, seasons: Sequence[str] | None = None) -> DataFrame:
         """Tasks of the given seasons (all seasons when None)."""
-        wanted = None if seasons is None else set(seasons)
-        by_folder: dict[str, list[str]] = {}
-        for season, folder in self.table.parts().items():
-            if wanted is None or season in wanted:
-                by_folder.setdefault(folder, []).append(season)
-        out = empty_queue(self.spark)
-        for folder, ss in sorted(by_folder.items()):
-            part = self.table.read(folder).filter(F.col("season_id").isin(sorted(ss)))
-            out = out.unionByName(part.select(*TASKS.names))
-        return out
+        if seasons is not None and not seasons or not files.exists(self.spark, self.location):
+            return empty_queue(self.spark)
+        tasks = self.spark.read.schema(TASKS).parquet(self.location).select(*TASKS.names)
+        return tasks if seasons is None else tasks.filter(F.col("season_id").isin(sorted(seasons)))
 
     def save(self, df: DataFrame, seasons: Sequence[str]) -> None:
-        """Publish ``df`` as the rows of ``seasons`` (and of nothing else)."""
-        if seasons:
-            self.table.publish(self.table.stage(df, partition_by=["season_id"]), sorted(seasons))
+        """Store ``df`` as the rows of ``seasons`` (and of nothing else)."""
+        if not seasons:
+            return
+        rows = df.select(*TASKS.names).filter(F.col("season_id").isin(sorted(seasons)))
+        (rows.hint("rebalance", "season_id").sortWithinPartitions("season_id", "status", "id")
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("season_id").parquet(self.location))
 
     @staticmethod
     def seasons_of(df: DataFrame) -> list[str]:

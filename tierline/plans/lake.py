@@ -111,10 +111,12 @@ def land_entity(lake: Lake, entity: str, df: DataFrame, layout: str = "scale",
 
 
 def read_bronze(spark: SparkSession, lake: Lake, entity: str, filename: str | None = None,
-                seasons: Sequence[str] | None = None, run_id: str | None = None) -> DataFrame:
+                seasons: Sequence[str] | None = None, run_id: str | None = None,
+                keep_run: bool = False) -> DataFrame:
     """Typed bronze read; the entity columns in schema order (plus
-    ``filename`` when asked).  ``seasons`` and ``run_id`` are literal filters
-    on partition columns, so only their folders are listed and read."""
+    ``filename`` when asked, and the ``run_id`` of classifications with
+    ``keep_run``).  ``seasons`` and ``run_id`` are literal filters on
+    partition columns, so only their folders are listed and read."""
     schema = ENTITY_SCHEMAS[entity]
     if entity == "classifications":
         schema = struct(*[(f.name, f.dataType) for f in schema.fields], ("run_id", S))
@@ -122,7 +124,8 @@ def read_bronze(spark: SparkSession, lake: Lake, entity: str, filename: str | No
     if run_id is not None:
         df = df.filter(F.col("run_id") == run_id)
     return of_seasons(df, entity, seasons).select(*ENTITY_SCHEMAS[entity].names,
-                                                  *([filename] if filename else []))
+                                                  *([filename] if filename else []),
+                                                  *(["run_id"] if keep_run else []))
 
 
 def of_seasons(df: DataFrame, entity: str, seasons: Sequence[str] | None) -> DataFrame:
@@ -148,16 +151,18 @@ FILENAME = "filename"
 
 
 def load_silver(spark: SparkSession, lake: Lake, entities=ENTITIES,
-                buckets: int | None = None, seasons: Sequence[str] | None = None) -> None:
+                buckets: int | None = None, seasons: Sequence[str] | None = None,
+                changes=None) -> None:
     """Bronze CSV -> one parquet dataset per entity.
 
     Classifications and sessions are partitioned by (season, event).  With
     ``seasons`` only those seasons are re-read from bronze (literal partition
-    filters) and only their partitions replaced, so an incremental run costs
-    its seasons, not the whole lake; the bounded dimensions are rewritten
-    whole.  Without it every dataset is replaced.  Bronze is laid out by
-    season and event already, so silver is written straight from its scan,
-    without an exchange.
+    filters) and only their partitions replaced; the bounded dimensions are
+    rewritten whole.  With ``changes`` (see ``plans.changes``) only what they
+    name is read and replaced: the partitions of changed events, and a bounded
+    dimension only if one of its rows differs.  With neither every dataset is
+    replaced.  Bronze is laid out by season and event already, so silver is
+    written straight from its scan, without an exchange.
 
     With ``buckets`` (full loads), classifications and sessions are written
     instead as catalog tables bucketed on the session id (one file per
@@ -169,10 +174,15 @@ def load_silver(spark: SparkSession, lake: Lake, entities=ENTITIES,
     """
     if buckets and seasons is not None:
         raise ValueError("bucketed silver is loaded whole; pass no seasons")
+    if changes is not None:
+        seasons = None if changes.whole else changes.seasons
+        entities = [e for e in entities if changes.whole or e in changes.kinds]
     for e in entities:
         fact = e == "classifications"
         df = read_bronze(spark, lake, e, filename=FILENAME if fact else None,
                          seasons=seasons if e in SILVER_LAYOUT else None)
+        if changes is not None and not changes.whole and e in SILVER_LAYOUT:
+            df = changes.of(df, e).select(*df.columns)
         if buckets and e in BUCKET_KEYS:
             key = BUCKET_KEYS[e]
             create_namespace(spark, f"{lake.silver_db}.{e}", lake.silver(e))

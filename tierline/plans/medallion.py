@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tierline.operators.crawl import (Crawl, crawl_of, expand_categories, expand_classifications,
                                       expand_events, expand_sessions)
 from tierline.operators.gold import check_dimensions, gold_results
+from tierline.plans.changes import Changes
 from tierline.plans.lake import LANDING, Lake, land_entity, read_bronze, read_silver
 from tierline.sinks.files import write_parquet
 from tierline.sources.entities import EntitySource
@@ -46,6 +47,9 @@ def land_classifications(lake: Lake, batch: DataFrame, classifications_src: Data
                 layout, run_id, replace)
 
 
+GOLD_LAYOUT = ("season_id", "event_id")
+
+
 def silver_dimensions(spark: SparkSession, lake: Lake,
                       seasons: Sequence[str] | None = None) -> dict[str, DataFrame]:
     """Seasons, events, categories, sessions of silver; sessions only of the
@@ -55,29 +59,38 @@ def silver_dimensions(spark: SparkSession, lake: Lake,
 
 
 def silver_gold(spark: SparkSession, lake: Lake, style: str = "bash",
-                seasons: Sequence[str] | None = None, keep_season_id: bool = False) -> DataFrame:
+                seasons: Sequence[str] | None = None, keep: tuple[str, ...] = (),
+                changes: Changes | None = None) -> DataFrame:
     """Gold over the silver datasets of a lake (lazy, no job); with
-    ``seasons`` only the rows of those seasons, by literal partition filters."""
-    return gold_results(read_silver(spark, lake, "classifications", seasons=seasons),
-                        **silver_dimensions(spark, lake, seasons),
-                        style=style, keep_season_id=keep_season_id)
+    ``seasons`` only the rows of those seasons, by literal partition filters,
+    with ``changes`` only those of the events they name."""
+    fact = read_silver(spark, lake, "classifications", seasons=seasons)
+    dims = silver_dimensions(spark, lake, seasons)
+    if changes is not None:
+        fact, dims["sessions"] = changes.of(fact), changes.of(dims["sessions"])
+    return gold_results(fact, **dims, style=style, keep=keep)
 
 
-def build_gold(spark: SparkSession, lake: Lake, style: str = "bash",
-               name: str = "results", seasons: Sequence[str] | None = None) -> DataFrame:
+def build_gold(spark: SparkSession, lake: Lake, style: str = "bash", name: str = "results",
+               seasons: Sequence[str] | None = None, changes: Changes | None = None) -> DataFrame:
     """Silver -> gold parquet, read back (gold columns only).
 
-    Gold is stored partitioned by the season id of its fact rows (a hidden
-    partition column; ``year`` can be NULL when a dimension row is missing,
-    the season id cannot).  With ``seasons`` only those seasons' folders are
-    rebuilt and replaced; other seasons stay as they are.  The dimension keys
-    are checked first: a repeated one stops the build.
+    Gold is stored partitioned by the season and event of its fact rows
+    (hidden partition columns; ``year`` can be NULL when a dimension row is
+    missing, the keys cannot).  With ``seasons`` only those seasons' folders
+    are rebuilt and replaced, with ``changes`` only those of the events they
+    name; others stay as they are.  The dimension keys are checked first, the
+    sessions unless no changed row could repeat one: a repeated key stops the
+    build.
     """
-    check_dimensions(**silver_dimensions(spark, lake, seasons))
-    g = silver_gold(spark, lake, style, seasons, keep_season_id=True)
-    write_parquet(g, lake.gold(name), partition_by=["season_id"],
-                  dynamic=seasons is not None)
-    cols = [c for c in g.columns if c != "season_id"]
+    if changes is not None:
+        changes, seasons = (None, None) if changes.whole else (changes, changes.seasons)
+    if changes is None or changes.kinds & {"seasons", "events", "categories", "sessions"}:
+        check_dimensions(**silver_dimensions(spark, lake, seasons))
+    g = silver_gold(spark, lake, style, seasons, GOLD_LAYOUT, changes)
+    if changes is None or changes.kinds:
+        write_parquet(g, lake.gold(name), partition_by=GOLD_LAYOUT, dynamic=seasons is not None)
+    cols = [c for c in g.columns if c not in GOLD_LAYOUT]
     return spark.read.schema(g.schema).parquet(lake.gold(name)).select(*cols)
 
 

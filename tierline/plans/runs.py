@@ -9,6 +9,7 @@ row back where a step needs a decision (the audit).
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,20 +18,21 @@ from pyspark.sql import functions as F
 from tierline.operators.crawl import request_log
 from tierline.operators.gold import check_dimensions, gold_results
 from tierline.operators.ordering import top1
-from tierline.operators.quality import null_count_by_file
 from tierline.operators.runlog import (EVENT_GET_CATEGORIES, EVENT_GET_CLASSIFICATION,
                                        EVENT_GET_EVENTS, EVENT_GET_SEASONS,
                                        EVENT_GET_SESSIONS, STAGE_DQ, STAGE_GOLD,
                                        STAGE_SILVER, STAGE_TASKS, STAGE_TASKS_LIST,
                                        STAGE_UPDATE, STAGE_UPSERT, failed_keys, failed_sets,
                                        metric_records, parse_log, run_summary)
-from tierline.operators.taskqueue import (TaskQueue, apply_run, mark_completed, next_batch,
-                                          open_tasks, upsert)
-from tierline.plans.lake import Lake, load_silver, read_bronze, read_silver
+from tierline.operators.taskqueue import (TaskQueue, apply_run, mark_completed, new_tasks,
+                                          next_batch, open_tasks)
+from tierline.plans.changes import (EVENT_KEYS, LISTING, Changes, FileLedger, find_changes,
+                                    forget_changes, list_landed, of_new_files, partials_of_new)
+from tierline.plans.lake import Lake, load_silver, read_bronze
 from tierline.plans.medallion import (build_gold, land_classifications, land_crawl,
                                       register_gold)
 from tierline.plans.models import ModelGraph, passthrough, renamed
-from tierline.schemas import AUDIT_DIMS, CLASSIFICATIONS_BRONZE, DQ_FINDINGS, ENTITY_SCHEMAS
+from tierline.schemas import AUDIT_DIMS, CLASSIFICATIONS_BRONZE, DQ_FINDINGS, ENTITY_SCHEMAS, TASKS
 from tierline.sources.entities import EntitySource
 from tierline.sources.registry import SourceRegistry
 from tierline.tables import files, wap
@@ -46,14 +48,16 @@ class RunReport:
     stage_ms: dict[str, int] = field(default_factory=dict)
     gold: DataFrame | None = None
     dq_alert: bool = False
+    changes: Changes | None = None
 
 
 class _Clock:
-    def __init__(self, report: RunReport):
-        self.report = report
+    def __init__(self, report: RunReport, on_stage: Callable[[str], None]):
+        self.report, self.on_stage = report, on_stage
 
     def __call__(self, name: str):
         clock = self
+        self.on_stage(name)
 
         class _T:
             def __enter__(self):
@@ -75,35 +79,46 @@ def transform(spark: SparkSession, lake: Lake, src: EntitySource,
     return build_gold(spark, lake, style)
 
 
-def landed_sessions(spark: SparkSession, lake: Lake, seasons: list[str]) -> DataFrame:
-    """Session ids with landed classifications, of the given seasons."""
+def landed_sessions(spark: SparkSession, lake: Lake, events: DataFrame, seasons: list[str]) -> DataFrame:
+    """Session ids with landed classifications, of the given (season, event)
+    keys; ``seasons`` are those of the keys."""
     if not seasons or not files.exists(spark, lake.bronze("classifications")):
         return spark.createDataFrame([], "session_id string")
-    return read_bronze(spark, lake, "classifications", seasons=seasons).select("session_id").distinct()
+    landed = read_bronze(spark, lake, "classifications", seasons=seasons)
+    keys = events.filter(F.col("season_id").isin(seasons)).select(*EVENT_KEYS).distinct()
+    return landed.join(keys, EVENT_KEYS, "left_semi").select("session_id").distinct()
 
 
 def run(spark: SparkSession, lake: Lake, src: EntitySource, mode: str = FULL,
-        n: int | None = None, run_id: str | None = None,
-        layout: str = "scale") -> RunReport:
+        n: int | None = None, run_id: str | None = None, layout: str = "scale",
+        on_stage: Callable[[str], None] = lambda stage: None) -> RunReport:
     """One run with the task queue.
 
     FULL: every season, every open task (``n`` of them if given).
     INCREMENTAL: the latest season, ``n`` tasks.  Landed tasks are marked
     completed, tasks whose request found no data errored (errored wins), and
     logs, metrics and data-quality findings are stored under ``run_id``.
-
-    A run may die at any point and be repeated under a new id: a task whose
-    session is landed is complete, whichever run landed it, so nothing is
-    fetched twice; and the queue is published last, in one write, so the
-    seasons a dead run landed are still open and are refreshed again.
+    ``on_stage`` is called with the name of each stage before it starts; what
+    it raises ends the run.
+
+    A run costs what it changes.  Only the crawled seasons of the queue and
+    its open tasks elsewhere are read; silver and gold rewrite the events of
+    the change set (``plans.changes``); findings come from the ledger of
+    landed files, and only new files are counted.
+
+    A run may die at any point and be repeated under a new id.  Files that the
+    ledger does not know yet are taken up by the next run, as landed sessions
+    and as changed events; the change set is stored before it is applied; the
+    queue is stored after gold and the ledger last.  A task enters the queue
+    as complete if its session is landed, so nothing is fetched twice.
     """
     if n is not None and n < 1 or mode != FULL and n is None:
         raise ValueError(f"a run of mode {mode} cannot take {n} tasks")
     run_id = run_id or str(time.time_ns())
     rep = RunReport(run_id, mode)
-    clock = _Clock(rep)
+    clock = _Clock(rep, on_stage)
     t_run = time.monotonic()
-    queue = TaskQueue(spark, lake.table("tasks"))
+    queue, ledger = TaskQueue(spark, lake.table("tasks")), FileLedger(spark, lake)
 
     seasons = src.seasons if mode == FULL else top1(src.seasons, "year", "id")
     only = None if mode == FULL else [r["id"] for r in seasons.select("id").collect()]
@@ -111,42 +126,62 @@ def run(spark: SparkSession, lake: Lake, src: EntitySource, mode: str = FULL,
                 "categories": EVENT_GET_CATEGORIES, "sessions": EVENT_GET_SESSIONS}
     with clock(STAGE_TASKS_LIST):
         c = land_crawl(spark, lake, seasons, src, layout, only, lambda e: clock(event_of[e]))
+        crawled = TaskQueue.seasons_of(c.tasks) if only is None else only
     with clock(STAGE_UPSERT):
-        queued = upsert(queue.state(), c.tasks)
+        new_path = lake.logs(f"new_tasks/run_id={run_id}")
+        new_tasks(queue.state(crawled), c.tasks).write.mode("overwrite").parquet(new_path)
+        unseen = spark.read.schema(TASKS).parquet(new_path)
+        todo = open_tasks(queue.state()).unionByName(unseen)
         # Seasons with open tasks: bounded by the season dimension.
-        open_seasons = TaskQueue.seasons_of(open_tasks(queued))
-        ready = mark_completed(queued, landed_sessions(spark, lake, open_seasons))
+        open_seasons = TaskQueue.seasons_of(todo)
+        before = list_landed(spark, lake, lake.logs(f"files_before/run_id={run_id}"), open_seasons)
+        fresh_path = lake.logs(f"files_left/run_id={run_id}")
+        ledger.new_files(before).write.mode("overwrite").parquet(fresh_path)
+        left = spark.read.schema(LISTING).parquet(fresh_path)  # landed by dead runs
+        left_seasons = TaskQueue.seasons_of(left)
+        landed = landed_sessions(spark, lake, unseen, TaskQueue.seasons_of(unseen))
+        if left_seasons:
+            landed = landed.unionByName(of_new_files(spark, lake, left, left_seasons).select("session_id"))
+        done_path = lake.logs(f"landed_before/run_id={run_id}")
+        landed.write.mode("overwrite").parquet(done_path)
+        landed = spark.read.schema("session_id string").parquet(done_path)
+        ready = mark_completed(todo, landed)
     with clock(STAGE_TASKS):
         batch_path = lake.logs(f"batches/run_id={run_id}")
         next_batch(ready, n).write.mode("overwrite").parquet(batch_path)
         batch = spark.read.parquet(batch_path)
+        batch_seasons = TaskQueue.seasons_of(batch)
     with clock(EVENT_GET_CLASSIFICATION):
         land_classifications(lake, batch, src.classifications, layout, run_id)
 
-    this_run = read_bronze(spark, lake, "classifications", seasons=open_seasons, run_id=run_id)
+    this_run = read_bronze(spark, lake, "classifications", seasons=batch_seasons, run_id=run_id)
     log_path = lake.logs(f"process/run_id={run_id}")
     request_log(c, this_run.select("session_id"), batch).write.mode("overwrite").text(log_path)
     parsed = parse_log(spark.read.text(log_path))
     failed_path = lake.logs(f"failed/run_id={run_id}")
     failed_keys(parsed).write.mode("overwrite").parquet(failed_path)
 
-    # The run touched the seasons it crawled and those with open tasks.
-    crawled = TaskQueue.seasons_of(c.tasks) if only is None else only
-    touched = sorted(set(crawled) | set(open_seasons))
+    # Seasons that were crawled, have tasks in the batch, or were left half done.
+    touched = sorted({*crawled, *batch_seasons, *left_seasons})
+    listing = list_landed(spark, lake, lake.logs(f"files/run_id={run_id}"), touched)
     with clock(STAGE_SILVER):
-        load_silver(spark, lake, seasons=touched)
+        rep.changes = find_changes(spark, lake, ledger, listing, touched, only, run_id)
+        load_silver(spark, lake, changes=rep.changes)
     with clock(STAGE_DQ):
+        partials = partials_of_new(spark, lake, ledger, listing, touched, lake.logs(f"partials/run_id={run_id}"))
         dq_path = lake.logs(f"data_quality/run_id={run_id}")
-        null_count_by_file(read_silver(spark, lake, "classifications", filename=True)) \
-            .write.mode("overwrite").json(dq_path)
+        ledger.findings_with(listing, partials, touched).write.mode("overwrite").json(dq_path)
         rep.dq_alert = not spark.read.schema(DQ_FINDINGS).json(dq_path).isEmpty()
     with clock(STAGE_GOLD):
-        rep.gold = build_gold(spark, lake, seasons=touched)
+        rep.gold = build_gold(spark, lake, changes=rep.changes)
         register_gold(spark, lake)
+        forget_changes(spark, lake)
     with clock(STAGE_UPDATE):
-        done = landed_sessions(spark, lake, touched)
+        done = landed.unionByName(this_run.select("session_id"))
         failed = failed_sets(spark.read.parquet(failed_path))
-        queue.save(apply_run(upsert(queue.state(touched), c.tasks), done, failed), touched)
+        tasks = queue.state(touched).unionByName(unseen)
+        queue.save(apply_run(tasks, done, failed), touched)
+        ledger.save(listing, partials, touched)
 
     _store_metrics(spark, lake, rep, c, batch, parsed, int((time.monotonic() - t_run) * 1000))
     return rep

@@ -6,16 +6,11 @@ that folder (``ALTER TABLE ... SET LOCATION``) and stores the folder's name in
 a one-line pointer file, from which the table is registered again where the
 catalog does not outlive the session.  A reader keeps the folder it resolved;
 folders that nothing points to can be removed at any time.
-
-A table may be published by parts (for example one per season): the pointer
-then names a folder for each part, and a publish replaces only its own parts.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,19 +20,16 @@ from tierline.sinks.files import write_parquet
 from tierline.sources.files import create_namespace
 from tierline.tables import files
 
-WHOLE = ""
-
-
 class PublishConflict(RuntimeError):
     """The table was published by somebody else since the rows were staged."""
 
 
 @dataclass(frozen=True)
 class Staged:
-    """A written, unpublished folder and what the table held at that time."""
+    """A written, unpublished folder, and the published one at that time."""
 
     folder: str
-    base: dict[str, str]
+    base: str | None
 
 
 class PublishedTable:
@@ -55,26 +47,21 @@ class PublishedTable:
     def path(self, folder: str) -> str:
         return f"{self.location}/data/{folder}"
 
-    def parts(self) -> dict[str, str]:
-        """The published folder of every part."""
-        line = files.read_line(self.spark, self._pointer)
-        return json.loads(line) if line else {}
+    def current(self) -> str | None:
+        """The published folder."""
+        return files.read_line(self.spark, self._pointer)
 
-    def stage(self, df: DataFrame, partition_by: Sequence[str] = ()) -> Staged:
-        base, folder = self.parts(), uuid.uuid4().hex
-        write_parquet(df, self.path(folder), mode="errorifexists", partition_by=partition_by)
+    def stage(self, df: DataFrame) -> Staged:
+        base, folder = self.current(), uuid.uuid4().hex
+        write_parquet(df, self.path(folder), mode="errorifexists")
         return Staged(folder, base)
 
-    def publish(self, staged: Staged, parts: Sequence[str] = (WHOLE,)) -> str:
-        """Make the staged folder the contents of ``parts``; its name.
-
-        Refused if one of them was published since the rows were staged.
-        """
-        now = self.parts()
-        for p in parts:
-            if now.get(p) != staged.base.get(p):
-                raise PublishConflict(f"{self.location}: part {p!r} was published meanwhile")
-        files.write_line(self.spark, self._pointer, json.dumps(now | {p: staged.folder for p in parts}))
+    def publish(self, staged: Staged) -> str:
+        """Make the staged folder the table; its name.  Refused if the table
+        was published since the rows were staged."""
+        if self.current() != staged.base:
+            raise PublishConflict(f"{self.location} was published meanwhile")
+        files.write_line(self.spark, self._pointer, staged.folder)
         if self.name:
             self._register(staged.folder)
         return staged.folder
@@ -93,7 +80,7 @@ class PublishedTable:
     def read(self, folder: str | None = None) -> DataFrame:
         """The published rows, or those of a staged or earlier folder."""
         if folder is None:
-            folder = self.parts().get(WHOLE)
+            folder = self.current()
             if folder is None:
                 raise KeyError(f"{self.location} has not been published")
             if self.name:
@@ -105,8 +92,8 @@ class PublishedTable:
 
     def remove_unused(self) -> list[str]:
         """Remove folders that nothing points to; the folders left."""
-        used = set(self.parts().values())
+        used = self.current()
         for f in files.folders(self.spark, f"{self.location}/data"):
-            if f not in used:
+            if f != used:
                 files.remove_folder(self.spark, self.path(f))
         return files.folders(self.spark, f"{self.location}/data")

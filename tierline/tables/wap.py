@@ -1,8 +1,10 @@
 """Write-audit-publish on a published table.
 
 stage    -- write the new rows to a new folder; readers see nothing new
-audit    -- one pass over the staged rows: NULL counts of every audited
-            dimension; any NULL raises and nothing is published
+audit    -- NULL counts of every audited dimension; any NULL raises and
+            nothing is published.  They are observed by the job that stages
+            the rows, so nothing is read again; :func:`audit` counts the rows
+            of a folder that was staged without
 publish  -- point the table at the folder (no data is copied); refused if the
             table was published by somebody else since
 cleanup  -- remove folders that nothing points to
@@ -14,7 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from tierline.operators.quality import audit_nulls
+from tierline.operators.quality import WriteAudit, audit_nulls
 from tierline.tables.published import PublishedTable, Staged
 
 
@@ -23,9 +25,10 @@ def audit(table: PublishedTable, staged: Staged, dims: Sequence[str]) -> None:
 
 
 def write_audit_publish(table: PublishedTable, df: DataFrame, dims: Sequence[str]) -> str:
-    """Stage, audit and publish; the published folder.  On a failed audit the
-    table is unchanged; the staged folder stays for inspection until
-    ``remove_unused`` takes it."""
-    staged = table.stage(df)
-    audit(table, staged, dims)
+    """Stage and audit in one job, then publish; the published folder.  On a
+    failed audit the table is unchanged; the staged folder stays for
+    inspection until ``remove_unused`` takes it."""
+    seen = WriteAudit(dims)
+    staged = table.stage(seen.watch(df))
+    seen.check()
     return table.publish(staged)

@@ -20,12 +20,17 @@ powers of two, which are not padded.  So padding is at most ``SLACK`` of
 
 Words are tokenised once per task: the tokenizer's rules never look across
 white space (its normaliser maps it to a space, which its splitter removes),
-so the ids of a text are those of its words end to end.
+so the ids of a text are those of its words end to end.  The same holds
+between ASCII letters, digits and other signs, where words are cut too; a
+piece of text that spells a special token is only cut at white space.
 """
 
 from __future__ import annotations
 
+import json
 import math
+import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from tierline.llm.store import saved
 from tierline.llm.textbytes import column_bytes, pieces
@@ -46,8 +52,9 @@ SLACK = 16
 END = 2
 #: Partitions whose remainders meet in one task.
 FAN = 64
-#: Words (of at most 64 bytes) whose ids a task remembers; then it starts anew.
-_MEMO = 200_000
+#: Words whose ids a task remembers beside those of its piece; beyond that it
+#: starts anew.
+_MEMO = 300_000
 
 
 def vocabulary() -> str:
@@ -55,35 +62,106 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _classes() -> tuple[np.ndarray, np.ndarray]:
+    """A class per byte, and the pairs of classes between which a word may be
+    cut: where the tokenizer's splitter ends one match and starts another
+    whatever stands around.  It matches runs of letters, single digits, runs
+    of other characters, and an apostrophe with the letters after it; bytes
+    of other scripts are left alone, as marks may join what is before them.
+    """
+    letter, digit, other, apostrophe, wide = range(5)
+    kind = np.full(256, other, np.uint8)
+    kind[0x41:0x5B] = kind[0x61:0x7B] = letter
+    kind[0x30:0x3A] = digit
+    kind[0x27] = apostrophe
+    kind[0x80:] = wide
+    cut = np.zeros((5, 5), bool)
+    cut[letter, [digit, other, apostrophe]] = True
+    cut[digit, [letter, digit, other, apostrophe]] = True
+    cut[other, [letter, digit]] = True
+    cut[apostrophe, digit] = True
+    return kind, cut
+
+
+_KIND, _CUT = _classes()
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 0x20
+#: Parts that are one match of the splitter and that the normaliser only
+#: lower-cases: precomposed Latin letters, a digit, or other ASCII signs.
+_PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+")
+
+
 class WordTokenizer:
-    """Ids of texts, word by word; equal to encoding each text whole."""
+    """Ids of texts, by their words and parts of words; equal to encoding each
+    text whole."""
 
     def __init__(self, definition: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         self.tokenizer = Tokenizer.from_str(definition)
-        self.known: dict[bytes, np.ndarray] = {}
+        self.model = self.tokenizer.model
+        # How the tokenizer spells the bytes of the plain letters.
+        spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.spelling = {c: spell(chr(c))[0][0] for c in range(0xC0, 0x100)}
+        self.special = [t["content"].encode() for t in json.loads(definition).get("added_tokens", [])]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.pool, self.used, self.size = np.zeros(1 << 16, np.uint32), 0, []
+
+    def _index(self, words: list[bytes]) -> np.ndarray:
+        """Place of each word among those whose ids are held."""
+        if len(self.known) > _MEMO:
+            self._forget()
+        known, merge, spelling, plain = self.known, self.model.tokenize, self.spelling, _PLAIN.fullmatch
+        new = [w for w in words if w not in known]
+        others = []
+        for lo in range(0, len(new), 4096):
+            ids = []
+            for w in new[lo:lo + 4096]:
+                text = w.decode()
+                if not plain(text):
+                    others.append(w)
+                    continue
+                text = text.lower()
+                if not text.isascii():
+                    text = text.translate(spelling)
+                known[w] = len(self.size) + len(ids)
+                ids.append([t.id for t in merge(text)])
+            self._keep(ids)
+        for lo in range(0, len(others), 4096):
+            part = others[lo:lo + 4096]
+            known.update(zip(part, range(len(self.size), len(self.size) + len(part))))
+            self._keep([e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in part],
+                                                                        add_special_tokens=False)])
+        return np.array([known[w] for w in words], np.int64)
+
+    def _keep(self, ids: list[list[int]]) -> None:
+        self.size += [len(x) for x in ids]
+        flat = np.array([i for x in ids for i in x], np.uint32)
+        start, end = self.used, self.used + len(flat)
+        if end > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool), end), np.uint32)])
+        self.pool[start:end] = flat
+        self.used = end
 
     def ids(self, data: np.ndarray, off: np.ndarray, end: int = END) -> tuple[np.ndarray, np.ndarray]:
         """(first, ids): document d has ids[first[d]:first[d + 1]], closed by ``end``."""
-        start, codes, words = word_codes(data, off)
-        words = words.to_pylist()
-        if len(self.known) > _MEMO:
-            self.known = {}
-        new = [w for w in words if w not in self.known]
-        got = {}
-        for lo in range(0, len(new), 1024):
-            part = new[lo:lo + 1024]
-            coded = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            for w, e in zip(part, coded):
-                (self.known if len(w) <= 64 else got)[w] = np.array(e.ids, np.uint32)
-        per_word = [self.known[w] if w in self.known else got[w] for w in words]
-        size = np.array([len(x) for x in per_word] + [0], np.int64)
-        pool = np.concatenate([*per_word, np.zeros(0, np.uint32)])
-        at = np.concatenate([[0], np.cumsum(size[:-1])]).astype(np.int64)
+        apart, lower = None, _LOWER[data]
+        raw = lower.tobytes()
+        if len(data) and not any(t.lower() in raw for t in self.special):
+            # ASCII letters can be lower-cased before the normaliser does it.
+            data, kind = lower, _KIND[data]
+            apart = np.zeros(len(data), bool)
+            np.take(_CUT.ravel(), kind[:-1] * np.uint8(5) + kind[1:], out=apart[1:])
+        start, codes, words = word_codes(data, off, apart)
+        index = self._index(words.to_pylist())
+        held = np.array(self.size, np.int64)
+        at, size = (np.cumsum(held) - held)[index], held[index]
         count = size[codes]
         # Ids word after word, then one place after each document for the end.
         upto = np.concatenate([[0], np.cumsum(count)])
-        stream = pool[np.repeat(at[codes] - upto[:-1], count) + np.arange(upto[-1])] \
-            if len(codes) else np.zeros(0, np.uint32)
+        stream = self.pool[np.repeat(at[codes] - upto[:-1], count) + np.arange(upto[-1])]
         cut = upto[start]
         out = np.insert(stream, cut[1:], end)
         return cut + np.arange(len(cut)), out

@@ -10,12 +10,14 @@ from tierline.llm.textbytes import separators
 _SPACE = separators("space")
 
 
-def word_codes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+def word_codes(data: np.ndarray, off: np.ndarray,
+               apart: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """(first, codes, words) of the documents data[off[d]:off[d + 1]].
 
     Document d has the words ``words[codes[first[d]:first[d + 1]]]``: its
     maximal runs of bytes other than 0x20 and 0x09-0x0D.  Equal words have
-    equal codes; nothing is hashed away.
+    equal codes; nothing is hashed away.  ``apart`` flags bytes before which a
+    word is cut as well.
     """
     n = len(data)
     if n == 0:
@@ -25,6 +27,8 @@ def word_codes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     edge[off] = True
     start = word.copy()
     start[1:] &= ~word[:-1] | edge[1:n]
+    if apart is not None:
+        start |= apart & word
     at = np.flatnonzero(start)
     letters = data[word]
     ends = np.append((np.cumsum(word) - 1)[at], len(letters)).astype(np.int64)

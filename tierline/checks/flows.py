@@ -11,10 +11,11 @@ from tierline.operators.crawl import crawl
 from tierline.operators.ordering import top1
 from tierline.operators.runlog import STAGE_SILVER
 from tierline.plans import runs
+from tierline.plans.changes import MEASURES, FileLedger
 from tierline.plans.lake import Lake
 from tierline.schemas import SESSIONS, S, TASK_KEYS, struct
 from tierline.sinks.files import land_csv
-from tierline.sources.entities import land_payload_entities, payload_entities
+from tierline.sources.entities import EntitySource, land_payload_entities, payload_entities
 from tierline.sources.files import read_csv_typed
 from tierline.streaming.new_files import batch_folder_sink, ingest_new_files
 
@@ -55,6 +56,74 @@ def medallion_incremental(spark, sf_dir):
     return rep.gold
 
 
+_FIRST_200 = """
+latest AS (SELECT id FROM f_seasons ORDER BY year DESC, id LIMIT 1),
+batch AS (SELECT id, row_number() OVER (ORDER BY id) AS nth FROM f_sessions
+          WHERE season_id IN (SELECT id FROM latest) QUALIFY nth <= 200)"""
+
+
+def _two_runs(spark, sf_dir, name):
+    """A lake after two incremental runs of 100 tasks, and the last report."""
+    e = env(spark, sf_dir)
+    lake = Lake(e.scratch(name))
+    runs.run(spark, lake, e.src, runs.INCREMENTAL, n=100, run_id="inc-1")
+    return lake, runs.run(spark, lake, e.src, runs.INCREMENTAL, n=100, run_id="inc-2")
+
+
+@query("incremental_change_set", f"""{_FIRST_200}
+SELECT DISTINCT c.season_id, c.event_id, 'classifications' AS kind
+FROM f_classifications c JOIN batch b ON b.id = c.session_id WHERE b.nth > 100""")
+def incremental_change_set(spark, sf_dir):
+    """What the second of two incremental runs has to rewrite: the events of
+    its own 100 tasks."""
+    _, rep = _two_runs(spark, sf_dir, "changes")
+    return rep.changes.rows.distinct()
+
+
+@query("dq_incremental", f"""{_FIRST_200}
+SELECT c.season_id, c.event_id, count(*) AS n_rows, count(*) - count(c.number) AS null_number,
+       count(*) - count(c.position) AS null_position, count(*) - count(c.points) AS null_points
+FROM f_classifications c JOIN batch b ON b.id = c.session_id GROUP BY c.season_id, c.event_id""")
+def dq_incremental(spark, sf_dir):
+    """Partial aggregates of the landed files of two runs, each file counted
+    by the run that landed it, added up per event."""
+    lake, _ = _two_runs(spark, sf_dir, "dq")
+    return FileLedger(spark, lake).known().groupBy("season_id", "event_id").agg(
+        F.sum("rows").alias("n_rows"), *[F.sum(f"null_{m}").alias(f"null_{m}") for m in MEASURES])
+
+
+@query("medallion_changed_dimensions", """
+latest AS (SELECT id FROM f_seasons ORDER BY year DESC, id LIMIT 1),
+ev AS (SELECT min(id) AS id FROM f_events WHERE season_id IN (SELECT id FROM latest)),
+ses AS (SELECT max(id) AS id FROM f_sessions WHERE season_id IN (SELECT id FROM latest))
+SELECT se.year, CASE WHEN e.id IN (SELECT id FROM ev) THEN e.name || ' (new)' ELSE e.name END AS event_name,
+       e.sname AS event_short_name, ca.name AS category,
+       CASE WHEN s.id IN (SELECT id FROM ses) THEN s.name || ' (new)' ELSE s.name END AS session,
+       c.name AS rider_name, c.number AS rider_number, c.position, c.points
+FROM f_classifications c
+LEFT JOIN f_seasons se ON se.id = c.season_id
+LEFT JOIN f_events e ON e.id = c.event_id
+LEFT JOIN f_categories ca ON ca.id = c.category_id AND ca.event_id = c.event_id
+LEFT JOIN f_sessions s ON s.id = c.session_id""")
+def medallion_changed_dimensions(spark, sf_dir):
+    """A full run; then the source renames an event and a session of the
+    latest season, and an incremental run takes that up: gold is that of a
+    full build over the changed source."""
+    e = env(spark, sf_dir)
+    s, lake = e.src, Lake(e.scratch("renamed"))
+    runs.run(spark, lake, s, runs.FULL, run_id="full")
+    latest = top1(s.seasons, "year", "id").select(F.col("id").alias("season_id"))
+
+    def renamed(df, pick):
+        one = df.join(latest, "season_id").agg(pick("id").alias("_one"))
+        return df.join(one, df["id"] == one["_one"], "left").withColumn(
+            "name", F.when(F.col("_one").isNull(), F.col("name")).otherwise(F.concat("name", F.lit(" (new)")))) \
+            .select(*df.columns)
+    changed = EntitySource(s.seasons, renamed(s.events, F.min), s.categories, renamed(s.sessions, F.max),
+                           s.classifications)
+    return runs.run(spark, lake, changed, runs.INCREMENTAL, n=1, run_id="inc").gold
+
+
 @query("medallion_restart", "SELECT * FROM f_gold")
 def medallion_restart(spark, sf_dir):
     """A full run dies after landing, before silver; the next run, under a

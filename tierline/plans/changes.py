@@ -10,7 +10,7 @@ The change set of a run is the set of (season, event) keys whose gold rows
 can differ: events with files that the ledger does not know, and events below
 a dimension row that the crawl has changed.  Silver and gold rewrite the
 partitions of these events and nothing else.  The set is stored before any
-of it is applied and removed when gold is done, so what a dead run left half
+of it is applied and put aside when gold is done, so what a dead run left half
 applied is part of the next run's set.  The ledger is published last; until
 then its files count as new.
 """
@@ -18,7 +18,7 @@ then its files count as new.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -208,9 +208,14 @@ def find_changes(spark: SparkSession, lake: Lake, ledger: FileLedger, listing: D
     return Changes(rows, seasons, {r["kind"] for r in found}, whole)
 
 
-def forget_changes(spark: SparkSession, lake: Lake) -> None:
-    """Silver and gold hold the stored changes."""
-    files.remove_folder(spark, pending_path(lake))
+def applied(spark: SparkSession, lake: Lake, changes: Changes, run_id: str) -> Changes:
+    """The same change set, kept under the run that applied it: silver and
+    gold hold it, so no later run has to."""
+    if not files.exists(spark, pending_path(lake)):
+        return changes
+    path = lake.logs(f"changes/applied/{run_id}")
+    files.move_folder(spark, pending_path(lake), path)
+    return replace(changes, rows=spark.read.schema(CHANGES).parquet(path))
 
 
 def partials_of_new(spark: SparkSession, lake: Lake, ledger: FileLedger, listing: DataFrame,

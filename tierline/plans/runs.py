@@ -26,8 +26,8 @@ from tierline.operators.runlog import (EVENT_GET_CATEGORIES, EVENT_GET_CLASSIFIC
                                        metric_records, parse_log, run_summary)
 from tierline.operators.taskqueue import (TaskQueue, apply_run, mark_completed, new_tasks,
                                           next_batch, open_tasks)
-from tierline.plans.changes import (EVENT_KEYS, LISTING, Changes, FileLedger, find_changes,
-                                    forget_changes, list_landed, of_new_files, partials_of_new)
+from tierline.plans.changes import (EVENT_KEYS, LISTING, Changes, FileLedger, applied,
+                                    find_changes, list_landed, of_new_files, partials_of_new)
 from tierline.plans.lake import Lake, load_silver, read_bronze
 from tierline.plans.medallion import (build_gold, land_classifications, land_crawl,
                                       register_gold)
@@ -175,7 +175,7 @@ def run(spark: SparkSession, lake: Lake, src: EntitySource, mode: str = FULL,
     with clock(STAGE_GOLD):
         rep.gold = build_gold(spark, lake, changes=rep.changes)
         register_gold(spark, lake)
-        forget_changes(spark, lake)
+        rep.changes = applied(spark, lake, rep.changes, run_id)
     with clock(STAGE_UPDATE):
         done = landed.unionByName(this_run.select("session_id"))
         failed = failed_sets(spark.read.parquet(failed_path))

@@ -58,6 +58,15 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
+def move_folder(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder, if there is one; the parent of ``to`` is made."""
+    fs, p = _at(spark, path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(to)
+    if fs.exists(p):
+        fs.mkdirs(target.getParent())
+        fs.rename(p, target)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     fs, p = _at(spark, path)
     fs.delete(p, True)

@@ -199,7 +199,7 @@ def find_changes(spark: SparkSession, lake: Lake, ledger: FileLedger, listing: D
         rows = rows.unionByName(p)
     path = pending_path(lake)
     rows.write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
-    rows = spark.read.schema(CHANGES).parquet(path)
+    rows = spark.read.schema(CHANGES).parquet(path).select(*CHANGES.names)
     # One row per season and kind: bounded by the season dimension.
     found = rows.select("season_id", "kind").distinct().collect()
     seasons = sorted({r["season_id"] for r in found})
@@ -215,7 +215,7 @@ def applied(spark: SparkSession, lake: Lake, changes: Changes, run_id: str) -> C
         return changes
     path = lake.logs(f"changes/applied/{run_id}")
     files.move_folder(spark, pending_path(lake), path)
-    return replace(changes, rows=spark.read.schema(CHANGES).parquet(path))
+    return replace(changes, rows=spark.read.schema(CHANGES).parquet(path).select(*CHANGES.names))
 
 
 def partials_of_new(spark: SparkSession, lake: Lake, ledger: FileLedger, listing: DataFrame,

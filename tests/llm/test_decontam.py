@@ -101,3 +101,27 @@ def test_proximity(spark, docs_of):
                     (3, "alpha beta gamma"), (4, "gamma delta alpha beta")])
     got = {tuple(r) for r in D.proximity_matches(docs, items, 6).collect()}
     assert got == {(1, 1), (4, 1)}
+
+
+def test_clean_rows_are_judged_by_their_own_text(spark, docs_of):
+    """Rows with null or repeated ids; several blocks of items."""
+    window = " ".join(f"t{i}" for i in range(10))
+    rows = [(1, f"before {window} after"), (1, "clean"), (None, window), (None, "clean too"), (2, None), (3, ""),
+            (4, "x " * 50_000 + window), (5, " ".join(f"t{i}" for i in range(9))), (6, f"T0, {window[3:].upper()}")]
+    df = docs_of(rows, clash=["row", "hits"])
+    bench = spark.createDataFrame([(1, window), (2, "short one"), (None, "clean"), (3, None)],
+                                  "item_id long, text string")
+    want = sorted([(1, "clean"), (None, "clean too"), (2, None), (3, ""), (5, rows[7][1])], key=str)
+    got = D.keep_clean(df, bench)
+    assert got.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == want
+    assert D.keep_clean(df.where("false"), bench).count() == 0
+    assert D.keep_clean(df, bench.where("false")).count() == len(rows)
+
+
+def test_clean_rows_with_several_item_blocks(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(D, "ITEM_BYTES", 40)
+    items = [(i, f"item {i} " + " ".join(f"q{i}w{j}" for j in range(9))) for i in range(6)]
+    df = docs_of([(i, f"say {items[i][1]} so" if i % 2 else f"nothing {i}") for i in range(6)])
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert sorted(r.doc_id for r in D.keep_clean(df, bench).collect()) == [0, 2, 4]

@@ -137,3 +137,22 @@ def test_a_common_passage_connects_nobody(spark, docs_of):
     hot = J.common_shingles(docs, n, total, 5)
     assert 50 <= len(hot) <= 60
     assert J.shared_keys(docs, hot, 5, 80).count() == 0
+
+
+@pytest.mark.parametrize("block", [60, 400])
+def test_size_bands_lose_no_link(spark, docs_of, monkeypatch, block):
+    """A chain of texts of slowly rising sizes that all share some shingles:
+    one candidate group, cut by size bands, some of which do not fit."""
+    monkeypatch.setattr(J, "BLOCK_TOKENS", block)
+    rows, n = [], 0
+    for size in range(12, 120, 3):
+        for copy in range(3 if size % 2 else 1):
+            words = [f"w{i}" for i in range(size)]
+            words[size // 2] = f"x{copy}" if copy else words[size // 2]
+            rows.append((n, " ".join(words)))
+            n += 1
+    rows += [(500 + i, "a b c d e " + " ".join(f"r{i}_{k}" for k in range(20 + i))) for i in range(20)]
+    df = docs_of(rows)
+    for words, percent in ((3, 90), (5, 80)):
+        got = {tuple(r) for r in J.op4_jaccard_join(spark, df, words, percent).collect()}
+        assert got == set(brute(rows, words, percent))

@@ -78,23 +78,36 @@ _INDEX = T.StructType([
     T.StructField("rows", T.BinaryType())])
 
 
+def _segment(rows, ids, count, term, pos) -> pa.RecordBatch:
+    """One row of the index."""
+    order = np.lexsort((pos, term))
+    term, pos = term[order], pos[order]
+    steps = np.diff(pos, prepend=0)
+    new = np.flatnonzero(np.diff(term, prepend=-1))
+    steps[new] = pos[new]
+    cols = [np.nan_to_num(ids).astype(np.int64), np.isnan(ids) if ids.dtype.kind == "f"
+            else np.zeros(len(ids), bool), count.astype(np.int64), term[new].astype(np.int32),
+            np.diff(np.append(new, len(term))).astype(np.int32), steps.astype(np.int32), rows]
+    return pa.RecordBatch.from_arrays([pa.array([c.tobytes()], pa.binary()) for c in cols],
+                                      names=[f.name for f in _INDEX.fields])
+
+
+def _postings_of(data: np.ndarray, off: np.ndarray, vocab: np.ndarray):
+    """(words per document, term, document, position) of the terms in a piece."""
+    doc, w = word_hashes(data, off, "plain")
+    count = np.bincount(doc, minlength=len(off) - 1)
+    first = np.concatenate([[0], np.cumsum(count)])
+    at = np.searchsorted(vocab, w)
+    at[at == len(vocab)] = 0
+    hit = np.flatnonzero(vocab[at] == w) if len(vocab) else np.zeros(0, np.int64)
+    return count, at[hit], doc[hit], hit - first[doc[hit]]
+
+
 def build_index(docs: DataFrame, vocab: np.ndarray, gap: int = WINDOW) -> DataFrame:
     """Index segments of ``docs`` (row, doc_id, text) for the terms ``vocab``.
 
     Positions are stored term by term as differences (int32).
     """
-    def segment(rows, ids, count, term, pos):
-        order = np.lexsort((pos, term))
-        term, pos = term[order], pos[order]
-        steps = np.diff(pos, prepend=0)
-        new = np.flatnonzero(np.diff(term, prepend=-1))
-        steps[new] = pos[new]
-        cols = [np.nan_to_num(ids).astype(np.int64), np.isnan(ids) if ids.dtype.kind == "f"
-                else np.zeros(len(ids), bool), count.astype(np.int64), term[new].astype(np.int32),
-                np.diff(np.append(new, len(term))).astype(np.int32), steps.astype(np.int32), rows]
-        return pa.RecordBatch.from_arrays([pa.array([c.tobytes()], pa.binary()) for c in cols],
-                                          names=[f.name for f in _INDEX.fields])
-
     def run(batches):
         held, size = [], 0
 
@@ -106,20 +119,15 @@ def build_index(docs: DataFrame, vocab: np.ndarray, gap: int = WINDOW) -> DataFr
                 rows.append(r), ids.append(i), count.append(c), term.append(t)
                 pos.append(start[d] + p)
                 base = start[-1]
-            return segment(*(np.concatenate(x) for x in (rows, ids, count, term, pos)))
+            return _segment(*(np.concatenate(x) for x in (rows, ids, count, term, pos)))
 
         for b in batches:
             data, off = column_bytes(b.column("text"))
             ids = b.column("doc_id").to_numpy(zero_copy_only=False)
             rows = b.column("row").to_numpy(zero_copy_only=False)
             for i, j in pieces(off):
-                doc, w = word_hashes(data[off[i]:off[j]], off[i:j + 1] - off[i], "plain")
-                count = np.bincount(doc, minlength=j - i)
-                first = np.concatenate([[0], np.cumsum(count)])
-                at = np.searchsorted(vocab, w)
-                at[at == len(vocab)] = 0
-                hit = np.flatnonzero(vocab[at] == w) if len(vocab) else np.zeros(0, np.int64)
-                held.append((rows[i:j], ids[i:j], count, at[hit], doc[hit], hit - first[doc[hit]]))
+                held.append((rows[i:j], ids[i:j],
+                             *_postings_of(data[off[i]:off[j]], off[i:j + 1] - off[i], vocab)))
                 size += int(off[j] - off[i])
                 if size >= SEGMENT:
                     yield flush()
@@ -288,6 +296,37 @@ def find_phrases(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> D
                       "n_words", "hits", "items")
 
 
+def keep_clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
+    """The rows of ``docs``, all columns, without an occurrence of a test window.
+
+    Every row is judged by its own text, so null and repeated ids make no
+    difference; null and empty texts stay.  The stored index gives the order
+    in which terms are intersected; the rows are then searched where they are
+    read, and no text is moved.
+    """
+    numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
+    out = docs
+    for block in _item_blocks(benchmark, _n_blocks(benchmark)):
+        win = Windows(block, size)
+        index = saved(build_index(numbered, win.vocab, size), "decontam_index")
+        order = win.by_rarity(_frequencies(index, len(win.vocab)))
+
+        def run(batches, win=win, order=order):
+            for b in batches:
+                data, off = column_bytes(b.column("text"))
+                dirty = np.zeros(b.num_rows, bool)
+                for i, j in pieces(off):
+                    count, term, doc, pos = _postings_of(data[off[i]:off[j]], off[i:j + 1] - off[i], win.vocab)
+                    start = np.concatenate([[0], np.cumsum(count + size)])
+                    none = np.zeros(j - i, np.int64)
+                    seg = Segment(_segment(none, none, count, term, start[doc] + pos).to_pylist()[0], size)
+                    _, at = seg.phrases(win, order)
+                    dirty[i + np.searchsorted(seg.start, at, "right") - 1] = True
+                yield b.filter(pa.array(~dirty))
+        out = out.mapInArrow(run, docs.schema)
+    return out
+
+
 def proximity_matches(docs: DataFrame, benchmark: DataFrame, reach: int,
                       size: int = WINDOW) -> DataFrame:
     """(doc_id, item_id) of documents with all terms of a test window within

@@ -19,10 +19,12 @@ Documents are sets of word shingles; two sets link when
    possible overlap (common bits plus the collisions inside one set), cannot
    reach the threshold, and pairs already known to be connected.  What remains
    is verified on the full shingle sets.
-3. *Large groups* are cut into blocks of bounded size.  Blocks are joined
-   alone first, under two independent cuts; afterwards only sets outside the
-   group's largest component meet the other blocks of like sizes.  Nothing is
-   capped.
+3. *Large groups* are cut by set size.  Linked sets lie at most one size band
+   apart, so each two neighbouring bands that fit a block are joined as a task
+   of their own, and a set goes to two tasks.  Bands that do not fit are cut
+   into blocks: these are joined alone first, under two independent cuts;
+   afterwards only sets outside the largest component meet the other blocks of
+   like sizes.  Nothing is capped.
 
 Equal sets are represented once.  Only spanning links leave a task.
 """
@@ -34,7 +36,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import zstandard as zs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -468,13 +470,12 @@ def link_sets(docs: DataFrame, sig: DataFrame, words: int = WORDS, percent: int
     size = sets.groupBy("grp").agg(F.ceil(F.sum("n") / BLOCK_TOKENS).cast("int").alias("blocks"))
     sized = sets.join(size, "grp")
 
-    def block(cut: int):
-        return F.xxhash64("grp", F.lit(cut), F.pmod(F.xxhash64("set_id", F.lit(cut)), F.col("blocks")))
-    alone = sized.select("doc_id", "set_id", F.lit(None).cast("long").alias("label"),
-                         F.when(F.col("blocks") > 1, F.array(block(0), block(1)))
-                         .otherwise(F.array(F.xxhash64("grp"))).alias("tasks"))
+    small = sized.where("blocks = 1").select("doc_id", "set_id", F.array(F.xxhash64("grp")).alias("tasks"))
+    big = saved(_banded(sized.where("blocks > 1"), percent), "jaccard_large")
+    alone = small.unionAll(big.select("doc_id", "set_id", "tasks")).select(
+        "doc_id", "set_id", F.lit(None).cast("long").alias("label"), "tasks")
     links = saved(_join_groups(_with_tokens(docs, alone, words), percent), "jaccard_links")
-    large = saved(sized.where("blocks > 1").select("grp", "set_id", "doc_id", "n"), "jaccard_large")
+    large = big.where("hot").select("grp", "set_id", "doc_id", "n")
     if not large.isEmpty():
         across = saved(_across_blocks(large, links, percent), "jaccard_across")
         if not across.isEmpty():
@@ -483,11 +484,55 @@ def link_sets(docs: DataFrame, sig: DataFrame, words: int = WORDS, percent: int
     return components(links, "jaccard_components")
 
 
+def _band(percent: int):
+    """The size band of a set of n shingles: linked sets are one apart at most
+    (a little wider than the threshold, so that rounding separates no pair)."""
+    return F.floor(F.log(F.col("n").cast("double")) / (1.001 * math.log(100 / percent))).cast("int")
+
+
+def _banded(sets: DataFrame, percent: int) -> DataFrame:
+    """(grp, set_id, doc_id, n, tasks, hot) of the sets of large groups.
+
+    A task holds two neighbouring bands, or one without a neighbour.  ``hot``
+    sets have a neighbouring band, or their own, that does not fit a task with
+    theirs; they also go to a block of each of two cuts of the hot sets.
+    """
+    sets = sets.select("grp", "set_id", "doc_id", "n", _band(percent).alias("band"))
+    # Some dozens of rows a group.
+    size = sets.groupBy("grp", "band").agg(F.sum("n").alias("t"))
+    line = Window.partitionBy("grp").orderBy("band")
+    for name, side, step in (("above", F.lead, 1), ("below", F.lag, -1)):
+        size = size.withColumn(name, F.when(side("band").over(line) == F.col("band") + step,
+                                            side("t").over(line)))
+
+    def fits(other: str):
+        return F.col("t") + F.coalesce(F.col(other), F.lit(0)) <= BLOCK_TOKENS
+    down, up = F.col("below").isNotNull() & fits("below"), F.col("above").isNotNull() & fits("above")
+    alone = F.col("below").isNull() & F.col("above").isNull() & fits("above")
+
+    def task(band):
+        return F.xxhash64("grp", F.lit("bands"), band)
+    of_bands = F.array_compact(F.array(F.when(down, task(F.col("band") - 1)), F.when(up | alone, task(F.col("band")))))
+    size = size.select(F.col("grp").alias("_g"), F.col("band").alias("_b"), of_bands.alias("near"),
+                       (~fits("below") | ~fits("above")).alias("hot"), "t")
+    # Stored, so that both sides of the join are plain exchanges.
+    size = saved(size, "jaccard_size_bands")
+    blocks = size.where("hot").groupBy(F.col("_g").alias("_h")).agg(
+        F.greatest(F.ceil(F.sum("t") / BLOCK_TOKENS), F.lit(1)).cast("int").alias("blocks"))
+    rows = sets.join(size, (sets["grp"] == size["_g"]) & (sets["band"] == size["_b"])) \
+        .join(blocks, F.col("grp") == F.col("_h"), "left")
+
+    def block(cut: int):
+        return F.xxhash64("grp", F.lit(cut), F.pmod(F.xxhash64("set_id", F.lit(cut)), F.col("blocks")))
+    tasks = F.when(F.col("hot"), F.concat("near", F.array(block(0), block(1)))).otherwise(F.col("near"))
+    return rows.select("grp", "set_id", "doc_id", "n", tasks.alias("tasks"), "hot")
+
+
 def _across_blocks(large: DataFrame, links: DataFrame, percent: int) -> DataFrame:
-    """(doc_id, set_id, label, tasks): how large groups are compared across
-    blocks after these were joined alone.
+    """(doc_id, set_id, label, tasks): how the hot sets of large groups are
+    compared across blocks after these were joined alone.
 
-    A group whose sets are already one component needs nothing.  Elsewhere the
+    A group whose hot sets are already one component needs nothing.  Elsewhere the
     sets outside the largest component meet the blocks of the group that hold
     sets of their own or a neighbouring size band; linked sets lie at most one
     band apart.
@@ -497,11 +542,9 @@ def _across_blocks(large: DataFrame, links: DataFrame, percent: int) -> DataFram
     by = lab.groupBy("grp", "label").agg(F.sum("n").alias("t"))
     top = by.groupBy("grp").agg(F.max(F.struct("t", "label")).alias("top"), F.count("*").alias("labels")) \
         .where("labels > 1")
-    # A little wider than the threshold, so that rounding separates no pair.
-    band = F.floor(F.log(F.col("n").cast("double")) / (1.001 * math.log(100 / percent))).cast("int")
     rows = saved(lab.join(top, "grp").select(
         "grp", "set_id", "doc_id", "label", "n", (F.col("label") == F.col("top.label")).alias("main"),
-        band.alias("band")), "jaccard_bands")
+        _band(percent).alias("band")), "jaccard_bands")
     size = rows.groupBy("grp", "main", "band").agg(
         F.struct("band", F.ceil(F.sum("n") / BLOCK_TOKENS).cast("int").alias("blocks")).alias("b"))
     # One entry per size band: some dozens.

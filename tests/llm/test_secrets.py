@@ -147,3 +147,48 @@ def test_rows(spark, docs_of):
     assert by[3].n_assign == 1 and by[3].spans == f"assign:0:{len(SECRET)}"
     assert by[None].n_access == 1 and by[5].n_decoded == 1
     assert S.op2_secret_scan(spark, docs_of(rows).limit(0)).count() == 0
+
+
+PACKERS = [gzip.compress, zlib.compress, bz2.compress, zstandard.compress, lambda b: lzma.compress(b, preset=0)]
+
+
+def test_thousands_of_nested_layers():
+    raw = b"x " + U
+    for i in range(5000):
+        raw = (gzip.compress if i % 2 else zlib.compress)(raw, 1)
+    t = f"a {B64(raw)} b"
+    assert secrets_of(t) and S.scan_text(t)["n_unopened"] == 0
+
+
+TEXTUAL = [lambda b: base64.b64encode(b), lambda b: base64.urlsafe_b64encode(b).rstrip(b"="),
+           lambda b: urllib.parse.quote_from_bytes(b, safe="").encode(),
+           lambda b: "".join(f"%{c:02x}" for c in b).encode(), lambda b: base64.encodebytes(b)]
+ESCAPES = [lambda t: "".join(f"\\u{ord(c):04x}" for c in t), lambda t: "".join(f"\\x{ord(c):02x}" for c in t),
+           lambda t: "".join(f"&#x{ord(c):X};" for c in t), lambda t: t]
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_random_orders_of_layers_are_unwrapped(seed):
+    """Every secret is found below any chain of encodings, at its place."""
+    rng = random.Random(seed)
+    kind, secret = rng.choice([("assign", "api_key: '%s'" % "".join(rng.choices("abcXYZ019+/_", k=rng.randint(8, 40)))),
+                               ("access", "AKIA" + "".join(rng.choices("ABCXYZ0189", k=16))),
+                               ("hex", "".join(rng.choices("0123456789abcdef", k=40)))])
+    raw = rng.choice([b"", "é ".encode(), b"\xff\x00 ", b"text before "]) + rng.choice(ESCAPES)(secret).encode() \
+        + rng.choice([b"", b" after", b"\xfe"])
+    for _ in range(rng.randint(1, 5)):
+        if rng.random() < 0.6:
+            raw = rng.choice(PACKERS)(raw)
+        raw = rng.choice(TEXTUAL)(raw)
+    before = rng.choice(["", "some words, ", "größe "])
+    text = f"{before}{raw.decode()}\n end"
+    spans = [s.split(":") for s in S.scan_text(text)["spans"].split(",") if s]
+    assert any(k == kind and len(before) <= int(a) < int(b) <= len(text) for k, a, b in spans), text[:300]
+
+
+def test_noise_is_cheap_and_holds_the_secret_beside_it():
+    import time
+    noise = random.Random(1).randbytes(3 << 20)
+    t0 = time.process_time()
+    r = S.scan_text(f"{B64(noise)} {B64(U)} {B64(noise[:1000] + U + noise[1000:2000])}")
+    assert r["n_decoded"] >= 2 and time.process_time() - t0 < 60

@@ -6,9 +6,12 @@ patterns, then unwrapped: percent escapes and Unicode escapes (``\\u``, ``\\x``,
 compressed payloads (gzip, zlib, bzip2, xz, zstandard) become layers of their
 own.  A base64 run goes on over line breaks and is decoded at all four places
 that its first group of letters may have, so neighbours do not hide it; payloads
-are looked for at every byte, in all their members.  Bytes that are no text are
-scanned too, undecodable ones replaced.  Each new layer joins the worklist until none is new; a layer that has
-been seen at the same place is not opened again, so cycles end.  Every
+are looked for at every byte, in all their members.  Decoded bytes are scanned in
+their runs of printable ASCII: neither a match nor an encoding goes beyond one,
+and a run shorter than the shortest secret holds none.  Each new layer, text or
+compressed, joins the worklist until none is new, however deep they lie in each
+other; a layer that has been seen at the same place is not opened again, so
+cycles end.  Every
 character of a layer knows the stretch of the original text it came from, and
 matches are reported there.
 """
@@ -22,6 +25,7 @@ import hashlib
 import itertools
 import lzma
 import re
+import urllib.parse
 import zlib
 
 import numpy as np
@@ -49,6 +53,8 @@ _ASSIGN = re.compile(rf"""(?:{_NAME})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 _HEX = re.compile(r"[0-9a-f]{32,}")
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
+#: Percent-encoded bytes with those that an encoder leaves as they are.
+_QUOTED = re.compile(r"(?:%[0-9A-Fa-f]{2}|[A-Za-z0-9_.~!*'();:@&=+$,/?-])+")
 _ESCAPE = re.compile(
     r"\\u[dD][89abAB][0-9A-Fa-f]{2}\\u[dD][c-fC-F][0-9A-Fa-f]{2}|\\u\{[0-9A-Fa-f]{1,6}\}"
     r"|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#[xX][0-9A-Fa-f]{1,6};|&#[0-9]{1,7};")
@@ -60,6 +66,8 @@ _TAIL = re.compile(rb"(?:[A-Za-z0-9+/_-]++|[ \t]*+\n\r?[ \t]*+)*+")
 _SPACES = re.compile(rb" {65,}")
 _MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\xfd7zXZ\x00"
                     rb"|\x28\xb5\x2f\xfd|[\x50-\x5f]\x2a\x4d\x18")
+#: Decoded bytes that can hold a match: "token=" and eight characters at least.
+_RUN = re.compile(rb"[\t\n\r\x20-\x7e]{14,}")
 #: Without any of these, bytes have neither matches nor further layers.
 _ANY = re.compile(rf"{_NAME}|AKIA|[0-9a-f]{{32}}|%[0-9A-Fa-f]{{2}}|\\[uUx]|&#|{_LETTER}{{16}}|{_LETTER}{_WRAP}{_LETTER}".encode())
 
@@ -215,13 +223,17 @@ class _Scan:
         self.unopened = 0
         self.seen: set[bytes] = set()
         self.work: list[_Layer] = []
+        self.packed: list[tuple[int, int, bytes]] = []  # inflated, not yet looked at
         where = np.arange(len(text) + 1)
         self.open(_Layer(text, where[:-1], where[1:]), root=True)
         self.drain()
 
     def drain(self) -> None:
-        while self.work:
-            self.open(self.work.pop())
+        while self.work or self.packed:
+            if self.packed:
+                self.unpack(*self.packed.pop())
+            else:
+                self.open(self.work.pop())
 
     def push(self, layer: _Layer) -> None:
         if not layer.text:
@@ -233,7 +245,8 @@ class _Scan:
             self.work.append(layer)
 
     def content(self, start: int, end: int, chunks) -> None:
-        """Scan the bytes of a payload found at original [start, end)."""
+        """Take in the bytes of a payload found at original [start, end): as a
+        layer of the worklist, or, beyond LAYER_BYTES, in windows at once."""
         chunks, held, size = iter(chunks), [], 0
         while size <= LAYER_BYTES and (c := next(chunks, None)) is not None:
             held.append(c)
@@ -241,14 +254,9 @@ class _Scan:
         raw = b"".join(held)
         if size <= LAYER_BYTES:
             key = hashlib.sha256(raw + b"|%d|%d|bytes" % (start, end)).digest()
-            if not raw or key in self.seen:
-                return
-            self.seen.add(key)
-            if _MAGIC.match(raw):  # compressed in compressed
-                inner = _Inflate(_pieces(raw))
-                self.content(start, end, inner.chunks())
-                raw = raw[inner.used:]
-            self.fixed(start, end, raw)
+            if raw and key not in self.seen:
+                self.seen.add(key)
+                self.packed.append((start, end, raw))
             return
         self.unopened += 1
 
@@ -268,17 +276,28 @@ class _Scan:
                 continue
             held = bytearray(_SPACES.sub(b" " * 64, held))
             self.fixed(start, end, bytes(held))
-            self.drain()
+            while self.work:
+                self.open(self.work.pop())
             keep = max(OVERLAP, _TAIL.match(held[::-1]).end())
             del held[:max(0, len(held) - keep)]
             need = max(WINDOW, 2 * len(held))
         self.fixed(start, end, bytes(held))
 
+    def unpack(self, start: int, end: int, raw: bytes) -> None:
+        """One inflated layer: what is compressed at its start joins the
+        worklist, the rest is text."""
+        if _MAGIC.match(raw):
+            inner = _Inflate(_pieces(raw))
+            self.content(start, end, inner.chunks())
+            raw = raw[inner.used:]
+        self.fixed(start, end, raw)
+
     def fixed(self, start: int, end: int, raw: bytes) -> None:
-        """A layer whose characters all come from original [start, end)."""
-        if _ANY.search(raw):
-            text = _as_text(raw)[0]
-            self.push(_Layer(text, np.broadcast_to(start, len(text)), np.broadcast_to(end, len(text))))
+        """Layers whose characters all come from original [start, end)."""
+        for m in _RUN.finditer(raw):
+            if _ANY.search(m.group()):
+                text = m.group().decode("ascii")
+                self.push(_Layer(text, np.broadcast_to(start, len(text)), np.broadcast_to(end, len(text))))
 
     def payloads(self, raw: bytes, place) -> bytes:
         """Open the compressed payloads in ``raw``; ``place`` gives the original
@@ -306,6 +325,8 @@ class _Scan:
                 start, end = layer.place(a, b)
                 self.spans.add((start, kind, end))
         if "%" in text:
+            for m in _QUOTED.finditer(text):
+                self.quoted(layer, m)
             parts = []
             for m in _PERCENT.finditer(text):
                 raw = binascii.unhexlify(m.group().replace("%", ""))
@@ -330,6 +351,19 @@ class _Scan:
             if len(letters) >= 16:
                 self.base64(layer, m, run[letters].tobytes().translate(_URL_SAFE), letters + m.start())
 
+    def quoted(self, layer: _Layer, m: re.Match) -> None:
+        """Compressed payloads among percent-encoded and plain bytes."""
+        raw = urllib.parse.unquote_to_bytes(m.group())
+        if len(raw) == len(m.group()) or not _MAGIC.search(raw):
+            return
+        code = np.frombuffer(m.group().encode(), np.uint8)
+        sign = np.flatnonzero(code == 0x25)
+        first = np.ones(len(code), bool)
+        first[sign + 1] = first[sign + 2] = False
+        start = np.flatnonzero(first) + m.start()
+        end = np.append(start[1:], m.end())
+        self.payloads(raw, lambda a, b: layer.place(int(start[a]), int(end[b - 1])))
+
     def base64(self, layer: _Layer, m: re.Match, code: bytes, letters: np.ndarray) -> None:
         for skip in range(4):
             n = len(code) - skip
@@ -343,15 +377,13 @@ class _Scan:
 
             if _MAGIC.search(raw):
                 raw = self.payloads(raw, place)
-            if not _ANY.search(raw):
-                continue
             # Text: every decoded character maps to its own code letters.
-            chars, size = _as_text(raw)
-            size = np.array(size)
-            stop = np.cumsum(size)
-            a = where[(stop - size) * 4 // 3]
-            b = where[np.minimum(-(-stop * 4 // 3), len(where)) - 1]
-            self.push(_Layer(chars, layer.start[a], layer.end[b]))
+            for run in _RUN.finditer(raw):
+                if _ANY.search(run.group()):
+                    i = np.arange(run.start(), run.end())
+                    a = where[i * 4 // 3]
+                    b = where[np.minimum(-(-(i + 1) * 4 // 3), len(where)) - 1]
+                    self.push(_Layer(run.group().decode("ascii"), layer.start[a], layer.end[b]))
 
 
 def _joined(spans) -> str:

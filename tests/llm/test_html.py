@@ -96,3 +96,23 @@ def test_rows(spark):
     assert len(out) == 4 and all(r.n_chars == len(r.text) for r in out)
     assert sorted(str(r.page_id) for r in out if not r.text) == ["2"]
     assert H.op7_html_main(spark, df.limit(0)).count() == 0
+
+
+STORY = "<h1>A title</h1>" + "".join(f"<p>Paragraph {i} of the story says something of some length, with care.</p>"
+                                    for i in range(8))
+STORY_TEXT = ["A title"] + [f"Paragraph {i} of the story says something of some length, with care." for i in range(8)]
+STORY_MENU = "<nav><a href=1>Home</a> <a href=2>News</a></nav>"
+SMALL_FORM = "<form><label>Your mail address for our letter</label><input><button>Send</button></form>"
+
+
+@pytest.mark.parametrize("page", [
+    f"<form method=post>{STORY_MENU}<article>{STORY}</article><footer>All rights reserved</footer></form>",
+    f"<form method=post>{STORY_MENU}<div id=content>{STORY}</div><footer>All rights reserved</footer></form>",
+    f"<form>{STORY_MENU}<div>{STORY}</div></form>",
+    f"<header>Site</header><form id=aspnetForm><fieldset><main>{STORY}</main></fieldset></form>",
+    f"<noscript><article>{STORY}</article></noscript>",
+    f"<form>{STORY_MENU}<article>{STORY}</article>{SMALL_FORM}</form>",
+    f"{STORY_MENU}<article>{STORY}{SMALL_FORM}</article>", f"{STORY_MENU}<div>{STORY}</div>{SMALL_FORM}",
+    f"{STORY_MENU}<article>{STORY}</article><noscript>Please turn on scripts to see all of this page</noscript>"])
+def test_forms_are_judged_by_their_share_of_the_text(page):
+    assert H.main_text(f"<html><body>{page}</body></html>") == "\n\n".join(STORY_TEXT)

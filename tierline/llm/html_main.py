@@ -44,8 +44,11 @@ _SCOPE = {"ul", "ol", "dl", "table", "div", "article", "section", "body", "main"
           "form", "footer", "header", "blockquote", "td", "th", "button", "fieldset", "details"}
 
 #: Classifier weights, in log-odds of content.
-_PENALTY_TAG = {"nav": 9.0, "footer": 9.0, "aside": 9.0, "form": 9.0, "menu": 9.0, "dialog": 9.0,
-                "button": 9.0, "select": 9.0, "noscript": 9.0, "fieldset": 9.0, "search": 9.0}
+_PENALTY_TAG = {"nav": 9.0, "footer": 9.0, "aside": 9.0, "menu": 9.0, "dialog": 9.0,
+                "button": 9.0, "select": 9.0, "search": 9.0}
+#: Elements that some servers wrap whole pages in: judged by their share of the
+#: text, like those whose class is a penalty word.
+_JUDGED_TAG = {"form", "fieldset", "noscript"}
 _PENALTY_WORDS = {
     "ad", "ads", "adv", "advert", "advertisement", "advertising", "sponsor", "sponsored", "promo",
     "promotion", "banner", "cookie", "cookies", "consent", "gdpr", "notice", "alert", "sidebar",
@@ -77,7 +80,9 @@ class _Frame:
         self.link = (up.link if up else False) or tag == "a"
         # The innermost element with a penalty word, itself included.
         self.word = up.word if up else None
-        self.pure = False
+        self.pure = tag in _JUDGED_TAG
+        if self.pure:
+            self.word = self
         self.penalty = max(self.penalty, _PENALTY_TAG.get(tag, 0.0))
         if tag == "header":
             # An article's own header holds its title; a page header does not.
@@ -101,7 +106,7 @@ class _Frame:
         named.update(*tokens)
         bad = _PENALTY_WORDS if self.region else _PENALTY_WORDS | {"header"}
         if named & bad:
-            self.pure = any(t and t <= bad for t in tokens)
+            self.pure = self.pure or any(t and t <= bad for t in tokens)
             # <article class="post comments-open"> is a post with a state.
             if self.pure or self.tag not in ("article", "main") or \
                     not any(t and t <= _CONTENT_WORDS for t in tokens):
@@ -188,9 +193,9 @@ def blocks_of(page: str) -> list[_Block]:
 
 
 def release(blocks: list[_Block]) -> None:
-    """Apply the penalty words, except those of wrappers.
+    """Apply the penalty words and judged tags, except those of wrappers.
 
-    The element with such a word that outweighs the free text most is a
+    The element with such a word or tag that outweighs the free text most is a
     wrapper if it outweighs it at all; its own text is free from then on, and
     the elements with such words inside it are judged in turn.
     """

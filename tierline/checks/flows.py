@@ -3,21 +3,25 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierline.checks import query
 from tierline.checks.core import GOLD_DBT_SQL, GOLD_TABLE_SQL
 from tierline.checks.env import env
 from tierline.operators.crawl import crawl
+from tierline.operators.hierarchy import descendants
 from tierline.operators.ordering import top1
 from tierline.operators.runlog import STAGE_SILVER
+from tierline.operators.taskqueue import TaskQueue, without_clocks
 from tierline.plans import runs
 from tierline.plans.changes import MEASURES, FileLedger
-from tierline.plans.lake import Lake
+from tierline.plans.lake import Lake, read_silver
 from tierline.schemas import SESSIONS, S, TASK_KEYS, struct
 from tierline.sinks.files import land_csv
 from tierline.sources.entities import EntitySource, land_payload_entities, payload_entities
 from tierline.sources.files import read_csv_typed
-from tierline.streaming.new_files import batch_folder_sink, ingest_new_files
+from tierline.streaming.new_files import batch_folder_sink, ingest_new_files, queue_sink
+from tierline.tables.clustered import write_clustered
 
 @query("medallion_transform", "SELECT * FROM f_gold")
 def medallion_transform(spark, sf_dir):
@@ -197,6 +201,72 @@ def stream_new_files(spark, sf_dir):
     return spark.read.parquet(out).select("id", "batch_no")
 
 
+@query("queue_from_stream", """
+SELECT id, season_id, event_id, category_id, session_id, status, attempt, false AS has_updated FROM (
+  SELECT id, season_id, event_id, category_id, id AS session_id, 0 AS status, 0 AS attempt FROM f_sessions)""")
+def queue_from_stream(spark, sf_dir):
+    """Sessions arrive as files in two waves that overlap: the second repeats
+    every session of the first one's last season, with a later time.  Repeats
+    within the watermark end in the stream's state, others in the queue."""
+    e = env(spark, sf_dir)
+    seasons = e.src.seasons.select(F.col("id").alias("season_id"), "year")
+    timed = e.src.sessions.join(seasons, "season_id").withColumn(
+        "seen_at", F.make_timestamp(F.col("year"), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)))
+    newest = top1(e.src.seasons, "year", "id").select(F.col("id").alias("season_id"))
+    second = top1(e.src.seasons.join(newest, e.src.seasons["id"] == newest["season_id"], "left_anti"), "year", "id") \
+        .select(F.col("id").alias("season_id"))
+    landing, ckpt = e.scratch("queue_in"), e.scratch("queue_ckpt")
+    queue = TaskQueue(spark, e.scratch("queue_of_stream"))
+    schema = T.StructType([*SESSIONS.fields, T.StructField("seen_at", T.TimestampType())])
+    waves = [timed.join(newest, "season_id", "left_anti"),
+             timed.join(newest.unionByName(second), "season_id", "left_semi")
+             .withColumn("seen_at", F.col("seen_at") + F.expr("INTERVAL 1 HOUR"))]
+    for rows in waves:
+        land_csv(rows.select(*schema.names), landing, mode="append")
+        ingest_new_files(spark, landing, schema, ckpt, queue_sink(queue), once=("id", "seen_at", "1 day"))
+    return without_clocks(queue.state())
+
+
+@query("crawl_closure", """
+edges AS (SELECT season_id AS parent, id AS child FROM f_events
+  UNION SELECT event_id, event_id || '/' || id FROM f_categories
+  UNION SELECT event_id || '/' || category_id, id FROM f_sessions
+  UNION SELECT max(id), max(season_id) FROM f_sessions),
+closure AS (SELECT root, node, min(depth) AS depth FROM (
+  WITH RECURSIVE walk(root, node, depth) AS (
+    SELECT id, id, 0 FROM f_seasons
+    UNION SELECT w.root, e.child, w.depth + 1 FROM walk w JOIN edges e ON e.parent = w.node WHERE w.depth < 9)
+  SELECT * FROM walk) GROUP BY root, node)
+SELECT root, node, CAST(depth AS INTEGER) AS depth FROM closure""")
+def crawl_closure(spark, sf_dir):
+    """Everything below each season, over an edge table that does not know the
+    levels; one edge leads back from a session to a season, a cycle."""
+    s = env(spark, sf_dir).src
+    pair = F.concat("event_id", F.lit("/"), F.col("id"))
+    edges = s.events.select(F.col("season_id").alias("parent"), F.col("id").alias("child")) \
+        .unionByName(s.categories.select(F.col("event_id").alias("parent"), pair.alias("child"))) \
+        .unionByName(s.sessions.select(F.concat("event_id", F.lit("/"), "category_id").alias("parent"),
+                                       F.col("id").alias("child"))) \
+        .unionByName(s.sessions.agg(F.max("id").alias("parent"), F.max("season_id").alias("child")))
+    return descendants(edges, s.seasons.select(F.col("id").alias("root")))
+
+
+@query("lookup_clustered", """
+busy AS (SELECT session_id AS id FROM f_classifications GROUP BY session_id ORDER BY count(*) DESC, session_id LIMIT 1)
+SELECT c.* FROM f_classifications c WHERE c.session_id IN (SELECT id FROM busy)
+  OR c.name IN (SELECT min(name) FROM f_classifications)""")
+def lookup_clustered(spark, sf_dir):
+    """Point lookups by session and by rider on a copy of silver that is
+    clustered by both."""
+    e = env(spark, sf_dir)
+    silver, path = read_silver(spark, e.lake, "classifications"), e.scratch("clustered")
+    write_clustered(silver, path, ["session_id", "name"], bloom=["session_id"], group_bytes=1 << 20)
+    rows = spark.read.schema(silver.schema).parquet(path)
+    busy = rows.groupBy("session_id").count().orderBy(F.desc("count"), "session_id").first()[0]
+    rider = rows.agg(F.min("name")).first()[0]
+    return rows.filter((F.col("session_id") == busy) | (F.col("name") == rider))
+
+
 @query("crawl_tasks", """
 SELECT season_id, event_id, category_id, id AS session_id FROM f_sessions""")
 def crawl_tasks(spark, sf_dir):

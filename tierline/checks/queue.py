@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from tierline.checks import query
 from tierline.checks.env import env
 from tierline.operators.crawl import crawl, expand_classifications, task_keys
-from tierline.operators.ordering import top1
+from tierline.operators.ordering import first_n, top1
 from tierline.operators.taskqueue import (TaskQueue, apply_run, mark, mark_completed,
-                                          new_tasks, next_batch, upsert, with_defaults,
+                                          new_tasks, next_batch, open_tasks, upsert, with_defaults,
                                           without_clocks)
 from tierline.oracle import UUID_SQL
 from tierline.plans.lake import read_silver
-from tierline.schemas import ERRORED, TASKS
+from tierline.schemas import ERRORED, TASK_KEYS, TASKS
 
 _BAD = f"""
 bad_seasons AS (SELECT DISTINCT unnest(regexp_extract_all(message, {UUID_SQL}, 0)) AS season_id
@@ -86,6 +86,16 @@ def queue_next_batch(spark, sf_dir):
     return next_batch(_state(env(spark, sf_dir)), 100)
 
 
+@query("queue_first_many", """
+SELECT season_id, event_id, category_id, id AS session_id FROM f_tasks WHERE status < 2
+ORDER BY id LIMIT (SELECT count(*) * 2 // 3 FROM f_tasks WHERE status < 2)""")
+def queue_first_many(spark, sf_dir):
+    """The first two thirds of all open tasks by id, cut by a histogram: only
+    an interval of at most 1,000 rows is ordered."""
+    todo = open_tasks(_state(env(spark, sf_dir)))
+    return first_n(todo, "id", todo.count() * 2 // 3, interval=1000).select(*TASK_KEYS)
+
+
 @query("queue_mark_completed", """
 landed AS (SELECT DISTINCT session_id FROM f_classifications)
 SELECT t.id,

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tierline.operators.joins import duplicate_keys
+from tierline.operators.joins import duplicate_keys_staged
 
 # Documented range of a season year (upper bound: this year).
 YEAR_MIN = 1949
@@ -49,8 +49,9 @@ def failing_not_null(df: DataFrame, column: str) -> DataFrame:
 
 
 def failing_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Key values that fail a unique test, with their counts ``n``."""
-    return duplicate_keys(df, keys)
+    """Key values that fail a unique test, with their counts ``n``; keys
+    without a second row like them are not moved."""
+    return duplicate_keys_staged(df, keys)
 
 
 def failing_year_range(df: DataFrame, column: str = "year", lo: int = YEAR_MIN,

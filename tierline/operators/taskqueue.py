@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierline.operators.ordering import INTERVAL, first_n
 from tierline.schemas import COMPLETED, ERRORED, PENDING, TASK_KEYS, TASKS
 from tierline.tables import files
 
@@ -57,10 +58,13 @@ def open_tasks(queue: DataFrame) -> DataFrame:
 
 
 def next_batch(queue: DataFrame, n: int | None = None) -> DataFrame:
-    """Task keys of the first ``n`` open tasks by id; of all of them without
-    ``n``."""
+    """Task keys of the first ``n`` open tasks by id, in that order if they
+    are few; of all of them without ``n``."""
     todo = open_tasks(queue)
-    return (todo if n is None else todo.orderBy("id").limit(n)).select(*TASK_KEYS)
+    if n is None:
+        return todo.select(*TASK_KEYS)
+    small = n <= INTERVAL
+    return (todo.orderBy("id").limit(n) if small else first_n(todo, "id", n)).select(*TASK_KEYS)
 
 
 def _flagged(queue: DataFrame, ids: DataFrame, on: Sequence[tuple[str, str]],

@@ -24,11 +24,20 @@ BatchSink = Callable[[DataFrame, int], None]
 
 def ingest_new_files(spark: SparkSession, source_dir: str, schema: T.StructType,
                      checkpoint: str, sink: BatchSink, fmt: str = "csv",
-                     options: dict[str, str] | None = None) -> None:
-    """Process the files that arrived since the last run, then stop."""
+                     options: dict[str, str] | None = None, once: tuple[str, str, str] | None = None) -> None:
+    """Process the files that arrived since the last run, then stop.
+
+    ``once``: (key, event-time column, delay) drops rows whose key was seen
+    within the delay of the event-time watermark; the state of keys older
+    than that is given up, so it stays bounded.  What comes later than the
+    delay passes again, for an idempotent sink.
+    """
     opts = {"header": "true", **CSV_OPTIONS} if fmt == "csv" else {}
     opts.update(options or {})
     stream = spark.readStream.format(fmt).schema(schema).options(**opts).load(source_dir)
+    if once:
+        key, seen_at, delay = once
+        stream = stream.withWatermark(seen_at, delay).dropDuplicatesWithinWatermark([key])
     q = (stream.writeStream.foreachBatch(sink)
                .option("checkpointLocation", checkpoint)
                .trigger(availableNow=True).start())

@@ -105,3 +105,33 @@ def test_incremental_batch_from_an_older_season_reaches_gold(spark, folder):
     assert rep.gold.count() == read_bronze(spark, lake, "classifications").count()
     # the incremental run crawled one season; every other season keeps its year
     assert rep.gold.filter(F.col("year").isNull()).count() == 0
+
+
+def test_models_are_built_again_only_where_inputs_changed(spark, folder):
+    lake, out = Lake(folder()), folder("models") + "/{name}"
+    land_entity(lake, "seasons", spark.createDataFrame([("a", 2001), ("b", 2002)], SEASONS))
+    land_entity(lake, "sessions", spark.createDataFrame([("n", "1", "a", "e", "c")], SESSIONS))
+
+    def graph(extra=0, sessions=None):
+        reg = SourceRegistry(spark, lake.root + "/bronze/{name}").declare("seasons", SEASONS)
+        reg.declare("sessions", sessions or SESSIONS)
+        g = ModelGraph(spark, reg, out, changed_only=True)
+        g.test("seasons", "unique", "year")
+        g.model("stg_seasons")(passthrough("seasons"))
+        g.model("stg_sessions")(passthrough("sessions"))
+        g.model("later")(lambda g: g.ref("stg_seasons").withColumn("year", F.col("year") + extra))
+        g.model("both")(lambda g: g.ref("stg_sessions").join(
+            g.ref("later").select(F.col("id").alias("season_id"), "year"), "season_id"))
+        g.build()
+        return sorted(g.rebuilt), [r.year for r in g.ref("later").orderBy("year").collect()]
+    every = ["both", "later", "stg_seasons", "stg_sessions"]
+    assert graph() == (every, [2001, 2002])
+    assert graph() == ([], [2001, 2002])
+    assert graph(extra=10) == (["both", "later"], [2011, 2012])  # a model's code
+    land_entity(lake, "sessions", spark.createDataFrame([("m", "2", "a", "e", "c")], SESSIONS))
+    assert graph(extra=10) == (["both", "stg_sessions"], [2011, 2012])  # a source's files
+    land_entity(lake, "seasons", spark.createDataFrame([("a", 2001), ("b", 2001)], SEASONS))
+    with pytest.raises(DataTestError):
+        graph(extra=10)
+    land_entity(lake, "seasons", spark.createDataFrame([("a", 2001), ("b", 2005)], SEASONS))
+    assert graph(extra=10) == (["both", "later", "stg_seasons"], [2011, 2015])

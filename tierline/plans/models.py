@@ -7,10 +7,19 @@ resolved (Spark's lazy plans carry the rest).  A model with a location is
 materialised there as parquet and read back, so dependants read the written
 files (lineage is cut at each materialised model).  Source tests run the
 first time a source is read, before any model that uses it.
+
+With ``changed_only`` a materialised model is built only if something it was
+made of differs from what it notes beside its files: the model's own code, the
+files of the sources it read (path, size, time), or a model it referred to.
+Others are read as they are, so a second build writes nothing and a changed
+source rebuilds its dependants.
 """
 
 from __future__ import annotations
 
+import hashlib
+import inspect
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +28,7 @@ from pyspark.sql import functions as F
 from tierline.operators.quality import failing_not_null, failing_unique
 from tierline.sinks.files import write_parquet
 from tierline.sources.registry import SourceRegistry
+from tierline.tables import files
 
 
 class DataTestError(AssertionError):
@@ -27,7 +37,7 @@ class DataTestError(AssertionError):
 
 class ModelGraph:
     def __init__(self, spark: SparkSession, sources: SourceRegistry,
-                 location_template: str | None = None):
+                 location_template: str | None = None, changed_only: bool = False):
         self.spark = spark
         self.sources = sources
         self.template = location_template
@@ -35,6 +45,10 @@ class ModelGraph:
         self._built: dict[str, DataFrame] = {}
         self._tests: dict[str, list[tuple[str, str]]] = {}
         self._read: dict[str, DataFrame] = {}
+        self.changed_only = changed_only
+        self.rebuilt: list[str] = []
+        self._prints: dict[tuple[str, str], str] = {}
+        self._using: list[dict[str, dict[str, str]]] = []  # of the models being built
 
     def model(self, name: str, external: bool = True):
         def deco(fn: Callable[["ModelGraph"], DataFrame]):
@@ -48,6 +62,8 @@ class ModelGraph:
         return self
 
     def source(self, name: str) -> DataFrame:
+        if self._using:
+            self._using[-1]["sources"][name] = self._source_print(name)
         if name not in self._read:
             df = self.sources.read(name)
             for kind, column in self._tests.get(name, []):
@@ -63,16 +79,69 @@ class ModelGraph:
 
     def ref(self, name: str) -> DataFrame:
         if name not in self._built:
-            fn, external = self._models[name]
-            df = fn(self)
-            loc = self.location(name)
-            if external and loc:
-                write_parquet(df, loc)
-                df = self.spark.read.parquet(loc)
+            df = self._kept(name)
+            if df is None:
+                df = self._make(name)
             df.createOrReplaceTempView(name)
             self._built[name] = df
+        if self._using:
+            self._using[-1]["models"][name] = self._prints.get(("model", name), "")
         return self._built[name]
 
+    def _make(self, name: str) -> DataFrame:
+        fn, external = self._models[name]
+        self._using.append({"sources": {}, "models": {}})
+        try:
+            df = fn(self)
+        finally:
+            made_of = self._using.pop()
+        loc = self.location(name)
+        if external and loc:
+            write_parquet(df, loc)
+            df = self.spark.read.parquet(loc)
+        self.rebuilt.append(name)
+        if self.changed_only:
+            note = json.dumps({"code": _code_print(fn), **made_of}, sort_keys=True)
+            self._prints["model", name] = hashlib.sha256(note.encode()).hexdigest()
+            if external and loc:  # last, so a build that died is no build
+                files.write_line(self.spark, f"{loc}/_made_of", note)
+        return df
+
+    def _kept(self, name: str) -> DataFrame | None:
+        """The model as it was built, if all it is made of is as it was."""
+        fn, external = self._models[name]
+        loc = self.location(name)
+        if not (self.changed_only and external and loc):
+            return None
+        note = files.read_line(self.spark, f"{loc}/_made_of")
+        if note is None:
+            return None
+        was = json.loads(note)
+        same = was["code"] == _code_print(fn) \
+            and all(s in self.sources.specs and self._source_print(s) == p for s, p in was["sources"].items())
+        for m, p in was["models"].items():
+            if same and m in self._models:
+                self.ref(m)
+            same = same and m in self._models and self._prints.get(("model", m), "") == p
+        if not same:
+            return None
+        self._prints["model", name] = hashlib.sha256(note.encode()).hexdigest()
+        return self.spark.read.parquet(loc)
+
+    def _source_print(self, name: str) -> str:
+        """Fingerprint of a source's declaration and files, without their
+        contents: one aggregate over the listing."""
+        if not self.changed_only:
+            return ""
+        if ("source", name) not in self._prints:
+            spec = self.sources.specs[name]
+            meta = F.struct(*[f"_metadata.file_{a}" for a in ("path", "size", "modification_time")])
+            listed = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(spec.location)
+            seen = listed.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(meta)).alias("x")).first()
+            text = f"{spec.fmt}|{spec.schema}|{sorted(spec.options.items())}|{seen['n']}|{seen['x']}"
+            self._prints["source", name] = hashlib.sha256(text.encode()).hexdigest()
+        return self._prints["source", name]
+
     def register_upstream(self, names: list[str]) -> list[str]:
         """Register a view for every named model whose output already exists
         at its location (no rebuild); returns the names registered."""
@@ -96,6 +165,13 @@ class ModelGraph:
         return {name: self.ref(name) for name in self._models}
 
 
+def _code_print(fn: Callable) -> str:
+    """Fingerprint of a model's source text and of the values it encloses."""
+    held = [c.cell_contents for c in fn.__closure__ or ()]
+    text = inspect.getsource(fn) + repr([h for h in held if isinstance(h, (str, int, float, dict, list, tuple))])
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
 def passthrough(source_name: str) -> Callable[[ModelGraph], DataFrame]:
     """A staging model that selects every column of a source."""
     return lambda g: g.source(source_name).select("*")

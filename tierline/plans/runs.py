@@ -209,6 +209,11 @@ def _store_metrics(spark, lake, rep: RunReport, c, batch: DataFrame, parsed: Dat
 
 
 def models(spark: SparkSession, lake: Lake, out_root: str) -> DataFrame:
+    """The placements mart of :func:`model_graph`, and all it is made of."""
+    return model_graph(spark, lake, out_root).ref("fct_placements")
+
+
+def model_graph(spark: SparkSession, lake: Lake, out_root: str, changed_only: bool = False) -> ModelGraph:
     """Model graph over the bronze sources: five staging models and the
     placements mart, each materialised as parquet; source tests on
     ``seasons.year`` (not null, unique) run before any dependant."""
@@ -216,7 +221,7 @@ def models(spark: SparkSession, lake: Lake, out_root: str) -> DataFrame:
     for name in ["seasons", "events", "categories", "sessions"]:
         reg.declare(name, ENTITY_SCHEMAS[name])
     reg.declare("classifications", CLASSIFICATIONS_BRONZE, nullValue="null")
-    g = ModelGraph(spark, reg, out_root + "/{name}.parquet")
+    g = ModelGraph(spark, reg, out_root + "/{name}.parquet", changed_only)
     g.test("seasons", "not_null", "year").test("seasons", "unique", "year")
     for name in ["seasons", "events", "categories", "sessions"]:
         g.model(f"stg_{name}")(passthrough(name))
@@ -234,7 +239,7 @@ def models(spark: SparkSession, lake: Lake, out_root: str) -> DataFrame:
         check_dimensions(**dims)
         return gold_results(c, **dims, style="dbt")
 
-    return g.ref("fct_placements")
+    return g
 
 
 def wap_run(spark: SparkSession, lake: Lake, bronze_root: str | None = None) -> DataFrame:

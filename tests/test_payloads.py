@@ -64,3 +64,21 @@ def test_raw_payload_files_round_trip(spark, folder):
     assert dict(back.dtypes)["season_id"] == "string"
     rows = explode_payload(back, "body", ELEM, keep=["season_id"]).collect()
     assert [(r.season_id, r.name, r.id) for r in rows] == [("2023", "a", "1")]
+
+
+def test_pages_do_not_depend_on_how_they_are_made(spark):
+    """Keys that fit a page and keys that do not, null keys, null fields and
+    repeated rows: the pages of every size put together are the same rows."""
+    req = spark.createDataFrame([("a",), ("b",), ("none",)], "k string")
+    kids = spark.range(90).select(
+        F.when(F.col("id") < 60, "a").when(F.col("id") < 85, "b").alias("k"),
+        F.when(F.col("id") % 7 != 0, F.lpad((F.col("id") % 20).cast("string"), 2, "0")).alias("id"),
+        F.when(F.col("id") % 3 != 0, F.col("id").cast("int") % 5).alias("n"))
+    one = {r.k: r.body for r in response_payloads(req, kids, ["k"], ["id", "n"], page_rows=100).collect()}
+    for size in (1, 7, 25, 26, 60):
+        got = response_payloads(req, kids, ["k"], ["id", "n"], page_rows=size).orderBy("k", "page").collect()
+        assert all(r.body.count("{") <= size for r in got)
+        joined = {}
+        for r in got:
+            joined[r.k] = joined.get(r.k, []) + ([r.body[1:-1]] if r.body != "[]" else [])
+        assert {k: "[" + ",".join(v) + "]" for k, v in joined.items()} == one

@@ -6,9 +6,10 @@ once however often its key was requested.
 
 Payloads are JSON arrays of child rows per requested key, ``[]`` when the
 key has no child.  Every key's children are cut into pages of ``page_rows``
-in the order of their fields.  Equal rows are counted first and positions come
-from running totals, so neither a key with very many children nor very many
-equal children meet in one task or one array.
+in the order of their fields.  Children are counted per key first: those of a
+key that fits a page are one array.  Of larger keys equal rows are counted and
+positions come from running totals, so neither a key with very many children
+nor very many equal children meet in one task or one array.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import types as T
 
 from tierline.functions.payloads import JSON_OPTS, parse_array
 from tierline.operators.numbering import running_total
+from tierline.session import fresh_folder
 
 PAGE_ROWS = 1_000
 
@@ -50,12 +52,37 @@ def response_payloads(requests: DataFrame, children: DataFrame,
     page_rows of its key.  Keys without children get page 0 with ``[]``.
     """
     match = list(match)
-    keys = [F.col(m).alias(f"_key_{m}") for m in match]
-    row = F.struct(*[F.col(f) for f in fields])
-    rows = children.select(*keys, row.alias("_row")).groupBy(*[f"_key_{m}" for m in match], "_row") \
-        .agg(F.count(F.lit(1)).alias("_n"))
     names = [f"_key_{m}" for m in match]
-    placed = running_total(rows, names, [F.col("_row").asc()], "_n", "_upto") \
+    rows = children.select(*[F.col(m).alias(n) for m, n in zip(match, names)],
+                           F.struct(*[F.col(f) for f in fields]).alias("_row"))
+    path = fresh_folder(children.sparkSession, "payload_sizes")
+    rows.groupBy(*names).agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > page_rows) \
+        .select(*[F.col(n).alias(f"{n}_l") for n in names]).write.parquet(path)
+    large = children.sparkSession.read.schema(
+        T.StructType([T.StructField(f"{n}_l", rows.schema[n].dataType) for n in names])).parquet(path)
+    if large.isEmpty():
+        bodies = _whole(rows, names)
+    else:
+        same = [F.col(n).eqNullSafe(F.col(f"{n}_l")) for n in names]
+        bodies = _whole(rows.join(large, same, "left_anti"), names) \
+            .unionByName(_paged(rows.join(large, same, "left_semi"), names, page_rows))
+    bodies = bodies.select(*[F.col(n).alias(m) for n, m in zip(names, match)],
+                           F.col("page").cast("int").alias("page"), "body")
+    out = requests.select(*match).join(bodies, match, "left")
+    return out.select(*match, F.coalesce(F.col("page"), F.lit(0)).alias("page"),
+                      F.coalesce(F.col("body"), F.lit("[]")).alias("body"))
+
+
+def _whole(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    """(names..., page, body) of keys whose rows fit a page."""
+    return rows.groupBy(*names).agg(F.lit(0).cast("long").alias("page"), F.to_json(
+        F.sort_array(F.collect_list("_row")), JSON_OPTS).alias("body"))
+
+
+def _paged(rows: DataFrame, names: Sequence[str], page_rows: int) -> DataFrame:
+    """The same for keys of any size."""
+    rows = rows.groupBy(*names, "_row").agg(F.count(F.lit(1)).alias("_n"))
+    placed = running_total(rows, list(names), [F.col("_row").asc()], "_n", "_upto") \
         .withColumn("_from", F.col("_upto") - F.col("_n"))
     size = F.lit(page_rows)
     placed = placed.withColumn("page", F.explode(F.sequence(
@@ -65,12 +92,7 @@ def response_payloads(requests: DataFrame, children: DataFrame,
     part = F.struct(low.alias("at"), (high - low).cast("int").alias("n"), F.col("_row").alias("row"))
     items = F.flatten(F.transform(F.array_sort(F.collect_list(part)),
                                   lambda x: F.array_repeat(x["row"], x["n"])))
-    bodies = placed.groupBy(*names, "page").agg(F.to_json(items, JSON_OPTS).alias("body"))
-    bodies = bodies.select(*[F.col(n).alias(m) for n, m in zip(names, match)],
-                           F.col("page").cast("int").alias("page"), "body")
-    out = requests.select(*match).join(bodies, match, "left")
-    return out.select(*match, F.coalesce(F.col("page"), F.lit(0)).alias("page"),
-                      F.coalesce(F.col("body"), F.lit("[]")).alias("body"))
+    return placed.groupBy(*names, "page").agg(F.to_json(items, JSON_OPTS).alias("body"))
 
 
 def explode_payload(df: DataFrame, payload_col: str, element: T.StructType,

@@ -380,6 +380,9 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
                               F.octet_length("text").alias("n")), "suffix_digests")
     same = light.groupBy("sha", "n").agg(F.min("row").alias("one"), F.count("*").alias("c")) \
         .where((F.col("c") > 1) & (F.col("n") >= length))
+    # Stored, so that both sides of the join are plain exchanges and the rows
+    # of a text with very many copies can be split.
+    same = saved(same, "suffix_texts")
     copies = light.join(same, ["sha", "n"]).select("row", (F.col("row") == F.col("one")).alias("one"))
     copies = saved(copies, "suffix_copies")
     text = base.withColumn("copy", F.xxhash64("text", F.md5("text")))

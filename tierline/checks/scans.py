@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from tierline.checks import query
 from tierline.checks.env import env
+from tierline.operators.drift import split_payloads, typed
 from tierline.operators.lookup import explode_payload, response_payloads
 from tierline.plans.lake import read_bronze, read_bronze_raw
 from tierline.plans.models import ModelGraph, passthrough
-from tierline.schemas import ENTITY_SCHEMAS, EVENTS, SESSIONS
+from tierline.schemas import ENTITY_SCHEMAS, EVENTS, SESSIONS, S, struct
 from tierline.sinks.files import export_csv_noheader, land_payloads
 from tierline.sources.files import (partition_value, read_csv_positional, read_payloads,
                                     register_external, scan_table)
@@ -23,6 +24,34 @@ def scan_seasons(spark, sf_dir):
     return env(spark, sf_dir).src.seasons.select("id", "year")
 
 
+@query("payload_drift", """
+d AS (SELECT *, CAST(right(id, 1) AS INTEGER) AS digit FROM f_events)
+SELECT season_id, id, name, CASE WHEN digit % 3 <> 0 THEN sname END AS sname,
+       CASE WHEN digit % 2 = 0 THEN '{"country":"' || name || '"}' ELSE '{}' END AS more, 0 AS bad
+FROM d UNION ALL
+SELECT DISTINCT season_id, NULL, NULL, NULL, NULL, 2 FROM d""")
+def payload_drift(spark, sf_dir):
+    """Event payloads of which some carry a field that the schema does not
+    know and some lack one; each season also has a broken line and one that
+    is no array.  The landed lines are read as variants, stored, read back."""
+    e = env(spark, sf_dir)
+    digit = F.substring("id", -1, 1).cast("int")
+    rows = e.src.events.select("season_id", F.struct(
+        "id", "name", F.when(digit % 3 != 0, F.col("sname")).alias("sname"),
+        F.when(digit % 2 == 0, F.col("name")).alias("country")).alias("row"))
+    lines = rows.groupBy("season_id").agg(F.to_json(F.collect_list("row")).alias("body"))
+    for broken in ('{"id": "', '{"id": "alone"}'):
+        lines = lines.unionByName(rows.select("season_id", F.lit(broken).alias("body")).distinct())
+    path, kept = e.scratch("drifting"), e.scratch("variants")
+    land_payloads(lines, path, ["season_id"])
+    good, bad = split_payloads(read_payloads(spark, path, ["season_id"]), keep=["season_id"])
+    good.write.parquet(kept)
+    known = struct(("id", S), ("name", S), ("sname", S))
+    found = typed(spark.read.schema(good.schema).parquet(kept), known, ["season_id"]).withColumn("bad", F.lit(0))
+    counts = bad.groupBy("season_id").agg(F.count(F.lit(1)).cast("int").alias("bad"))
+    return found.unionByName(counts, allowMissingColumns=True)
+
+
 @query("payload_explode", "SELECT id, name, sname, season_id FROM f_events")
 def payload_explode(spark, sf_dir):
     """Event payloads (one JSON array per season request) land as raw files

@@ -5,13 +5,14 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.schemas import (CLASSIFICATIONS, CLASSIFICATIONS_BRONZE,
                               ENTITY_SCHEMAS, LEVELS, S, struct)
-from tierline.sinks.files import land_csv, write_parquet
+from tierline.sinks.files import land_csv, together, write_parquet
 from tierline.sources.files import create_namespace, read_csv_raw, read_csv_typed
 from tierline.tables import files
 
@@ -177,7 +178,8 @@ def load_silver(spark: SparkSession, lake: Lake, entities=ENTITIES,
     if changes is not None:
         seasons = None if changes.whole else changes.seasons
         entities = [e for e in entities if changes.whole or e in changes.kinds]
-    for e in entities:
+
+    def load(e: str) -> None:
         fact = e == "classifications"
         df = read_bronze(spark, lake, e, filename=FILENAME if fact else None,
                          seasons=seasons if e in SILVER_LAYOUT else None)
@@ -189,7 +191,7 @@ def load_silver(spark: SparkSession, lake: Lake, entities=ENTITIES,
             (df.repartition(buckets, key).write.mode("overwrite")
                .bucketBy(buckets, key).option("path", lake.silver(e))
                .saveAsTable(f"{lake.silver_db}.{e}"))
-            continue
+            return
         if e in BUCKET_KEYS and spark.catalog.tableExists(f"{lake.silver_db}.{e}"):
             # A plain reload replaces an earlier bucketed table.
             spark.sql(f"DROP TABLE {lake.silver_db}.{e}")
@@ -198,6 +200,7 @@ def load_silver(spark: SparkSession, lake: Lake, entities=ENTITIES,
                           dynamic=seasons is not None, spread=False)
         else:
             write_parquet(df, lake.silver(e))
+    together([partial(load, e) for e in entities])
 
 
 def read_silver(spark: SparkSession, lake: Lake, entity: str, filename: bool = False,

@@ -11,6 +11,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,7 @@ from tierline.plans.medallion import (build_gold, land_classifications, land_cra
                                       register_gold)
 from tierline.plans.models import ModelGraph, passthrough, renamed
 from tierline.schemas import AUDIT_DIMS, CLASSIFICATIONS_BRONZE, DQ_FINDINGS, ENTITY_SCHEMAS, TASKS
+from tierline.sinks.files import together
 from tierline.sources.entities import EntitySource
 from tierline.sources.registry import SourceRegistry
 from tierline.tables import files, wap
@@ -249,11 +251,9 @@ def wap_run(spark: SparkSession, lake: Lake, bronze_root: str | None = None) ->
     ``bronze_root`` reads bronze from another lake (default: this one).
     """
     bronze = Lake(bronze_root) if bronze_root else lake
-    silver = {}
-    for e in ENTITY_SCHEMAS:
-        t = PublishedTable(spark, lake.table(f"silver/{e}"))
-        t.replace(read_bronze(spark, bronze, e))
-        silver[e] = t.read()
+    tables = {e: PublishedTable(spark, lake.table(f"silver/{e}")) for e in ENTITY_SCHEMAS}
+    together([partial(lambda e, t: t.replace(read_bronze(spark, bronze, e)), e, t) for e, t in tables.items()])
+    silver = {e: t.read() for e, t in tables.items()}
     dims = {e: silver[e] for e in ["seasons", "events", "categories", "sessions"]}
     check_dimensions(**dims)
     gold = PublishedTable(spark, lake.table("gold/results"), name=f"{lake.gold_db}.audited_results")

@@ -10,7 +10,8 @@ the written rows are replaced, other partitions stay.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +48,14 @@ def session_conf(spark: SparkSession, conf: dict[str, str]):
                 spark.conf.set(k, v)
 
 
+def together(calls: Sequence[Callable[[], object]]) -> None:
+    """Run independent writes at the same time, each as its own Spark job, so
+    that small ones do not wait for each other; the first error is raised."""
+    with ThreadPoolExecutor(max(1, len(calls))) as pool:
+        for done in [pool.submit(c) for c in calls]:
+            done.result()
+
+
 def land_csv(df: DataFrame, path: str, partition_by: Sequence[str] = (),
              header: bool = True, mode: str = "overwrite",
              null_token: str = NULL_TOKEN, writers: int | None = None,

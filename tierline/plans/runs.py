@@ -157,27 +157,37 @@ def run(spark: SparkSession, lake: Lake, src: EntitySource, mode: str = FULL,
         land_classifications(lake, batch, src.classifications, layout, run_id)
 
     this_run = read_bronze(spark, lake, "classifications", seasons=batch_seasons, run_id=run_id)
-    log_path = lake.logs(f"process/run_id={run_id}")
-    request_log(c, this_run.select("session_id"), batch).write.mode("overwrite").text(log_path)
-    parsed = parse_log(spark.read.text(log_path))
-    failed_path = lake.logs(f"failed/run_id={run_id}")
-    failed_keys(parsed).write.mode("overwrite").parquet(failed_path)
-
+    log_path, failed_path = lake.logs(f"process/run_id={run_id}"), lake.logs(f"failed/run_id={run_id}")
     # Seasons that were crawled, have tasks in the batch, or were left half done.
     touched = sorted({*crawled, *batch_seasons, *left_seasons})
     listing = list_landed(spark, lake, lake.logs(f"files/run_id={run_id}"), touched)
-    with clock(STAGE_SILVER):
-        rep.changes = find_changes(spark, lake, ledger, listing, touched, only, run_id)
-        load_silver(spark, lake, changes=rep.changes)
-    with clock(STAGE_DQ):
-        partials = partials_of_new(spark, lake, ledger, listing, touched, lake.logs(f"partials/run_id={run_id}"))
-        dq_path = lake.logs(f"data_quality/run_id={run_id}")
-        ledger.findings_with(listing, partials, touched).write.mode("overwrite").json(dq_path)
-        rep.dq_alert = not spark.read.schema(DQ_FINDINGS).json(dq_path).isEmpty()
-    with clock(STAGE_GOLD):
-        rep.gold = build_gold(spark, lake, changes=rep.changes)
-        register_gold(spark, lake)
-        rep.changes = applied(spark, lake, rep.changes, run_id)
+
+    def write_log() -> None:
+        request_log(c, this_run.select("session_id"), batch).write.mode("overwrite").text(log_path)
+        failed_keys(parse_log(spark.read.text(log_path))).write.mode("overwrite").parquet(failed_path)
+
+    def refresh_silver() -> None:
+        with clock(STAGE_SILVER):
+            rep.changes = find_changes(spark, lake, ledger, listing, touched, only, run_id)
+            load_silver(spark, lake, changes=rep.changes)
+
+    def count_files() -> DataFrame:
+        with clock(STAGE_DQ):
+            partials = partials_of_new(spark, lake, ledger, listing, touched, lake.logs(f"partials/run_id={run_id}"))
+            dq_path = lake.logs(f"data_quality/run_id={run_id}")
+            ledger.findings_with(listing, partials, touched).write.mode("overwrite").json(dq_path)
+            rep.dq_alert = not spark.read.schema(DQ_FINDINGS).json(dq_path).isEmpty()
+            return partials
+
+    def refresh_gold() -> None:
+        with clock(STAGE_GOLD):
+            rep.gold = build_gold(spark, lake, changes=rep.changes)
+            register_gold(spark, lake)
+            rep.changes = applied(spark, lake, rep.changes, run_id)
+    # The log is of no use to silver, nor the findings to gold.
+    together([write_log, refresh_silver])
+    partials, _ = together([count_files, refresh_gold])
+    parsed = parse_log(spark.read.text(log_path))
     with clock(STAGE_UPDATE):
         done = landed.unionByName(this_run.select("session_id"))
         failed = failed_sets(spark.read.parquet(failed_path))

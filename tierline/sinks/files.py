@@ -48,12 +48,12 @@ def session_conf(spark: SparkSession, conf: dict[str, str]):
                 spark.conf.set(k, v)
 
 
-def together(calls: Sequence[Callable[[], object]]) -> None:
-    """Run independent writes at the same time, each as its own Spark job, so
-    that small ones do not wait for each other; the first error is raised."""
+def together(calls: Sequence[Callable[[], object]]) -> list:
+    """Run independent steps at the same time, each with its own Spark jobs, so
+    that small ones do not wait for each other; their results.  All of them
+    end before the first error is raised."""
     with ThreadPoolExecutor(max(1, len(calls))) as pool:
-        for done in [pool.submit(c) for c in calls]:
-            done.result()
+        return [done.result() for done in [pool.submit(c) for c in calls]]
 
 
 def land_csv(df: DataFrame, path: str, partition_by: Sequence[str] = (),

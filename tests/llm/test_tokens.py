@@ -81,6 +81,52 @@ def test_fixed_stride_and_resume(spark, docs_of, tmp_path):
         K.materialise(docs, folder=folder, length=32, shard_places=40)
 
 
+def test_resume_under_other_splits(spark, docs_of, tmp_path):
+    rng = random.Random(3)
+    docs = docs_of([(i, words(rng, 300, 5000)) for i in range(400)])
+    folder = f"file://{tmp_path}/shards"
+    K.materialise(docs, folder=folder, length=64, shard_places=40)
+    shards = tmp_path / "shards"
+    first = {p.name: p.read_bytes() for p in shards.glob("*.bin")}
+    names = sorted(first)
+    assert len(names) > 8
+    for n in names[::2]:
+        (shards / n).rename(shards / (n + ".9"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1000")
+    try:
+        assert spark.read.parquet(*docs.inputFiles()).rdd.getNumPartitions() > 8  # it is another layout
+        K.materialise(docs, folder=folder, length=64, shard_places=40)
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "20000"
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert {p.name: p.read_bytes() for p in shards.glob("*.bin")} == first
+
+
+def test_other_documents_are_refused(spark, docs_of, tmp_path):
+    folder = f"file://{tmp_path}/shards"
+    K.materialise(docs_of([(1, "one two"), (2, "three")]), folder=folder, length=64)
+    with pytest.raises(ValueError, match="another plan"):
+        K.materialise(docs_of([(1, "one owt"), (2, "three")]), folder=folder, length=64)
+
+
+def test_string_ids(spark, docs_of, encoder):
+    docs = docs_of([(1, "one two three"), (None, "four"), (2, "five")]).selectExpr(
+        "concat('doc-', doc_id) AS doc_id", "text")
+    out = K.op3_token_output(spark, docs).collect()
+    assert sorted((d for r in out for d in r.doc_ids), key=str) == [None, "doc-1", "doc-2"]
+    assert sum(r.n_tokens for r in out) == sum(len(encoder.ids(t)) for t in ("one two three", "four", "five"))
+
+
+def test_slots_over_many_runs_of_shards(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(K, "_SHARD_RUN", 2)
+    rng = random.Random(5)
+    plan = K.materialise(docs_of([(i, words(rng, 200)) for i in range(50)]), length=32, shard_places=20)
+    assert plan["shards"] > 10
+    assert sorted(r.slot for r in K.read_shards(spark, plan).collect()) == list(range(plan["sequences"]))
+
+
 def test_no_text(spark, docs_of):
     docs = docs_of([(1, None), (2, "")])
     assert K.op3_token_output(spark, docs).count() == 0

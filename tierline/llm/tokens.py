@@ -18,12 +18,20 @@ the manifest's record counts a reader seeks straight to any step of training.
 Beside each shard an Arrow file names the documents of every record.  Files
 appear under their final name only when complete; a rerun into the same folder
 with the same plan skips the shards that are there.
+
+What a place holds depends on how the input is split.  The settings that
+decide it are written into the folder's manifest with a fingerprint of every
+partition's documents, and a rerun reads the input by the manifest's settings,
+whatever its own cluster's cores and split sizes are; an input that still
+differs is refused.  Nothing with a row per shard comes to the driver.
 """
 
 from __future__ import annotations
 
 import base64
+import hashlib
 import json
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +40,9 @@ import zstandard as zs
 from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierline.llm.store import saved, width
 from tierline.session import fresh_folder
@@ -46,6 +56,10 @@ SEQUENCE = 2048
 SHARD_PLACES = 8192
 KEY = 0x7F4A7C15
 _ROUNDS = 6
+#: Shards whose records are counted through together.
+_SHARD_RUN = 4096
+_SPLIT_BYTES, _OPEN_COST, _MIN_SPLITS = (
+    f"spark.sql.files.{x}" for x in ("maxPartitionBytes", "openCostInBytes", "minPartitionNum"))
 
 
 class Encoder:
@@ -89,17 +103,53 @@ def places(index: np.ndarray, n: int, key: int = KEY) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _capacity(docs: DataFrame, length: int) -> dict[int, int]:
-    """Sequences that each input partition can have at most."""
-    rows = docs.select("doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).alias("n"),
-                       F.spark_partition_id().alias("part"))
+def _splits(spark: SparkSession) -> dict[str, str]:
+    """The settings by which a file scan is split now, all of them explicit."""
+    least = spark.conf.get(_MIN_SPLITS, None) or spark.conf.get("spark.sql.leafNodeDefaultParallelism", None) \
+        or spark.sparkContext.defaultParallelism
+    return {_SPLIT_BYTES: spark.conf.get(_SPLIT_BYTES), _OPEN_COST: spark.conf.get(_OPEN_COST),
+            _MIN_SPLITS: str(least)}
+
+
+@contextmanager
+def _split_by(spark: SparkSession, settings: dict[str, str]):
+    """Scans planned inside are split by ``settings``."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _capacity(docs: DataFrame, length: int) -> tuple[list[int], str]:
+    """First number of every input partition (and their end), and a
+    fingerprint of the documents of each partition in their order."""
+    rows = docs.select(F.octet_length("text").alias("bytes"), F.spark_partition_id().alias("part"),
+                       F.xxhash64(F.monotonically_increasing_id(), "doc_id", F.octet_length("text"),
+                                  F.xxhash64("text")).alias("mark"))
     # One row per input partition.
-    return {r["part"]: -(-r["n"] // length)
-            for r in rows.groupBy("part").agg(F.sum("n").alias("n")).collect()}
+    room = rows.groupBy("part").agg(F.sum(F.coalesce("bytes", F.lit(0)) + 1).alias("n"),
+                                    F.expr("bit_xor(mark)").alias("mark")).orderBy("part").collect()
+    first = [0] * (1 + max((r["part"] + 1 for r in room), default=0))
+    for r in room:
+        first[r["part"] + 1] = -(-r["n"] // length)
+    seen = hashlib.sha256(repr([tuple(r) for r in room]).encode()).hexdigest()
+    return np.cumsum(first).tolist(), seen
+
+
+def _id_type(docs: DataFrame) -> tuple[str, pa.DataType]:
+    """Whole-number ids are kept as long, any other kind as its string."""
+    whole = isinstance(docs.schema["doc_id"].dataType, T.IntegralType)
+    return ("long", pa.int64()) if whole else ("string", pa.string())
 
 
 def _sequences(docs: DataFrame, ranks: bytes, first: list[int], total: int, length: int, key: int) -> DataFrame:
     """(place, n, body, doc_ids, lengths): body is the zstd-packed ids."""
+    kind, id_type = _id_type(docs)
+
     def run(batches):
         enc = Encoder(ranks)
         part = TaskContext.get().partitionId()
@@ -139,7 +189,7 @@ def _sequences(docs: DataFrame, ranks: bytes, first: list[int], total: int, leng
                 sizes[0] -= used - int(start[a])
             return pa.RecordBatch.from_arrays(
                 [pa.array(place), pa.array(real, pa.int32()), pa.array(bodies, pa.binary()),
-                 pa.array(ids, pa.list_(pa.int64())), pa.array(lens, pa.list_(pa.int32()))],
+                 pa.array(ids, pa.list_(id_type)), pa.array(lens, pa.list_(pa.int32()))],
                 names=["place", "n", "body", "doc_ids", "lengths"])
 
         for b in batches:
@@ -151,8 +201,8 @@ def _sequences(docs: DataFrame, ranks: bytes, first: list[int], total: int, leng
                 if n >= 256 * length:
                     yield cut(False)
         yield cut(True)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "place long, n int, body binary, doc_ids array<long>, lengths array<int>")
+    return docs.select(F.col("doc_id").cast(kind).alias("doc_id"), "text").mapInArrow(
+        run, f"place long, n int, body binary, doc_ids array<{kind}>, lengths array<int>")
 
 
 def _open(uri: str):
@@ -164,16 +214,30 @@ def _shard_path(path: str, shard: int) -> str:
     return f"{path}/shard-{shard:08d}"
 
 
-def _finished(folder: str, shards: int, stride: int) -> dict[int, int]:
-    """Records of the shards that are complete in ``folder``."""
-    fs, path = _open(folder)
-    size = {f.base_name: f.size for f in fs.get_file_info(pafs.FileSelector(path, allow_not_found=True))}
-    return {s: size[f"shard-{s:08d}.bin"] // stride for s in range(shards)
-            if f"shard-{s:08d}.bin" in size and f"shard-{s:08d}.arrow" in size}
+def _shard_numbers(spark: SparkSession, shards: int) -> DataFrame:
+    return spark.range(0, shards, 1, max(1, min(width(spark), shards)))
+
+
+def _finished(spark: SparkSession, folder: str, shards: int, stride: int) -> DataFrame:
+    """(shard, records) of the shards that are complete in ``folder``; each
+    task asks for the files of its own shards."""
+    def run(batches):
+        fs, path = _open(folder)
+        for b in batches:
+            ids = b.column("id").to_pylist()
+            for lo in range(0, len(ids), 1024):
+                part = ids[lo:lo + 1024]
+                info = fs.get_file_info([_shard_path(path, s) + end for s in part for end in (".bin", ".arrow")])
+                both = [(s, x.size // stride) for s, x, y in zip(part, info[::2], info[1::2])
+                        if x.type == y.type == pafs.FileType.File]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x[i] for x in both], pa.int64()) for i in (0, 1)], names=["shard", "records"])
+    return _shard_numbers(spark, shards).mapInArrow(run, "shard long, records long")
 
 
 def _write_shards(rows: DataFrame, folder: str, shards: int, parts: int) -> DataFrame:
     """(shard, records, ids) of the shards written."""
+    id_type = pa.int64() if rows.schema["doc_ids"].dataType.elementType == T.LongType() else pa.string()
     dealt = rows.repartitionById(parts, F.floor(F.col("shard") * parts / shards).cast("int")) \
         .sortWithinPartitions("place")
 
@@ -185,7 +249,7 @@ def _write_shards(rows: DataFrame, folder: str, shards: int, parts: int) -> Data
         def close():
             base = _shard_path(path, at)
             out.close()
-            side = pa.table({"doc_ids": pa.array([x[0] for x in names], pa.list_(pa.int64())),
+            side = pa.table({"doc_ids": pa.array([x[0] for x in names], pa.list_(id_type)),
                              "lengths": pa.array([x[1] for x in names], pa.list_(pa.int32()))})
             with fs.open_output_stream(f"{base}.arrow.{attempt}") as sink, \
                     pa.ipc.new_file(sink, side.schema) as w:
@@ -218,44 +282,44 @@ def materialise(docs: DataFrame, folder: str | None = None, vocabulary: str = VO
     """Write the shards of ``docs`` (a stored table with doc_id, text).
 
     Returns the manifest, which is also written as ``manifest.json``.  Null and
-    empty texts give no ids; repeated rows are separate documents; other
-    columns are ignored; an empty table gives no shard.  ``folder``: a shared
-    folder, by default a new one; given the folder of an unfinished run of the
-    same plan, only missing shards are written.
+    empty texts give no ids; repeated rows are separate documents; ids that are
+    not whole numbers are written as strings; other columns are ignored; an
+    empty table gives no shard.  ``folder``: a shared folder, by default a new
+    one; given the folder of an unfinished run over the same rows, only missing
+    shards are written, also where this session splits files otherwise.
     """
     spark = docs.sparkSession
     with open(vocabulary, "rb") as f:  # on the driver; tasks get the bytes
         ranks = f.read()
     enc = Encoder(ranks)
-    room = _capacity(docs, length)
-    first = [0]
-    for p in range(max(room, default=-1) + 1):
-        first.append(first[-1] + room.get(p, 0))
-    total = first[-1]
     folder = folder or fresh_folder(spark, "llm", "token_shards")
-    stride = 4 + length * enc.dtype.itemsize
-    plan = {"places": total, "sequence_ids": length, "shard_places": shard_places, "stride": stride,
-            "id_bytes": enc.dtype.itemsize, "end_id": enc.end, "key": key, "shards": -(-total // shard_places)}
     fs, path = _open(folder)
     fs.create_dir(path, recursive=True)
+    known = None
     if fs.get_file_info(f"{path}/manifest.json").type != pafs.FileType.NotFound:
         with fs.open_input_stream(f"{path}/manifest.json") as f:
             known = json.loads(f.read())
-        if {k: known.get(k) for k in plan} != plan:
+    splits = (known or {}).get("splits") or _splits(spark)
+    with _split_by(spark, splits):
+        first, seen = _capacity(docs, length)
+        total, stride = first[-1], 4 + length * enc.dtype.itemsize
+        plan = {"places": total, "sequence_ids": length, "shard_places": shard_places, "stride": stride,
+                "id_bytes": enc.dtype.itemsize, "id_type": _id_type(docs)[0], "end_id": enc.end, "key": key,
+                "shards": -(-total // shard_places), "splits": splits, "documents": seen,
+                "vocabulary": hashlib.sha256(ranks).hexdigest()}
+        if known is not None and {k: known.get(k) for k in plan} != plan:
             raise ValueError(f"{folder} holds shards of another plan")
-    _note(fs, path, plan)
-    records = _finished(folder, plan["shards"], stride)
-    if len(records) < plan["shards"]:
-        rows = _sequences(docs, ranks, first, total, length, key) \
-            .withColumn("shard", F.floor(F.col("place") / shard_places))
-        if records:
-            rows = rows.where(~F.col("shard").isin(sorted(records)))
-        parts = max(1, min(width(spark), plan["shards"]))
-        written = saved(_write_shards(rows, folder, plan["shards"], parts), "token_written")
-        # One row per shard.
-        records |= {r["shard"]: r["records"] for r in written.select("shard", "records").collect()}
-    counts = [records.get(s, 0) for s in range(plan["shards"])]
-    plan |= {"records": counts, "sequences": sum(counts)}
+        _note(fs, path, plan)
+        if plan["shards"]:
+            rows = _sequences(docs, ranks, first, total, length, key) \
+                .withColumn("shard", F.floor(F.col("place") / shard_places))
+            if known is not None:
+                done = saved(_finished(spark, folder, plan["shards"], stride), "token_finished")
+                rows = rows.join(done, "shard", "left_anti")
+            parts = max(1, min(width(spark), plan["shards"]))
+            saved(_write_shards(rows, folder, plan["shards"], parts), "token_written")
+    ends = _finished(spark, folder, plan["shards"], stride)
+    plan["sequences"] = ends.agg(F.sum("records")).first()[0] or 0
     _note(fs, path, plan)
     return plan | {"folder": folder}
 
@@ -265,18 +329,28 @@ def _note(fs, path: str, plan: dict) -> None:
         f.write(json.dumps(plan).encode())
 
 
+def _slots(spark: SparkSession, plan: dict) -> DataFrame:
+    """(shard, before) of the shards that hold records; ``before`` counts the
+    records of all earlier ones, by runs of shards and then inside a run."""
+    ends = _finished(spark, plan["folder"], plan["shards"], plan["stride"]) \
+        .where("records > 0").withColumn("run", F.floor(F.col("shard") / _SHARD_RUN))
+    # One row per run of shards: some hundreds for 100 TB.
+    runs = ends.groupBy("run").agg(F.sum("records").alias("n"))
+    runs = runs.select("run", (F.sum("n").over(W.orderBy("run")) - F.col("n")).alias("start"))
+    inside = F.sum("records").over(W.partitionBy("run").orderBy("shard")) - F.col("records")
+    return ends.withColumn("inside", inside).join(runs, "run") \
+        .select("shard", (F.col("start") + F.col("inside")).alias("before"))
+
+
 def read_shards(spark: SparkSession, plan: dict) -> DataFrame:
     """slot, shard, n_tokens, doc_ids, lengths, tokens of all shards, read in
     slot order inside a shard; ``tokens`` are the real ids as raw bytes."""
-    folder, stride, width_of = plan["folder"], plan["stride"], plan["id_bytes"]
-    before = np.concatenate([[0], np.cumsum(plan["records"])]).astype(np.int64)
+    folder, stride, width_of, kind = plan["folder"], plan["stride"], plan["id_bytes"], plan["id_type"]
 
     def run(batches):
         fs, path = _open(folder)
         for b in batches:
-            for shard in b.column("id").to_pylist():
-                if before[shard + 1] == before[shard]:
-                    continue
+            for shard, before in zip(b.column("shard").to_pylist(), b.column("before").to_pylist()):
                 with fs.open_input_file(f"{_shard_path(path, shard)}.arrow") as f:
                     side = pa.ipc.open_file(f).read_all().combine_chunks()
                 with fs.open_input_stream(f"{_shard_path(path, shard)}.bin") as f:
@@ -286,15 +360,15 @@ def read_shards(spark: SparkSession, plan: dict) -> DataFrame:
                         n = [int.from_bytes(raw[i * stride:i * stride + 4], "little")
                              for i in range(part.num_rows)]
                         body = [raw[i * stride + 4:i * stride + 4 + k * width_of] for i, k in enumerate(n)]
-                        slot = before[shard] + np.arange(lo, lo + part.num_rows)
+                        slot = before + np.arange(lo, lo + part.num_rows)
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(slot), pa.array(np.full(len(n), shard)), pa.array(n, pa.int32()),
                              part.column("doc_ids").combine_chunks(), part.column("lengths").combine_chunks(),
                              pa.array(body, pa.binary())],
                             names=["slot", "shard", "n_tokens", "doc_ids", "lengths", "tokens"])
     parts = max(1, min(width(spark), plan["shards"]))
-    return spark.range(0, plan["shards"], 1, parts).mapInArrow(
-        run, "slot long, shard long, n_tokens int, doc_ids array<long>, lengths array<int>, tokens binary")
+    return saved(_slots(spark, plan), "token_slots").repartition(parts, "shard").mapInArrow(
+        run, f"slot long, shard long, n_tokens int, doc_ids array<{kind}>, lengths array<int>, tokens binary")
 
 
 def op3_token_output(spark: SparkSession, docs: DataFrame) -> DataFrame:

@@ -119,3 +119,71 @@ def test_many_files_and_no_rows(spark, pages, monkeypatch):
     assert sorted(map(tuple, X.op9_warc(spark, pages).collect()), key=str) == expected(ROWS)
     folder = X.write_archives(pages.limit(0))
     assert X.op9_warc(spark, pages.limit(0)).count() == 0 and folder
+
+
+def foreign(kind, uri, block, content_type="text/html", extra=()):
+    lines = ["WARC/1.0", f"warc-type: {kind}", f"WARC-Target-URI:  <{uri}>", "WARC-Record-ID: <urn:uuid:1>",
+             "X-Note: folded", "  over two lines", f"Content-Type: {content_type}", *extra,
+             f"Content-Length: {len(block)}"]
+    return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def foreign_records():
+    import os
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"
+    noise = os.urandom(300_000)
+    rows = [("warcinfo", "http://x/0", b"software: other\r\n", b"software: other\r\n", "application/warc-fields"),
+            ("response", "http://x/1?a=%25%0A", http + b"<p>one</p>", b"<p>one</p>", "application/http; msgtype=response"),
+            ("resource", "http://x/2", noise, noise, "image/png"),
+            ("response", "http://x/3", http + b"z" * 3_000_000, b"z" * 3_000_000, "application/http"),
+            ("resource", "http://x/4", b"", b"", "text/plain"), ("resource", "http://x/5", b"end", b"end", "text/plain")]
+    return [foreign(k, u, b, c) for k, u, b, _, c in rows], [(k, u, p) for k, u, _, p, _ in rows]
+
+
+@pytest.mark.parametrize("form", ["member_each", "one_member", "plain", "padded", "named"])
+def test_archives_of_others(spark, tmp_path, form):
+    import io
+    blocks, want = foreign_records()
+    if form == "plain":
+        (tmp_path / "a.warc").write_bytes(b"".join(blocks))
+    elif form == "named":
+        out = io.BytesIO()
+        for b in blocks:
+            with gzip.GzipFile("some-name.warc", "wb", fileobj=out) as g:
+                g.write(b)
+        (tmp_path / "a.warc.gz").write_bytes(out.getvalue())
+    else:
+        parts = [gzip.compress(b"".join(blocks))] if form == "one_member" else list(map(gzip.compress, blocks))
+        (tmp_path / "a.warc.gz").write_bytes((b"\0" * (70_000 if form == "padded" else 0)).join(parts))
+    folder = f"file://{tmp_path}"
+    got = X.read_archives(spark, folder, True).collect()
+    assert [(r.record_type, r.target_uri, bytes(r.payload)) for r in got] == want
+    assert all(r.page_id is None and r.payload_digest is None and r.record_id == "<urn:uuid:1>" for r in got)
+    some = X.read_archives(spark, folder, True, {"record_type": "resource"}).collect()
+    assert [bytes(r.payload) for r in some] == [p for k, _, p in want if k == "resource"]
+    assert X.read_archives(spark, folder).where("record_type = 'response'").count() == 2
+
+
+def test_own_and_foreign_members_in_one_file(spark, tmp_path):
+    blocks, want = foreign_records()
+    own = X.record(5, "http://own/%", b"<p>own</p>", X.base32_sha1(b"<p>own</p>"), None)
+    (tmp_path / "a.warc.gz").write_bytes(own + b"".join(map(gzip.compress, blocks)) + own)
+    got = X.read_archives(spark, f"file://{tmp_path}", True).collect()
+    mine = ("response", "http://own/%", b"<p>own</p>")
+    assert [(r.record_type, r.target_uri, bytes(r.payload)) for r in got] == [mine, *want, mine]
+    assert [r.page_id for r in got if r.page_id] == [5, 5]
+
+
+def test_damaged_archives_are_named(spark, tmp_path):
+    blocks, _ = foreign_records()
+    (tmp_path / "cut.warc.gz").write_bytes(gzip.compress(blocks[2])[:-50_000])
+    with pytest.raises(Exception, match="cut.warc.gz"):
+        X.read_archives(spark, f"file://{tmp_path}", True).collect()
+
+
+def test_string_ids(spark):
+    rows = [("b", "u1", "same"), ("a%0A\nx", "u2", "same"), ("c", "u3", "other"), (None, "u4", "same"), ("7", "u5", "x")]
+    path = fresh_folder(spark, "tests", "pages")
+    spark.createDataFrame(rows, "page_id string, url string, html string").write.parquet(path)
+    got = sorted(map(tuple, X.op9_warc(spark, spark.read.parquet(path)).collect()), key=str)
+    assert got == expected(rows)

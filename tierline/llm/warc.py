@@ -6,12 +6,20 @@ source plans one partition per file (or per run of small files), takes record
 type and header predicates as pushed filters, inflates only the front of a
 member to parse its headers, and inflates the payload only if the query asks
 for it and the record passed.
+
+Archives of other writers are read too: ``.warc.gz`` whose members do not tell
+their length (one per record, several records in one, or one for the whole
+file) are inflated on from record to record in pieces of bounded size, and in
+plain ``.warc`` files unwanted blocks are stepped over.  There the payload of
+a block of type application/http is what follows its HTTP header, as stored;
+columns whose header a record lacks are null.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import struct
 import uuid
 import zlib
@@ -22,6 +30,7 @@ from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.datasource import (DataSource, DataSourceReader, EqualTo, In,
                                     InputPartition)
 
@@ -34,11 +43,16 @@ REVISIT_BYTES = 0
 FILE_RECORDS = 20_000
 #: Small files are planned together up to this size.
 PARTITION_BYTES = 64 << 20
+#: Rows and bytes that a reading task gathers for one batch.
+BATCH_ROWS, BATCH_BYTES = 256, 16 << 20
+_CHUNK, _PIECE = 64 << 10, 1 << 20
 #: Column of the source -> header it is read from.
 HEADERS = {"record_type": "WARC-Type", "target_uri": "WARC-Target-URI",
            "page_id": "X-Page-Id", "payload_digest": "WARC-Payload-Digest",
-           "refers_to": "X-Refers-To-Page-Id", "payload_length": "X-Payload-Length"}
-_NUMBERS = ("page_id", "refers_to", "payload_length")
+           "refers_to": "X-Refers-To-Page-Id", "payload_length": "X-Payload-Length",
+           "record_id": "WARC-Record-ID", "date": "WARC-Date", "content_type": "Content-Type"}
+_IDS = ("page_id", "refers_to")
+_INTEGER = re.compile(r"-?[0-9]{1,19}")
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -51,8 +65,17 @@ def member(block: bytes) -> bytes:
         + body + struct.pack("<II", zlib.crc32(block), len(block) & 0xFFFFFFFF)
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, digest: str,
-           refers_to: int | None) -> bytes:
+def _escaped(value) -> str:
+    """A header is one line: line breaks and percent signs are escaped."""
+    return str(value).replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A")
+
+
+def _unescaped(value: str | None) -> str | None:
+    return value and value.replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%")
+
+
+def record(page_id: int | str | None, url: str | None, payload: bytes, digest: str,
+           refers_to: int | str | None) -> bytes:
     """One WARC/1.1 record; a revisit has headers and no payload."""
     kind = "response" if refers_to is None else "revisit"
     name = uuid.uuid5(uuid.NAMESPACE_URL, f"page:{page_id}:{digest}")
@@ -60,14 +83,12 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str,
              "WARC-Date: 1970-01-01T00:00:00Z", f"WARC-Payload-Digest: sha1:{digest}",
              f"X-Payload-Length: {len(payload)}", "Content-Type: text/html"]
     if url is not None:
-        # A header is one line: line breaks and percent signs are escaped.
-        safe = url.replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A")
-        lines.append(f"WARC-Target-URI: {safe}")
+        lines.append(f"WARC-Target-URI: {_escaped(url)}")
     if page_id is not None:
-        lines.append(f"X-Page-Id: {page_id}")
+        lines.append(f"X-Page-Id: {_escaped(page_id)}")
     body = payload
     if refers_to is not None:
-        lines += [f"X-Refers-To-Page-Id: {refers_to}", f"WARC-Profile: {_PROFILE}"]
+        lines += [f"X-Refers-To-Page-Id: {_escaped(refers_to)}", f"WARC-Profile: {_PROFILE}"]
         body = b""
     lines.append(f"Content-Length: {len(body)}")
     return member("\r\n".join(lines).encode() + b"\r\n\r\n" + body + b"\r\n\r\n")
@@ -82,6 +103,11 @@ def _open(uri: str):
         (pafs.LocalFileSystem(), uri)
 
 
+def _id_kind(pages: DataFrame) -> str:
+    """Whole-number ids are kept as long, any other kind as its string."""
+    return "long" if isinstance(pages.schema["page_id"].dataType, T.IntegralType) else "string"
+
+
 def _make(uri: str):
     fs, path = _open(uri)
     fs.create_dir(path, recursive=True)
@@ -94,7 +120,8 @@ def write_archives(pages: DataFrame, folder: str | None = None, least: int = REV
     Of the rows with equal payloads of at least ``least`` bytes the one with
     the smallest page_id is the response (the first of equal ids by url), the
     others are revisits of it.  A null html is an empty payload; rows without
-    page_id are responses of their own; other columns are ignored.  Digests
+    page_id are responses of their own; other columns are ignored.  Ids that
+    are not whole numbers are written, and compared, as strings.  Digests
     are grouped apart from the payloads, so a payload that very many pages
     share is aggregated map-side and never gathered.
     """
@@ -102,7 +129,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, least: int = REV
     folder = folder or fresh_folder(spark, "llm", "warc")
     _make(folder)  # also without a row to write
     html = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    named = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", html.alias("html"))
+    named = pages.select(F.col("page_id").cast(_id_kind(pages)).alias("page_id"), "url", html.alias("html"))
     # The 160-bit digest and the length stand for the payload.
     light = saved(named.select("page_id", "url", F.sha1("html").alias("sha1"),
                                F.octet_length("html").alias("size")), "warc_digests")
@@ -174,12 +201,96 @@ class _Files(InputPartition):
         self.files = files
 
 
+class _Decoded:
+    """The decoded bytes of an archive from the place its file stands at."""
+
+    def __init__(self, f, packed: bool):
+        self.f, self.packed, self.held = f, packed, bytearray()
+        self.raw, self.inflate = b"", None
+
+    def _more(self) -> bytes:
+        """The next decoded piece, empty at the end of the file."""
+        if not self.packed:
+            return self.f.read(_CHUNK)
+        while True:
+            raw = self.raw or self.f.read(_CHUNK)
+            if self.inflate is None:
+                if not raw:
+                    return b""
+                self.raw = raw = raw.lstrip(b"\0")  # padding between members
+                if not raw:
+                    continue
+                self.inflate = zlib.decompressobj(16 + zlib.MAX_WBITS)
+            out = self.inflate.decompress(raw, _PIECE)
+            if self.inflate.eof:
+                self.raw, self.inflate = self.inflate.unused_data, None
+            else:
+                self.raw = self.inflate.unconsumed_tail
+                if not raw and not out:
+                    raise ValueError("the archive ends inside a gzip member")
+            if out:
+                return out
+
+    def header(self) -> bytes | None:
+        """The next record's header, without its blank line; None at the end."""
+        while True:
+            self.held = self.held.lstrip(b"\r\n")
+            if self.held:
+                break
+            self.held += self._more()
+            if not self.held:
+                return None
+        seen = 0
+        while (at := self.held.find(b"\r\n\r\n", seen)) < 0:
+            seen = max(0, len(self.held) - 3)
+            more = self._more()
+            if not more:
+                raise ValueError("the archive ends inside a header")
+            self.held += more
+        head = bytes(self.held[:at])
+        del self.held[:at + 4]
+        return head
+
+    def block(self, length: int, wanted: bool) -> bytes | None:
+        """The next ``length`` bytes if wanted; else they are stepped over."""
+        parts, left = [], length
+        while left:
+            part = bytes(self.held[:left])
+            del self.held[:left]
+            left -= len(part)
+            if wanted:
+                parts.append(part)
+            elif left and not self.packed:
+                self.f.seek(self.f.tell() + left)
+                break
+            if left:
+                self.held += self._more()
+                if not self.held:
+                    raise ValueError("the archive ends inside a block")
+        return b"".join(parts) if wanted else None
+
+
+def _fields(head: bytes) -> dict[str, str]:
+    """Header lines by lower-cased name; folded lines are joined."""
+    out, last = {}, None
+    for line in head.decode("utf-8", "replace").split("\r\n")[1:]:
+        if line[:1] in (" ", "\t") and last:
+            out[last] += " " + line.strip()
+            continue
+        name, _, value = line.partition(":")
+        last = name.strip().lower()
+        out[last] = value.removeprefix(" ")
+    return out
+
+
 class WarcReader(DataSourceReader):
     """Reads the archives of a folder; see the module text."""
 
     def __init__(self, options, columns):
         self.folder = options["path"]
         self.columns = columns
+        self.numbers = {c for c, kind in columns if kind == pa.int64()}
+        self.payload = next((i for i, (c, _) in enumerate(columns) if c == "payload"), None)
         self.wanted: list[tuple[str, set]] = []
 
     def pushFilters(self, filters):
@@ -193,7 +304,7 @@ class WarcReader(DataSourceReader):
     def partitions(self):
         fs, path = _open(self.folder)
         found = sorted((f.path, f.size) for f in fs.get_file_info(pafs.FileSelector(path))
-                       if f.path.endswith(".warc.gz"))
+                       if f.path.endswith((".warc.gz", ".warc")))
         groups, size = [[]], 0
         for name, n in found:
             if groups[-1] and size + n > PARTITION_BYTES:
@@ -205,14 +316,18 @@ class WarcReader(DataSourceReader):
 
     def read(self, partition):
         fs, _ = _open(self.folder)
-        rows = []
+        rows, size = [], 0
         for name in partition.files:
             with fs.open_input_file(name) as f:
-                for row in self._records(f):
-                    rows.append(row)
-                    if len(rows) >= 256:
-                        yield self._batch(rows)
-                        rows = []
+                try:
+                    for row in self._records(f) if name.endswith(".gz") else self._foreign(f, False):
+                        rows.append(row)
+                        size += len(row[self.payload]) if self.payload is not None else 0
+                        if len(rows) >= BATCH_ROWS or size >= BATCH_BYTES:
+                            yield self._batch(rows)
+                            rows, size = [], 0
+                except (ValueError, zlib.error) as e:
+                    raise ValueError(f"{name}: {e}") from e
         yield self._batch(rows)
 
     def _batch(self, rows):
@@ -221,14 +336,45 @@ class WarcReader(DataSourceReader):
             cols.append(pa.array([r[i] for r in rows], kind))
         return pa.RecordBatch.from_arrays(cols, names=[c for c, _ in self.columns])
 
+    def _row(self, fields: dict) -> dict | None:
+        """Columns of a record from its header, None if a filter drops it."""
+        row = {c: fields.get(h.lower()) for c, h in HEADERS.items()}
+        if row["payload_length"] is not None:  # written by ``record``
+            for c in ("target_uri", *_IDS):
+                row[c] = _unescaped(row[c])
+        elif row["target_uri"] is not None:  # some writers put it in angle brackets
+            row["target_uri"] = row["target_uri"].strip().removeprefix("<").removesuffix(">")
+        for c in self.numbers:
+            row[c] = int(row[c]) if row[c] is not None and _INTEGER.fullmatch(row[c]) else None
+        if row["payload_digest"] is not None:
+            row["payload_digest"] = row["payload_digest"].removeprefix("sha1:")
+        return row if all(row[c] in values for c, values in self.wanted) else None
+
+    def _foreign(self, f, packed: bool):
+        """Records from here to the end, whoever wrote them."""
+        data = _Decoded(f, packed)
+        while (head := data.header()) is not None:
+            if not head.startswith(b"WARC/"):
+                raise ValueError(f"no record where {head[:40]!r} stands")
+            fields = _fields(head)
+            row = self._row(fields)
+            needs = row is not None and self.payload is not None
+            block = data.block(int(fields["content-length"]), needs)
+            if needs:
+                http = (fields.get("content-type") or "").strip().lower().startswith("application/http")
+                row["payload"] = block.partition(b"\r\n\r\n")[2] if http else block
+            if row is not None:
+                yield [row[c] for c, _ in self.columns]
+
     def _records(self, f):
-        needs = any(c == "payload" for c, _ in self.columns)
         size, at = f.size(), 0
         while at < size:
             f.seek(at)
             front = f.read(4096)
             if front[:4] != b"\x1f\x8b\x08\x04" or front[12:14] != b"SL":
-                raise ValueError(f"no record at byte {at}")
+                f.seek(at)
+                yield from self._foreign(f, True)
+                return
             total = struct.unpack("<I", front[16:20])[0]
             inflate = zlib.decompressobj(-zlib.MAX_WBITS)
             data = bytearray(inflate.decompress(front[20:], 8192))
@@ -242,16 +388,11 @@ class WarcReader(DataSourceReader):
                 used += len(more)
                 data += inflate.decompress(tail or more, 8192)
             head, _, rest = data.partition(b"\r\n\r\n")
-            fields = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
-            row = {c: fields.get(h) for c, h in HEADERS.items()}
-            for c in _NUMBERS:
-                row[c] = None if row[c] is None else int(row[c])
-            row["payload_digest"] = row["payload_digest"].removeprefix("sha1:")
-            if row["target_uri"] is not None:
-                row["target_uri"] = row["target_uri"].replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%")
-            if all(row[c] in values for c, values in self.wanted):
-                if needs:
-                    length = int(fields["Content-Length"])
+            fields = _fields(bytes(head))
+            row = self._row(fields)
+            if row is not None:
+                if self.payload is not None:
+                    length = int(fields["content-length"])
                     tail = inflate.unconsumed_tail + f.read(max(0, total - used))
                     if len(rest) < length:
                         rest += inflate.decompress(tail)
@@ -264,7 +405,9 @@ class WarcSource(DataSource):
     """``spark.read.format("warc").option("payload", ...).load(folder)``.
 
     ``payload``: "true" adds the payload column (inflates what passes the
-    filters), "false" leaves payloads unread.
+    filters), "false" leaves payloads unread.  ``ids``: the type of page_id
+    and refers_to, "long" (the default) or "string"; a header that is no such
+    number is null as a long.
     """
 
     @classmethod
@@ -272,7 +415,8 @@ class WarcSource(DataSource):
         return "warc"
 
     def _columns(self):
-        cols = [(c, pa.int64() if c in _NUMBERS else pa.string()) for c in HEADERS]
+        numbers = {"payload_length", *(_IDS if self.options.get("ids", "long") == "long" else ())}
+        cols = [(c, pa.int64() if c in numbers else pa.string()) for c in HEADERS]
         if self.options.get("payload", "false").lower() == "true":
             cols.append(("payload", pa.binary()))
         return cols
@@ -286,12 +430,13 @@ class WarcSource(DataSource):
 
 
 def read_archives(spark: SparkSession, folder: str, payload: bool = False,
-                  where: dict | None = None) -> DataFrame:
+                  where: dict | None = None, ids: str = "long") -> DataFrame:
     """Records of the archives in ``folder``; ``where`` (column: value) is
-    pushed to the source."""
+    pushed to the source; ``ids`` is the type of the page ids."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcSource)
-    df = spark.read.format("warc").option("payload", str(payload).lower()).load(folder)
+    df = spark.read.format("warc").option("payload", str(payload).lower()) \
+        .option("ids", ids).load(folder)
     conds = [F.col(c) == v for c, v in (where or {}).items()]
     return df.where(reduce(lambda a, b: a & b, conds)) if conds else df
 
@@ -316,12 +461,12 @@ def op9_warc(spark: SparkSession, pages: DataFrame) -> DataFrame:
     from the bytes; revisits are read by their headers alone.
     """
     folder = write_archives(pages)
-    kind = pages.schema["page_id"].dataType
-    whole = read_archives(spark, folder, True, {"record_type": "response"}).select(
+    kind, ids = pages.schema["page_id"].dataType, _id_kind(pages)
+    whole = read_archives(spark, folder, True, {"record_type": "response"}, ids).select(
         F.col("page_id").cast(kind).alias("page_id"), F.octet_length("payload").cast("long").alias("payload_bytes"),
         _base32(F.sha1("payload")).alias("payload_digest"), "record_type",
         F.col("refers_to").cast(kind).alias("refers_to"))
-    again = read_archives(spark, folder, False, {"record_type": "revisit"}).select(
+    again = read_archives(spark, folder, False, {"record_type": "revisit"}, ids).select(
         F.col("page_id").cast(kind), F.col("payload_length").alias("payload_bytes"), "payload_digest",
         "record_type", F.col("refers_to").cast(kind))
     return whole.unionAll(again)

@@ -72,3 +72,19 @@ def test_ties(spark, docs_of):
     df = docs_of([(1, "a b c", "s")] * 4 + [(2, "a b", "s")])
     out = M.op10_mixing(spark, df).collect()
     assert len({r.taken for r in out if r.doc_id == 1}) == 1
+
+
+def test_one_task_orders_few_rows_of_a_hot_source(spark, docs_of):
+    from pyspark.sql import functions as F
+    docs = docs_of([(1, "x")]).drop("doc_id", "text").crossJoin(
+        spark.range(40_000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("w "), F.lit(3)).alias("text")))
+    sizes = M._measured(docs)
+    src = M.source_targets(sizes).first()
+    assert src.docs == 40_000 and src.target == 1.5 * src.source_size
+    # Odds of a document at the cut are near 1; an interval there is 1/200 of them at most.
+    pi = 0.5
+    q = (F.col("u") / (1 - F.col("u"))) / (pi / (1 - pi))
+    held = sizes.groupBy(F.floor(q / (1 + q) * 200).alias("b")).count().agg(F.max("count"), F.count("*")).first()
+    assert held[0] < 400 and held[1] <= 200
+    got = M.allocate(docs)
+    assert got.agg(F.sum(F.col("size") * F.col("copies"))).first()[0] == 1.5 * src.source_size

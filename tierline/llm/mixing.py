@@ -13,9 +13,10 @@ random odds over inclusion odds, and the sample is the front of that ranking
 whose words come nearest to the remainder.  The random number is a hash of
 the doc_id, so reruns agree.
 
-The front is found in two steps, so that no source is sorted in one task:
-ranks fall into ``BUCKETS`` fixed intervals whose sums are aggregated first,
-and only the documents of the interval that holds the cut are ordered.
+The front is found in two steps, so that no source is sorted in one task: the
+ranks of a source of n documents fall into about sqrt(n) fixed intervals whose
+sums are aggregated first, and only the documents of the interval that holds
+the cut, again about sqrt(n), are ordered.
 
 Only DataFrame functions are used; no UDF, pandas, Arrow or RDD code.
 """
@@ -31,13 +32,12 @@ from tierline.llm.store import saved
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 CAP = 2
-BUCKETS = 4096
 SEED = "mix-1"
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int = CAP) -> DataFrame:
-    """(source, source_size, target, gsum) per source of (source, size, g)."""
-    s = sizes.groupBy("source").agg(F.sum("size").alias("source_size"),
+    """(source, source_size, target, gsum, docs) per source of (source, size, g)."""
+    s = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs"),
                                     F.sum(F.col("g") * F.col("size")).alias("gsum"))
     # One row per source: the aggregate, never the documents, is ordered here.
     nth = F.row_number().over(W.orderBy(F.col("source").asc_nulls_last()))
@@ -53,7 +53,7 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap:
     fits = F.when(F.col("level") <= F.col("ratio"), F.col("level"))
     top = F.max(fits).over(W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
     return s.withColumn("top", top).select(
-        "source", "source_size", "gsum",
+        "source", "source_size", "gsum", "docs",
         F.when(F.col("top").isNull(), F.col("limit").cast("double"))
         .otherwise(F.least(F.col("limit").cast("double"), F.col("top") * F.col("weight"))).alias("target"))
 
@@ -77,7 +77,7 @@ def allocate(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int =
     src = source_targets(sizes, weights, share, cap)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))) \
         .otherwise(0).cast("long")
-    src = src.withColumn("whole", whole) \
+    src = src.withColumn("whole", whole).withColumn("intervals", F.ceil(F.sqrt("docs"))) \
         .withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size")) \
         .withColumnRenamed("source", "src")
     src = saved(src, "mix_sources")
@@ -86,7 +86,7 @@ def allocate(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int =
     ranked = sizes.join(src, sizes["source"].eqNullSafe(src["src"])) \
         .withColumn("q", F.when(F.col("rest") <= 0, F.lit(None).cast("double"))
                     .when(pi >= 1, F.lit(0.0)).otherwise(odds)) \
-        .withColumn("bucket", F.floor(F.col("q") / (1 + F.col("q")) * BUCKETS).cast("long"))
+        .withColumn("bucket", F.floor(F.col("q") / (1 + F.col("q")) * F.col("intervals")).cast("long"))
 
     sums = ranked.where("q IS NOT NULL").groupBy("src", "bucket").agg(F.sum("size").alias("words"),
                                                                       F.first("rest").alias("rest"))

@@ -55,10 +55,32 @@ def test_phrases_against_brute_force(spark, docs_of, monkeypatch):
     df = docs_of(docs, clash=["hits", "items", "row", "n_words"])
     got = D.op8_decontamination(spark, df, bench).collect()
     assert sorted(map(tuple, got), key=str) == brute(docs, items)
-    # The same in several blocks of items.
+    # The same in several blocks of items, on one index and on several.
     monkeypatch.setattr(D, "ITEM_BYTES", 1500)
-    got = D.op8_decontamination(spark, df, bench).collect()
-    assert sorted(map(tuple, got), key=str) == brute(docs, items)
+    built, build = [], D.build_index
+    monkeypatch.setattr(D, "build_index", lambda *a: built.append(1) or build(*a))
+    for blocks, indexes in ((32, 1), (2, 2)):
+        monkeypatch.setattr(D, "INDEX_BLOCKS", blocks)
+        got = D.op8_decontamination(spark, df, bench).collect()
+        assert sorted(map(tuple, got), key=str) == brute(docs, items)
+        assert len(built) >= indexes and (blocks > 2) == (len(built) == 1)
+        built.clear()
+
+
+def test_ids_of_other_types(spark, docs_of):
+    docs, items = case()
+    df = docs_of(docs).selectExpr("concat('d', doc_id) AS doc_id", "text")
+    bench = spark.createDataFrame([(i and f"i-{i}", t) for i, t in items], "item_id string, text string")
+    want = brute([(None if d is None else f"d{d}", t) for d, t in docs],
+                 [(i and f"i-{i}", t) for i, t in items])
+    assert sorted(map(tuple, D.op8_decontamination(spark, df, bench).collect()), key=str) == want
+
+
+def test_large_ids_beside_null_ones(spark, docs_of):
+    big = (1 << 60) + 1
+    bench = spark.createDataFrame([(big, "one two")], "item_id long, text string")
+    got = D.find_phrases(docs_of([(big, "say one two"), (None, "x")]), bench).collect()
+    assert {(r.doc_id, tuple(r.items)) for r in got} == {(big, (big,)), (None, ())}
 
 
 def test_splits_may_change_between_blocks(spark, docs_of, monkeypatch):
@@ -74,6 +96,7 @@ def test_splits_may_change_between_blocks(spark, docs_of, monkeypatch):
         return out
     monkeypatch.setattr(D, "saved", saved)
     monkeypatch.setattr(D, "ITEM_BYTES", 1500)
+    monkeypatch.setattr(D, "INDEX_BLOCKS", 1)
     try:
         got = D.op8_decontamination(spark, df, spark.createDataFrame(items, "item_id long, text string")).collect()
         assert sorted(map(tuple, got), key=str) == brute(docs, items)
@@ -121,6 +144,7 @@ def test_clean_rows_are_judged_by_their_own_text(spark, docs_of):
 
 def test_clean_rows_with_several_item_blocks(spark, docs_of, monkeypatch):
     monkeypatch.setattr(D, "ITEM_BYTES", 40)
+    monkeypatch.setattr(D, "INDEX_BLOCKS", 4)
     items = [(i, f"item {i} " + " ".join(f"q{i}w{j}" for j in range(9))) for i in range(6)]
     df = docs_of([(i, f"say {items[i][1]} so" if i % 2 else f"nothing {i}") for i in range(6)])
     bench = spark.createDataFrame(items, "item_id long, text string")

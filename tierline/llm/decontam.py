@@ -14,6 +14,9 @@ occurs within a number of words of the rarest.
 
 Benchmark items are the stated query set: they are read in blocks of about
 ``ITEM_BYTES`` of text, whose windows (some 15 times that) go to the tasks.
+One index holds the terms of ``INDEX_BLOCKS`` blocks (eight bytes per distinct
+word go to the tasks) and is searched block by block; only a larger benchmark
+needs another index.
 """
 
 from __future__ import annotations
@@ -32,20 +35,24 @@ from tierline.llm.textbytes import column_bytes, pieces, word_hashes
 WINDOW = 10
 SEGMENT = 8 << 20
 ITEM_BYTES = 2 << 20
+INDEX_BLOCKS = 32
 _BITS = np.uint64(40)
 
 
 class Windows:
-    """The test windows of a block of items, as rows of term numbers."""
+    """The test windows of a block of items, as rows of numbers of the terms
+    in ``vocab`` (by default the block's own) and of the ids in ``names``."""
 
-    def __init__(self, items: pa.Table, size: int = WINDOW):
+    def __init__(self, items: pa.Table, size: int = WINDOW, vocab: np.ndarray | None = None):
         items = items.filter(items.column("item_id").is_valid())
         data, off = column_bytes(items.column("text"))
         doc, words = word_hashes(data, off, "plain")
-        self.vocab, term = np.unique(words, return_inverse=True)
+        self.vocab = np.unique(words) if vocab is None else vocab
+        term = np.searchsorted(self.vocab, words)
         count = np.bincount(doc, minlength=len(off) - 1)
         first = np.concatenate([[0], np.cumsum(count)])
-        ids = items.column("item_id").to_numpy()
+        coded = items.column("item_id").combine_chunks().dictionary_encode()
+        self.names, ids = coded.dictionary, coded.indices.to_numpy()
         item, start, length = [], [], []
         for i in np.flatnonzero(count):
             k = max(1, int(count[i]) - size + 1)
@@ -72,24 +79,32 @@ class Windows:
 
 
 _INDEX = T.StructType([
-    T.StructField("doc_ids", T.BinaryType()), T.StructField("doc_null", T.BinaryType()),
-    T.StructField("n_words", T.BinaryType()), T.StructField("terms", T.BinaryType()),
+    T.StructField("doc_ids", T.BinaryType()), T.StructField("n_words", T.BinaryType()), T.StructField("terms", T.BinaryType()),
     T.StructField("counts", T.BinaryType()), T.StructField("steps", T.BinaryType()),
     T.StructField("rows", T.BinaryType())])
 
 
+def _packed(ids: pa.Array) -> bytes:
+    """Ids of any type, nulls included, as an Arrow stream."""
+    sink = pa.BufferOutputStream()
+    batch = pa.RecordBatch.from_arrays([ids], names=["id"])
+    with pa.ipc.new_stream(sink, batch.schema) as w:
+        w.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
 def _segment(rows, ids, count, term, pos) -> pa.RecordBatch:
-    """One row of the index."""
+    """One row of the index; ``ids`` is an Arrow array."""
     order = np.lexsort((pos, term))
     term, pos = term[order], pos[order]
     steps = np.diff(pos, prepend=0)
     new = np.flatnonzero(np.diff(term, prepend=-1))
     steps[new] = pos[new]
-    cols = [np.nan_to_num(ids).astype(np.int64), np.isnan(ids) if ids.dtype.kind == "f"
-            else np.zeros(len(ids), bool), count.astype(np.int64), term[new].astype(np.int32),
+    cols = [count.astype(np.int64), term[new].astype(np.int32),
             np.diff(np.append(new, len(term))).astype(np.int32), steps.astype(np.int32), rows]
-    return pa.RecordBatch.from_arrays([pa.array([c.tobytes()], pa.binary()) for c in cols],
-                                      names=[f.name for f in _INDEX.fields])
+    return pa.RecordBatch.from_arrays(
+        [pa.array([x], pa.binary()) for x in (_packed(ids), *(c.tobytes() for c in cols))],
+        names=[f.name for f in _INDEX.fields])
 
 
 def _postings_of(data: np.ndarray, off: np.ndarray, vocab: np.ndarray):
@@ -119,14 +134,15 @@ def build_index(docs: DataFrame, vocab: np.ndarray, gap: int = WINDOW) -> DataFr
                 rows.append(r), ids.append(i), count.append(c), term.append(t)
                 pos.append(start[d] + p)
                 base = start[-1]
-            return _segment(*(np.concatenate(x) for x in (rows, ids, count, term, pos)))
+            return _segment(np.concatenate(rows), pa.concat_arrays(ids),
+                            *(np.concatenate(x) for x in (count, term, pos)))
 
         for b in batches:
             data, off = column_bytes(b.column("text"))
-            ids = b.column("doc_id").to_numpy(zero_copy_only=False)
+            ids = b.column("doc_id")
             rows = b.column("row").to_numpy(zero_copy_only=False)
             for i, j in pieces(off):
-                held.append((rows[i:j], ids[i:j],
+                held.append((rows[i:j], ids.slice(i, j - i),
                              *_postings_of(data[off[i]:off[j]], off[i:j + 1] - off[i], vocab)))
                 size += int(off[j] - off[i])
                 if size >= SEGMENT:
@@ -142,8 +158,7 @@ class Segment:
 
     def __init__(self, row: dict, gap: int):
         self.rows = np.frombuffer(row["rows"], np.int64)
-        self.ids = np.frombuffer(row["doc_ids"], np.int64)
-        self.null = np.frombuffer(row["doc_null"], bool)
+        self.ids = pa.ipc.open_stream(row["doc_ids"]).read_all().column("id").combine_chunks()
         self.n_words = np.frombuffer(row["n_words"], np.int64)
         self.start = np.concatenate([[0], np.cumsum(self.n_words + gap)])
         terms = np.frombuffer(row["terms"], np.int32)
@@ -225,8 +240,17 @@ def _frequencies(index: DataFrame, n_terms: int) -> np.ndarray:
     return out
 
 
-def _search(index: DataFrame, win: Windows, order: np.ndarray, gap: int) -> DataFrame:
-    """(row, doc_id, n_words, hits, items) per document of the index."""
+def _schema(docs: DataFrame, benchmark: DataFrame, *fields) -> T.StructType:
+    """Fields by name; ids keep the types they have."""
+    doc, item = docs.schema["doc_id"].dataType, benchmark.schema["item_id"].dataType
+    kinds = {"doc_id": doc, "item_id": item, "items": T.ArrayType(item), "hits": T.ArrayType(T.LongType())}
+    return T.StructType([T.StructField(f, kinds.get(f, T.LongType())) for f in fields])
+
+
+def _search(index: DataFrame, win: Windows, order: np.ndarray, gap: int, schema: T.StructType,
+            clean: bool) -> DataFrame:
+    """(row, doc_id, n_words, hits, items) per document of the index, or per
+    document with hits unless ``clean``."""
     def run(batches):
         for b in batches:
             for row in b.to_pylist():
@@ -241,16 +265,16 @@ def _search(index: DataFrame, win: Windows, order: np.ndarray, gap: int) -> Data
                 pair = np.unique(np.c_[doc, win.item[w]], axis=0) if len(w) else np.zeros((0, 2), np.int64)
                 n = len(seg.ids)
 
-                def lists(of, values, kind):
+                def lists(of, values):
                     off = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=n))])
-                    return pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(values, kind))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(seg.rows), pa.array(seg.ids, mask=seg.null), pa.array(seg.n_words),
-                     lists(owner, hit - seg.start[owner], pa.int64()),
-                     lists(pair[:, 0], pair[:, 1], pa.int64())],
+                    return pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), values)
+                out = pa.RecordBatch.from_arrays(
+                    [pa.array(seg.rows), seg.ids, pa.array(seg.n_words),
+                     lists(owner, pa.array(hit - seg.start[owner], pa.int64())),
+                     lists(pair[:, 0], win.names.take(pa.array(pair[:, 1], pa.int64())))],
                     names=["row", "doc_id", "n_words", "hits", "items"])
-    return index.mapInArrow(
-        run, "row long, doc_id long, n_words long, hits array<long>, items array<long>")
+                yield out if clean else out.take(pa.array(np.unique(owner)))
+    return index.mapInArrow(run, schema)
 
 
 def _n_blocks(benchmark: DataFrame) -> int:
@@ -258,11 +282,31 @@ def _n_blocks(benchmark: DataFrame) -> int:
     return max(1, math.ceil(size / ITEM_BYTES))
 
 
-def _item_blocks(benchmark: DataFrame, n: int):
-    """n blocks of benchmark items, of about ITEM_BYTES of text each."""
-    items = benchmark.select(F.col("item_id").cast("long"), "text")
-    for k in range(n):
-        yield items.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k).toArrow()
+def _terms(items: DataFrame) -> np.ndarray:
+    """The distinct words of at most INDEX_BLOCKS blocks of items, hashed."""
+    def run(batches):
+        for b in batches:
+            data, off = column_bytes(b.column("text"))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.unique(word_hashes(data, off, "plain")[1]).view(np.int64))], names=["t"])
+    got = items.select("text").mapInArrow(run, "t long").distinct().toArrow()
+    return np.sort(got.column("t").to_numpy().view(np.uint64))
+
+
+def _searches(numbered: DataFrame, benchmark: DataFrame, n: int, size: int):
+    """(windows, their orders, index) for each of ``n`` blocks of items."""
+    items = benchmark.where("item_id IS NOT NULL").select("item_id", "text") \
+        .withColumn("block", F.pmod(F.xxhash64("item_id"), F.lit(n)))
+    for lo in range(0, n, INDEX_BLOCKS):
+        group = items.where(F.col("block").between(lo, min(lo + INDEX_BLOCKS, n) - 1))
+        vocab = _terms(group)
+        index = saved(build_index(numbered, vocab, size), "decontam_index")
+        frequency = _frequencies(index, len(vocab))
+        for k in range(lo, min(lo + INDEX_BLOCKS, n)):
+            win = Windows(group.where(F.col("block") == k).toArrow(), size, vocab)
+            order = win.by_rarity(frequency)
+            del win.vocab  # the tasks that search need term numbers only
+            yield win, order, index, vocab
 
 
 def find_phrases(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -270,20 +314,20 @@ def find_phrases(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> D
     inside any occurrence of a test window), items (ids with occurrences).
 
     Null and empty texts have no words; items without words or id match
-    nothing; repeated rows each get their result.  Other columns are ignored.
-    With several blocks of items, rows are numbered once and stored with their
-    numbers: a later job may split the input in another way.
+    nothing; repeated rows each get their result.  Ids may be of any type;
+    other columns are ignored.  With several blocks of items, rows are numbered
+    once and stored with their numbers: a later job may split the input in
+    another way.
     """
     numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
     n = _n_blocks(benchmark)
-    if n > 1:
+    if n > INDEX_BLOCKS:
         numbered = saved(numbered, "decontam_rows")
+    schema = _schema(docs, benchmark, "row", "doc_id", "n_words", "hits", "items")
     parts = []
-    for block in _item_blocks(benchmark, n):
-        win = Windows(block, size)
-        index = saved(build_index(numbered, win.vocab, size), "decontam_index")
-        order = win.by_rarity(_frequencies(index, len(win.vocab)))
-        parts.append(_search(index, win, order, size))
+    for win, order, index, _ in _searches(numbered, benchmark, n, size):
+        # The first block brings every document, the others those they hit.
+        parts.append(_search(index, win, order, size, schema, clean=not parts))
     out = parts[0]
     if len(parts) > 1:
         for p in parts[1:]:
@@ -292,8 +336,7 @@ def find_phrases(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> D
             F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
             F.array_distinct(F.flatten(F.collect_list("hits"))).alias("hits"),
             F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
-    return out.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"),
-                      "n_words", "hits", "items")
+    return out.select("doc_id", "n_words", "hits", "items")
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -306,20 +349,16 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> Dat
     """
     numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
     out = docs
-    for block in _item_blocks(benchmark, _n_blocks(benchmark)):
-        win = Windows(block, size)
-        index = saved(build_index(numbered, win.vocab, size), "decontam_index")
-        order = win.by_rarity(_frequencies(index, len(win.vocab)))
-
-        def run(batches, win=win, order=order):
+    for win, order, _, vocab in _searches(numbered, benchmark, _n_blocks(benchmark), size):
+        def run(batches, win=win, order=order, vocab=vocab):
             for b in batches:
                 data, off = column_bytes(b.column("text"))
                 dirty = np.zeros(b.num_rows, bool)
                 for i, j in pieces(off):
-                    count, term, doc, pos = _postings_of(data[off[i]:off[j]], off[i:j + 1] - off[i], win.vocab)
+                    count, term, doc, pos = _postings_of(data[off[i]:off[j]], off[i:j + 1] - off[i], vocab)
                     start = np.concatenate([[0], np.cumsum(count + size)])
                     none = np.zeros(j - i, np.int64)
-                    seg = Segment(_segment(none, none, count, term, start[doc] + pos).to_pylist()[0], size)
+                    seg = Segment(_segment(none, pa.array(none), count, term, start[doc] + pos).to_pylist()[0], size)
                     _, at = seg.phrases(win, order)
                     dirty[i + np.searchsorted(seg.start, at, "right") - 1] = True
                 yield b.filter(pa.array(~dirty))
@@ -332,23 +371,20 @@ def proximity_matches(docs: DataFrame, benchmark: DataFrame, reach: int,
     """(doc_id, item_id) of documents with all terms of a test window within
     ``reach`` words of an occurrence of its rarest term, in any order."""
     numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
+    schema = _schema(docs, benchmark, "doc_id", "item_id")
     out = None
-    for block in _item_blocks(benchmark, _n_blocks(benchmark)):
-        win = Windows(block, size)
-        index = saved(build_index(numbered, win.vocab, size), "decontam_index")
-        order = win.by_rarity(_frequencies(index, len(win.vocab)))
-
+    for win, order, index, _ in _searches(numbered, benchmark, _n_blocks(benchmark), size):
         def run(batches, win=win, order=order):
             for b in batches:
                 for row in b.to_pylist():
                     seg = Segment(row, size)
                     w, pos = seg.near(win, order, reach)
                     doc = np.searchsorted(seg.start, pos, "right") - 1
-                    pair = np.unique(np.c_[doc, win.item[w]], axis=0) if len(w) else np.zeros((0, 2), int)
+                    pair = np.unique(np.c_[doc, win.item[w]], axis=0) if len(w) else np.zeros((0, 2), np.int64)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(seg.ids[pair[:, 0]], mask=seg.null[pair[:, 0]]),
-                         pa.array(pair[:, 1], pa.int64())], names=["doc_id", "item_id"])
-        part = index.mapInArrow(run, "doc_id long, item_id long")
+                        [seg.ids.take(pa.array(pair[:, 0])), win.names.take(pa.array(pair[:, 1]))],
+                        names=["doc_id", "item_id"])
+        part = index.mapInArrow(run, schema)
         out = part if out is None else out.unionAll(part)
     return out.distinct()
 

@@ -101,3 +101,29 @@ def test_graph_search_finds_the_range(n):
     met = X.range_search(x, X.robust_graph(x), x, 0.9, 32)
     want = x @ x.T >= 0.9
     assert (met & want).sum() >= 0.97 * want.sum()
+
+
+def test_least_reachable_against_union_find():
+    rng = np.random.default_rng(4)
+    for n, m in ((1, 0), (2, 1), (50, 10), (300, 250), (300, 2000)):
+        a, b = rng.integers(0, n, m), rng.integers(0, n, m)
+        up = list(range(n))
+
+        def find(i, up=up):
+            while up[i] != i:
+                i = up[i]
+            return i
+        for i, j in zip(a.tolist(), b.tolist()):
+            i, j = find(i), find(j)
+            up[max(i, j)] = min(i, j)
+        assert X._least_reachable(n, a, b).tolist() == [find(i) for i in range(n)]
+    chain = np.arange(9999)
+    assert not X._least_reachable(10_000, chain + 1, chain).any()
+
+
+def test_lowest_common_shard():
+    rng = np.random.default_rng(5)
+    a = np.array([np.sort(rng.choice(9, 4, False)) for _ in range(500)])
+    b = np.array([np.sort(rng.choice(9, 4, False)) for _ in range(500)])
+    want = [min(set(x) & set(y), default=np.iinfo(np.int64).max) for x, y in zip(a.tolist(), b.tolist())]
+    assert X._lowest_common(a, b).tolist() == want

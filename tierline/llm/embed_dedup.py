@@ -247,6 +247,26 @@ def _build(tasks: DataFrame) -> DataFrame:
     return _grouped(tasks.select("task", "node", "vector"), work, "node long, near array<long>")
 
 
+def _lowest_common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The lowest number in both of two rows; a pair counts in that shard."""
+    both = (a[:, :, None] == b[:, None, :]).any(2)
+    return np.where(both, a, np.iinfo(np.int64).max).min(1)
+
+
+def _least_reachable(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Per node 0..n-1 the least one reachable by the links a-b: the ends of
+    a link hook the larger of their roots onto the smaller, until none does."""
+    root = np.arange(n)
+    while len(a):
+        x, y = root[a], root[b]
+        apart = x != y
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (root[root] != root).any():
+            root = root[root]
+    return root
+
+
 def _search(tasks: DataFrame, cosine: float, beam: int | None) -> DataFrame:
     """(node, links, root) per query row of a task; no beam: all pairs."""
     def work(t: pa.Table):
@@ -256,7 +276,8 @@ def _search(tasks: DataFrame, cosine: float, beam: int | None) -> DataFrame:
         x = _unit(_matrix(t.column("vector").combine_chunks()))
         is_node, is_query = (t.column(c).to_numpy(zero_copy_only=False) for c in ("is_node", "is_query"))
         shard = t.column("shard")[0].as_py()
-        shards = t.column("shards").to_pylist()
+        # All vectors of a shard have as many shards.
+        shards = pc.list_flatten(t.column("shards")).to_numpy().reshape(len(ids), -1)
         v, q = np.flatnonzero(is_node), np.flatnonzero(is_query)
         adj = []
         near = t.column("near").to_pylist()
@@ -276,22 +297,11 @@ def _search(tasks: DataFrame, cosine: float, beam: int | None) -> DataFrame:
         a, b = q[a[exact]], v[b[exact]]
         other = ids[a] != ids[b]
         a, b = a[other], b[other]
-        # A pair counts in the lowest shard that both belong to.
-        lists = [set(s) for s in shards]
-        mine = np.fromiter((min(lists[i] & lists[j]) == shard for i, j in zip(a, b)), bool, len(a))
+        mine = np.concatenate([np.zeros(0, bool), *(
+            _lowest_common(shards[a[lo:lo + (1 << 16)]], shards[b[lo:lo + (1 << 16)]]) == shard
+            for lo in range(0, len(a), 1 << 16))])
         links = np.bincount(a[mine], weights=n[b[mine]], minlength=len(ids)).astype(np.int64)
-        up = list(range(len(ids)))
-
-        def find(i):
-            while up[i] != i:
-                up[i] = up[up[i]]
-                i = up[i]
-            return i
-        for i, j in zip(a.tolist(), b.tolist()):
-            i, j = find(i), find(j)
-            if i != j:
-                up[max(i, j)] = min(i, j)
-        root = np.array([ids[find(i)] for i in range(len(ids))])
+        root = ids[_least_reachable(len(ids), a, b)]
         keep = is_query | (root != ids)
         return pa.RecordBatch.from_arrays([pa.array(ids[keep]), pa.array(links[keep]), pa.array(root[keep])],
                                           names=["node", "links", "root"])

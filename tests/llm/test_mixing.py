@@ -88,3 +88,22 @@ def test_one_task_orders_few_rows_of_a_hot_source(spark, docs_of):
     assert held[0] < 400 and held[1] <= 200
     got = M.allocate(docs)
     assert got.agg(F.sum(F.col("size") * F.col("copies"))).first()[0] == 1.5 * src.source_size
+
+
+def test_repeated_ids_are_judged_by_their_own_size(spark, docs_of):
+    # Rows that share an id and a source but not a size, nulls among them.
+    df = docs_of([(i % 400 if i % 9 else None, "w " * (1 + i % 37), "ab"[i % 2]) for i in range(1500)])
+    from collections import Counter
+    want = Counter()
+    for r in M.allocate(df).collect():
+        want[(r.doc_id, r.source, r["size"])] += r.copies
+    got = Counter((r.doc_id, r.source, len(r.text.split())) for r in M.mixed(df).collect())
+    assert got == +want
+
+
+def test_documents_are_not_shuffled(spark, docs_of):
+    # Sources come by broadcast: neither sizes nor texts have an exchange.
+    df = docs_of(rows(400))
+    for out in (M.op10_mixing(spark, df), M.mixed(df)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan

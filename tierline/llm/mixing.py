@@ -16,14 +16,16 @@ the doc_id, so reruns agree.
 The front is found in two steps, so that no source is sorted in one task: the
 ranks of a source of n documents fall into about sqrt(n) fixed intervals whose
 sums are aggregated first, and only the documents of the interval that holds
-the cut, again about sqrt(n), are ordered.
+the cut, again about sqrt(n), are ordered.  What comes out is one row per
+source that says where its ranking is cut; each document is then judged where
+it is read, so neither texts nor sizes are shuffled.
 
 Only DataFrame functions are used; no UDF, pandas, Arrow or RDD code.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -58,22 +60,37 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap:
         .otherwise(F.least(F.col("limit").cast("double"), F.col("top") * F.col("weight"))).alias("target"))
 
 
-def _measured(docs: DataFrame) -> DataFrame:
+def _measured(docs: DataFrame, *more: Column) -> DataFrame:
     size = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
     u = (F.conv(F.substring(F.md5(F.concat(F.lit(SEED + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
                                   .cast("binary")), 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
-    return docs.select("doc_id", "source", size.alias("size"), u.alias("u")) \
+    return docs.select("doc_id", "source", size.alias("size"), u.alias("u"), *more) \
         .withColumn("g", F.length(F.bin("size")).cast("long"))
 
 
-def allocate(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int = CAP) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies per row of ``docs``.
+def _ranked(rows: DataFrame, src: DataFrame) -> DataFrame:
+    """``rows`` (source, size, g, u, ...) beside their source's row, with the
+    rank ``q`` (null: nothing is sampled) and its interval ``bucket``."""
+    pi = F.col("rest") * F.col("g") / F.col("gsum")
+    odds = (F.col("u") / (1 - F.col("u"))) / (pi / (1 - pi))
+    return rows.join(src, rows["source"].eqNullSafe(src["src"])) \
+        .withColumn("q", F.when(F.col("rest") <= 0, F.lit(None).cast("double"))
+                    .when(pi >= 1, F.lit(0.0)).otherwise(odds)) \
+        .withColumn("bucket", F.floor(F.col("q") / (1 + F.col("q")) * F.col("intervals")).cast("long"))
 
-    Null texts have size 0; a null source is a source of its own; rows that
-    agree in doc_id, source and size get the same copies, as they rank alike.
-    Sources without words have target 0 and no copies.
+
+def _sampled(size="size", upto="upto"):
+    """Whether a document that ends at ``upto`` words lies in the front."""
+    return F.col("below") + F.col(upto) - F.col(size) / 2 <= F.col("rest")
+
+
+def source_cuts(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int = CAP) -> DataFrame:
+    """One row per source: whole copies, and where its ranking is cut.
+
+    Documents in intervals before ``cut`` are sampled; within it those ranked
+    before ``last`` (q, doc_id, words up to it) and, of the rows that rank like
+    it, those whose size brings the words near enough to ``rest``.
     """
-    sizes = saved(_measured(docs), "mix_sizes")
     src = source_targets(sizes, weights, share, cap)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))) \
         .otherwise(0).cast("long")
@@ -81,32 +98,41 @@ def allocate(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int =
         .withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size")) \
         .withColumnRenamed("source", "src")
     src = saved(src, "mix_sources")
-    pi = F.col("rest") * F.col("g") / F.col("gsum")
-    odds = (F.col("u") / (1 - F.col("u"))) / (pi / (1 - pi))
-    ranked = sizes.join(src, sizes["source"].eqNullSafe(src["src"])) \
-        .withColumn("q", F.when(F.col("rest") <= 0, F.lit(None).cast("double"))
-                    .when(pi >= 1, F.lit(0.0)).otherwise(odds)) \
-        .withColumn("bucket", F.floor(F.col("q") / (1 + F.col("q")) * F.col("intervals")).cast("long"))
-
-    sums = ranked.where("q IS NOT NULL").groupBy("src", "bucket").agg(F.sum("size").alias("words"),
-                                                                      F.first("rest").alias("rest"))
+    sums = _ranked(sizes, src).where("q IS NOT NULL").groupBy("src", "bucket") \
+        .agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
     upto = F.sum("words").over(W.partitionBy("src").orderBy("bucket"))
     cut = sums.withColumn("upto", upto).where("upto > rest") \
         .groupBy("src").agg(F.min(F.struct("bucket", "upto", "words")).alias("c")) \
         .select(F.col("src").alias("csrc"), F.col("c.bucket").alias("cut"),
                 (F.col("c.upto") - F.col("c.words")).alias("below"))
-    placed = ranked.join(cut, ranked["src"].eqNullSafe(cut["csrc"]), "left")
-    inside = placed.where("bucket = cut").withColumn(
-        "run", F.sum("size").over(W.partitionBy("src").orderBy("q", "doc_id")
-                                  .rangeBetween(W.unboundedPreceding, W.currentRow)))
-    taken = F.col("below") + F.col("run") - F.col("size") / 2 <= F.col("rest")
-    extra_in = inside.withColumn("extra", F.when(taken, 1).otherwise(0))
-    rest = placed.where("bucket IS NULL OR cut IS NULL OR bucket <> cut").withColumn(
-        "extra", F.when(F.col("bucket").isNotNull() & (F.col("cut").isNull() | (F.col("bucket") < F.col("cut"))), 1)
-        .otherwise(0))
-    cols = ["doc_id", "source", "size", "source_size", "target",
-            (F.col("whole") + F.col("extra")).alias("copies")]
-    return rest.select(*cols).unionAll(extra_in.select(*cols))
+    # Stored, so that its size is known before the documents are joined with it.
+    src = saved(src.join(cut, src["src"].eqNullSafe(cut["csrc"]), "left").drop("csrc"), "mix_cuts")
+    run = F.sum("size").over(W.partitionBy("src").orderBy("q", "doc_id")
+                             .rangeBetween(W.unboundedPreceding, W.currentRow))
+    last = _ranked(sizes, src).where("bucket = cut").withColumn("upto", run).where(_sampled()) \
+        .groupBy(F.col("src").alias("lsrc")).agg(F.max(F.struct("q", "doc_id", "upto")).alias("last"))
+    return saved(src.join(last, src["src"].eqNullSafe(last["lsrc"]), "left").drop("lsrc"), "mix_lasts")
+
+
+def _copies(rows: DataFrame, src: DataFrame) -> DataFrame:
+    """``rows`` with ``copies``, judged where they are read."""
+    rows = _ranked(rows, src).withColumn("upto", F.col("last.upto"))
+    here, end = F.struct("q", "doc_id"), F.struct(F.col("last.q").alias("q"), F.col("last.doc_id").alias("doc_id"))
+    inside = F.col("last").isNotNull() & ((here < end) | (here == end) & _sampled())
+    front = F.col("cut").isNull() | (F.col("bucket") < F.col("cut")) | (F.col("bucket") == F.col("cut")) & inside
+    return rows.withColumn("copies", F.col("whole") + F.when(F.col("bucket").isNotNull() & front, 1).otherwise(0))
+
+
+def allocate(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int = CAP) -> DataFrame:
+    """doc_id, source, size, source_size, target, copies per row of ``docs``.
+
+    Null texts have size 0; a null source is a source of its own; rows that
+    agree in doc_id, source and size get the same copies, as they rank alike.
+    Sources without words have target 0 and no copies.
+    """
+    sizes = saved(_measured(docs), "mix_sizes")
+    return _copies(sizes, source_cuts(sizes, weights, share, cap)) \
+        .select("doc_id", "source", "size", "source_size", "target", "copies")
 
 
 def op10_mixing(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -115,11 +141,15 @@ def op10_mixing(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    """The mix itself: the rows of ``docs``, each as often as it is taken."""
-    plan = allocate(docs).groupBy("doc_id", "source").agg(F.max("copies").cast("int").alias("_copies")) \
-        .where("_copies > 0").withColumnsRenamed({"doc_id": "_id", "source": "_src"})
-    rows = docs.join(plan, docs["doc_id"].eqNullSafe(plan["_id"]) & docs["source"].eqNullSafe(plan["_src"]))
-    return rows.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    """The mix itself: the rows of ``docs``, each as often as it is taken.
+
+    Each row is judged by its own size, whatever rows share its id; no text is
+    shuffled while the table of sources is small enough for a broadcast.
+    """
+    src = source_cuts(saved(_measured(docs), "mix_sizes"))
+    rows = _copies(_measured(docs, F.struct(*docs.columns).alias("row")), src)
+    copies = F.sequence(F.lit(1), F.col("copies").cast("int"))
+    return rows.where("copies > 0").select("row", F.explode(copies)).select("row.*")
 
 
 def allocation_sql(docs: str = "documents") -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.store import saved
+from tierline.llm.store import removed, saved
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -15,8 +15,9 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     first on larger, then on smaller neighbours; rounds grow with the
     logarithm of the longest chain.  Minima are aggregated before they are
     joined back, so a hub with very many neighbours is combined map-side and
-    AQE can split its join.  Rounds are written to the shared folder.  Self
-    loops and nulls are dropped; an empty table gives an empty result.
+    AQE can split its join.  Rounds are written to the shared folder; the one
+    before goes when the next is written.  Self loops and nulls are dropped;
+    an empty table gives an empty result.
     """
     e = edges.select(F.col("a").cast("long"), F.col("b").cast("long")) \
         .where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
@@ -27,21 +28,24 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         both = e.union(e.select("v", "u"))
         # Stored, so that both sides of the join are plain exchanges: a hub's
         # rows can then be split.
-        low = saved(both.groupBy("u").agg(F.min("v").alias("m"))
-                    .select("u", F.least("u", "m").alias("m")), name)
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        low_of = saved(both.groupBy("u").agg(F.min("v").alias("m"))
+                       .select("u", F.least("u", "m").alias("m")), name)
+        large = both.join(low_of, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")) \
             .union(low.select("u", F.col("m").alias("v"))).distinct()
-        e = saved(small, name)
+        done, e = (e, low_of), saved(small, name)
+        removed(*done)
         after = _mark(e)
         if after == before:
             break
         before = after
     roots = e.select(F.col("v").alias("id")).distinct()
-    return e.select(F.col("u").alias("id"), F.col("v").alias("root")) \
+    out = e.select(F.col("u").alias("id"), F.col("v").alias("root")) \
         .union(roots.select("id", F.col("id").alias("root")))
+    out.stored_at = e.stored_at
+    return out
 
 
 def _mark(e: DataFrame) -> tuple:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.llm.components import components
-from tierline.llm.store import saved, width
+from tierline.llm.store import removed, saved, width
 
 COSINE = 0.9
 SAMPLE = 32_768
@@ -315,12 +315,14 @@ def _round(nodes: DataFrame, centers: dict, probes: int, cosine: float, exact: b
         .select("shard", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
     inside = placed.select("*", F.explode("shards").alias("shard")).join(blocks, "shard") \
         .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    done = [placed]
     if exact:
         inside = inside.withColumn("near", F.lit(None).cast("array<long>"))
     else:
         graph = _build(inside.withColumn("task", F.xxhash64("shard", "block"))) \
             .groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
-        inside = inside.join(saved(graph, "embed_graph"), "node")
+        done.append(saved(graph, "embed_graph"))
+        inside = inside.join(done[-1], "node")
     # One task per (block of nodes, block of queries) of a shard.
     pairs = inside.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     both = F.col("other") == F.col("block")
@@ -329,7 +331,9 @@ def _round(nodes: DataFrame, centers: dict, probes: int, cosine: float, exact: b
     as_query = pairs.where(~both).select(
         F.xxhash64("shard", "other", "block").alias("task"), "shard", "node", "n", "vector", "shards",
         F.lit(None).cast("array<long>").alias("near"), F.lit(False).alias("is_node"), F.lit(True).alias("is_query"))
-    return saved(_search(as_node.unionAll(as_query), cosine, None if exact else BEAM * (probes - 1)), "embed_found")
+    found = saved(_search(as_node.unionAll(as_query), cosine, None if exact else BEAM * (probes - 1)), "embed_found")
+    removed(*done)
+    return found
 
 
 def audit(nodes: DataFrame, found: DataFrame, cosine: float = COSINE, sample: int = AUDIT) -> float:
@@ -376,6 +380,7 @@ def op6_embedding_dedup(spark: SparkSession, vectors: DataFrame, cosine: float =
         found = _round(nodes, centers, probes, cosine)
         if audit(nodes, found, cosine) >= RECALL:
             break
+        removed(found)
     else:  # one shard per length, its blocks met pair by pair
         found = _round(nodes, {}, 1, cosine, exact=True)
     links = found.groupBy("node").agg(F.sum("links").alias("links"))

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.llm.components import components
-from tierline.llm.store import saved, width
+from tierline.llm.store import removed, saved, width
 from tierline.llm.textbytes import column_bytes, mix, pieces, shingles, word_hashes
 
 PERCENT = 90
@@ -461,12 +461,13 @@ def link_sets(docs: DataFrame, sig: DataFrame, words: int = WORDS, percent: int
     """(id, root): the connected linked sets, by set_id."""
     n_docs, n_total = sig.agg(F.count("*"), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
     hot = common_shingles(docs, n_docs, n_total, words)
-    group = components(shared_keys(docs, hot, words, percent), "jaccard_groups") \
-        .withColumnsRenamed({"id": "set_id", "root": "grp"})
+    found = components(shared_keys(docs, hot, words, percent), "jaccard_groups")
+    group = found.withColumnsRenamed({"id": "set_id", "root": "grp"})
     # Sizes and places of groups are known from the sets' sizes alone.
     sets = sig.where("doc_id IS NOT NULL").groupBy("set_id").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n")).join(group, "set_id")
     sets = saved(sets, "jaccard_members")
+    removed(found)
     size = sets.groupBy("grp").agg(F.ceil(F.sum("n") / BLOCK_TOKENS).cast("int").alias("blocks"))
     sized = sets.join(size, "grp")
 
@@ -475,13 +476,18 @@ def link_sets(docs: DataFrame, sig: DataFrame, words: int = WORDS, percent: int
     alone = small.unionAll(big.select("doc_id", "set_id", "tasks")).select(
         "doc_id", "set_id", F.lit(None).cast("long").alias("label"), "tasks")
     links = saved(_join_groups(_with_tokens(docs, alone, words), percent), "jaccard_links")
+    done = [sets, big, links]
     large = big.where("hot").select("grp", "set_id", "doc_id", "n")
     if not large.isEmpty():
         across = saved(_across_blocks(large, links, percent), "jaccard_across")
+        done.append(across)
         if not across.isEmpty():
-            links = links.unionAll(saved(
-                _join_groups(_with_tokens(docs, across, words), percent), "jaccard_cross"))
-    return components(links, "jaccard_components")
+            cross = saved(_join_groups(_with_tokens(docs, across, words), percent), "jaccard_cross")
+            done.append(cross)
+            links = links.unionAll(cross)
+    roots = components(links, "jaccard_components")
+    removed(*done)
+    return roots
 
 
 def _band(percent: int):

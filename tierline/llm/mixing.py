@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tierline.llm.store import saved
+from tierline.llm.store import removed, saved
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -106,12 +106,14 @@ def source_cuts(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: in
         .select(F.col("src").alias("csrc"), F.col("c.bucket").alias("cut"),
                 (F.col("c.upto") - F.col("c.words")).alias("below"))
     # Stored, so that its size is known before the documents are joined with it.
-    src = saved(src.join(cut, src["src"].eqNullSafe(cut["csrc"]), "left").drop("csrc"), "mix_cuts")
+    plain, src = src, saved(src.join(cut, src["src"].eqNullSafe(cut["csrc"]), "left").drop("csrc"), "mix_cuts")
     run = F.sum("size").over(W.partitionBy("src").orderBy("q", "doc_id")
                              .rangeBetween(W.unboundedPreceding, W.currentRow))
     last = _ranked(sizes, src).where("bucket = cut").withColumn("upto", run).where(_sampled()) \
         .groupBy(F.col("src").alias("lsrc")).agg(F.max(F.struct("q", "doc_id", "upto")).alias("last"))
-    return saved(src.join(last, src["src"].eqNullSafe(last["lsrc"]), "left").drop("lsrc"), "mix_lasts")
+    out = saved(src.join(last, src["src"].eqNullSafe(last["lsrc"]), "left").drop("lsrc"), "mix_lasts")
+    removed(plain, src)
+    return out
 
 
 def _copies(rows: DataFrame, src: DataFrame) -> DataFrame:
@@ -146,7 +148,9 @@ def mixed(docs: DataFrame) -> DataFrame:
     Each row is judged by its own size, whatever rows share its id; no text is
     shuffled while the table of sources is small enough for a broadcast.
     """
-    src = source_cuts(saved(_measured(docs), "mix_sizes"))
+    sizes = saved(_measured(docs), "mix_sizes")
+    src = source_cuts(sizes)
+    removed(sizes)
     rows = _copies(_measured(docs, F.struct(*docs.columns).alias("row")), src)
     copies = F.sequence(F.lit(1), F.col("copies").cast("int"))
     return rows.where("copies > 0").select("row", F.explode(copies)).select("row.*")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tierline.session import fresh_folder
+from tierline.tables.files import remove_folder
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
@@ -15,7 +16,16 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     """
     path = fresh_folder(df.sparkSession, "llm", name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def removed(*tables: DataFrame) -> None:
+    """Remove the folders of tables made by :func:`saved` that no later step
+    reads; what reads them must have been written itself."""
+    for t in tables:
+        remove_folder(t.sparkSession, t.stored_at)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

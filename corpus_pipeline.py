@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.llm import decontam, jaccard, mixing, tokens, toxicity
-from tierline.llm.store import saved, table
+from tierline.llm.store import removed, saved, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,8 +64,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = saved(stage(spark, docs, sf_dir), f"pipeline_{name}")
+    for at, (name, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, saved(stage(spark, docs, sf_dir), f"pipeline_{name}")
+        if at:
+            removed(before)
     return STAGES[-1][1](spark, docs, sf_dir)
 
 

@@ -75,3 +75,19 @@ def test_filter_keeps_columns(spark, docs_of, labelled):
     assert kept.schema == docs.schema
     ids = {r.doc_id for r in X.score(docs, model).where("predicted = 0").collect()}
     assert {r.doc_id for r in kept.collect()} == ids
+
+
+def test_windows_that_mark_toxic_texts_recur_in_other_toxic_texts(labelled):
+    rows, labels = labelled
+    toxic = [t.encode() for (_, t), (_, _, y) in zip(rows, labels) if y]
+    plain = [t.encode() for (_, t), (_, _, y) in zip(rows, labels) if not y]
+    toxic[0] += b" xqzwkjvypt" * 50     # one text's own word marks nothing
+    found = X._toxic_windows(toxic, plain)
+    bad = [w for w in found if any(w.startswith(b.encode()) for b in BAD)]
+    assert {w for t in toxic for w in X.words_of(t) if w.decode() in BAD} <= set(found)
+    assert len(bad) > 0.95 * len(found) and b"xqzwkjvypt" not in found
+
+
+def test_search_for_windows_without_texts():
+    assert X._toxic_windows([], []) == [] == X._toxic_windows([], [b"a b"]) == X._toxic_windows([b"a b"], [])
+    assert X._toxic_windows([b"a" * X.SEARCH_BYTES], [b""]) == []

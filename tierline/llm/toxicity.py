@@ -1,16 +1,23 @@
 """Toxicity by compression distance between two zstandard dictionaries.
 
-One dictionary is trained on toxic words, one on ordinary words of labelled
-documents.  Every distinct word of a text is a window (words over
-``WINDOW_BYTES`` are cut into overlapping windows): it is compressed against
-both dictionaries, and the difference of the two lengths is its distance.
-Bytes are recoded before compression, each to four bytes hashed from itself
-and its two predecessors, so that a short match saves enough bytes to be seen
-over the frame's fixed cost.  A logistic calibration, fitted on labelled
-documents that no dictionary saw, turns a document's distances into a score.
+One dictionary is trained on windows that mark toxic texts, one on ordinary
+texts.  The marking windows are found by compression distance too: first whole
+texts of both classes serve as dictionaries, each fold of the toxic texts is
+compressed against the others, and what lies beyond nearly all windows of
+ordinary texts is the toxic dictionary of the next round.  No word list or
+count of words decides.
+
+Every distinct word of a text is a window (words over ``WINDOW_BYTES`` are cut
+into overlapping windows): it is compressed against both dictionaries, and the
+difference of the two lengths is its distance.  Bytes are recoded before
+compression, each to four bytes hashed from itself and its two predecessors,
+so that a short match saves enough bytes to be seen over the frame's fixed
+cost.  A logistic calibration, fitted on labelled documents that no dictionary
+saw, turns a document's distances into a score.
 
 Training looks at a bounded sample of labelled rows (``TRAIN_TOXIC`` and
-``TRAIN_ORDINARY``, lowest hash of the id first); scoring reads whole texts.
+``TRAIN_ORDINARY``, lowest hash of the id first; ``SEARCH_BYTES`` of each class
+where windows are searched); scoring reads whole texts.
 """
 
 from __future__ import annotations
@@ -36,14 +43,15 @@ WINDOW_BYTES = 64
 TOXIC_DICT_BYTES = 8 << 10
 ORDINARY_DICT_BYTES = 256 << 10
 ORDINARY_WORDS = 250_000
+#: Bound of the texts of a class that toxic windows are searched in, in bytes.
+SEARCH_BYTES = 2 << 20
+#: Share of the windows of ordinary texts that may lie beyond the cut, by round.
+MARK_SHARE = (0.005, 0.002, 0.001, 0.0003)
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-#: Prefix lengths looked at when toxic stems are searched.
-_STEM = (4, 12)
-#: A stem is toxic from this share on, if chance would lift fewer than about
-#: exp(-_MARGIN) of all stems looked at that high (large-deviation bound).
-_MIN_SHARE, _MARGIN = 0.9, 4.0
+#: Folds of the search for windows that mark toxic texts.
+_FOLDS = 3
 #: Distances that count as a strong and as a weak sign, in bytes.
 _STRONG, _WEAK = 12, 10
 _NONE = -20.0
@@ -110,7 +118,7 @@ class Distance:
         d.precompute_compress(compression_params=p)
         return zs.ZstdCompressor(dict_data=d, compression_params=p)
 
-    def of(self, words: set[bytes]) -> list[int]:
+    def of(self, words) -> list[int]:
         if len(self.known) > 500_000:
             self.known.clear()
         new = [w for w in words if w not in self.known]
@@ -127,10 +135,6 @@ class Distance:
                 sum(x >= _WEAK for x in d) / n, math.log(n)]
 
 
-def _stems(text: bytes) -> set[bytes]:
-    return {w[:n] for w in words_of(text) for n in range(_STEM[0], min(len(w), _STEM[1]) + 1)}
-
-
 def _one_per_family(texts: list[bytes]) -> list[bytes]:
     """One text of each set of near copies (equal lowest hashes of words), so
     that a family does not count as so many independent documents."""
@@ -141,24 +145,44 @@ def _one_per_family(texts: list[bytes]) -> list[bytes]:
     return list(family.values())
 
 
-def _toxic_stems(toxic: list[bytes], ordinary: list[bytes]) -> set[bytes]:
-    in_toxic, in_ordinary = Counter(), Counter()
-    for t in toxic:
-        in_toxic.update(_stems(t))
-    for t in ordinary:
-        in_ordinary.update(s for s in _stems(t) if s in in_toxic)
-    p = len(toxic) / (len(toxic) + len(ordinary))
+def _search_texts(texts: list[bytes]) -> list[tuple[int, list[bytes]]]:
+    """(fold, distinct words) of texts by lowest hash, ``SEARCH_BYTES`` together;
+    a text over an eighth of that is passed over, so that several are left."""
+    out, size = [], 0
+    for t in sorted((t for t in texts if len(t) <= SEARCH_BYTES // 8), key=lambda t: (zlib.crc32(t), t)):
+        size += len(t)
+        if size > SEARCH_BYTES:
+            break
+        out.append((zlib.crc32(b"fold" + t) % _FOLDS, sorted(words_of(t))))
+    return out
+
 
-    need = math.log(max(len(in_toxic), 1)) + _MARGIN
+def _content(rows: list[tuple[int, list[bytes]]], left_out: int) -> bytes:
+    """Raw dictionary content: the windows of all folds but one."""
+    return b"".join(recode([w for f, ws in rows if f != left_out for w in ws])).ljust(8, b"\0")
 
-    def strong(s: bytes, c: int) -> bool:
-        n = c + in_ordinary[s]
-        if c <= max(_MIN_SHARE, p) * n:
-            return False
-        a = c / n
-        gain = a * math.log(a / p) + (0 if c == n else (1 - a) * math.log((1 - a) / (1 - p)))
-        return n * gain > need
-    return {s for s, c in in_toxic.items() if strong(s, c)}
+
+def _toxic_windows(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
+    """Windows of toxic texts that mark them, found by compression distance.
+
+    Whole texts of both classes serve as dictionaries, and each fold is
+    compressed against the other folds.  Windows of toxic texts whose distance
+    is beyond nearly all windows of ordinary texts become the next toxic
+    dictionary.  What one text alone holds never counts: its fold is left out.
+    """
+    plain, all_toxic = _search_texts(ordinary), _search_texts(toxic)
+    marked = all_toxic
+    for share in MARK_SHARE:
+        found, base = [], []
+        for f in range(_FOLDS):
+            dist = Distance(Model(_content(marked, f), _content(plain, f), True, (), (), (), 0.0))
+            found += [(f, ws, dist.of(ws)) for g, ws in all_toxic if g == f]
+            base += [x for g, ws in plain if g == f for x in dist.of(ws)]
+        if not base:
+            return []
+        cut = max(0.0, float(np.quantile(base, 1 - share)))
+        marked = [(f, [w for w, x in zip(ws, d) if x > cut]) for f, ws, d in found]
+    return [w for _, ws in marked for w in ws]
 
 
 def _dictionary(size: int, words: list[bytes]) -> bytes | None:
@@ -182,9 +206,7 @@ def fit(toxic: list[bytes], ordinary: list[bytes]) -> Model:
     train_t, train_o = ([t for t in ts if not third(t)] for ts in (toxic, ordinary))
     if not train_t or not train_o:
         return none
-    stems = _toxic_stems(train_t, train_o)
-    marked = [w for t in train_t for w in sorted(words_of(t))
-              if any(w[:n] in stems for n in range(_STEM[0], min(len(w), _STEM[1]) + 1))]
+    marked = _toxic_windows(train_t, train_o)
     plain = sorted({w for t in train_o for w in words_of(t)}, key=zlib.crc32)[:ORDINARY_WORDS]
     if not marked or not plain:
         return none

@@ -82,3 +82,16 @@ def test_pages_do_not_depend_on_how_they_are_made(spark):
         for r in got:
             joined[r.k] = joined.get(r.k, []) + ([r.body[1:-1]] if r.body != "[]" else [])
         assert {k: "[" + ",".join(v) + "]" for k, v in joined.items()} == one
+
+
+def test_keys_beyond_a_page_are_paged_in_one_array_and_larger_ones_alike(spark):
+    req = spark.createDataFrame([("a",), ("b",), ("none",)], "k string")
+    kids = spark.range(90).select(F.when(F.col("id") < 60, "a").when(F.col("id") < 85, "b").alias("k"),
+                                  F.when(F.col("id") % 7 != 0, F.col("id") % 20).alias("id"))
+    arrays = response_payloads(req, kids, ["k"], ["id"], page_rows=3)
+    # No ordering over all rows: a key's rows are moved once.
+    plan = arrays._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and plan.count("posexplode") == 1
+    totals = response_payloads(req, kids, ["k"], ["id"], page_rows=3, array_rows=3)
+    mixed = response_payloads(req, kids, ["k"], ["id"], page_rows=3, array_rows=30)
+    assert sorted(arrays.collect()) == sorted(totals.collect()) == sorted(mixed.collect())

@@ -7,9 +7,10 @@ once however often its key was requested.
 Payloads are JSON arrays of child rows per requested key, ``[]`` when the
 key has no child.  Every key's children are cut into pages of ``page_rows``
 in the order of their fields.  Children are counted per key first: those of a
-key that fits a page are one array.  Of larger keys equal rows are counted and
-positions come from running totals, so neither a key with very many children
-nor very many equal children meet in one task or one array.
+key that fits a page, or an array of ``ARRAY_ROWS``, are sorted in one array
+and cut there, so they are moved once.  Of larger keys equal rows are counted
+and positions come from running totals, so neither a key with very many
+children nor very many equal children meet in one task or one array.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from tierline.operators.numbering import running_total
 from tierline.session import fresh_folder
 
 PAGE_ROWS = 1_000
+# Children of one key that are put in one array, at most (or a page of them).
+ARRAY_ROWS = 10_000
 
 
 def lookup_by(children: DataFrame, **params) -> DataFrame:
@@ -44,7 +47,7 @@ def lookup_many(children: DataFrame, requests: DataFrame,
 
 def response_payloads(requests: DataFrame, children: DataFrame,
                       match: Sequence[str], fields: Sequence[str],
-                      page_rows: int = PAGE_ROWS) -> DataFrame:
+                      page_rows: int = PAGE_ROWS, array_rows: int = ARRAY_ROWS) -> DataFrame:
     """One JSON array per requested key and page: (match..., page, body).
 
     Elements are the ``fields`` of each child, sorted (nulls first), null
@@ -56,15 +59,16 @@ def response_payloads(requests: DataFrame, children: DataFrame,
     rows = children.select(*[F.col(m).alias(n) for m, n in zip(match, names)],
                            F.struct(*[F.col(f) for f in fields]).alias("_row"))
     path = fresh_folder(children.sparkSession, "payload_sizes")
-    rows.groupBy(*names).agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > page_rows) \
+    rows.groupBy(*names).agg(F.count(F.lit(1)).alias("_c")) \
+        .filter(F.col("_c") > max(page_rows, array_rows)) \
         .select(*[F.col(n).alias(f"{n}_l") for n in names]).write.parquet(path)
     large = children.sparkSession.read.schema(
         T.StructType([T.StructField(f"{n}_l", rows.schema[n].dataType) for n in names])).parquet(path)
     if large.isEmpty():
-        bodies = _whole(rows, names)
+        bodies = _cut(rows, names, page_rows)
     else:
         same = [F.col(n).eqNullSafe(F.col(f"{n}_l")) for n in names]
-        bodies = _whole(rows.join(large, same, "left_anti"), names) \
+        bodies = _cut(rows.join(large, same, "left_anti"), names, page_rows) \
             .unionByName(_paged(rows.join(large, same, "left_semi"), names, page_rows))
     bodies = bodies.select(*[F.col(n).alias(m) for n, m in zip(names, match)],
                            F.col("page").cast("int").alias("page"), "body")
@@ -73,10 +77,13 @@ def response_payloads(requests: DataFrame, children: DataFrame,
                       F.coalesce(F.col("body"), F.lit("[]")).alias("body"))
 
 
-def _whole(rows: DataFrame, names: Sequence[str]) -> DataFrame:
-    """(names..., page, body) of keys whose rows fit a page."""
-    return rows.groupBy(*names).agg(F.lit(0).cast("long").alias("page"), F.to_json(
-        F.sort_array(F.collect_list("_row")), JSON_OPTS).alias("body"))
+def _cut(rows: DataFrame, names: Sequence[str], page_rows: int) -> DataFrame:
+    """(names..., page, body) of keys whose rows fit an array."""
+    rows = rows.groupBy(*names).agg(F.sort_array(F.collect_list("_row")).alias("_rows"))
+    starts = F.sequence(F.lit(1), F.size("_rows"), F.lit(page_rows))
+    pages = F.transform(starts, lambda at: F.slice("_rows", at, F.lit(page_rows)))
+    return rows.select(*names, F.posexplode(pages).alias("page", "_items")) \
+        .select(*names, F.col("page").cast("long").alias("page"), F.to_json("_items", JSON_OPTS).alias("body"))
 
 
 def _paged(rows: DataFrame, names: Sequence[str], page_rows: int) -> DataFrame:

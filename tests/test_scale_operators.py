@@ -10,7 +10,7 @@ from tierline.operators.hierarchy import descendants
 from tierline.operators.joins import duplicate_keys, duplicate_keys_staged
 from tierline.operators.ordering import first_n
 from tierline.operators.taskqueue import TaskQueue
-from tierline.sinks.files import land_csv
+from tierline.sinks.files import land_csv, session_conf
 from tierline.streaming.new_files import ingest_new_files, queue_sink
 from tierline.tables.clustered import rows_scanned, write_clustered
 
@@ -141,3 +141,15 @@ def test_repeats_in_a_stream_end_in_its_state_or_in_the_queue(spark, folder):
     assert taken[:2] == [["1", "2"], ["3"]] and "2" not in taken[1]
     assert sorted(x.id for x in queue.state().collect())[:4] == ["1", "2", "3", "4"]
     assert queue.state().groupBy("id").count().where("count > 1").isEmpty()
+
+
+def test_children_of_few_keys_are_not_moved_to_find_childless_requests(spark):
+    from tierline.operators.crawl import missing_children
+
+    req = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
+    kids = spark.range(5000).select(F.when(F.col("id") % 2 == 0, "a").alias("k"))
+    with session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}):
+        out = missing_children(req, kids, ["k"])
+        assert sorted(r.k or "" for r in out.collect()) == ["", "b"]
+        moved = out._jdf.queryExecution().executedPlan().toString().split("Exchange")[-1]
+    assert "HashAggregate" in moved  # below the last exchange, that of the children

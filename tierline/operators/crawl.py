@@ -36,8 +36,11 @@ def expand(requests: DataFrame, children: DataFrame, match: Sequence[str],
 
 def missing_children(requests: DataFrame, children: DataFrame,
                      match: Sequence[str]) -> DataFrame:
-    """Request rows that found no child (``left_anti`` on the match keys)."""
-    return requests.join(children.select(*match), list(match), "left_anti")
+    """Request rows that found no child (``left_anti`` on the match keys).
+
+    A key is moved once per map task, not once per child: the children of few
+    keys would otherwise meet, and be sorted, in as few tasks."""
+    return requests.join(children.select(*match).distinct(), list(match), "left_anti")
 
 
 def shape(payload_rows: DataFrame, renames: dict[str, str] | None = None,

@@ -1,5 +1,7 @@
 """JSON payloads: explode, shape, stamp, paging (Q1, Q2, Q14)."""
 
+import os
+
 from pyspark.sql import functions as F
 
 from tierline.operators.crawl import shape
@@ -95,3 +97,16 @@ def test_keys_beyond_a_page_are_paged_in_one_array_and_larger_ones_alike(spark):
     totals = response_payloads(req, kids, ["k"], ["id"], page_rows=3, array_rows=3)
     mixed = response_payloads(req, kids, ["k"], ["id"], page_rows=3, array_rows=30)
     assert sorted(arrays.collect()) == sorted(totals.collect()) == sorted(mixed.collect())
+
+
+def test_landed_payloads_are_stored_compressed(spark, folder):
+    from tierline.session import local_path
+    from tierline.sinks.files import append_json, append_text, land_payloads
+
+    df = spark.createDataFrame([("2023", "[]"), ("2024", None)], "season_id string, body string")
+    for write in (lambda p: land_payloads(df.filter("body IS NOT NULL"), p, ["season_id"]),
+                  lambda p: append_text(df.select("season_id"), p), lambda p: append_json(df, p)):
+        path = folder()
+        write(path)
+        names = [n for _, _, files in os.walk(local_path(path)) for n in files if n.startswith("part-")]
+        assert names and all(n.endswith(".gz") for n in names)

@@ -200,3 +200,23 @@ def test_observed_counts_equal_a_scan(spark, folder):
     empty = WriteAudit(["c"])
     empty.watch(df.where("false")).write.parquet(folder("e"))
     assert empty.check() == 0
+
+
+def test_older_compressed_files_of_other_events_are_not_read(spark, folder):
+    src, lake = source(spark), Lake(folder())
+    runs.run(spark, lake, src, runs.INCREMENTAL, n=6, run_id="a")  # events 1 and 2
+    spoilt = 0
+    for d, _, names in os.walk(local_path(lake.bronze("classifications"))):
+        for n in names:
+            if n.endswith(".csv.gz"):  # as long and as old as before, but unreadable
+                p = os.path.join(d, n)
+                at = os.stat(p)
+                with open(p, "wb") as f:
+                    f.write(b"\xff" * at.st_size)
+                os.utime(p, ns=(at.st_atime_ns, at.st_mtime_ns))
+                if os.path.exists(os.path.join(d, f".{n}.crc")):
+                    os.remove(os.path.join(d, f".{n}.crc"))
+                spoilt += 1
+    assert spoilt
+    rep = runs.run(spark, lake, src, runs.INCREMENTAL, n=6, run_id="b")  # events 3 and 4
+    assert rep.gold.count() == 36

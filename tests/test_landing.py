@@ -204,3 +204,71 @@ def test_a_second_layout_is_refused(spark, folder):
     land_entity(lake, "events", events)
     with pytest.raises(LayoutError, match="scale"):
         land_entity(lake, "events", events, layout="reference")
+
+
+def test_growing_entities_land_compressed_in_files_of_bounded_length(spark, folder, monkeypatch):
+    import os
+
+    from tierline.plans import lake as lakes
+    from tierline.session import local_path
+
+    monkeypatch.setattr(lakes, "LINES_PER_FILE", 10)
+    rows = [("s", "e", "c", f"x{i}", f"r{i}", None, i, i) for i in range(45)]
+    lake = Lake(folder())
+    land_entity(lake, "classifications", _cls(spark, rows))
+    land_entity(lake, "sessions", spark.createDataFrame(
+        [("R", f"x{i}", "s", "e", "c") for i in range(25)], SESSIONS))
+    for entity, least in (("classifications", 5), ("sessions", 3)):
+        names = [n for _, _, found in os.walk(local_path(lake.bronze(entity))) for n in found if n.startswith("part-")]
+        assert len(names) >= least and all(n.endswith(".csv.gz") for n in names)
+    back = read_bronze(spark, lake, "classifications")
+    assert sorted(map(tuple, back.collect()), key=repr) == sorted(rows, key=repr)
+    assert read_bronze(spark, lake, "sessions").count() == 25
+
+
+def _tables(spark, root, keys):
+    """Driver tables with orders of the given keys, three lines each."""
+    spark.createDataFrame([(0, "R")], "r_regionkey int, r_name string").write.parquet(f"{root}/region.parquet")
+    spark.createDataFrame([(0, "NATION", 0)], "n_nationkey int, n_name string, n_regionkey int") \
+        .write.parquet(f"{root}/nation.parquet")
+    spark.createDataFrame([(1, "c", 0, 0.0, "SEG")], "c_custkey long, c_name string, c_nationkey int, "
+                          "c_acctbal double, c_mktsegment string").write.parquet(f"{root}/customer.parquet")
+    spark.createDataFrame([(k, 1, "F", f"p{i}") for i, k in enumerate(keys)],
+                          "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string") \
+        .write.parquet(f"{root}/orders.parquet")
+    spark.createDataFrame([(k, 7, i, n, 5.0, "N", "F") for i, k in enumerate(keys) for n in (1, 2, 3)],
+                          "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                          "l_returnflag string, l_linestatus string").write.parquet(f"{root}/lineitem.parquet")
+
+
+def test_derived_rows_are_shuffled_once_by_session_up_to_the_landing(spark, folder):
+    from tierline.operators.crawl import expand_classifications, task_keys
+    from tierline.sinks.files import session_conf
+    from tierline.sources.fixture import derive_entities
+
+    root = folder()
+    _tables(spark, root, range(20))
+    src = derive_entities(spark, root)
+    with session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                              "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+        rows = expand_classifications(task_keys(src.sessions), src.classifications)
+        plan = rows._jdf.queryExecution().sparkPlan().toString()
+        first = rows._jdf.queryExecution().executedPlan().toString()
+        assert rows.count() == 60
+    assert "SortMergeJoin" in plan
+    assert "hashpartitioning(l_orderkey" not in first and first.count("hashpartitioning(_line_session") == 1
+    # the rows of the first join are not shuffled again for the second one
+    assert first.count("hashpartitioning(session_id") == 1
+
+
+def test_orders_with_null_repeated_and_very_long_keys_keep_their_own_lines(spark, folder):
+    from tierline.sources.fixture import derive_entities
+
+    long_keys = [1234567890123, 1234567890124]  # more digits than an id holds
+    root = folder()
+    _tables(spark, root, [1, 1, -5, None, *long_keys])
+    rows = derive_entities(spark, root).classifications.groupBy("session_id", "name").count().collect()
+    got = sorted((r.session_id[-12:], r.name, r["count"]) for r in rows)
+    # key 1 has two orders and six lines; the long keys share an id, not lines
+    assert got == sorted([("000000000001", "Rider 0", 6), ("000000000001", "Rider 1", 6), ("0000000000-5", "Rider 2", 3),
+                          ("123456789012", "Rider 4", 3), ("123456789012", "Rider 5", 3)])

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tierline.schemas import (CLASSIFICATIONS, CLASSIFICATIONS_BRONZE,
                               ENTITY_SCHEMAS, LEVELS, S, struct)
-from tierline.sinks.files import land_csv, together, write_parquet
+from tierline.sinks.files import UNSORTED, land_csv, session_conf, together, write_parquet
 from tierline.sources.files import create_namespace, read_csv_raw, read_csv_typed
 from tierline.tables import files
 
@@ -42,6 +42,11 @@ def partition_layout(entity: str, layout: str = "scale") -> tuple[str, ...]:
     return SCALE_LAYOUT[entity]
 
 
+# The entities that grow with the data land compressed: ids repeat in every
+# line.  Such a file is not split, so it holds this many lines at most.
+COMPRESSED = {"sessions", "classifications"}
+LINES_PER_FILE = 250_000
+
 # Classification files lie below a ``run_id=`` level in every layout, so a
 # run that is repeated replaces its own files and runs add up.  Landings that
 # are no run use this id.
@@ -108,7 +113,9 @@ def land_entity(lake: Lake, entity: str, df: DataFrame, layout: str = "scale",
     rows, keys = to_bronze_columns(entity, df), tuple(partition_layout(entity, layout))
     if entity == "classifications":
         rows, keys = rows.withColumn("run_id", F.lit(run_id)), (*keys, "run_id")
-    land_csv(rows, lake.bronze(entity), keys, dynamic=not replace)
+    packed = {"compression": "gzip", "maxRecordsPerFile": LINES_PER_FILE} if entity in COMPRESSED else {}
+    with session_conf(df.sparkSession, UNSORTED if entity in COMPRESSED else {}):
+        land_csv(rows, lake.bronze(entity), keys, dynamic=not replace, **packed)
 
 
 def read_bronze(spark: SparkSession, lake: Lake, entity: str, filename: str | None = None,
@@ -200,7 +207,10 @@ def load_silver(spark: SparkSession, lake: Lake, entities=ENTITIES,
                           dynamic=seasons is not None, spread=False)
         else:
             write_parquet(df, lake.silver(e))
-    together([partial(load, e) for e in entities])
+    # Compressed files are few for their rows: read them by more tasks.
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    with session_conf(spark, {**UNSORTED, "spark.sql.files.minPartitionNum": str(tasks)}):
+        together([partial(load, e) for e in entities])
 
 
 def read_silver(spark: SparkSession, lake: Lake, entity: str, filename: bool = False,

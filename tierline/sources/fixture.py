@@ -23,6 +23,8 @@ ID_TAGS = {
     "categories": "00000003",
     "sessions": "00000004",
 }
+# Fixed value: digits of the key in an id.
+ID_DIGITS = 12
 # The first season year; years are this plus the region key.
 BASE_YEAR = 2000
 
@@ -30,7 +32,7 @@ BASE_YEAR = 2000
 def uuid_id(kind: str, key: Column) -> Column:
     """``tttttttt-0000-0000-0000-kkkkkkkkkkkk`` from an entity tag and key."""
     return F.concat(F.lit(ID_TAGS[kind] + "-0000-0000-0000-"),
-                    F.lpad(key.cast("string"), 12, "0"))
+                    F.lpad(key.cast("string"), ID_DIGITS, "0"))
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,15 +81,24 @@ def derive_entities(spark: SparkSession, sf_dir: str) -> EntitySource:
     sessions = sessions_k.select("name", "id", "season_id", "event_id",
                                  "category_id")
 
-    cls = lineitem.join(sessions_k, lineitem.l_orderkey == sessions_k.o_orderkey)
+    # Joined on the session id that the rows are landed by, so that the landing's
+    # own join finds them shuffled already.  Only keys too long for an id share
+    # one; these decide themselves.
+    def too_long(key: Column) -> Column:
+        return F.when(F.length(key.cast("string")) > ID_DIGITS, key).otherwise(0)
+    lines = lineitem.select(
+        "l_suppkey", "l_quantity", uuid_id("sessions", F.col("l_orderkey")).alias("_line_session"),
+        too_long(F.col("l_orderkey")).alias("_line_key"),
+        F.when(F.col("l_linestatus") == "F", (F.col("l_partkey") % 100).cast("int")).alias("_number"),
+        F.when(F.col("l_returnflag") != "R", F.col("l_linenumber")).alias("_position"))
+    line_sessions = sessions_k.withColumn("_key", too_long(F.col("o_orderkey")))
+    cls = lines.join(line_sessions, (F.col("_line_session") == F.col("id"))
+                     & (F.col("_line_key") >= F.col("_key")) & (F.col("_line_key") <= F.col("_key")))
     classifications = cls.select(
         "season_id", "event_id", "category_id",
         F.col("id").alias("session_id"),
         F.concat(F.lit("Rider "), F.col("l_suppkey").cast("string")).alias("name"),
-        F.when(F.col("l_linestatus") == "F",
-               (F.col("l_partkey") % 100).cast("int")).alias("number"),
-        F.when(F.col("l_returnflag") != "R",
-               F.col("l_linenumber")).alias("position"),
+        F.col("_number").alias("number"), F.col("_position").alias("position"),
         F.col("l_quantity").cast("int").alias("points"))
 
     task_state = sessions_k.select(

@@ -84,6 +84,48 @@ def test_four_key_layout_round_trip(spark, folder):
     assert sorted(map(tuple, back.collect())) == sorted(rows)
 
 
+def test_many_folders_are_written_plainly_and_listed_in_one_job(spark, folder):
+    """One file a session: no checksum file beside it, keys as discovered ones."""
+    import os
+
+    from tierline.plans.lake import to_bronze_columns
+    from tierline.schemas import TASK_KEYS
+    from tierline.session import local_path
+    from tierline.sinks.files import session_conf
+    from tierline.sources.files import read_csv_by_folder, read_csv_typed
+
+    odd = ["a b", "50%", "x+y", "k=v", "\u00e9/\u4e2d", "%2B", "q?[1]{2}", None, ""]
+    rows = [("s", "e", f"c{c}", x, "r,\"1\"", 1, None, c) for c in range(4) for x in odd]
+    rows += [(None, "e+", "c", f"x{i}", None, None, i, i) for i in range(9)]
+    path = folder()
+    land_csv(to_bronze_columns("classifications", _cls(spark, rows)), path, TASK_KEYS,
+             writers=2)
+    names = [n for _, _, ns in os.walk(local_path(path)) for n in ns]
+    assert names and not [n for n in names if n.endswith(".crc")]
+
+    with session_conf(spark, {"spark.sql.sources.parallelPartitionDiscovery.threshold": "2"}):
+        spark.sparkContext.setJobGroup("by-folder", "")
+        by_folder = read_csv_by_folder(spark, path, CLASSIFICATIONS, TASK_KEYS)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("by-folder")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) == 1
+    assert by_folder.columns == CLASSIFICATIONS.names
+    found = read_csv_typed(spark, path, CLASSIFICATIONS).select(*CLASSIFICATIONS.names)
+    assert sorted(map(repr, by_folder.collect())) == sorted(map(repr, found.collect()))
+    assert sorted(map(repr, map(tuple, by_folder.collect()))) == sorted(
+        repr((*r[:3], r[3] or None, *r[4:])) for r in rows)
+
+
+def test_a_landing_without_rows_is_read_by_folder(spark, folder):
+    from tierline.plans.lake import to_bronze_columns
+    from tierline.schemas import TASK_KEYS
+    from tierline.sources.files import read_csv_by_folder
+
+    path = folder()
+    land_csv(to_bronze_columns("classifications", _cls(spark, [])), path, TASK_KEYS, writers=2)
+    assert read_csv_by_folder(spark, path, CLASSIFICATIONS, TASK_KEYS).count() == 0
+
+
 def test_incremental_refresh_touches_only_the_run_seasons(spark, folder):
     import os
 

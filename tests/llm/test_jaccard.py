@@ -156,3 +156,55 @@ def test_size_bands_lose_no_link(spark, docs_of, monkeypatch, block):
     for words, percent in ((3, 90), (5, 80)):
         got = {tuple(r) for r in J.op4_jaccard_join(spark, df, words, percent).collect()}
         assert got == set(brute(rows, words, percent))
+
+
+def test_sets_that_meet_in_chance_shingles_reach_no_tree(monkeypatch):
+    """A group of unlike sets chained by single shingles, of like sizes: only
+    the few that share the most of their shingles are compared."""
+    rng = np.random.default_rng(4)
+    sets = [rng.integers(0, 1 << 60, 100, dtype=np.uint64) for _ in range(300)]
+    for i in range(1, 300):
+        sets[i][0] = sets[i - 1][1]  # neighbours share one
+    sets += [np.append(s[5:], rng.integers(0, 1 << 60, 5, dtype=np.uint64)) for s in sets[:20]]
+    sets = [np.unique(s) for s in sets]
+    compared, tree = [], J.SignatureTree
+    monkeypatch.setattr(J, "SignatureTree", lambda some, *a: compared.append(len(some)) or tree(some, *a))
+    assert {tuple(sorted(x)) for x in J._solve(sets, None, 80)} == {(i, 300 + i) for i in range(20)}
+    assert sum(compared) < 60 and max(compared) < 6
+    # sets known to be connected need no link
+    assert len(J._solve(sets, [i % 300 if i % 300 < 10 else None for i in range(320)], 80)) == 10
+    assert J._solve([], None, 80) == J._solve([sets[0]], None, 80) == []
+
+
+@pytest.mark.parametrize("run", [1, 4000, 8 << 20])
+def test_shared_shingles_are_counted_across_runs(spark, docs_of, monkeypatch, run):
+    """Whatever texts a task sees together; copies of one text share nothing."""
+    monkeypatch.setattr(J, "RUN_BYTES", run)
+    rng = random.Random(2)
+    rows = near_copies(25, 9) + [(700 + i, "one text alone in three rows here") for i in range(3)]
+    rows += [(800 + i, "a very common passage of words " + words(rng, 40, 90_000)) for i in range(60)]
+    docs = docs_of(rows + [(None, rows[0][1]), (900, None), (901, "")])
+    sets = {s for _, s in sets_of(rows, 3) if s}
+    times = {}
+    for s in sets:
+        for x in s:
+            times[x] = times.get(x, 0) + 1
+    of_id = {r.doc_id: r.set_id for r in J.set_ids(docs, 3).collect()}
+    want = {of_id[i]: (len(s), sum(times[x] > 1 for x in s)) for i, s in sets_of(rows, 3) if s}
+    got = {r.set_id: r.n_shared for r in J.shared_counts(docs, 3).collect()}
+    assert set(got) <= set(want)
+    once = {s for s in want if list(of_id.values()).count(s) == 1}
+    for s, (_, shared) in want.items():
+        assert got.get(s, 0) == shared if s in once else got.get(s, 0) >= shared
+    assert got.get(of_id[700], 0) == 0
+
+
+def test_only_sets_that_may_link_are_routed(spark, docs_of, monkeypatch):
+    rng = random.Random(6)
+    rows = [(i, words(rng, 60, 90_000) + " they all share this line of seven words") for i in range(40)]
+    rows += [(100 + i, rows[i][1] + " end") for i in range(5)]
+    routed, routing = [], J.shared_keys
+    monkeypatch.setattr(J, "shared_keys", lambda docs, *a: routed.append(docs.count()) or routing(docs, *a))
+    out = J.op4_jaccard_join(spark, docs_of(rows), 5, 80)
+    assert sorted(map(tuple, out.collect())) == brute(rows, 5, 80)
+    assert routed == [10]

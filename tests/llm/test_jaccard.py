@@ -180,6 +180,7 @@ def test_sets_that_meet_in_chance_shingles_reach_no_tree(monkeypatch):
 def test_shared_shingles_are_counted_across_runs(spark, docs_of, monkeypatch, run):
     """Whatever texts a task sees together; copies of one text share nothing."""
     monkeypatch.setattr(J, "RUN_BYTES", run)
+    monkeypatch.setattr(J, "COUNTS", min(run, 50))
     rng = random.Random(2)
     rows = near_copies(25, 9) + [(700 + i, "one text alone in three rows here") for i in range(3)]
     rows += [(800 + i, "a very common passage of words " + words(rng, 40, 90_000)) for i in range(60)]
